@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 CSV_SEP = ";"
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
 CSV_TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
+# A NUL character never appears in a field, so only truly empty fields read as NULL.
+NULL_SENTINEL = "\u0000"
 
 
 def export_csv(df: DataFrame, path: str, sep: str = CSV_SEP, header: bool = True,
@@ -28,8 +30,13 @@ def export_csv(df: DataFrame, path: str, sep: str = CSV_SEP, header: bool = True
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str,
              sep: str = CSV_SEP, header: bool = True) -> DataFrame:
-    """Read an export back with an explicit schema (no inference pass over the files)."""
+    """Read an export back with an explicit schema (no inference pass over the files).
+
+    An unquoted empty field reads as NULL and a quoted ``""`` as the empty
+    string, mirroring how ``export_csv`` wrote them.
+    """
     return (spark.read.schema(schema).option("header", str(header).lower())
+            .option("nullValue", NULL_SENTINEL).option("emptyValue", "")
             .option("sep", sep)
             .option("timestampFormat", CSV_TIMESTAMP_FORMAT)
             .option("timestampNTZFormat", CSV_TIMESTAMP_NTZ_FORMAT)

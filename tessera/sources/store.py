@@ -2,8 +2,8 @@
 
 Parquet cannot be overwritten while it is being read (the SCD2 merge reads the
 dimension it replaces), so each write goes to a new version folder
-``<root>/<table>/v=<N>/`` and is then committed by writing a one-row marker
-``<root>/<table>/_commits/c=<N>/``. Readers take the highest committed version.
+``<root>/<table>/v<N>/`` and is then committed by writing a one-row marker
+``<root>/<table>/_commits/c<N>/``. Readers take the highest committed version.
 A job that dies mid-write leaves an uncommitted folder nobody reads; rerunning
 writes the next version. The root should be a shared folder (object store /
 HDFS) on a cluster.
@@ -32,40 +32,72 @@ class TableStore:
     def _base(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{self.prefix}{name}"
 
-    def current_version(self, name: str) -> int | None:
-        """Highest committed version, or None when the table does not exist.
+    def _commits(self, name: str) -> list[tuple[int, str]] | None:
+        """Committed (version, mode) pairs in order, or None if the table does not exist.
 
         Only a missing path counts as "does not exist"; any other error (outage,
         permissions) propagates instead of being mistaken for a first load.
+        The log holds one tiny row per load, so collecting it is bounded.
         """
         try:
-            commits = self.spark.read.schema("version long").json(f"{self._base(name)}/_commits")
-            row = commits.agg(F.max("version").alias("v")).first()
+            log = self.spark.read.schema("version long, mode string").option(
+                "recursiveFileLookup", "true").json(
+                f"{self._base(name)}/_commits")
+            rows = log.collect()
         except AnalysisException as e:
             if _missing_path(e):
                 return None
             raise
-        return None if row is None or row["v"] is None else int(row["v"])
+        if not rows:
+            return None
+        return sorted((int(r["version"]), r["mode"] or "overwrite") for r in rows)
+
+    def current_version(self, name: str) -> int | None:
+        c = self._commits(name)
+        return None if c is None else c[-1][0]
 
     def exists(self, name: str) -> bool:
         return self.current_version(name) is not None
 
     def path(self, name: str, version: int) -> str:
-        return f"{self._base(name)}/v={version:08d}"
+        return f"{self._base(name)}/v{version:08d}"
 
-    def read(self, name: str) -> DataFrame:
-        v = self.current_version(name)
-        if v is None:
+    def live_paths(self, name: str) -> list[str]:
+        """Folders that make up the table: the last overwrite and the appends after it."""
+        c = self._commits(name)
+        if c is None:
             raise FileNotFoundError(f"table {self.prefix}{name} has no committed version")
-        return self.spark.read.parquet(self.path(name, v))
+        last = max(i for i, (_, m) in enumerate(c) if m == "overwrite") if any(
+            m == "overwrite" for _, m in c) else 0
+        return [self.path(name, v) for v, _ in c[last:]]
 
-    def write(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> int:
-        """Write ``df`` as the next version and commit it. Returns the version."""
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(*self.live_paths(name))
+
+    def stage(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> int:
+        """Write ``df`` as the next version without committing it (write-audit-publish)."""
         v = (self.current_version(name) or 0) + 1
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(name, v))
-        (self.spark.range(1).select(F.lit(v).cast("long").alias("version"))
-         .coalesce(1).write.mode("errorifexists").json(f"{self._base(name)}/_commits/c={v:08d}"))
+        return v
+
+    def read_staged(self, name: str, version: int) -> DataFrame:
+        return self.spark.read.parquet(self.path(name, version))
+
+    def commit(self, name: str, version: int, mode: str = "overwrite") -> None:
+        """Publish a staged version: ``overwrite`` replaces the table, ``append`` adds to it."""
+        if mode not in ("overwrite", "append"):
+            raise ValueError("mode must be 'overwrite' or 'append'")
+        (self.spark.range(1).select(F.lit(version).cast("long").alias("version"),
+                                    F.lit(mode).alias("mode"))
+         .coalesce(1).write.mode("errorifexists")
+         .json(f"{self._base(name)}/_commits/c{version:08d}"))
+
+    def write(self, df: DataFrame, name: str, partition_by: list[str] | None = None,
+              mode: str = "overwrite") -> int:
+        """Write ``df`` as the next version and commit it. Returns the version."""
+        v = self.stage(df, name, partition_by)
+        self.commit(name, v, mode)
         return v
