@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.skew import SkewSpec, salted_join
+
 
 @dataclass(frozen=True)
 class ChainStep:
@@ -48,7 +50,8 @@ def lookup_chain(base: DataFrame, steps: list[ChainStep]) -> DataFrame:
 
 
 def dim_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-               sk: str, out: str, how: str = "left") -> DataFrame:
+               sk: str, out: str, how: str = "left",
+               skew: SkewSpec | None = None) -> DataFrame:
     """Attach ``dim.sk`` as ``out`` by equality of the natural key.
 
     ``how='left'``: a miss keeps the fact row with a NULL key. Duplicate dimension
@@ -56,6 +59,8 @@ def dim_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     """
     k = "__lk_key"
     right = dim.select(F.col(dim_key).alias(k), F.col(sk).alias(out))
+    if skew is not None:
+        return salted_join(fact, right, fact_key, k, skew, how).drop(k)
     return fact.join(right, fact[fact_key] == right[k], how).drop(k)
 
 
@@ -78,7 +83,7 @@ def validity_condition(ts: Column, valid_from: Column, valid_to: Column,
 def validity_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                     ts: str, sk: str, out: str, valid_from: str = "valid_from",
                     valid_to: str = "valid_to", upper: str = "closed",
-                    how: str = "left") -> DataFrame:
+                    how: str = "left", skew: SkewSpec | None = None) -> DataFrame:
     """Point-in-validity join: the version of ``fact_key`` valid at ``fact.ts``.
 
     An equi-join on the natural key with the range as a residual predicate, so
@@ -89,6 +94,9 @@ def validity_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str
     k, f, t = "__vl_key", "__vl_from", "__vl_to"
     right = dim.select(F.col(dim_key).alias(k), F.col(valid_from).alias(f),
                        F.col(valid_to).alias(t), F.col(sk).alias(out))
+    if skew is not None:
+        rng = validity_condition(F.col(ts), F.col(f), F.col(t), upper)
+        return salted_join(fact, right, fact_key, k, skew, how, rng).drop(k, f, t)
     cond = (fact[fact_key] == right[k]) & validity_condition(
         fact[ts], right[f], right[t], upper)
     return fact.join(right, cond, how).drop(k, f, t)
@@ -96,8 +104,17 @@ def validity_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str
 
 def calendar_lookup(fact: DataFrame, calendar: DataFrame, ts: str,
                     out: str = "date_sk", date_col: str = "date",
-                    sk: str = "date_sk", how: str = "left") -> DataFrame:
-    """Attach the calendar key of ``CAST(ts AS DATE)``; dates outside the calendar give NULL."""
+                    sk: str = "date_sk", how: str = "left",
+                    skew: SkewSpec | None = None) -> DataFrame:
+    """Attach the calendar key of ``CAST(ts AS DATE)``; dates outside the calendar give NULL.
+
+    A calendar has one row per day, so Spark's size check normally broadcasts
+    it and a busy day costs nothing extra; ``skew`` covers the case where it does not.
+    """
     d = "__cal_date"
     right = calendar.select(F.col(date_col).alias(d), F.col(sk).alias(out))
+    if skew is not None:
+        fd = "__cal_fact_date"
+        f2 = fact.withColumn(fd, F.to_date(F.col(ts)))
+        return salted_join(f2, right, fd, d, skew, how).drop(d, fd)
     return fact.join(right, F.to_date(fact[ts]) == right[d], how).drop(d)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.lookup import (ChainStep, calendar_lookup, dim_lookup,
                                       lookup_chain, validity_lookup)
+from tessera.operators.skew import SkewSpec, salted_join
 
 
 @dataclass(frozen=True)
@@ -43,23 +44,56 @@ class CalendarLookup:
 
 
 def build_fact(movements: DataFrame, chain: list[ChainStep], lookups: list,
-               columns: list[str], loaded_at: Column | None = None,
-               loaded_at_name: str = "loaded_at") -> DataFrame:
-    """Key chain (inner), then surrogate-key lookups (left), then the fact's columns.
+               columns: list, loaded_at: Column | None = None,
+               loaded_at_name: str = "loaded_at", skew: SkewSpec | None = None) -> DataFrame:
+    """Key chain (inner), surrogate-key lookups (left), then the fact's columns.
 
     Movements whose chain breaks drop out (parity); a failed lookup leaves a NULL
     key in the row. ``loaded_at`` defaults to ``current_timestamp()`` (one value
     per query).
+
+    Plan shape: the hops after the first and every ``KeyLookup`` keyed by a
+    column the chain brings in are resolved on the dimension side first (a
+    "bridge" with one row per first-hop key), so the movements, the big side,
+    join once on the first key instead of once per hop and lookup. Lookups that
+    need the movement's own columns (validity by event time, calendar) follow.
+    ``skew`` splits hot keys in every join the movements take part in.
     """
-    df = lookup_chain(movements, chain)
-    for lk in lookups:
+    remaining = list(lookups)
+    if chain:
+        first = chain[0]
+        bridge = first.right.select(first.right_key,
+                                    *[c for c in first.keep if c != first.right_key])
+        bridge = lookup_chain(bridge, chain[1:])
+        remaining = []
+        for lk in lookups:
+            if isinstance(lk, KeyLookup) and lk.fact_key in bridge.columns:
+                bridge = dim_lookup(bridge, lk.dim, lk.fact_key, lk.dim_key, lk.sk, lk.out)
+            else:
+                remaining.append(lk)
+        if first.left_key == first.right_key and skew is None:
+            df = movements.join(bridge, on=first.left_key, how="inner")
+        elif skew is None:
+            df = movements.join(bridge, movements[first.left_key] == bridge[first.right_key],
+                                "inner")
+        else:
+            if first.left_key == first.right_key:
+                bridge = bridge.withColumnRenamed(first.right_key, "__bridge_key")
+                df = salted_join(movements, bridge, first.left_key, "__bridge_key", skew,
+                                 "inner").drop("__bridge_key")
+            else:
+                df = salted_join(movements, bridge, first.left_key, first.right_key, skew,
+                                 "inner")
+    else:
+        df = movements
+    for lk in remaining:
         if isinstance(lk, KeyLookup):
-            df = dim_lookup(df, lk.dim, lk.fact_key, lk.dim_key, lk.sk, lk.out)
+            df = dim_lookup(df, lk.dim, lk.fact_key, lk.dim_key, lk.sk, lk.out, skew=skew)
         elif isinstance(lk, ValidityLookup):
             df = validity_lookup(df, lk.dim, lk.fact_key, lk.dim_key, lk.ts, lk.sk,
-                                 lk.out, lk.valid_from, lk.valid_to, lk.upper)
+                                 lk.out, lk.valid_from, lk.valid_to, lk.upper, skew=skew)
         elif isinstance(lk, CalendarLookup):
-            df = calendar_lookup(df, lk.calendar, lk.ts, lk.out)
+            df = calendar_lookup(df, lk.calendar, lk.ts, lk.out, skew=skew)
         else:
             raise TypeError(f"unknown lookup {lk!r}")
     ts = F.current_timestamp() if loaded_at is None else loaded_at

@@ -174,6 +174,10 @@ FROM orders o LEFT JOIN holder_dim_validity d ON o.o_custkey = d.c_custkey
 SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, d.sk AS holder_sk
 FROM orders o LEFT JOIN holder_dim_validity d ON o.o_custkey = d.c_custkey
   AND o.o_orderdate >= d.valid_from AND (o.o_orderdate < d.valid_to OR d.valid_to IS NULL)""",
+    "hot_key_report": """
+SELECT o_custkey, CAST(least(ceil(n / 15), 4) AS INTEGER) AS buckets
+FROM (SELECT o_custkey, count(*) AS n FROM orders WHERE o_custkey IS NOT NULL
+      GROUP BY o_custkey) g WHERE n > 15""",
     "scd2_new_any": _new_versions(False),
     "scd2_new_active": _new_versions(True),
     "scd2_expire": _expire(False),
@@ -227,3 +231,7 @@ FROM fact""",
     "sample_rows": _star("INNER") + "\nORDER BY movement_id, holder_name LIMIT 5",
     "csv_roundtrip": _star("INNER"),
 }
+# Hot-key split variants return exactly what the unsplit queries return.
+ORACLE["validity_lookup_salted"] = ORACLE["validity_lookup_closed"]
+ORACLE["dim_lookup_salted"] = ORACLE["dim_lookup_left"]
+ORACLE["fact_build_salted"] = ORACLE["fact_build"]

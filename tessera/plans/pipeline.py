@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators import (CalendarLookup, ChainStep, KeyLookup, Scd2Spec, StarJoin,
+from tessera.operators import (CalendarLookup, ChainStep, KeyLookup, Scd2Spec, SkewSpec,
+                               StarJoin,
                                ValidityLookup, build_fact, calendar, gate, incremental,
                                key_uniqueness_report, merge, row_count_report,
                                trusted_account, trusted_card, trusted_holder,
@@ -57,6 +58,9 @@ class PipelineConfig:
     single_file: bool = False
     holder_tracked: tuple[str, ...] = field(
         default=("marital_status", "education", "age"))
+    # Split cards / holders / days carrying more rows than this across tasks
+    # (None: rely on AQE's skew-join handling only).
+    skew: SkewSpec | None = field(default_factory=SkewSpec)
 
 
 def _as_of(cfg: PipelineConfig) -> Column | None:
@@ -143,7 +147,7 @@ def fact_frame(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     ]
     cols = ["movement_id", "holder_sk", "card_sk", "account_sk", "date_sk",
             F.col("amount").cast("decimal(10,2)").alias("amount"), "moved_at"]
-    return build_fact(mv, chain, lookups, cols, loaded_at=_now(cfg))
+    return build_fact(mv, chain, lookups, cols, loaded_at=_now(cfg), skew=cfg.skew)
 
 
 def stage_fact(spark: SparkSession, cfg: PipelineConfig) -> dict:

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import age_years, normalize, split_name, surrogate_key
-from tessera.operators import (CalendarLookup, ChainStep, KeyLookup, StarJoin,
+from tessera.operators import (CalendarLookup, ChainStep, KeyLookup, SkewSpec, StarJoin,
                                ValidityLookup, build_fact, calendar_for, calendar_lookup,
                                clean, dim_lookup, duplicate_keys, expired_keys,
                                first_load, flatten, incremental, key_uniqueness_report,
                                lookup_chain, merge, new_versions, null_key_report,
-                               row_count_report, trusted_holder, type1_upsert,
+                               hot_keys, row_count_report, trusted_holder, type1_upsert,
                                validity_lookup)
 from tessera.plans import scenarios as sc
 from tessera.plans.scenarios import load, ts
@@ -139,14 +139,31 @@ def calendar_lookup_q(spark, d):
     return calendar_lookup(o, cal, "o_orderdate")
 
 
-def _validity(upper):
+def _validity(upper, skew=None):
     def q(spark, d):
         o = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
         return validity_lookup(o, sc.holder_dim_validity(spark, d), "o_custkey", "c_custkey",
-                               "o_orderdate", "sk", "holder_sk", upper=upper)
+                               "o_orderdate", "sk", "holder_sk", upper=upper, skew=skew)
     return q
 
 
+# Hot-key splitting tuned so that, on these tables (about ten orders per
+# customer), the busiest customers are split: results are identical to the
+# unsplit queries, which is what their shared oracle checks.
+SPLIT_BUSY_CUSTOMERS = SkewSpec(threshold=15, max_buckets=4)
+
+
+def hot_key_report(spark, d):
+    return hot_keys(load(spark, d, "orders"), "o_custkey", SPLIT_BUSY_CUSTOMERS).select(
+        F.col("__hk").alias("o_custkey"), F.col("__buckets").alias("buckets"))
+
+
+def dim_lookup_salted(spark, d):
+    o = load(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return dim_lookup(o, sc.card_dim(spark, d), "o_custkey", "c_custkey", "sk", "card_sk",
+                      skew=SPLIT_BUSY_CUSTOMERS)
+
+
 # --- SCD2 ------------------------------------------------------------------------
 
 def _spec(match):
@@ -200,7 +217,7 @@ def dim_type1_upsert(spark, d):
 
 # --- fact, gates, star --------------------------------------------------------------
 
-def fact(spark, d):
+def fact(spark, d, skew=None):
     o = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     chain = [
         ChainStep(load(spark, d, "customer"), "o_custkey", "c_custkey", ("c_nationkey",)),
@@ -208,7 +225,7 @@ def fact(spark, d):
         ChainStep(load(spark, d, "region"), "n_regionkey", "r_regionkey"),
     ]
     lookups = [
-        KeyLookup(sc.card_dim(spark, d), "o_custkey", "c_custkey", "sk", "card_sk"),
+        KeyLookup(sc.card_dim(spark, d), "c_custkey", "c_custkey", "sk", "card_sk"),
         KeyLookup(sc.account_dim(spark, d), "c_nationkey", "n_nationkey", "sk", "account_sk"),
         ValidityLookup(sc.region_holder_dim(spark, d), "n_regionkey", "r_regionkey",
                        "o_orderdate", "sk", "holder_sk"),
@@ -217,7 +234,11 @@ def fact(spark, d):
     cols = [F.col("o_orderkey").alias("movement_id"), "holder_sk", "card_sk", "account_sk",
             "date_sk", F.col("o_totalprice").alias("amount"),
             F.col("o_orderdate").alias("moved_at")]
-    return build_fact(o, chain, lookups, cols, loaded_at=ts(sc.LOAD_NOW))
+    return build_fact(o, chain, lookups, cols, loaded_at=ts(sc.LOAD_NOW), skew=skew)
+
+
+def fact_salted(spark, d):
+    return fact(spark, d, skew=SPLIT_BUSY_CUSTOMERS)
 
 
 def fact_incremental(spark, d):
@@ -297,6 +318,9 @@ QUERIES: dict[str, Query] = {
     "calendar_lookup": calendar_lookup_q,
     "validity_lookup_closed": _validity("closed"),
     "validity_lookup_half_open": _validity("half_open"),
+    "hot_key_report": hot_key_report,
+    "validity_lookup_salted": _validity("closed", SPLIT_BUSY_CUSTOMERS),
+    "dim_lookup_salted": dim_lookup_salted,
     "scd2_new_any": _new_versions("any"),
     "scd2_new_active": _new_versions("current"),
     "scd2_expire": _expire("any"),
@@ -308,6 +332,7 @@ QUERIES: dict[str, Query] = {
     "surrogate_key": surrogate_key_q,
     "dim_type1_upsert": dim_type1_upsert,
     "fact_build": fact,
+    "fact_build_salted": fact_salted,
     "fact_incremental": fact_incremental,
     "dq_row_count": dq_row_count,
     "dq_pk_unique": dq_pk_unique,
