@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import (CalendarLookup, ChainStep, KeyLookup, Scd2Spec, SkewSpec,
-                               StarJoin,
-                               ValidityLookup, build_fact, calendar, gate, incremental,
+                               StarJoin, ValidityLookup, build_fact, calendar, gate, incremental,
                                key_uniqueness_report, merge, row_count_report,
                                trusted_account, trusted_card, trusted_holder,
                                trusted_movement, type1_upsert)

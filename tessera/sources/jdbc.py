@@ -13,16 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str],
               partition_column: str | None = None, num_partitions: int | None = None,
-              lower_bound=None, upper_bound=None, fetchsize: int = 10_000) -> DataFrame:
+              lower_bound=None, upper_bound=None, fetchsize: int = 10_000,
+              quote: str = '"') -> DataFrame:
+    """``quote`` wraps the column name in the bounds query (``"`` for ANSI
+    databases, a backtick for MySQL); Spark quotes it itself in the range queries."""
     props = dict(properties)
     props.setdefault("fetchsize", str(fetchsize))
     if not partition_column or not num_partitions or num_partitions <= 1:
         return spark.read.jdbc(url, table, properties=props)
     if lower_bound is None or upper_bound is None:
-        q = (f"(SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi "
-             f"FROM {table}) bounds")
+        # the exact stored name (case may differ from what the caller typed)
+        names = {c.lower(): c for c in spark.read.jdbc(url, table, properties=props).columns}
+        col = f"{quote}{names.get(partition_column.lower(), partition_column)}{quote}"
+        q = f"(SELECT MIN({col}) AS lo, MAX({col}) AS hi FROM {table}) bounds"
         row = spark.read.jdbc(url, q, properties=props).first()
-        lower_bound, upper_bound = row["LO"] if "LO" in row else row[0], row["HI"] if "HI" in row else row[1]
+        lower_bound, upper_bound = row[0], row[1]
         if lower_bound is None:  # empty table
             return spark.read.jdbc(url, table, properties=props)
     return spark.read.jdbc(url, table, column=partition_column,

@@ -32,7 +32,7 @@ class TableStore:
     def _base(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{self.prefix}{name}"
 
-    def _commits(self, name: str) -> list[tuple[int, str]] | None:
+    def _commits(self, name: str) -> list[tuple[int, str, str | None]] | None:
         """Committed (version, mode) pairs in order, or None if the table does not exist.
 
         Only a missing path counts as "does not exist"; any other error (outage,
@@ -40,7 +40,7 @@ class TableStore:
         The log holds one tiny row per load, so collecting it is bounded.
         """
         try:
-            log = self.spark.read.schema("version long, mode string").option(
+            log = self.spark.read.schema("version long, mode string, tag string").option(
                 "recursiveFileLookup", "true").json(
                 f"{self._base(name)}/_commits")
             rows = log.collect()
@@ -50,7 +50,7 @@ class TableStore:
             raise
         if not rows:
             return None
-        return sorted((int(r["version"]), r["mode"] or "overwrite") for r in rows)
+        return sorted((int(r["version"]), r["mode"] or "overwrite", r["tag"]) for r in rows)
 
     def current_version(self, name: str) -> int | None:
         c = self._commits(name)
@@ -67,9 +67,12 @@ class TableStore:
         c = self._commits(name)
         if c is None:
             raise FileNotFoundError(f"table {self.prefix}{name} has no committed version")
-        last = max(i for i, (_, m) in enumerate(c) if m == "overwrite") if any(
-            m == "overwrite" for _, m in c) else 0
-        return [self.path(name, v) for v, _ in c[last:]]
+        last = max((i for i, (_, m, _) in enumerate(c) if m == "overwrite"), default=0)
+        return [self.path(name, v) for v, _, _ in c[last:]]
+
+    def tags(self, name: str) -> set[str]:
+        """Tags of all commits (e.g. streaming epochs already applied)."""
+        return {t for _, _, t in (self._commits(name) or []) if t}
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(*self.live_paths(name))
@@ -86,18 +89,20 @@ class TableStore:
     def read_staged(self, name: str, version: int) -> DataFrame:
         return self.spark.read.parquet(self.path(name, version))
 
-    def commit(self, name: str, version: int, mode: str = "overwrite") -> None:
+    def commit(self, name: str, version: int, mode: str = "overwrite",
+               tag: str | None = None) -> None:
         """Publish a staged version: ``overwrite`` replaces the table, ``append`` adds to it."""
         if mode not in ("overwrite", "append"):
             raise ValueError("mode must be 'overwrite' or 'append'")
         (self.spark.range(1).select(F.lit(version).cast("long").alias("version"),
-                                    F.lit(mode).alias("mode"))
+                                    F.lit(mode).alias("mode"),
+                                    F.lit(tag).cast("string").alias("tag"))
          .coalesce(1).write.mode("errorifexists")
          .json(f"{self._base(name)}/_commits/c{version:08d}"))
 
     def write(self, df: DataFrame, name: str, partition_by: list[str] | None = None,
-              mode: str = "overwrite") -> int:
+              mode: str = "overwrite", tag: str | None = None) -> int:
         """Write ``df`` as the next version and commit it. Returns the version."""
         v = self.stage(df, name, partition_by)
-        self.commit(name, v, mode)
+        self.commit(name, v, mode, tag)
         return v
