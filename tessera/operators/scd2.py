@@ -76,12 +76,15 @@ def changed_rows(src: DataFrame, dim: DataFrame, spec: Scd2Spec) -> DataFrame:
 
 
 def new_versions(src: DataFrame, dim: DataFrame, spec: Scd2Spec,
-                 now: Column | None = None) -> DataFrame:
-    """Dimension-shaped rows to insert: new surrogate key, valid from ``now``, open, current."""
+                 now: Column | None = None, changed: DataFrame | None = None) -> DataFrame:
+    """Dimension-shaped rows to insert: new surrogate key, valid from ``now``, open, current.
+
+    ``changed`` may pass in a precomputed ``changed_rows(src, dim, spec)``.
+    """
     vt = (dim.schema[spec.valid_from].dataType if spec.valid_from in dim.columns
           else spec.validity_type)
     ts = _now(now, vt)
-    ch = changed_rows(src, dim, spec)
+    ch = changed_rows(src, dim, spec) if changed is None else changed
     cols = [c for c in src.columns if c != spec.sk]
     return ch.select(
         surrogate_key(F.col(spec.key), ts, modulus=spec.key_modulus).alias(spec.sk),
@@ -102,17 +105,19 @@ def expired_keys(src: DataFrame, dim: DataFrame, spec: Scd2Spec) -> DataFrame:
 
 
 def merge(src: DataFrame, dim: DataFrame, spec: Scd2Spec,
-          now: Column | None = None) -> DataFrame:
+          now: Column | None = None, changed: DataFrame | None = None) -> DataFrame:
     """Next snapshot: old versions (changed current ones closed at ``now``) + new versions.
 
     Ids missing from the source are left open; duplicate source ids are not
     deduplicated (parity). One shuffle on the natural key joins the changed ids
     back to the snapshot; the distinct on those ids is partial-aggregated first.
+    ``changed`` may pass in a precomputed ``changed_rows(src, dim, spec)``.
     """
     vt = dim.schema[spec.valid_from].dataType
     ts = _now(now, vt)
     flag = "__scd2_changed"
-    changed_ids = (changed_rows(src, dim, spec).select(spec.key).distinct()
+    ch = changed_rows(src, dim, spec) if changed is None else changed
+    changed_ids = (ch.select(spec.key).distinct()
                    .withColumn(flag, F.lit(True)))
     closing = F.col(spec.current) & F.col(flag).isNotNull()
     kept = (dim.join(changed_ids, spec.key, "left")
@@ -121,7 +126,7 @@ def merge(src: DataFrame, dim: DataFrame, spec: Scd2Spec,
                  else F.when(closing, F.lit(False)).otherwise(F.col(c)).alias(c)
                  if c == spec.current else F.col(c))
                 for c in dim.columns]))
-    inserts = new_versions(src, dim, spec, ts).select(*dim.columns)
+    inserts = new_versions(src, dim, spec, ts, changed=ch).select(*dim.columns)
     return kept.unionByName(inserts)
 
 

@@ -93,7 +93,9 @@ def build_fact(movements: DataFrame, chain: list[ChainStep], lookups: list,
             df = validity_lookup(df, lk.dim, lk.fact_key, lk.dim_key, lk.ts, lk.sk,
                                  lk.out, lk.valid_from, lk.valid_to, lk.upper, skew=skew)
         elif isinstance(lk, CalendarLookup):
-            df = calendar_lookup(df, lk.calendar, lk.ts, lk.out, skew=skew)
+            # One row per day: always under the broadcast size check, so a busy
+            # day never concentrates in one task and needs no salting.
+            df = calendar_lookup(df, lk.calendar, lk.ts, lk.out)
         else:
             raise TypeError(f"unknown lookup {lk!r}")
     ts = F.current_timestamp() if loaded_at is None else loaded_at

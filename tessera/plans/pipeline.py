@@ -19,12 +19,14 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import (CalendarLookup, ChainStep, KeyLookup, Scd2Spec, SkewSpec,
-                               StarJoin, ValidityLookup, build_fact, calendar, gate, incremental,
+                               StarJoin, ValidityLookup, build_fact, calendar, changed_rows,
+                               gate, incremental,
                                key_uniqueness_report, merge, row_count_report,
                                trusted_account, trusted_card, trusted_holder,
                                trusted_movement, type1_upsert)
@@ -115,7 +117,18 @@ def stage_dimensions(spark: SparkSession, cfg: PipelineConfig) -> dict:
     else:
         from tessera.operators import empty_dimension
         dim = empty_dimension(spark, src.schema, spec)
-    out = {"holder": wh.write(merge(src, dim, spec, _now(cfg)), "holder")}
+    # Emptiness check first (a limit-1 job): an unchanged dimension is not
+    # rewritten. The delta is persisted (spilling to disk) so the merge reuses
+    # it; a lost executor only recomputes its partitions from lineage.
+    changed = changed_rows(src, dim, spec).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if changed.isEmpty() and wh.exists("holder"):
+            out = {"holder": wh.current_version("holder")}
+        else:
+            out = {"holder": wh.write(merge(src, dim, spec, _now(cfg), changed=changed),
+                                      "holder")}
+    finally:
+        changed.unpersist()
     card = tr.read("card").select("card_id", "card_number", "printed_name", "brand",
                                   "card_type", "issued_on")
     out["card"] = _type1(spark, wh, "card", card, "card_id", cfg)

@@ -23,7 +23,7 @@ from tessera.operators import (CalendarLookup, ChainStep, KeyLookup, SkewSpec, S
 from tessera.plans import scenarios as sc
 from tessera.plans.scenarios import load, ts
 from tessera.session import scratch_dir
-from tessera.sources import TableStore, copy_tables, export_csv, read_csv
+from tessera.sources import TableStore, copy_tables, export_csv, read_csv, register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -288,6 +288,27 @@ def sample_rows(spark, d):
     return star_flatten(spark, d).orderBy("movement_id", "holder_name").limit(5)
 
 
+def star_flatten_sql(spark, d):
+    """The star flatten as Spark SQL text over temp views registered from a
+    {table: view} map, with a CTE and mixed-case column references (resolution
+    is case-insensitive by default)."""
+    frames = {"fact": fact(spark, d), "holder": sc.region_holder_dim(spark, d),
+              "card": sc.card_dim(spark, d), "account": sc.account_dim(spark, d)}
+    register_views(frames.__getitem__, {"fact": "tessera_fact", "holder": "tessera_dim_holder",
+                                        "card": "tessera_dim_card",
+                                        "account": "tessera_dim_account"})
+    return spark.sql("""
+        WITH f AS (SELECT movement_id, Holder_SK, card_sk, ACCOUNT_SK, amount, moved_at
+                   FROM tessera_fact)
+        SELECT f.movement_id, f.amount, f.moved_at, h.r_name AS holder_name,
+               c.c_name AS card_name, c.c_mktsegment AS card_segment,
+               a.n_name AS account_name
+        FROM f
+        INNER JOIN tessera_dim_holder AS h ON f.holder_sk = h.SK
+        INNER JOIN tessera_dim_card AS c ON f.Card_Sk = c.sk
+        INNER JOIN tessera_dim_account AS a ON f.account_sk = a.Sk""")
+
+
 FLAT_SCHEMA = T.StructType([
     T.StructField("movement_id", T.LongType()), T.StructField("amount", T.DoubleType()),
     T.StructField("moved_at", T.TimestampNTZType()), T.StructField("holder_name", T.StringType()),
@@ -341,6 +362,7 @@ QUERIES: dict[str, Query] = {
     "dq_null_keys": dq_null_keys,
     "star_flatten": star_flatten,
     "star_flatten_left": _star("left"),
+    "star_flatten_sql": star_flatten_sql,
     "sample_rows": sample_rows,
     "csv_roundtrip": csv_roundtrip,
 }

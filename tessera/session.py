@@ -37,6 +37,7 @@ def build_session(master: str | None = None, app: str = "tessera",
     conf = dict(_REQUIRED)
     conf.update({
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": os.environ.get("TESSERA_DRIVER_MEMORY", "8g"),
     })

@@ -16,3 +16,17 @@ def copy_tables(read: Callable[[str], DataFrame], target: TableStore,
     ``target.prefix`` (e.g. ``raw_``) names the layer. Returns table -> version.
     """
     return {t: target.write(read(t), t) for t in tables}
+
+
+def register_views(read: Callable[[str], DataFrame], views: dict[str, str]) -> dict[str, DataFrame]:
+    """Read each table and register it as a temp view: ``{table: view_name}``.
+
+    Lets SQL text (CTEs, ``NOT EXISTS``) refer to tables by name; Catalyst plans
+    it exactly like the DataFrame form.
+    """
+    out = {}
+    for table, view in views.items():
+        df = read(table)
+        df.createOrReplaceTempView(view)
+        out[view] = df
+    return out
