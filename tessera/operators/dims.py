@@ -50,15 +50,22 @@ def type1_upsert(trusted: DataFrame, dim: DataFrame, key: str, sk: str = "sk",
     Ids in both keep their old surrogate key with fresh attributes; new ids get
     ``surrogate_key(id, now)``; ids gone from the source stay as they were.
     ``new_flag`` names an optional boolean column marking newly keyed rows.
-    Two joins on the natural key; the dimension side is pruned to (key, sk).
+    One full outer join on the natural key (each side shuffled once); a
+    duplicated dimension key fans out exactly as a left join would.
     """
     ts = F.current_timestamp() if now is None else now
     cols = [c for c in dim.columns if c != sk]
-    old = "__t1_old_sk"
-    keyed = trusted.join(dim.select(F.col(key), F.col(sk).alias(old)), key, "left")
-    upd = keyed.select(
-        F.coalesce(F.col(old), surrogate_key(F.col(key), ts, modulus=modulus)).alias(sk),
-        *cols, *([F.col(old).isNull().alias(new_flag)] if new_flag else []))
-    gone = dim.join(trusted.select(key), key, "left_anti").select(
-        sk, *cols, *([F.lit(False).alias(new_flag)] if new_flag else []))
-    return upd.unionByName(gone)
+    t = trusted.select(F.lit(True).alias("__t1_in_src"), *[F.col(c) for c in cols])
+    d = dim.select(F.col(key).alias("__t1_dkey"), F.col(sk).alias("__t1_old_sk"),
+                   *[F.col(c).alias(f"__t1_d_{c}") for c in cols if c != key])
+    j = t.join(d, t[key] == d["__t1_dkey"], "full_outer")
+    in_src = F.col("__t1_in_src").isNotNull()
+    out = [F.when(in_src, F.coalesce(F.col("__t1_old_sk"),
+                                     surrogate_key(F.col(key), ts, modulus=modulus)))
+            .otherwise(F.col("__t1_old_sk")).alias(sk)]
+    for c in cols:
+        dc = "__t1_dkey" if c == key else f"__t1_d_{c}"
+        out.append(F.when(in_src, F.col(c)).otherwise(F.col(dc)).alias(c))
+    if new_flag:
+        out.append((in_src & F.col("__t1_old_sk").isNull()).alias(new_flag))
+    return j.select(*out)

@@ -35,8 +35,19 @@ def ts(s: str) -> Column:
     return F.lit(s).cast("timestamp_ntz")
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read a test table; its schema is inferred once per path, then passed in
+    (skips re-reading the parquet footer on every query build)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 HOLDER_SPEC = Scd2Spec(key="c_custkey", tracked=("c_mktsegment", "c_nationkey"),

@@ -66,3 +66,20 @@ def test_calendar_and_lookup(spark):
                                  "m int, ts timestamp")
     out = calendar_lookup(fact, cal, "ts")
     assert sorted((r.m, r.date_sk) for r in out.collect()) == [(1, 20240101), (2, None)]
+
+
+def test_type1_upsert(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators import type1_upsert
+    dim = spark.createDataFrame([(1, "a", "old"), (2, "gone", "x"), (3, "dup", "p"),
+                                 (4, "dup", "q"), (5, None, "nullkey")],
+                                "sk long, id string, attr string")
+    src = spark.createDataFrame([("a", "new"), ("dup", "r"), ("fresh", "f"), (None, "n")],
+                                "id string, attr string")
+    out = type1_upsert(src, dim, "id", now=F.lit("2025-01-01").cast("timestamp"),
+                       new_flag="is_new").collect()
+    got = sorted((r.id or "", r.attr, r.sk if not r.is_new else "new") for r in out)
+    assert got == sorted([("a", "new", 1), ("gone", "x", 2), ("dup", "r", 3), ("dup", "r", 4),
+                          ("", "nullkey", 5), ("fresh", "f", "new"), ("", "n", "new")])
+    assert all(r.sk is not None and r.sk >= 0 for r in out)
