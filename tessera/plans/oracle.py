@@ -231,6 +231,18 @@ FROM fact""",
     "sample_rows": _star("INNER") + "\nORDER BY movement_id, holder_name LIMIT 5",
     "csv_roundtrip": _star("INNER"),
 }
+ORACLE["card_pipeline"] = """
+SELECT {0}, {1}, CAST(NULL AS BIGINT) AS age, CAST(o_totalprice AS DECIMAL(10,2)) AS amount,
+       o_orderkey AS movement_id, o_orderdate AS moved_at,
+       CAST(c_custkey AS VARCHAR) AS card_number, {2} AS printed_name,
+       CAST(NULL AS DATE) AS card_issued_on, {3} AS account_type,
+       CAST(NULL AS DATE) AS account_opened_on
+FROM (SELECT o.*, c.*, n.*, string_split({4}, ' ') AS parts
+      FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+      JOIN nation n ON c.c_nationkey = n.n_nationkey
+      JOIN region r ON n.n_regionkey = r.r_regionkey) t""".format(
+    *_split("r_name", "parts", "first_name", "last_name"), _norm("c_name"), _norm("n_name"),
+    _norm("r_name"))
 # Hot-key split variants return exactly what the unsplit queries return.
 ORACLE["validity_lookup_salted"] = ORACLE["validity_lookup_closed"]
 ORACLE["dim_lookup_salted"] = ORACLE["dim_lookup_left"]

@@ -179,12 +179,12 @@ def stage_fact(spark: SparkSession, cfg: PipelineConfig) -> dict:
         built = incremental(existing, built, "movement_id")
         source = source.join(existing.select("movement_id"), "movement_id", "left_anti")
         mode = "append"
-    v = ft.stage(built, "movement")
-    staged = ft.read_staged("movement", v)
-    report = gate(row_count=row_count_report(source, staged),
-                  unique_movement=key_uniqueness_report(staged, "movement_id"))
-    ft.commit("movement", v, mode)
-    return {"version": v, "mode": mode, "checks": report}
+    staged = ft.stage(built, "movement")
+    written = ft.read_staged(staged)
+    report = gate(row_count=row_count_report(source, written),
+                  unique_movement=key_uniqueness_report(written, "movement_id"))
+    ft.commit(staged, mode)
+    return {"version": staged.version, "mode": mode, "checks": report}
 
 
 def flat_frame(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:

@@ -323,6 +323,48 @@ def csv_roundtrip(spark, d):
     return read_csv(spark, path, FLAT_SCHEMA)
 
 
+def card_source(spark, d):
+    """The test tables in the card pipeline's raw input contract."""
+    null_date = F.lit(None).cast("date")
+    null_text = F.lit(None).cast("string")
+    frames = {
+        "holder": load(spark, d, "region").select(
+            F.col("r_regionkey").alias("holder_id"), F.col("r_name").alias("full_name"),
+            null_date.alias("birth_date"), null_text.alias("marital_status"),
+            null_text.alias("education")),
+        "account": load(spark, d, "nation").select(
+            F.col("n_nationkey").alias("account_id"), F.col("n_regionkey").alias("holder_id"),
+            F.col("n_name").alias("account_type"), null_text.alias("branch"),
+            null_text.alias("status"), null_date.alias("opened_on")),
+        "card": load(spark, d, "customer").select(
+            F.col("c_custkey").alias("card_id"), F.col("c_nationkey").alias("account_id"),
+            F.col("c_custkey").cast("string").alias("card_number"),
+            F.col("c_name").alias("printed_name"), F.col("c_mktsegment").alias("brand"),
+            null_text.alias("card_type"), null_date.alias("issued_on")),
+        "movement": load(spark, d, "orders").select(
+            F.col("o_orderkey").alias("movement_id"), F.col("o_custkey").alias("card_id"),
+            F.col("o_orderpriority").alias("description"),
+            F.col("o_totalprice").cast("decimal(10,2)").alias("amount"),
+            F.col("o_orderdate").alias("moved_at")),
+    }
+    return frames.__getitem__
+
+
+def card_pipeline(spark, d):
+    """The whole card preset (raw, trusted, dimensions, fact with its gate, CSV
+    export) over the test tables; returns the flat rows from the published tables.
+    Holder versions open at PIPELINE_NOW, before every order."""
+    import datetime as dt
+
+    from tessera.plans.pipeline import PipelineConfig, flat_frame, run
+    root = scratch_dir(spark, "card-wh")
+    cfg = PipelineConfig(read_source=card_source(spark, d), warehouse_root=root,
+                         export_path=f"{root}/flat", as_of=dt.date.fromisoformat(sc.AS_OF_DATE),
+                         now=dt.datetime.fromisoformat(sc.PIPELINE_NOW))
+    run(spark, cfg)
+    return flat_frame(spark, cfg)
+
+
 QUERIES: dict[str, Query] = {
     "raw_copy": raw_copy,
     "project_rename": project_rename,
@@ -365,4 +407,5 @@ QUERIES: dict[str, Query] = {
     "star_flatten_sql": star_flatten_sql,
     "sample_rows": sample_rows,
     "csv_roundtrip": csv_roundtrip,
+    "card_pipeline": card_pipeline,
 }

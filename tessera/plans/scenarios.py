@@ -22,6 +22,7 @@ LOOKUP_VERSION_FROM = "1995-06-01 00:00:00"  # validity dims start here: earlier
 SPLIT_AT = "1998-01-01 00:00:00"       # boundary shared by two versions
 LOAD_NOW = "2002-01-01 00:00:00"       # the merge / fact load time
 AS_OF_DATE = "2002-01-01"              # reference date for ages
+PIPELINE_NOW = "1990-01-01 00:00:00"   # load time of the card-pipeline query
 ACTIVE_FROM = "2001-01-01 00:00:00"    # customers still active in the type-1 source
 INCREMENTAL_CUT = "2000-01-01 00:00:00"  # facts before this are already loaded
 RICH_BALANCE = 9000.0                  # customers at or above had a former 'OLD' segment

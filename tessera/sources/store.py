@@ -1,23 +1,34 @@
 """Parquet table store with immutable snapshots.
 
 Parquet cannot be overwritten while it is being read (the SCD2 merge reads the
-dimension it replaces), so each write goes to a new version folder
-``<root>/<table>/v<N>/`` and is then committed by writing a one-row marker
-``<root>/<table>/_commits/c<N>/``. Readers take the highest committed version.
-A job that dies mid-write leaves an uncommitted folder nobody reads; rerunning
-writes the next version. The root should be a shared folder (object store /
-HDFS) on a cluster.
+dimension it replaces), so each write goes to a fresh folder
+``<root>/<table>/v<N>-<id>/`` and is then committed by writing a one-row marker
+``<root>/<table>/_commits/c<N>/`` that names the folder. Readers follow the
+markers. A job that dies mid-write, or a load a quality gate rejects, leaves an
+unreferenced folder nobody reads; the next run stages into a new folder. Two
+writers committing the same version collide on the marker folder and the second
+fails instead of silently overwriting. The root should be a shared folder
+(object store / HDFS) on a cluster.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+@dataclass(frozen=True)
+class Staged:
+    """A written, not yet committed version."""
+    name: str
+    version: int
+    path: str
+
+
 def _missing_path(e: AnalysisException) -> bool:
     cls = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
     return (cls() if cls else "") == "PATH_NOT_FOUND" or "Path does not exist" in str(e)
@@ -25,22 +36,36 @@ def _missing_path(e: AnalysisException) -> bool:
 
 @dataclass
 class TableStore:
+    """Snapshot store under ``root``; ``prefix`` names the layer (``raw_``, ``dim_``...).
+
+    The commit log of a table is read once per store instance and refreshed
+    after this instance commits, so one stage sees one consistent snapshot of
+    each table; ``refresh()`` (or a new instance) sees other writers' later commits.
+    """
     spark: SparkSession
     root: str
     prefix: str = ""
+    _log: dict = field(default_factory=dict, init=False, repr=False)
 
     def _base(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{self.prefix}{name}"
 
-    def _commits(self, name: str) -> list[tuple[int, str, str | None]] | None:
-        """Committed (version, mode) pairs in order, or None if the table does not exist.
+    def _commits(self, name: str) -> list[tuple[int, str, str | None, str]] | None:
+        """Committed (version, mode, tag, path) in order, or None if the table does not exist.
 
         Only a missing path counts as "does not exist"; any other error (outage,
         permissions) propagates instead of being mistaken for a first load.
         The log holds one tiny row per load, so collecting it is bounded.
         """
+        if name in self._log:
+            return self._log[name]
+        self._log[name] = self._read_log(name)
+        return self._log[name]
+
+    def _read_log(self, name: str) -> list[tuple[int, str, str | None, str]] | None:
         try:
-            log = self.spark.read.schema("version long, mode string, tag string").option(
+            log = self.spark.read.schema(
+                "version long, mode string, tag string, path string").option(
                 "recursiveFileLookup", "true").json(
                 f"{self._base(name)}/_commits")
             rows = log.collect()
@@ -50,7 +75,15 @@ class TableStore:
             raise
         if not rows:
             return None
-        return sorted((int(r["version"]), r["mode"] or "overwrite", r["tag"]) for r in rows)
+        return sorted((int(r["version"]), r["mode"] or "overwrite", r["tag"], r["path"])
+                      for r in rows)
+
+    def refresh(self, name: str | None = None) -> None:
+        """Forget cached commit logs so the next access sees other writers' commits."""
+        if name is None:
+            self._log.clear()
+        else:
+            self._log.pop(name, None)
 
     def current_version(self, name: str) -> int | None:
         c = self._commits(name)
@@ -59,50 +92,50 @@ class TableStore:
     def exists(self, name: str) -> bool:
         return self.current_version(name) is not None
 
-    def path(self, name: str, version: int) -> str:
-        return f"{self._base(name)}/v{version:08d}"
 
     def live_paths(self, name: str) -> list[str]:
         """Folders that make up the table: the last overwrite and the appends after it."""
         c = self._commits(name)
         if c is None:
             raise FileNotFoundError(f"table {self.prefix}{name} has no committed version")
-        last = max((i for i, (_, m, _) in enumerate(c) if m == "overwrite"), default=0)
-        return [self.path(name, v) for v, _, _ in c[last:]]
+        last = max((i for i, (_, m, _, _) in enumerate(c) if m == "overwrite"), default=0)
+        return [p for _, _, _, p in c[last:]]
 
     def tags(self, name: str) -> set[str]:
         """Tags of all commits (e.g. streaming epochs already applied)."""
-        return {t for _, _, t in (self._commits(name) or []) if t}
+        return {t for _, _, t, _ in (self._commits(name) or []) if t}
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(*self.live_paths(name))
 
-    def stage(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> int:
+    def stage(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> Staged:
         """Write ``df`` as the next version without committing it (write-audit-publish)."""
         v = (self.current_version(name) or 0) + 1
+        path = f"{self._base(name)}/v{v:08d}-{uuid.uuid4().hex[:12]}"
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(self.path(name, v))
-        return v
+        w.parquet(path)
+        return Staged(name, v, path)
 
-    def read_staged(self, name: str, version: int) -> DataFrame:
-        return self.spark.read.parquet(self.path(name, version))
+    def read_staged(self, staged: Staged) -> DataFrame:
+        return self.spark.read.parquet(staged.path)
 
-    def commit(self, name: str, version: int, mode: str = "overwrite",
-               tag: str | None = None) -> None:
+    def commit(self, staged: Staged, mode: str = "overwrite", tag: str | None = None) -> None:
         """Publish a staged version: ``overwrite`` replaces the table, ``append`` adds to it."""
         if mode not in ("overwrite", "append"):
             raise ValueError("mode must be 'overwrite' or 'append'")
-        (self.spark.range(1).select(F.lit(version).cast("long").alias("version"),
+        (self.spark.range(1).select(F.lit(staged.version).cast("long").alias("version"),
                                     F.lit(mode).alias("mode"),
-                                    F.lit(tag).cast("string").alias("tag"))
+                                    F.lit(tag).cast("string").alias("tag"),
+                                    F.lit(staged.path).alias("path"))
          .coalesce(1).write.mode("errorifexists")
-         .json(f"{self._base(name)}/_commits/c{version:08d}"))
+         .json(f"{self._base(staged.name)}/_commits/c{staged.version:08d}"))
+        self._log.pop(staged.name, None)
 
     def write(self, df: DataFrame, name: str, partition_by: list[str] | None = None,
               mode: str = "overwrite", tag: str | None = None) -> int:
         """Write ``df`` as the next version and commit it. Returns the version."""
-        v = self.stage(df, name, partition_by)
-        self.commit(name, v, mode, tag)
-        return v
+        staged = self.stage(df, name, partition_by)
+        self.commit(staged, mode, tag)
+        return staged.version

@@ -117,6 +117,7 @@ def test_pipeline_runs(spark, tmp_path, tables):
     assert dim.where("holder_id = 'H1'").count() == 1
     # H3's NULL marital status became '' in the trusted layer, so it matches: no new version
     assert dim.where("holder_id = 'H3'").count() == 1
+    facts.refresh()
     sks = {r.movement_id: r.holder_sk for r in facts.read("movement").collect()}
     cur = {r.sk for r in dim.where("holder_id = 'H2'").collect() if r.is_current}
     assert sks["M6"] in cur and sks["M3"] not in cur and sks["M3"] is not None
@@ -129,4 +130,11 @@ def test_pipeline_runs(spark, tmp_path, tables):
     with pytest.raises(QualityError) as e:
         run(spark, cfg_for(spark, tmp_path, tables, TS(2025, 9, 3)))
     assert {f["check"] for f in e.value.failures} == {"row_count", "unique_movement"}
+    facts.refresh()
     assert facts.current_version("movement") == published
+
+    # 5. the corrected source loads: the rejected staged folder does not get in the way
+    del tables["movement"][-2:]
+    run(spark, cfg_for(spark, tmp_path, tables, TS(2025, 9, 4)), stages=["raw", "trusted", "fact"])
+    facts.refresh()
+    assert facts.current_version("movement") == published + 1
