@@ -59,9 +59,11 @@ class PipelineConfig:
     single_file: bool = False
     holder_tracked: tuple[str, ...] = field(
         default=("marital_status", "education", "age"))
-    # Split cards / holders / days carrying more rows than this across tasks
+    # Split cards / holders carrying more rows than this across tasks
     # (None: rely on AQE's skew-join handling only).
     skew: SkewSpec | None = field(default_factory=SkewSpec)
+    # Folder partitioning of the published fact (date filters prune folders).
+    fact_partition_by: tuple[str, ...] = ("date_sk",)
 
 
 def _as_of(cfg: PipelineConfig) -> Column | None:
@@ -179,7 +181,13 @@ def stage_fact(spark: SparkSession, cfg: PipelineConfig) -> dict:
         built = incremental(existing, built, "movement_id")
         source = source.join(existing.select("movement_id"), "movement_id", "left_anti")
         mode = "append"
-    staged = ft.stage(built, "movement")
+    part = list(cfg.fact_partition_by) or None
+    if part:
+        # Rebalance on the partition columns: AQE splits a busy day over several
+        # writer tasks and merges quiet ones, so neither one task per day nor one
+        # file per day per task.
+        built = built.hint("rebalance", *part)
+    staged = ft.stage(built, "movement", partition_by=part)
     written = ft.read_staged(staged)
     report = gate(row_count=row_count_report(source, written),
                   unique_movement=key_uniqueness_report(written, "movement_id"))

@@ -106,7 +106,13 @@ class TableStore:
         return {t for _, _, t, _ in (self._commits(name) or []) if t}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(*self.live_paths(name))
+        """The table: each live folder is read on its own (each may carry its own
+        partition folders) and the appends are unioned by column name."""
+        frames = [self.spark.read.parquet(p) for p in self.live_paths(name)]
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
 
     def stage(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> Staged:
         """Write ``df`` as the next version without committing it (write-audit-publish)."""
