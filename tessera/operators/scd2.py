@@ -109,8 +109,10 @@ def merge(src: DataFrame, dim: DataFrame, spec: Scd2Spec,
     """Next snapshot: old versions (changed current ones closed at ``now``) + new versions.
 
     Ids missing from the source are left open; duplicate source ids are not
-    deduplicated (parity). One shuffle on the natural key joins the changed ids
-    back to the snapshot; the distinct on those ids is partial-aggregated first.
+    deduplicated (parity). The changed ids (partial-aggregated distinct) are
+    joined back to the snapshot on the natural key; for the usual small daily
+    delta AQE turns that into a broadcast join at run time, so the snapshot is
+    scanned, not shuffled; a mass change falls back to a sort-merge join.
     ``changed`` may pass in a precomputed ``changed_rows(src, dim, spec)``.
     """
     vt = dim.schema[spec.valid_from].dataType

@@ -112,12 +112,14 @@ class StarJoin:
 
 
 def flatten(fact: DataFrame, joins: list[StarJoin], fact_columns: dict[str, str],
-            how: str = "inner", order: list[str] | None = None) -> DataFrame:
+            how: str = "inner", order: list[str] | None = None,
+            skew: SkewSpec | None = None) -> DataFrame:
     """Fact joined to its dimensions on surrogate keys, renamed to a flat layout.
 
     ``how='inner'`` (parity) silently drops fact rows with a NULL or unknown key;
     ``null_key_report`` counts them, ``how='left'`` keeps them.
-    Each dimension is pruned to its key plus exported columns before the join.
+    Each dimension is pruned to its key plus exported columns before the join;
+    ``skew`` splits hot surrogate keys (a holder with a third of the movements).
     """
     df = fact.select(*[F.col(c).alias(c) for c in
                        dict.fromkeys(list(fact_columns) + [j.fact_sk for j in joins])])
@@ -126,7 +128,10 @@ def flatten(fact: DataFrame, joins: list[StarJoin], fact_columns: dict[str, str]
         k = f"__star_k{i}"
         right = j.dim.select(F.col(j.dim_sk).alias(k),
                              *[F.col(c).alias(a) for c, a in j.columns.items()])
-        df = df.join(right, df[j.fact_sk] == right[k], how).drop(k)
+        if skew is not None:
+            df = salted_join(df, right, j.fact_sk, k, skew, how).drop(k)
+        else:
+            df = df.join(right, df[j.fact_sk] == right[k], how).drop(k)
         out += [F.col(a) for a in j.columns.values()]
     res = df.select(*out)
     if order:

@@ -248,3 +248,4 @@ ORACLE["validity_lookup_salted"] = ORACLE["validity_lookup_closed"]
 ORACLE["dim_lookup_salted"] = ORACLE["dim_lookup_left"]
 ORACLE["fact_build_salted"] = ORACLE["fact_build"]
 ORACLE["star_flatten_sql"] = ORACLE["star_flatten"]
+ORACLE["star_flatten_salted"] = ORACLE["star_flatten"]

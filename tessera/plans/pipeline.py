@@ -210,7 +210,7 @@ def flat_frame(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     ]
     return flatten(ft.read("movement"), joins,
                    {"amount": "amount", "movement_id": "movement_id", "moved_at": "moved_at"},
-                   how=cfg.flatten_how, order=FLAT_COLUMNS)
+                   how=cfg.flatten_how, order=FLAT_COLUMNS, skew=cfg.skew)
 
 
 def stage_export(spark: SparkSession, cfg: PipelineConfig) -> dict:

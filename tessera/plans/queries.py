@@ -153,6 +153,10 @@ def _validity(upper, skew=None):
 SPLIT_BUSY_CUSTOMERS = SkewSpec(threshold=15, max_buckets=4)
 
 
+# Regions hold a fifth of all orders each: every holder key is hot at this threshold.
+SPLIT_BUSY_HOLDERS = SkewSpec(threshold=1000, max_buckets=16)
+
+
 def hot_key_report(spark, d):
     return hot_keys(load(spark, d, "orders"), "o_custkey", SPLIT_BUSY_CUSTOMERS).select(
         F.col("__hk").alias("o_custkey"), F.col("__buckets").alias("buckets"))
@@ -267,7 +271,7 @@ def dq_null_keys(spark, d):
     return null_key_report(fact(spark, d), ["holder_sk", "card_sk", "account_sk", "date_sk"])
 
 
-def _star(how):
+def _star(how, skew=None):
     def q(spark, d):
         joins = [
             StarJoin(sc.region_holder_dim(spark, d), "holder_sk", "sk", {"r_name": "holder_name"}),
@@ -277,7 +281,7 @@ def _star(how):
         ]
         return flatten(fact(spark, d), joins,
                        {"movement_id": "movement_id", "amount": "amount", "moved_at": "moved_at"},
-                       how=how)
+                       how=how, skew=skew)
     return q
 
 
@@ -404,6 +408,7 @@ QUERIES: dict[str, Query] = {
     "dq_null_keys": dq_null_keys,
     "star_flatten": star_flatten,
     "star_flatten_left": _star("left"),
+    "star_flatten_salted": _star("inner", SPLIT_BUSY_HOLDERS),
     "star_flatten_sql": star_flatten_sql,
     "sample_rows": sample_rows,
     "csv_roundtrip": csv_roundtrip,
