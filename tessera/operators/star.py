@@ -139,9 +139,18 @@ def flatten(fact: DataFrame, joins: list[StarJoin], fact_columns: dict[str, str]
     return res
 
 
-def incremental(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+def incremental(existing: DataFrame, batch: DataFrame, key: str,
+                prune_on: str | None = None) -> DataFrame:
     """Rows of ``batch`` whose ``key`` is not yet in ``existing``: what an append may add.
 
-    A left anti join; only the key column of the existing fact is read.
+    A left anti join; only the key column of the existing fact is read. With
+    ``prune_on`` (a partition column of the existing fact, e.g. its date key)
+    the existing side is first restricted to the values the batch carries, which
+    lets Spark prune whole partition folders at run time (dynamic partition
+    pruning) instead of shuffling every key ever loaded. That is exact only when
+    a key never arrives again under a different ``prune_on`` value.
     """
-    return batch.join(existing.select(key), key, "left_anti")
+    old = existing.select(key, prune_on) if prune_on else existing.select(key)
+    if prune_on:
+        old = old.join(batch.select(prune_on).distinct(), prune_on, "left_semi")
+    return batch.join(old.select(key), key, "left_anti")

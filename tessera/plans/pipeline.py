@@ -55,6 +55,7 @@ class PipelineConfig:
     validity_upper: str = "closed"            # "half_open" avoids double matches on boundaries
     key_modulus: int | None = None            # 10**10 for the short key form
     fact_mode: str = "full"                   # or "incremental": append unseen movement ids
+    incremental_prune_on: str | None = None   # e.g. "date_sk": compare only touched partitions
     flatten_how: str = "inner"
     single_file: bool = False
     holder_tracked: tuple[str, ...] = field(
@@ -178,7 +179,7 @@ def stage_fact(spark: SparkSession, cfg: PipelineConfig) -> dict:
     source = tr.read("movement")
     if cfg.fact_mode == "incremental" and ft.exists("movement"):
         existing = ft.read("movement")
-        built = incremental(existing, built, "movement_id")
+        built = incremental(existing, built, "movement_id", prune_on=cfg.incremental_prune_on)
         source = source.join(existing.select("movement_id"), "movement_id", "left_anti")
         mode = "append"
     part = list(cfg.fact_partition_by) or None

@@ -46,3 +46,12 @@ def test_incremental_only_unseen(spark):
     old = spark.createDataFrame([(1, "a")], "m int, v string")
     new = spark.createDataFrame([(1, "a2"), (2, "b")], "m int, v string")
     assert [tuple(r) for r in incremental(old, new, "m").collect()] == [(2, "b")]
+
+
+def test_incremental_pruned_by_partition_value(spark):
+    old = spark.createDataFrame([(1, 10), (2, 11)], "m int, d int")
+    new = spark.createDataFrame([(1, 10), (3, 12), (2, 12)], "m int, d int")
+    # exact: 2 is already loaded (on day 11)
+    assert sorted(r.m for r in incremental(old, new, "m").collect()) == [3]
+    # pruned to the batch's days: 2 re-sent under another day is not seen
+    assert sorted(r.m for r in incremental(old, new, "m", prune_on="d").collect()) == [2, 3]
