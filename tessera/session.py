@@ -58,7 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint dir; set a local one only if none is set.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that one is
-    always used. Only an unconfigured (test / local) session gets a temp folder.
+    always used. Only an unconfigured local-mode session (tests, bench) gets a
+    temp folder; an unconfigured cluster session is an error, because a
+    machine-local folder is not visible to other executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,6 +68,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object "
+                               "store) for scratch tables on a cluster")
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
