@@ -10,7 +10,8 @@ from tessera.operators.quality import (QualityError, duplicate_keys, gate,
                                        row_count_report)
 from tessera.operators.star import (CalendarLookup, KeyLookup, StarJoin, ValidityLookup,
                                     build_fact, flatten, incremental)
-from tessera.operators.skew import SkewSpec, hot_keys, salted_join
+from tessera.operators.skew import (SkewSpec, hot_from_counts, hot_keys, key_counts,
+                                    rollup_counts, salted_join)
 from tessera.operators.layers import (clean, trusted_account, trusted_card,
                                       trusted_holder, trusted_movement)
 

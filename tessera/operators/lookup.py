@@ -51,7 +51,7 @@ def lookup_chain(base: DataFrame, steps: list[ChainStep]) -> DataFrame:
 
 def dim_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                sk: str, out: str, how: str = "left",
-               skew: SkewSpec | None = None) -> DataFrame:
+               skew: SkewSpec | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Attach ``dim.sk`` as ``out`` by equality of the natural key.
 
     ``how='left'``: a miss keeps the fact row with a NULL key. Duplicate dimension
@@ -60,7 +60,7 @@ def dim_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     k = "__lk_key"
     right = dim.select(F.col(dim_key).alias(k), F.col(sk).alias(out))
     if skew is not None:
-        return salted_join(fact, right, fact_key, k, skew, how).drop(k)
+        return salted_join(fact, right, fact_key, k, skew, how, hot=hot).drop(k)
     return fact.join(right, fact[fact_key] == right[k], how).drop(k)
 
 
@@ -83,7 +83,8 @@ def validity_condition(ts: Column, valid_from: Column, valid_to: Column,
 def validity_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                     ts: str, sk: str, out: str, valid_from: str = "valid_from",
                     valid_to: str = "valid_to", upper: str = "closed",
-                    how: str = "left", skew: SkewSpec | None = None) -> DataFrame:
+                    how: str = "left", skew: SkewSpec | None = None,
+                    hot: DataFrame | None = None) -> DataFrame:
     """Point-in-validity join: the version of ``fact_key`` valid at ``fact.ts``.
 
     An equi-join on the natural key with the range as a residual predicate, so
@@ -96,7 +97,7 @@ def validity_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str
                        F.col(valid_to).alias(t), F.col(sk).alias(out))
     if skew is not None:
         rng = validity_condition(F.col(ts), F.col(f), F.col(t), upper)
-        return salted_join(fact, right, fact_key, k, skew, how, rng).drop(k, f, t)
+        return salted_join(fact, right, fact_key, k, skew, how, rng, hot=hot).drop(k, f, t)
     cond = (fact[fact_key] == right[k]) & validity_condition(
         fact[ts], right[f], right[t], upper)
     return fact.join(right, cond, how).drop(k, f, t)

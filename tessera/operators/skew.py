@@ -36,24 +36,48 @@ SALT = "__salt"
 BUCKETS = "__buckets"
 
 
-def hot_keys(df: DataFrame, key: str, spec: SkewSpec) -> DataFrame:
-    """``(key, __buckets)`` for keys with more than ``spec.threshold`` rows."""
-    counts = df.groupBy(F.col(key).alias("__hk")).agg(F.count(F.lit(1)).alias("__n"))
+def key_counts(df: DataFrame, key: str) -> DataFrame:
+    """``(__hk, __n)``: rows per key, a partial (map-side) aggregate then a merge."""
+    return df.groupBy(F.col(key).alias("__hk")).agg(F.count(F.lit(1)).alias("__n"))
+
+
+def rollup_counts(counts: DataFrame, mapping: DataFrame, from_key: str,
+                  to_key: str) -> DataFrame:
+    """Re-key counts through a (dimension-sized) mapping ``from_key -> to_key``.
+
+    Rows per holder = sum over its cards of rows per card: the big side is
+    counted once, per card, and only the small per-card counts travel.
+    """
+    m = mapping.select(F.col(from_key).alias("__from"), F.col(to_key).alias("__to"))
+    return (counts.join(m, counts["__hk"] == m["__from"], "inner")
+            .groupBy(F.col("__to").alias("__hk")).agg(F.sum("__n").alias("__n")))
+
+
+def hot_from_counts(counts: DataFrame, spec: SkewSpec) -> DataFrame:
+    """``(__hk, __buckets)`` for keys with more than ``spec.threshold`` rows."""
     return counts.where((F.col("__n") > spec.threshold) & F.col("__hk").isNotNull()).select(
         "__hk",
         F.least(F.ceil(F.col("__n") / F.lit(spec.threshold)),
                 F.lit(spec.max_buckets)).cast("int").alias(BUCKETS))
 
 
+def hot_keys(df: DataFrame, key: str, spec: SkewSpec) -> DataFrame:
+    """``(__hk, __buckets)`` for keys of ``df`` with more than ``spec.threshold`` rows."""
+    return hot_from_counts(key_counts(df, key), spec)
+
+
 def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                 spec: SkewSpec, how: str = "left",
-                residual: Column | None = None) -> DataFrame:
+                residual: Column | None = None, hot: DataFrame | None = None) -> DataFrame:
     """``left JOIN right ON left[left_key] = right[right_key] [AND residual]`` with hot keys split.
 
     ``residual`` may reference columns of both sides by their (distinct) names.
+    ``hot`` passes precomputed ``(__hk, __buckets)`` (e.g. from counts taken on
+    the base table before earlier joins) so ``left`` is not evaluated twice.
     Helper columns are dropped from the result.
     """
-    hot = F.broadcast(hot_keys(left, left_key, spec))  # bounded: <= rows / threshold keys
+    hot = hot_keys(left, left_key, spec) if hot is None else hot
+    hot = F.broadcast(hot)  # bounded: at most rows / threshold keys
     lcols = left.columns
     l2 = left.join(hot, left[left_key] == hot["__hk"], "left").select(
         *[left[c] for c in lcols],

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tessera.operators.lookup import (ChainStep, calendar_lookup, dim_lookup,
                                       lookup_chain, validity_lookup)
-from tessera.operators.skew import SkewSpec, salted_join
+from tessera.operators.skew import (SkewSpec, hot_from_counts, hot_keys, key_counts,
+                                    rollup_counts, salted_join)
 
 
 @dataclass(frozen=True)
@@ -60,6 +61,7 @@ def build_fact(movements: DataFrame, chain: list[ChainStep], lookups: list,
     ``skew`` splits hot keys in every join the movements take part in.
     """
     remaining = list(lookups)
+    bridge, first = None, None
     if chain:
         first = chain[0]
         bridge = first.right.select(first.right_key,
@@ -71,27 +73,47 @@ def build_fact(movements: DataFrame, chain: list[ChainStep], lookups: list,
                 bridge = dim_lookup(bridge, lk.dim, lk.fact_key, lk.dim_key, lk.sk, lk.out)
             else:
                 remaining.append(lk)
-        if first.left_key == first.right_key and skew is None:
-            df = movements.join(bridge, on=first.left_key, how="inner")
-        elif skew is None:
-            df = movements.join(bridge, movements[first.left_key] == bridge[first.right_key],
-                                "inner")
+
+    # Hot keys come from one count per first-hop key on the movements scan;
+    # keys further down the chain are rolled up through the bridge
+    # (dimension-sized), so the joined fact is never evaluated twice.
+    counts = key_counts(movements, first.left_key) if (skew is not None and chain) else None
+
+    def hot_for(key: str):
+        if skew is None:
+            return None
+        if chain and key == first.left_key:
+            return hot_from_counts(counts, skew)
+        if chain and key in bridge.columns:
+            return hot_from_counts(rollup_counts(counts, bridge, first.right_key, key), skew)
+        return None  # computed from the frame itself
+
+    if chain:
+        if skew is None:
+            if first.left_key == first.right_key:
+                df = movements.join(bridge, on=first.left_key, how="inner")
+            else:
+                df = movements.join(bridge, movements[first.left_key] == bridge[first.right_key],
+                                    "inner")
         else:
+            hot = hot_for(first.left_key)
             if first.left_key == first.right_key:
-                bridge = bridge.withColumnRenamed(first.right_key, "__bridge_key")
-                df = salted_join(movements, bridge, first.left_key, "__bridge_key", skew,
-                                 "inner").drop("__bridge_key")
+                b2 = bridge.withColumnRenamed(first.right_key, "__bridge_key")
+                df = salted_join(movements, b2, first.left_key, "__bridge_key", skew,
+                                 "inner", hot=hot).drop("__bridge_key")
             else:
                 df = salted_join(movements, bridge, first.left_key, first.right_key, skew,
-                                 "inner")
+                                 "inner", hot=hot)
     else:
         df = movements
     for lk in remaining:
         if isinstance(lk, KeyLookup):
-            df = dim_lookup(df, lk.dim, lk.fact_key, lk.dim_key, lk.sk, lk.out, skew=skew)
+            df = dim_lookup(df, lk.dim, lk.fact_key, lk.dim_key, lk.sk, lk.out, skew=skew,
+                            hot=hot_for(lk.fact_key))
         elif isinstance(lk, ValidityLookup):
             df = validity_lookup(df, lk.dim, lk.fact_key, lk.dim_key, lk.ts, lk.sk,
-                                 lk.out, lk.valid_from, lk.valid_to, lk.upper, skew=skew)
+                                 lk.out, lk.valid_from, lk.valid_to, lk.upper, skew=skew,
+                                 hot=hot_for(lk.fact_key))
         elif isinstance(lk, CalendarLookup):
             # One row per day: always under the broadcast size check, so a busy
             # day never concentrates in one task and needs no salting.
@@ -123,13 +145,16 @@ def flatten(fact: DataFrame, joins: list[StarJoin], fact_columns: dict[str, str]
     """
     df = fact.select(*[F.col(c).alias(c) for c in
                        dict.fromkeys(list(fact_columns) + [j.fact_sk for j in joins])])
+    base = df
     out = [F.col(c).alias(a) for c, a in fact_columns.items()]
     for i, j in enumerate(joins):
         k = f"__star_k{i}"
         right = j.dim.select(F.col(j.dim_sk).alias(k),
                              *[F.col(c).alias(a) for c, a in j.columns.items()])
         if skew is not None:
-            df = salted_join(df, right, j.fact_sk, k, skew, how).drop(k)
+            # hot keys counted on the fact itself, not on the partly joined frame
+            df = salted_join(df, right, j.fact_sk, k, skew, how,
+                             hot=hot_keys(base, j.fact_sk, skew)).drop(k)
         else:
             df = df.join(right, df[j.fact_sk] == right[k], how).drop(k)
         out += [F.col(a) for a in j.columns.values()]
