@@ -4,7 +4,7 @@ The merge is one DataFrame: the old snapshot with changed current versions
 closed, plus the new versions. Both sets come from the same input snapshot and
 share one ``now``, so an expiry time always equals the start of its successor.
 Writing the result as a new snapshot (see ``sources.store``) replaces the
-reference's in-place UPDATE + append and cuts the lineage.
+original pipeline's in-place UPDATE + append and cuts the lineage.
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ def export_csv(df: DataFrame, path: str, sep: str = CSV_SEP, header: bool = True
                single_file: bool = False, mode: str = "overwrite") -> None:
     """Write ``df`` as delimited text: NULL is an empty field, '' is ``""``.
 
-    ``single_file=True`` funnels every row through one task (the reference's
+    ``single_file=True`` funnels every row through one task (the original's
     ``coalesce(1)``); keep it for small extracts only. The default writes one
     file per partition in parallel.
     """

@@ -1,4 +1,4 @@
-"""End-to-end card pipeline on our own seed rows (same shapes as the reference's inputs)."""
+"""End-to-end card pipeline on our own seed rows (same shapes as the original pipeline's inputs)."""
 
 import datetime as dt
 import glob
