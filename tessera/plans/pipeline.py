@@ -30,7 +30,7 @@ from tessera.operators import (CalendarLookup, ChainStep, KeyLookup, Scd2Spec, S
                                key_uniqueness_report, merge, row_count_report,
                                trusted_account, trusted_card, trusted_holder,
                                trusted_movement, type1_upsert)
-from tessera.sources import TableStore, copy_tables, export_csv
+from tessera.sources import TableStore, copy_tables, export_csv, run_concurrently
 
 SOURCE_TABLES = ("holder", "account", "card", "movement")
 STAGES = ("raw", "trusted", "dimensions", "fact", "export")
@@ -89,12 +89,13 @@ def stage_raw(spark: SparkSession, cfg: PipelineConfig) -> dict:
 def stage_trusted(spark: SparkSession, cfg: PipelineConfig) -> dict:
     raw = TableStore(spark, cfg.warehouse_root, prefix="raw_")
     tr = TableStore(spark, cfg.warehouse_root, prefix="trusted_")
-    return {
-        "holder": tr.write(trusted_holder(raw.read("holder"), as_of=_as_of(cfg)), "holder"),
-        "account": tr.write(trusted_account(raw.read("account")), "account"),
-        "card": tr.write(trusted_card(raw.read("card")), "card"),
-        "movement": tr.write(trusted_movement(raw.read("movement")), "movement"),
-    }
+    return run_concurrently({
+        "holder": lambda: tr.write(trusted_holder(raw.read("holder"), as_of=_as_of(cfg)),
+                                   "holder"),
+        "account": lambda: tr.write(trusted_account(raw.read("account")), "account"),
+        "card": lambda: tr.write(trusted_card(raw.read("card")), "card"),
+        "movement": lambda: tr.write(trusted_movement(raw.read("movement")), "movement"),
+    })
 
 
 def _type1(spark, wh: TableStore, name: str, trusted: DataFrame, key: str,
@@ -133,13 +134,14 @@ def stage_dimensions(spark: SparkSession, cfg: PipelineConfig) -> dict:
         changed.unpersist()
     card = tr.read("card").select("card_id", "card_number", "printed_name", "brand",
                                   "card_type", "issued_on")
-    out["card"] = _type1(spark, wh, "card", card, "card_id", cfg)
     acct = tr.read("account").select("account_id", "account_type", "branch", "status",
                                      "opened_on")
-    out["account"] = _type1(spark, wh, "account", acct, "account_id", cfg)
+    jobs = {"card": lambda: _type1(spark, wh, "card", card, "card_id", cfg),
+            "account": lambda: _type1(spark, wh, "account", acct, "account_id", cfg)}
     if not wh.exists("calendar"):
-        out["calendar"] = wh.write(calendar(spark, cfg.calendar_start, cfg.calendar_end),
-                                   "calendar")
+        jobs["calendar"] = lambda: wh.write(
+            calendar(spark, cfg.calendar_start, cfg.calendar_end), "calendar")
+    out.update(run_concurrently(jobs))
     return out
 
 

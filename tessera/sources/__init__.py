@@ -3,6 +3,7 @@
 from tessera.sources.store import TableStore
 from tessera.sources.jdbc import read_jdbc, write_jdbc
 from tessera.sources.csv import export_csv, read_csv
-from tessera.sources.raw import copy_tables, register_views
+from tessera.sources.raw import copy_tables, register_views, run_concurrently
 
-__all__ = ["TableStore", "read_jdbc", "write_jdbc", "export_csv", "read_csv", "copy_tables", "register_views"]
+__all__ = ["TableStore", "read_jdbc", "write_jdbc", "export_csv", "read_csv", "copy_tables", "register_views",
+           "run_concurrently"]

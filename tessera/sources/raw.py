@@ -3,19 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
 from tessera.sources.store import TableStore
 
 
+def run_concurrently(jobs: dict[str, Callable[[], object]], max_workers: int = 4) -> dict:
+    """Run independent Spark actions from driver threads; Spark schedules their
+    jobs side by side, so small tables do not leave executors idle in turn.
+    The first failure is raised after all jobs finish."""
+    if len(jobs) <= 1 or max_workers <= 1:
+        return {k: fn() for k, fn in jobs.items()}
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(jobs))) as pool:
+        futures = {k: pool.submit(fn) for k, fn in jobs.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def copy_tables(read: Callable[[str], DataFrame], target: TableStore,
-                tables: Iterable[str]) -> dict[str, int]:
+                tables: Iterable[str], max_workers: int = 4) -> dict[str, int]:
     """For each table: read it from the source and write it as the next raw version.
 
-    ``target.prefix`` (e.g. ``raw_``) names the layer. Returns table -> version.
+    ``target.prefix`` (e.g. ``raw_``) names the layer. Tables are copied
+    concurrently. Returns table -> version.
     """
-    return {t: target.write(read(t), t) for t in tables}
+    return run_concurrently({t: (lambda t=t: target.write(read(t), t)) for t in tables},
+                            max_workers)
 
 
 def register_views(read: Callable[[str], DataFrame], views: dict[str, str]) -> dict[str, DataFrame]:
