@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from tessera.operators import (CalendarLookup, ChainStep, KeyLookup, Scd2Spec, SkewSpec,
                                StarJoin, ValidityLookup, build_fact, calendar, changed_rows,
-                               gate, incremental,
+                               empty_dimension, flatten, gate, incremental, null_key_report,
                                key_uniqueness_report, merge, row_count_report,
                                trusted_account, trusted_card, trusted_holder,
                                trusted_movement, type1_upsert)
@@ -118,7 +118,6 @@ def stage_dimensions(spark: SparkSession, cfg: PipelineConfig) -> dict:
     if wh.exists("holder"):
         dim = wh.read("holder")
     else:
-        from tessera.operators import empty_dimension
         dim = empty_dimension(spark, src.schema, spec)
     # Emptiness check first (a limit-1 job): an unchanged dimension is not
     # rewritten. The delta is persisted (spilling to disk) so the merge reuses
@@ -194,11 +193,14 @@ def stage_fact(spark: SparkSession, cfg: PipelineConfig) -> dict:
     report = gate(row_count=row_count_report(source, written),
                   unique_movement=key_uniqueness_report(written, "movement_id"))
     ft.commit(staged, mode)
-    return {"version": staged.version, "mode": mode, "checks": report}
+    # Informational: rows with a NULL key are kept in the fact but an inner
+    # star flatten drops them (e.g. a movement before its holder's first version).
+    nulls = null_key_report(written, ["holder_sk", "card_sk", "account_sk", "date_sk"]).first()
+    return {"version": staged.version, "mode": mode, "checks": report,
+            "null_keys": nulls.asDict()}
 
 
 def flat_frame(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    from tessera.operators import flatten
     wh = TableStore(spark, cfg.warehouse_root, prefix="dim_")
     ft = TableStore(spark, cfg.warehouse_root, prefix="fact_")
     joins = [
