@@ -14,11 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str],
               partition_column: str | None = None, num_partitions: int | None = None,
               lower_bound=None, upper_bound=None, fetchsize: int = 10_000,
-              quote: str = '"') -> DataFrame:
-    """``quote`` wraps the column name in the bounds query (``"`` for ANSI
-    databases, a backtick for MySQL); Spark quotes it itself in the range queries."""
+              quote: str = '"', predicates: list[str] | None = None) -> DataFrame:
+    """Read ``table`` in parallel.
+
+    ``partition_column`` (numeric, date or timestamp) splits into
+    ``num_partitions`` range queries; ``quote`` wraps the column name in the
+    bounds query (``"`` for ANSI databases, a backtick for MySQL). For text keys
+    or uneven ranges pass ``predicates``: one WHERE clause per partition (they
+    must not overlap, or rows are read twice).
+    """
     props = dict(properties)
     props.setdefault("fetchsize", str(fetchsize))
+    if predicates:
+        return spark.read.jdbc(url, table, predicates=predicates, properties=props)
     if not partition_column or not num_partitions or num_partitions <= 1:
         return spark.read.jdbc(url, table, properties=props)
     if lower_bound is None or upper_bound is None:
