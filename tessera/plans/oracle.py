@@ -249,3 +249,5 @@ ORACLE["dim_lookup_salted"] = ORACLE["dim_lookup_left"]
 ORACLE["fact_build_salted"] = ORACLE["fact_build"]
 ORACLE["star_flatten_sql"] = ORACLE["star_flatten"]
 ORACLE["star_flatten_salted"] = ORACLE["star_flatten"]
+# One streamed pass over the landed source equals the batch first load.
+ORACLE["stream_first_load"] = ORACLE["scd2_first_load"]

@@ -27,6 +27,7 @@ from tessera.plans.pipeline import PipelineConfig, flat_frame, run
 from tessera.plans.scenarios import load, ts
 from tessera.session import scratch_dir
 from tessera.sources import TableStore, copy_tables, export_csv, read_csv, register_views
+from tessera.streaming.ingest import start_dimension_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -368,6 +369,24 @@ def card_pipeline(spark, d):
     return flat_frame(spark, cfg)
 
 
+def stream_first_load(spark, d):
+    """Structured Streaming path: the holder source lands as parquet files, a
+    file-source stream (availableNow) merges each micro-batch into the dimension
+    through foreachBatch. One pass over new files equals a batch first load."""
+    landing = scratch_dir(spark, "landing")
+    src = sc.holder_source(spark, d)
+    src.write.parquet(landing)
+    store = TableStore(spark, scratch_dir(spark, "stream-wh"))
+    q = start_dimension_stream(spark, landing, src.schema, store, "holder", sc.HOLDER_SPEC,
+                               checkpoint=scratch_dir(spark, "stream-ckpt"),
+                               now=lambda: ts(sc.LOAD_NOW))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")
+    store.refresh()
+    return store.read("holder").drop("sk")
+
+
 QUERIES: dict[str, Query] = {
     "raw_copy": raw_copy,
     "project_rename": project_rename,
@@ -412,4 +431,5 @@ QUERIES: dict[str, Query] = {
     "sample_rows": sample_rows,
     "csv_roundtrip": csv_roundtrip,
     "card_pipeline": card_pipeline,
+    "stream_first_load": stream_first_load,
 }
