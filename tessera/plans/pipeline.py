@@ -55,6 +55,7 @@ class PipelineConfig:
     validity_upper: str = "closed"            # "half_open" avoids double matches on boundaries
     key_modulus: int | None = None            # 10**10 for the short key form
     fact_mode: str = "full"                   # or "incremental": append unseen movement ids
+    compact_after_appends: int = 30           # rewrite the fact once this many appends pile up
     flatten_how: str = "inner"
     single_file: bool = False
     holder_tracked: tuple[str, ...] = field(
@@ -196,8 +197,11 @@ def stage_fact(spark: SparkSession, cfg: PipelineConfig) -> dict:
     # Informational: rows with a NULL key are kept in the fact but an inner
     # star flatten drops them (e.g. a movement before its holder's first version).
     nulls = null_key_report(written, ["holder_sk", "card_sk", "account_sk", "date_sk"]).first()
-    return {"version": staged.version, "mode": mode, "checks": report,
-            "null_keys": nulls.asDict()}
+    out = {"version": staged.version, "mode": mode, "checks": report,
+           "null_keys": nulls.asDict()}
+    if mode == "append" and ft.appends_since_overwrite("movement") >= cfg.compact_after_appends:
+        out["compacted_to"] = ft.compact("movement", partition_by=part)
+    return out
 
 
 def flat_frame(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:

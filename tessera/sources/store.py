@@ -105,6 +105,16 @@ class TableStore:
         """Tags of all commits (e.g. streaming epochs already applied)."""
         return {t for _, _, t, _ in (self._commits(name) or []) if t}
 
+    def appends_since_overwrite(self, name: str) -> int:
+        return len(self.live_paths(name)) - 1
+
+    def compact(self, name: str, partition_by: list[str] | None = None) -> int:
+        """Rewrite the live folders (last overwrite + appends) as one overwrite version.
+
+        Readers keep using the old folders until the new commit lands.
+        """
+        return self.write(self.read(name), name, partition_by=partition_by)
+
     def read(self, name: str) -> DataFrame:
         """The table: each live folder is read on its own (each may carry its own
         partition folders) and the appends are unioned by column name."""

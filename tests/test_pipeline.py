@@ -103,8 +103,10 @@ def test_pipeline_runs(spark, tmp_path, tables):
 
     # 2. incremental: only the unseen movement is appended
     tables["movement"].append(("M6", "C3", "compra", Decimal("7.00"), TS(2025, 9, 2, 8, 0)))
-    inc = cfg_for(spark, tmp_path, tables, TS(2025, 8, 14), fact_mode="incremental")
-    assert run(spark, inc, stages=["raw", "trusted", "fact"])["fact"]["mode"] == "append"
+    inc = cfg_for(spark, tmp_path, tables, TS(2025, 8, 14), fact_mode="incremental",
+                  compact_after_appends=1)
+    res = run(spark, inc, stages=["raw", "trusted", "fact"])["fact"]
+    assert res["mode"] == "append" and res["compacted_to"] == res["version"] + 1
     assert sorted(r.movement_id for r in facts.read("movement").collect()) == [
         "M1", "M2", "M3", "M4", "M5", "M6"]
 
