@@ -143,3 +143,18 @@ def test_pipeline_runs(spark, tmp_path, tables):
     run(spark, cfg_for(spark, tmp_path, tables, TS(2025, 9, 4)), stages=["raw", "trusted", "fact"])
     facts.refresh()
     assert facts.current_version("movement") == published + 1
+
+
+def test_first_load_after_movements_exports_nothing(spark, tmp_path, tables):
+    """Holder versions start at the load time, so a first load after every movement
+    leaves all holder keys NULL: the inner star join exports no row (parity); the
+    left form keeps the movements with empty holder fields."""
+    cfg = cfg_for(spark, tmp_path, tables, TS(2025, 8, 20))
+    out = run(spark, cfg)
+    assert out["fact"]["null_keys"]["null_holder_sk"] == len(MOVEMENT)
+    assert csv_lines(cfg.export_path)[1] == []
+    cfg.flatten_how = "left"
+    cfg.export_path = str(tmp_path / "flat-left")
+    run(spark, cfg, stages=["export"])
+    lines = csv_lines(cfg.export_path)[1]
+    assert len(lines) == len(MOVEMENT) and all(ln.startswith(";;;") for ln in lines)
