@@ -158,3 +158,15 @@ def test_first_load_after_movements_exports_nothing(spark, tmp_path, tables):
     run(spark, cfg, stages=["export"])
     lines = csv_lines(cfg.export_path)[1]
     assert len(lines) == len(MOVEMENT) and all(ln.startswith(";;;") for ln in lines)
+
+
+def test_cli_parquet_source(spark, tmp_path, tables):
+    from tessera.plans import cli
+    src = tmp_path / "src"
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, SCHEMAS[name]).write.parquet(str(src / name))
+    out = cli.main(["--source", f"parquet:{src}", "--warehouse", str(tmp_path / "wh"),
+                    "--export", str(tmp_path / "flat"), "--as-of", "2025-08-20",
+                    "--now", "2025-08-14T00:00:00", "--single-file"])
+    assert out["fact"]["checks"][0]["passed"]
+    assert len(csv_lines(str(tmp_path / "flat"))[1]) == 4
