@@ -83,3 +83,13 @@ def test_type1_upsert(spark):
     assert got == sorted([("a", "new", 1), ("gone", "x", 2), ("dup", "r", 3), ("dup", "r", 4),
                           ("", "nullkey", 5), ("fresh", "f", "new"), ("", "n", "new")])
     assert all(r.sk is not None and r.sk >= 0 for r in out)
+
+
+def test_validity_date_bounds_compare_as_midnight(spark):
+    dim = spark.createDataFrame([(1, "h", dt.date(2024, 1, 1), dt.date(2024, 6, 1))],
+                                "sk long, holder_id string, valid_from date, valid_to date")
+    fact = spark.createDataFrame([(1, "h", D(2024, 6, 1, 0, 0, 0)),
+                                  (2, "h", D(2024, 6, 1, 0, 0, 1))],
+                                 "m int, holder_id string, ts timestamp")
+    out = validity_lookup(fact, dim, "holder_id", "holder_id", "ts", "sk", "hsk")
+    assert pairs(out) == [(1, 1), (2, None)]
