@@ -191,6 +191,19 @@ SELECT * FROM holder_dim_prior WHERE sk IN (
     "scd2_first_load": ORACLE_CTES + f"""
 SELECT c_custkey, c_name, c_nationkey, c_mktsegment, {_NOW} AS valid_from,
        CAST(NULL AS TIMESTAMP) AS valid_to, TRUE AS is_current FROM holder_source""",
+    # The dimension holds exactly the source state, so only the comparison rule
+    # decides: '=' never matches a NULL tier, IS NOT DISTINCT FROM does.
+    "scd2_null_parity": ORACLE_CTES + f"""
+SELECT c_custkey, c_name, tier, {_NOW} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to,
+       TRUE AS is_current
+FROM tier_source s WHERE NOT EXISTS (
+  SELECT 1 FROM tier_source d WHERE d.c_custkey = s.c_custkey AND d.tier = s.tier)""",
+    "scd2_null_safe": ORACLE_CTES + f"""
+SELECT c_custkey, c_name, tier, {_NOW} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to,
+       TRUE AS is_current
+FROM tier_source s WHERE NOT EXISTS (
+  SELECT 1 FROM tier_source d WHERE d.c_custkey = s.c_custkey
+    AND d.tier IS NOT DISTINCT FROM s.tier)""",
     "dim_type1_upsert": ORACLE_CTES + """
 SELECT a.c_custkey, a.c_name, a.c_nationkey, a.c_mktsegment, d.sk IS NULL AS is_new,
        d.sk AS kept_sk

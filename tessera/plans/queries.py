@@ -210,6 +210,14 @@ def scd2_first_load(spark, d):
                       ts(sc.LOAD_NOW)).drop("sk")
 
 
+def _tier_new(null_safe):
+    def q(spark, d):
+        spec = replace(sc.TIER_SPEC, null_safe=null_safe)
+        return new_versions(sc.tier_source(spark, d), sc.tier_dim(spark, d), spec,
+                            ts(sc.LOAD_NOW)).drop("sk")
+    return q
+
+
 def surrogate_key_q(spark, d):
     return load(spark, d, "customer").select(
         "c_custkey", surrogate_key("c_custkey", ts(sc.LOAD_NOW)).alias("sk"))
@@ -414,6 +422,8 @@ QUERIES: dict[str, Query] = {
     "scd2_merge": _merge("any"),
     "scd2_merge_current": _merge("current"),
     "scd2_first_load": scd2_first_load,
+    "scd2_null_parity": _tier_new(False),
+    "scd2_null_safe": _tier_new(True),
     "surrogate_key": surrogate_key_q,
     "dim_type1_upsert": dim_type1_upsert,
     "fact_build": fact,

@@ -90,6 +90,27 @@ def holder_dim_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v1.unionByName(v2)
 
 
+TIER_WIDTH = 2500.0                    # balance band width of the nullable tier attribute
+TIER_SPEC = Scd2Spec(key="c_custkey", tracked=("tier",), sk="sk",
+                     validity_type=T.TimestampNTZType())
+
+
+def tier_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with a balance tier that is NULL for negative balances."""
+    c = load(spark, sf_dir, "customer")
+    tier = F.when(F.col("c_acctbal") >= 0,
+                  F.floor(F.col("c_acctbal") / TIER_WIDTH).cast("int"))
+    return c.select("c_custkey", "c_name", tier.alias("tier"))
+
+
+def tier_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One current version per customer holding exactly the source state."""
+    return tier_source(spark, sf_dir).select(
+        (F.col("c_custkey") * 2).alias("sk"), "c_custkey", "c_name", "tier",
+        ts(FIRST_VERSION_FROM).alias("valid_from"),
+        F.lit(None).cast("timestamp_ntz").alias("valid_to"), F.lit(True).alias("is_current"))
+
+
 def holder_dim_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions for the point-in-validity queries: every customer from
     LOOKUP_VERSION_FROM; negative-balance ones split at SPLIT_AT."""
@@ -170,6 +191,10 @@ active_source AS (
   SELECT * FROM holder_source s WHERE EXISTS (
     SELECT 1 FROM orders o WHERE o.o_custkey = s.c_custkey
       AND o.o_orderdate >= TIMESTAMP '{ACTIVE_FROM}')),
+tier_source AS (
+  SELECT c_custkey, c_name,
+         CASE WHEN c_acctbal >= 0 THEN CAST(floor(c_acctbal / {TIER_WIDTH}) AS INTEGER) END AS tier
+  FROM customer),
 account_dim AS (
   SELECT CAST(n_nationkey + 1000 AS BIGINT) AS sk, n_nationkey, n_name, n_regionkey FROM nation),
 region_holder_dim AS (
