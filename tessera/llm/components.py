@@ -10,6 +10,7 @@ written to the shared scratch folder; two numbers a round reach the driver.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,3 +45,18 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         seen = after
     roots = now.select("v").distinct().select(F.col("v").alias("u"), "v")
     return now.unionByName(roots).select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def merge_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """In one task: give linked members ``a[i]``, ``b[i]`` one label, the least of theirs."""
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        while True:
+            jump = label[label]
+            if (jump == label).all():
+                break
+            label[:] = jump
+        differ = label[a] != label[b]
+        a, b = a[differ], b[differ]

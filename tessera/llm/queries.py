@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, line_dedup, mixing, quality, simhash
+from tessera.llm import (bpe, embed_dedup, langid, licenses, line_dedup, lm, mixing, quality,
+                         simhash, suffix_dedup)
 from tessera.llm.common import read_table
 
 
@@ -44,12 +45,26 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("__kept", 256).alias("kept_sha256"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return out.select("doc_id", F.length(F.replace("__ids", F.lit(" "), F.lit(""))).cast("long")
+                      .alias("n_sentences"), F.size("__matches").cast("long").alias("n_matches"),
+                      F.array_join("__licenses", ",").alias("licenses"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
     return out.select("doc_id", simhash.hex16(F.col("__fp")).alias("fingerprint"),
                       F.col("__component").alias("component_id"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = embed_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"), carry=["vec_id"])
+    return out.select("vec_id", F.col("__links").alias("n_links"),
+                      F.col("__component").alias("component_id"),
+                      F.coalesce(F.col("vec_id") == F.col("__component"), F.lit(True)).alias("kept"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored, _ = quality.score(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
     failed = quality.base_failed()
@@ -61,5 +76,30 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("__q_posterior", 6).alias("posterior"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = langid.identify(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return out.select("doc_id", langid.held_out(F.col("doc_id"), 5).alias("held_out"),
+                      F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return out.select("doc_id", F.col("__bytes").alias("n_bytes"),
+                      (F.col("__bytes") - F.octet_length("__kept")).cast("long").alias("n_removed"),
+                      F.size("__spans").cast("long").alias("n_spans"),
+                      F.sha2("__kept", 256).alias("kept_sha256"))
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = langid.held_out(F.col("doc_id"), 10)
+    out = lm.score(read_table(spark, sf_dir, "documents"), ~held, carry=["doc_id"])
+    return out.select("doc_id", held.alias("held_out"), F.col("__n_tokens").alias("n_tokens"),
+                      F.col("__n_known").alias("n_known"),
+                      F.col("__train_tokens").alias("train_tokens"),
+                      F.col("__base").alias("base_score"), F.col("__score").alias("score"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_byte_bpe, op3_line_dedup, op5_simhash, op7_quality_rules)}
+    op1_mix_sources, op2_byte_bpe, op3_line_dedup, op4_license_scan, op5_simhash,
+    op6_embedding_dedup, op7_quality_rules, op8_language_id,
+    op9_suffix_dedup, op10_lm_score)}

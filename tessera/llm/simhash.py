@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.common import materialize, python_batches
-from tessera.llm.components import components
+from tessera.llm.components import components, merge_labels
 
 SEED = 42
 #: Reference fingerprints of the pivot table.
@@ -108,21 +108,6 @@ def _verified(fp: np.ndarray, table: np.ndarray, a: np.ndarray, b: np.ndarray, m
     return a[near], b[near]
 
 
-def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Give linked members one label, the least of theirs."""
-    while len(a):
-        low = np.minimum(label[a], label[b])
-        np.minimum.at(label, label[a], low)
-        np.minimum.at(label, label[b], low)
-        while True:
-            jump = label[label]
-            if (jump == label).all():
-                break
-            label[:] = jump
-        differ = label[a] != label[b]
-        a, b = a[differ], b[differ]
-
-
 def bucket_links(bucket: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """For members sorted by bucket: each linked member with the first one of its group.
 
@@ -144,11 +129,11 @@ def bucket_links(bucket: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.
         found_b.append(b)
         held += len(a)
         if held >= PAIRS_AT_ONCE:
-            _merge(label, np.concatenate(found_a), np.concatenate(found_b))
+            merge_labels(label, np.concatenate(found_a), np.concatenate(found_b))
             found_a, found_b, held = [], [], 0
         step += 1
     if held:
-        _merge(label, np.concatenate(found_a), np.concatenate(found_b))
+        merge_labels(label, np.concatenate(found_a), np.concatenate(found_b))
     linked = np.flatnonzero(label != np.arange(n))
     return fp[linked], fp[label[linked]]
 
