@@ -13,31 +13,48 @@ CSV_TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 NULL_SENTINEL = "\u0000"
 
 
+# The same with all digits of a timestamp.
+EXACT_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+EXACT_TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def _options(exact: bool) -> dict[str, str]:
+    if not exact:
+        return {"timestampFormat": CSV_TIMESTAMP_FORMAT,
+                "timestampNTZFormat": CSV_TIMESTAMP_NTZ_FORMAT}
+    return {"timestampFormat": EXACT_TIMESTAMP_FORMAT,
+            "timestampNTZFormat": EXACT_TIMESTAMP_NTZ_FORMAT,
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+            "escape": '"'}
+
+
 def export_csv(df: DataFrame, path: str, sep: str = CSV_SEP, header: bool = True,
-               single_file: bool = False, mode: str = "overwrite") -> None:
+               single_file: bool = False, mode: str = "overwrite",
+               exact: bool = False) -> None:
     """Write ``df`` as delimited text: NULL is an empty field, '' is ``""``.
 
+    By default blanks around a value are trimmed and timestamps have milliseconds
+    (the flat file's layout). With ``exact=True`` blanks, microseconds and quotes
+    stay as they are, and ``read_csv(..., exact=True)`` returns what was written.
+
     ``single_file=True`` funnels every row through one task (the original's
     ``coalesce(1)``); keep it for small extracts only. The default writes one
     file per partition in parallel.
     """
     out = df.coalesce(1) if single_file else df
     (out.write.mode(mode).option("header", str(header).lower()).option("sep", sep)
-     .option("timestampFormat", CSV_TIMESTAMP_FORMAT)
-     .option("timestampNTZFormat", CSV_TIMESTAMP_NTZ_FORMAT)
-     .csv(path))
+     .options(**_options(exact)).csv(path))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str,
-             sep: str = CSV_SEP, header: bool = True) -> DataFrame:
+             sep: str = CSV_SEP, header: bool = True, exact: bool = False) -> DataFrame:
     """Read an export back with an explicit schema (no inference pass over the files).
 
     An unquoted empty field reads as NULL and a quoted ``""`` as the empty
-    string, mirroring how ``export_csv`` wrote them.
+    string, mirroring how ``export_csv`` wrote them. Fields may hold line breaks
+    (a file is then one task's work; ``export_csv`` writes many files).
     """
     return (spark.read.schema(schema).option("header", str(header).lower())
             .option("nullValue", NULL_SENTINEL).option("emptyValue", "")
-            .option("sep", sep)
-            .option("timestampFormat", CSV_TIMESTAMP_FORMAT)
-            .option("timestampNTZFormat", CSV_TIMESTAMP_NTZ_FORMAT)
-            .csv(path))
+            .option("sep", sep).option("multiLine", "true")
+            .options(**_options(exact)).csv(path))

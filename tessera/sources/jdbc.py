@@ -14,9 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str],
               partition_column: str | None = None, num_partitions: int | None = None,
               lower_bound=None, upper_bound=None, fetchsize: int = 10_000,
-              quote: str = '"', predicates: list[str] | None = None) -> DataFrame:
+              quote: str = '"', predicates: list[str] | None = None,
+              one_task: bool = False) -> DataFrame:
     """Read ``table`` in parallel.
 
+    A read that nothing splits is an error unless ``one_task=True`` asks for it.
+
     ``partition_column`` (numeric, date or timestamp) splits into
     ``num_partitions`` range queries; ``quote`` wraps the column name in the
     bounds query (``"`` for ANSI databases, a backtick for MySQL). For text keys
@@ -28,6 +31,9 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, s
     if predicates:
         return spark.read.jdbc(url, table, predicates=predicates, properties=props)
     if not partition_column or not num_partitions or num_partitions <= 1:
+        if not one_task:
+            raise ValueError(f"{table}: give partition_column and num_partitions, or predicates, "
+                             "or one_task=True for a small table")
         return spark.read.jdbc(url, table, properties=props)
     if lower_bound is None or upper_bound is None:
         # the exact stored name (case may differ from what the caller typed)

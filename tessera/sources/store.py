@@ -3,22 +3,31 @@
 Parquet cannot be overwritten while it is being read (the SCD2 merge reads the
 dimension it replaces), so each write goes to a fresh folder
 ``<root>/<table>/v<N>-<id>/`` and is then committed by writing a one-row marker
-``<root>/<table>/_commits/c<N>/`` that names the folder. Readers follow the
-markers. A job that dies mid-write, or a load a quality gate rejects, leaves an
-unreferenced folder nobody reads; the next run stages into a new folder. Two
-writers committing the same version collide on the marker folder and the second
-fails instead of silently overwriting. The root should be a shared folder
-(object store / HDFS) on a cluster.
+``<root>/<table>/_commits/c<N>/``. A marker holds the table's whole state: the
+folders that make it up, their schema, and the last batch applied of each
+stream. A job that dies mid-write, or a load a quality gate rejects, leaves an
+unreferenced folder nobody reads; the next run stages into a new folder.
+
+The schema in the marker is the one the table is read with, so types never
+depend on the data: an empty load has its columns, an all-NULL partition column
+keeps its type, and a text partition value ``0001`` stays text.
+
+One writer per table at a time: a commit checks that its marker is not there
+yet, but two writers racing past that check are not told apart (that would need
+a transaction log). The root should be a shared folder (object store / HDFS) on
+a cluster; old folders and markers are the operator's to expire.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -27,6 +36,19 @@ class Staged:
     name: str
     version: int
     path: str
+    schema: str  # as JSON
+
+
+@dataclass(frozen=True)
+class State:
+    """What a table consists of: live folders (path, schema as JSON), last epoch by stream."""
+    version: int
+    folders: tuple[tuple[str, str], ...]
+    epochs: dict[str, int]
+
+
+_MARKER = ("version long, folders array<struct<path: string, schema: string>>, "
+           "epochs map<string, long>")
 
 
 def _missing_path(e: AnalysisException) -> bool:
@@ -38,72 +60,70 @@ def _missing_path(e: AnalysisException) -> bool:
 class TableStore:
     """Snapshot store under ``root``; ``prefix`` names the layer (``raw_``, ``dim_``...).
 
-    The commit log of a table is read once per store instance and refreshed
-    after this instance commits, so one stage sees one consistent snapshot of
+    The newest marker of a table is read once per store instance and replaced by
+    what this instance commits, so one stage sees one consistent snapshot of
     each table; ``refresh()`` (or a new instance) sees other writers' later commits.
     """
     spark: SparkSession
     root: str
     prefix: str = ""
-    _log: dict = field(default_factory=dict, init=False, repr=False)
+    _states: dict = field(default_factory=dict, init=False, repr=False)
 
     def _base(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{self.prefix}{name}"
 
-    def _commits(self, name: str) -> list[tuple[int, str, str | None, str]] | None:
-        """Committed (version, mode, tag, path) in order, or None if the table does not exist.
+    def _state(self, name: str) -> State | None:
+        """The newest committed state, or None if the table does not exist.
 
         Only a missing path counts as "does not exist"; any other error (outage,
         permissions) propagates instead of being mistaken for a first load.
-        The log holds one tiny row per load, so collecting it is bounded.
         """
-        if name in self._log:
-            return self._log[name]
-        self._log[name] = self._read_log(name)
-        return self._log[name]
+        if name not in self._states:
+            self._states[name] = self._read_state(name)
+        return self._states[name]
 
-    def _read_log(self, name: str) -> list[tuple[int, str, str | None, str]] | None:
+    def _read_state(self, name: str) -> State | None:
         try:
-            log = self.spark.read.schema(
-                "version long, mode string, tag string, path string").option(
-                "recursiveFileLookup", "true").json(
-                f"{self._base(name)}/_commits")
-            rows = log.collect()
+            row = (self.spark.read.schema(_MARKER).option("recursiveFileLookup", "true")
+                   .json(f"{self._base(name)}/_commits")
+                   .orderBy(F.col("version").desc()).limit(1).collect())
         except AnalysisException as e:
             if _missing_path(e):
                 return None
             raise
-        if not rows:
+        if not row:
             return None
-        return sorted((int(r["version"]), r["mode"] or "overwrite", r["tag"], r["path"])
-                      for r in rows)
+        return State(row[0]["version"], tuple((f["path"], f["schema"]) for f in row[0]["folders"]),
+                     dict(row[0]["epochs"] or {}))
 
     def refresh(self, name: str | None = None) -> None:
-        """Forget cached commit logs so the next access sees other writers' commits."""
+        """Forget cached states so the next access sees other writers' commits."""
         if name is None:
-            self._log.clear()
+            self._states.clear()
         else:
-            self._log.pop(name, None)
+            self._states.pop(name, None)
 
     def current_version(self, name: str) -> int | None:
-        c = self._commits(name)
-        return None if c is None else c[-1][0]
+        s = self._state(name)
+        return None if s is None else s.version
 
     def exists(self, name: str) -> bool:
-        return self.current_version(name) is not None
+        return self._state(name) is not None
 
+    def _live(self, name: str) -> tuple[tuple[str, str], ...]:
+        s = self._state(name)
+        if s is None:
+            raise FileNotFoundError(f"table {self.prefix}{name} has no committed version")
+        return s.folders
 
     def live_paths(self, name: str) -> list[str]:
         """Folders that make up the table: the last overwrite and the appends after it."""
-        c = self._commits(name)
-        if c is None:
-            raise FileNotFoundError(f"table {self.prefix}{name} has no committed version")
-        last = max((i for i, (_, m, _, _) in enumerate(c) if m == "overwrite"), default=0)
-        return [p for _, _, _, p in c[last:]]
+        return [p for p, _ in self._live(name)]
 
-    def tags(self, name: str) -> set[str]:
-        """Tags of all commits (e.g. streaming epochs already applied)."""
-        return {t for _, _, t, _ in (self._commits(name) or []) if t}
+    def last_epoch(self, name: str, stream: str) -> int | None:
+        """The last batch of ``stream`` that a commit of this table applied."""
+        s = self._state(name)
+        return None if s is None else s.epochs.get(stream)
 
     def appends_since_overwrite(self, name: str) -> int:
         return len(self.live_paths(name)) - 1
@@ -111,19 +131,30 @@ class TableStore:
     def compact(self, name: str, partition_by: list[str] | None = None) -> int:
         """Rewrite the live folders (last overwrite + appends) as one overwrite version.
 
+        A maintenance job of its own (no load calls it): it reads and writes the
+        whole table. Rows are rebalanced first, so many small files become few.
         Readers keep using the old folders until the new commit lands.
         """
-        return self.write(self.read(name), name, partition_by=partition_by)
+        df = self.read(name).hint("rebalance", *(partition_by or []))
+        return self.write(df, name, partition_by=partition_by)
+
+    def _folder(self, path: str, schema: str) -> DataFrame:
+        fields = T.StructType.fromJson(json.loads(schema))
+        return self.spark.read.schema(fields).parquet(path).select(*fields.names)
 
     def read(self, name: str) -> DataFrame:
         """The table: each live folder is read on its own (each may carry its own
         partition folders) and the appends are unioned by column name."""
-        frames = [self.spark.read.parquet(p) for p in self.live_paths(name)]
+        frames = [self._folder(p, s) for p, s in self._live(name)]
         out = frames[0]
         for f in frames[1:]:
             out = out.unionByName(f)
         return out
 
+    def read_last(self, name: str) -> DataFrame:
+        """What the last commit wrote: the newest folder only."""
+        return self._folder(*self._live(name)[-1])
+
     def stage(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> Staged:
         """Write ``df`` as the next version without committing it (write-audit-publish)."""
         v = (self.current_version(name) or 0) + 1
@@ -132,26 +163,31 @@ class TableStore:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        return Staged(name, v, path)
+        return Staged(name, v, path, df.schema.json())
 
     def read_staged(self, staged: Staged) -> DataFrame:
-        return self.spark.read.parquet(staged.path)
+        return self._folder(staged.path, staged.schema)
 
-    def commit(self, staged: Staged, mode: str = "overwrite", tag: str | None = None) -> None:
-        """Publish a staged version: ``overwrite`` replaces the table, ``append`` adds to it."""
+    def commit(self, staged: Staged, mode: str = "overwrite",
+               epoch: tuple[str, int] | None = None) -> None:
+        """Publish a staged version: ``overwrite`` replaces the table, ``append`` adds to it.
+        ``epoch`` records (stream, batch) as applied."""
         if mode not in ("overwrite", "append"):
             raise ValueError("mode must be 'overwrite' or 'append'")
-        (self.spark.range(1).select(F.lit(staged.version).cast("long").alias("version"),
-                                    F.lit(mode).alias("mode"),
-                                    F.lit(tag).cast("string").alias("tag"),
-                                    F.lit(staged.path).alias("path"))
-         .coalesce(1).write.mode("errorifexists")
+        before = self._state(staged.name)
+        live = before.folders if before and mode == "append" else ()
+        epochs = dict(before.epochs if before else {})
+        if epoch:
+            epochs[epoch[0]] = epoch[1]
+        state = State(staged.version, (*live, (staged.path, staged.schema)), epochs)
+        row = (state.version, [{"path": p, "schema": s} for p, s in state.folders], epochs)
+        (self.spark.createDataFrame([row], _MARKER).coalesce(1).write.mode("errorifexists")
          .json(f"{self._base(staged.name)}/_commits/c{staged.version:08d}"))
-        self._log.pop(staged.name, None)
+        self._states[staged.name] = state
 
     def write(self, df: DataFrame, name: str, partition_by: list[str] | None = None,
-              mode: str = "overwrite", tag: str | None = None) -> int:
+              mode: str = "overwrite", epoch: tuple[str, int] | None = None) -> int:
         """Write ``df`` as the next version and commit it. Returns the version."""
         staged = self.stage(df, name, partition_by)
-        self.commit(staged, mode, tag)
+        self.commit(staged, mode, epoch)
         return staged.version
