@@ -7,11 +7,11 @@ from tessera.operators.scd2 import (Scd2Spec, changed_rows, empty_dimension,
 from tessera.operators.dims import calendar, calendar_for, type1_upsert
 from tessera.operators.quality import (QualityError, duplicate_keys, gate,
                                        key_uniqueness_report, null_key_report,
-                                       row_count_report)
+                                       orphan_report, row_count_report)
 from tessera.operators.star import (CalendarLookup, KeyLookup, StarJoin, ValidityLookup,
                                     build_fact, flatten, incremental)
-from tessera.operators.skew import (SkewSpec, hot_from_counts, hot_keys, key_counts,
-                                    rollup_counts, salted_join)
+from tessera.operators.skew import (SkewSpec, collect_hot, hot_from_counts, hot_keys,
+                                    key_counts, key_counts_of, rollup_counts, salted_join)
 from tessera.operators.layers import (clean, trusted_account, trusted_card,
                                       trusted_holder, trusted_movement)
 

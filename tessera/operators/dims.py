@@ -55,6 +55,8 @@ def type1_upsert(trusted: DataFrame, dim: DataFrame, key: str, sk: str = "sk",
     """
     ts = F.current_timestamp() if now is None else now
     cols = [c for c in dim.columns if c != sk]
+    if extra := sorted(set(trusted.columns) - set(cols) - {sk}):
+        raise ValueError(f"columns not in the dimension: {extra}; select them away or add them")
     t = trusted.select(F.lit(True).alias("__t1_in_src"), *[F.col(c) for c in cols])
     d = dim.select(F.col(key).alias("__t1_dkey"), F.col(sk).alias("__t1_old_sk"),
                    *[F.col(c).alias(f"__t1_d_{c}") for c in cols if c != key])

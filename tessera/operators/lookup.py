@@ -32,26 +32,53 @@ class ChainStep:
     keep: tuple[str, ...] = ()
 
 
-def lookup_chain(base: DataFrame, steps: list[ChainStep]) -> DataFrame:
+def lookup_chain(base: DataFrame, steps: list[ChainStep],
+                 skew: SkewSpec | None = None) -> DataFrame:
     """Walk a chain of natural keys with inner joins (movement -> card -> account -> holder).
 
     Rows whose key has no partner at any hop drop out (parity with the inner
     chain). The right key is carried on under its own name so later hops can use it.
+
+    Hops whose key the chain itself brings in are resolved on the dimension side
+    first, so ``base`` (the big side) joins once per key of its own, not once per
+    hop. ``skew`` splits hot keys of those joins.
     """
     out = base
-    for st in steps:
-        cols = [st.right_key] + [c for c in st.keep if c != st.right_key]
-        right = st.right.select(*cols)
-        if st.left_key == st.right_key:
-            out = out.join(right, on=st.left_key, how="inner")
-        else:
-            out = out.join(right, out[st.left_key] == right[st.right_key], "inner")
+    steps = list(steps)
+    while steps:
+        first, later = steps[0], []
+        right = _step_columns(first)
+        for st in steps[1:]:
+            if later or st.left_key in base.columns or st.left_key not in right.columns:
+                later.append(st)
+            else:
+                right = _equi_join(right, _step_columns(st), st.left_key, st.right_key)
+        out = _equi_join(out, right, first.left_key, first.right_key, skew)
+        steps = later
     return out
 
 
+def _step_columns(st: ChainStep) -> DataFrame:
+    return st.right.select(st.right_key, *[c for c in st.keep if c != st.right_key])
+
+
+def _equi_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+               skew: SkewSpec | None = None) -> DataFrame:
+    if skew is not None:
+        k = "__chain_key"
+        out = salted_join(left, right.withColumnRenamed(right_key, k), left_key, k, skew, "inner")
+        if left_key != right_key:
+            return out.withColumnRenamed(k, right_key)
+        return out.select(left_key, *[c for c in left.columns if c != left_key],
+                          *[c for c in right.columns if c != right_key])
+    if left_key == right_key:
+        return left.join(right, on=left_key, how="inner")
+    return left.join(right, left[left_key] == right[right_key], "inner")
+
+
 def dim_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                sk: str, out: str, how: str = "left",
-               skew: SkewSpec | None = None, hot: DataFrame | None = None) -> DataFrame:
+               skew: SkewSpec | None = None, hot: dict | None = None) -> DataFrame:
     """Attach ``dim.sk`` as ``out`` by equality of the natural key.
 
     ``how='left'``: a miss keeps the fact row with a NULL key. Duplicate dimension
@@ -84,7 +111,7 @@ def validity_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str
                     ts: str, sk: str, out: str, valid_from: str = "valid_from",
                     valid_to: str = "valid_to", upper: str = "closed",
                     how: str = "left", skew: SkewSpec | None = None,
-                    hot: DataFrame | None = None) -> DataFrame:
+                    hot: dict | None = None) -> DataFrame:
     """Point-in-validity join: the version of ``fact_key`` valid at ``fact.ts``.
 
     An equi-join on the natural key with the range as a residual predicate, so

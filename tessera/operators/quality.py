@@ -64,6 +64,31 @@ def null_key_report(df: DataFrame, cols: list[str]) -> DataFrame:
                   *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{c}") for c in cols])
 
 
+def orphan_report(base: DataFrame, hops: list[tuple[DataFrame, str, str]]) -> DataFrame:
+    """One row: ``rows`` of ``base`` and, per hop, ``orphans_<n>``, the rows whose chain of
+    keys breaks there.
+
+    ``hops``: (table, key it is reached by, its own key), each reached from the one
+    before (the first from ``base``). Rows are first counted per first key (a partial
+    aggregate), so the big side is read once and only per-key counts are joined.
+    """
+    _, first_key, _ = hops[0]
+    out = base.groupBy(F.col(first_key).alias("__k0")).agg(F.count(F.lit(1)).alias("__n"))
+    for i, (table, _, own) in enumerate(hops):
+        cols = [F.col(own).alias(f"__own{i}")]
+        if i + 1 < len(hops):
+            cols.append(F.col(hops[i + 1][1]).alias(f"__k{i + 1}"))
+        hop = table.select(*cols).dropDuplicates([f"__own{i}"])
+        out = out.join(hop, F.col(f"__k{i}") == F.col(f"__own{i}"), "left")
+    reached, sums = F.lit(True), []
+    for i in range(len(hops)):
+        found = F.col(f"__own{i}").isNotNull()
+        sums.append(F.coalesce(F.sum(F.when(reached & ~found, F.col("__n"))), F.lit(0))
+                    .cast("long").alias(f"orphans_{i + 1}"))
+        reached = reached & found
+    return out.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("rows"), *sums)
+
+
 def gate(**reports: DataFrame) -> list[dict]:
     """Evaluate reports (each a one-row frame with ``passed``); raise if any failed.
 

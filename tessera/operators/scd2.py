@@ -104,23 +104,41 @@ def expired_keys(src: DataFrame, dim: DataFrame, spec: Scd2Spec) -> DataFrame:
     return dim.where(F.col(spec.current)).join(ch, spec.key, "left_semi").select(spec.sk)
 
 
+def _same(versions: Column, spec: Scd2Spec) -> Column:
+    """Whether one of ``versions`` (an array of tracked values) equals the row's own."""
+    def equal(v: Column) -> Column:
+        out = F.lit(True)
+        for t in spec.tracked:
+            out = out & (F.col(t).eqNullSafe(v[t]) if spec.null_safe else F.col(t) == v[t])
+        return out
+    return F.coalesce(F.exists(versions, equal), F.lit(False))
+
+
 def merge(src: DataFrame, dim: DataFrame, spec: Scd2Spec,
           now: Column | None = None, changed: DataFrame | None = None) -> DataFrame:
     """Next snapshot: old versions (changed current ones closed at ``now``) + new versions.
 
     Ids missing from the source are left open; duplicate source ids are not
-    deduplicated (parity). The changed ids (partial-aggregated distinct) are
-    joined back to the snapshot on the natural key; for the usual small daily
-    delta AQE turns that into a broadcast join at run time, so the snapshot is
-    scanned, not shuffled; a mass change falls back to a sort-merge join.
-    ``changed`` may pass in a precomputed ``changed_rows(src, dim, spec)``.
+    deduplicated (parity). Both sides are partitioned once, on the natural key:
+    the versions of an id are gathered there, compared with its source row, and
+    the ids found changed meet their versions again without another shuffle.
+    ``changed`` may pass in a precomputed ``changed_rows(src, dim, spec)``; its
+    ids are then joined to the snapshot, which a small delta does by broadcast.
     """
+    if extra := sorted(set(src.columns) - set(dim.columns) - {spec.sk}):
+        raise ValueError(f"columns not in the dimension: {extra}; select them away or add them")
     vt = dim.schema[spec.valid_from].dataType
     ts = _now(now, vt)
     flag = "__scd2_changed"
-    ch = changed_rows(src, dim, spec) if changed is None else changed
-    changed_ids = (ch.select(spec.key).distinct()
-                   .withColumn(flag, F.lit(True)))
+    if changed is None:
+        dim = dim.repartition(spec.key)
+        taken = F.col(spec.current) if spec.match == "current" else F.lit(True)
+        versions = dim.groupBy(F.col(spec.key).alias("__scd2_key")).agg(
+            F.collect_set(F.when(taken, F.struct(*spec.tracked))).alias("__scd2_versions"))
+        changed = (src.join(versions, F.col(spec.key) == F.col("__scd2_key"), "left")
+                   .where(~_same(F.coalesce("__scd2_versions", F.array()), spec))
+                   .select(*src.columns))
+    changed_ids = changed.groupBy(spec.key).agg(F.lit(True).alias(flag))
     closing = F.col(spec.current) & F.col(flag).isNotNull()
     kept = (dim.join(changed_ids, spec.key, "left")
             .select(*[
@@ -128,7 +146,7 @@ def merge(src: DataFrame, dim: DataFrame, spec: Scd2Spec,
                  else F.when(closing, F.lit(False)).otherwise(F.col(c)).alias(c)
                  if c == spec.current else F.col(c))
                 for c in dim.columns]))
-    inserts = new_versions(src, dim, spec, ts, changed=ch).select(*dim.columns)
+    inserts = new_versions(src, dim, spec, ts, changed=changed).select(*dim.columns)
     return kept.unionByName(inserts)
 
 

@@ -2,16 +2,20 @@
 
 A single card, holder or date can carry a third of all movements. A plain
 shuffle join sends all of them to one task. Here the left side is first counted
-per key (a map-side partial aggregate: one row per key per task), keys above
-``threshold`` rows are "hot", and each hot key is spread over
-``ceil(count / threshold)`` salt buckets (at most ``max_buckets``). Left rows of a
-hot key pick a bucket from a hash of their own columns (deterministic, so a
-retried task reproduces the same assignment); the right rows of that key are
-replicated once per bucket. The join then runs on ``(key, salt)``. Every left
-row still meets every matching right row exactly once, so results are exact.
-
-The hot-key table has at most ``rows / threshold`` entries, which is the size
-bound that allows broadcasting it.
+per key (a map-side partial aggregate: one row per key per task). A key with
+more than ``share`` of all rows is "hot" and is spread over
+``ceil(its rows / (share * all rows))`` salt buckets: left rows of the key pick a
+bucket from a hash of ``salt_on`` (all their columns by default, or a unique id;
+deterministic, so a retried task reproduces the same assignment), and the right
+rows of the key are replicated once per bucket. The join then runs on
+``(key, salt)``. Every left row still meets every matching right row exactly
+once, so results are exact. NULL keys match nothing: they are counted like a
+key and spread the same way, without replicating anything.
+
+Both numbers follow from ``share`` whatever the data: fewer than ``1 / share`` keys
+can be hot, and their buckets add up to less than ``2 / share``. That bound is what
+allows the list to be collected and written into the plan as literals, so
+neither side is joined with it. Without a hot key the join is the plain one.
 """
 
 from __future__ import annotations
@@ -24,16 +28,15 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class SkewSpec:
-    threshold: int = 2_000_000   # rows per key above which a key is split
-    max_buckets: int = 8192
+    share: float = 0.01                 # of all rows; a key above it is split
+    salt_on: tuple[str, ...] = ()       # left columns whose hash picks the bucket
 
     def __post_init__(self):
-        if self.threshold < 1 or self.max_buckets < 1:
-            raise ValueError("threshold and max_buckets must be positive")
+        if not 0.0005 <= self.share <= 1:
+            raise ValueError("share must lie between 0.0005 and 1")
 
 
 SALT = "__salt"
-BUCKETS = "__buckets"
 
 
 def key_counts(df: DataFrame, key: str) -> DataFrame:
@@ -41,6 +44,12 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(F.col(key).alias("__hk")).agg(F.count(F.lit(1)).alias("__n"))
 
 
+def key_counts_of(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``(__at, __hk, __n)``: rows per key of several columns of one type, in one pass."""
+    return (df.select(F.posexplode(F.array(*[F.col(k) for k in keys])).alias("__at", "__hk"))
+            .groupBy("__at", "__hk").agg(F.count(F.lit(1)).alias("__n")))
+
+
 def rollup_counts(counts: DataFrame, mapping: DataFrame, from_key: str,
                   to_key: str) -> DataFrame:
     """Re-key counts through a (dimension-sized) mapping ``from_key -> to_key``.
@@ -54,41 +63,56 @@ def rollup_counts(counts: DataFrame, mapping: DataFrame, from_key: str,
 
 
 def hot_from_counts(counts: DataFrame, spec: SkewSpec) -> DataFrame:
-    """``(__hk, __buckets)`` for keys with more than ``spec.threshold`` rows."""
-    return counts.where((F.col("__n") > spec.threshold) & F.col("__hk").isNotNull()).select(
-        "__hk",
-        F.least(F.ceil(F.col("__n") / F.lit(spec.threshold)),
-                F.lit(spec.max_buckets)).cast("int").alias(BUCKETS))
+    """``(__hk, __buckets)`` for the keys (NULL among them) above the share of all rows."""
+    total = counts.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("t")).scalar()
+    limit = total * F.lit(spec.share)
+    return counts.where(F.col("__n") > limit).select(
+        "__hk", F.ceil(F.col("__n") / limit).cast("int").alias("__buckets"))
 
 
 def hot_keys(df: DataFrame, key: str, spec: SkewSpec) -> DataFrame:
-    """``(__hk, __buckets)`` for keys of ``df`` with more than ``spec.threshold`` rows."""
+    """``(__hk, __buckets)`` for keys of ``df`` with more than ``spec.share`` of its rows."""
     return hot_from_counts(key_counts(df, key), spec)
 
 
+def collect_hot(hot: DataFrame) -> dict:
+    """Hot keys and their buckets; fewer than ``1 / share`` rows, see above."""
+    return {r["__hk"]: r["__buckets"] for r in hot.collect()}
+
+
+def _buckets(key: Column, hot: dict) -> Column:
+    """Buckets of a key: NULL for one that is not hot."""
+    known = [k for k in hot if k is not None]
+    out = F.lit(None).cast("int")
+    if known:
+        table = F.create_map(*[F.lit(x) for k in known for x in (k, hot[k])])
+        out = F.when(key.isin(known), F.element_at(table, key))
+    if None in hot:
+        out = F.when(key.isNull(), F.lit(hot[None])).otherwise(out)
+    return out
+
+
 def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                 spec: SkewSpec, how: str = "left",
-                residual: Column | None = None, hot: DataFrame | None = None) -> DataFrame:
+                residual: Column | None = None, hot: dict | None = None) -> DataFrame:
     """``left JOIN right ON left[left_key] = right[right_key] [AND residual]`` with hot keys split.
 
     ``residual`` may reference columns of both sides by their (distinct) names.
-    ``hot`` passes precomputed ``(__hk, __buckets)`` (e.g. from counts taken on
-    the base table before earlier joins) so ``left`` is not evaluated twice.
-    Helper columns are dropped from the result.
+    ``hot`` passes known hot keys (e.g. from counts taken on the base table before
+    earlier joins); otherwise ``left`` is counted first. Helper columns are dropped
+    from the result.
     """
-    hot = hot_keys(left, left_key, spec) if hot is None else hot
-    hot = F.broadcast(hot)  # bounded: at most rows / threshold keys
-    lcols = left.columns
-    l2 = left.join(hot, left[left_key] == hot["__hk"], "left").select(
-        *[left[c] for c in lcols],
-        F.when(F.col(BUCKETS).isNull(), F.lit(0))
-         .otherwise(F.pmod(F.xxhash64(*[left[c] for c in lcols]), F.col(BUCKETS)))
-         .cast("int").alias(SALT))
-    rcols = right.columns
-    r2 = right.join(hot, right[right_key] == hot["__hk"], "left").select(
-        *[right[c] for c in rcols],
-        F.explode(F.when(F.col(BUCKETS).isNull(), F.array(F.lit(0)))
-                  .otherwise(F.sequence(F.lit(0), F.col(BUCKETS) - 1))).alias("__rsalt"))
+    hot = collect_hot(hot_keys(left, left_key, spec)) if hot is None else hot
+    if not hot:
+        cond = left[left_key] == right[right_key]
+        return left.join(right, cond if residual is None else cond & residual, how)
+    salt_on = [c for c in spec.salt_on if c in left.columns] or left.columns
+    buckets = _buckets(left[left_key], hot)
+    l2 = left.select("*", F.when(buckets.isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*[left[c] for c in salt_on]), buckets)).cast("int").alias(SALT))
+    copies = F.coalesce(_buckets(right[right_key], {k: n for k, n in hot.items() if k is not None}),
+                        F.lit(1))
+    r2 = right.select("*", F.explode(F.sequence(F.lit(0), copies - 1)).alias("__rsalt"))
     cond = (l2[left_key] == r2[right_key]) & (l2[SALT] == r2["__rsalt"])
     if residual is not None:
         cond = cond & residual

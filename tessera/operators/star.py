@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tessera.operators.lookup import (ChainStep, calendar_lookup, dim_lookup,
                                       lookup_chain, validity_lookup)
-from tessera.operators.skew import (SkewSpec, hot_from_counts, hot_keys, key_counts,
-                                    rollup_counts, salted_join)
+from tessera.operators.skew import (SkewSpec, collect_hot, hot_from_counts, key_counts,
+                                    key_counts_of, rollup_counts, salted_join)
+from tessera.session import scratch_dir
 
 
 @dataclass(frozen=True)
@@ -74,19 +75,24 @@ def build_fact(movements: DataFrame, chain: list[ChainStep], lookups: list,
             else:
                 remaining.append(lk)
 
-    # Hot keys come from one count per first-hop key on the movements scan;
-    # keys further down the chain are rolled up through the bridge
-    # (dimension-sized), so the joined fact is never evaluated twice.
-    counts = key_counts(movements, first.left_key) if (skew is not None and chain) else None
+    # Hot keys come from one count per first-hop key on the movements scan,
+    # written once; keys further down the chain are rolled up through the bridge
+    # (dimension-sized), so the joined fact is never evaluated to find them.
+    counts = None
+    if skew is not None and chain:
+        path = scratch_dir(movements.sparkSession, "key-counts")
+        key_counts(movements, first.left_key).write.parquet(path)
+        counts = movements.sparkSession.read.parquet(path)
 
     def hot_for(key: str):
         if skew is None:
             return None
         if chain and key == first.left_key:
-            return hot_from_counts(counts, skew)
+            return collect_hot(hot_from_counts(counts, skew))
         if chain and key in bridge.columns:
-            return hot_from_counts(rollup_counts(counts, bridge, first.right_key, key), skew)
-        return None  # computed from the frame itself
+            return collect_hot(hot_from_counts(
+                rollup_counts(counts, bridge, first.right_key, key), skew))
+        return None  # counted on the frame itself
 
     if chain:
         if skew is None:
@@ -133,6 +139,22 @@ class StarJoin:
     columns: dict[str, str]
 
 
+def star_hot_keys(fact: DataFrame, keys: list[str], skew: SkewSpec) -> dict[str, dict]:
+    """Hot keys and their buckets for each of ``keys``; keys of one type share a pass."""
+    by_type: dict[str, list[str]] = {}
+    for k, kind in fact.select(*dict.fromkeys(keys)).dtypes:
+        by_type.setdefault(kind, []).append(k)
+    out: dict[str, dict] = {k: {} for k in keys}
+    for same in by_type.values():
+        counts = key_counts_of(fact, same)
+        total = counts.agg((F.coalesce(F.sum("__n"), F.lit(0)) / len(same)).alias("t")).scalar()
+        limit = total * F.lit(skew.share)
+        for r in counts.where(F.col("__n") > limit).select(
+                "__at", "__hk", F.ceil(F.col("__n") / limit).cast("int").alias("b")).collect():
+            out[same[r["__at"]]][r["__hk"]] = r["b"]
+    return out
+
+
 def flatten(fact: DataFrame, joins: list[StarJoin], fact_columns: dict[str, str],
             how: str = "inner", order: list[str] | None = None,
             skew: SkewSpec | None = None) -> DataFrame:
@@ -141,20 +163,20 @@ def flatten(fact: DataFrame, joins: list[StarJoin], fact_columns: dict[str, str]
     ``how='inner'`` (parity) silently drops fact rows with a NULL or unknown key;
     ``null_key_report`` counts them, ``how='left'`` keeps them.
     Each dimension is pruned to its key plus exported columns before the join;
-    ``skew`` splits hot surrogate keys (a holder with a third of the movements).
+    ``skew`` splits hot surrogate keys (a holder with a third of the movements);
+    all keys of one type are counted in one pass over ``fact``, which should be a
+    stored table, since that pass evaluates it.
     """
     df = fact.select(*[F.col(c).alias(c) for c in
                        dict.fromkeys(list(fact_columns) + [j.fact_sk for j in joins])])
-    base = df
+    hot = star_hot_keys(df, [j.fact_sk for j in joins], skew) if skew is not None else {}
     out = [F.col(c).alias(a) for c, a in fact_columns.items()]
     for i, j in enumerate(joins):
         k = f"__star_k{i}"
         right = j.dim.select(F.col(j.dim_sk).alias(k),
                              *[F.col(c).alias(a) for c, a in j.columns.items()])
         if skew is not None:
-            # hot keys counted on the fact itself, not on the partly joined frame
-            df = salted_join(df, right, j.fact_sk, k, skew, how,
-                             hot=hot_keys(base, j.fact_sk, skew)).drop(k)
+            df = salted_join(df, right, j.fact_sk, k, skew, how, hot=hot[j.fact_sk]).drop(k)
         else:
             df = df.join(right, df[j.fact_sk] == right[k], how).drop(k)
         out += [F.col(a) for a in j.columns.values()]
@@ -164,18 +186,9 @@ def flatten(fact: DataFrame, joins: list[StarJoin], fact_columns: dict[str, str]
     return res
 
 
-def incremental(existing: DataFrame, batch: DataFrame, key: str,
-                prune_on: str | None = None) -> DataFrame:
+def incremental(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Rows of ``batch`` whose ``key`` is not yet in ``existing``: what an append may add.
 
-    A left anti join; only the key column of the existing fact is read. With
-    ``prune_on`` (a partition column of the existing fact, e.g. its date key)
-    the existing side is first restricted to the values the batch carries, which
-    lets Spark prune whole partition folders at run time (dynamic partition
-    pruning) instead of shuffling every key ever loaded. That is exact only when
-    a key never arrives again under a different ``prune_on`` value.
+    A left anti join; only the key column of the existing fact is read.
     """
-    old = existing.select(key, prune_on) if prune_on else existing.select(key)
-    if prune_on:
-        old = old.join(batch.select(prune_on).distinct(), prune_on, "left_semi")
-    return batch.join(old.select(key), key, "left_anti")
+    return batch.join(existing.select(key), key, "left_anti")
