@@ -68,10 +68,10 @@ SELECT c_custkey, c_name, c_nationkey, c_mktsegment, valid_from,
        CASE WHEN is_current AND c_custkey IN (SELECT c_custkey FROM changed)
             THEN {_NOW} ELSE valid_to END AS valid_to,
        CASE WHEN is_current AND c_custkey IN (SELECT c_custkey FROM changed)
-            THEN FALSE ELSE is_current END AS is_current
+            THEN FALSE ELSE is_current END AS is_current, sk AS kept_sk
 FROM holder_dim_prior
 UNION ALL
-SELECT c_custkey, c_name, c_nationkey, c_mktsegment, {_NOW}, CAST(NULL AS TIMESTAMP), TRUE
+SELECT c_custkey, c_name, c_nationkey, c_mktsegment, {_NOW}, CAST(NULL AS TIMESTAMP), TRUE, NULL
 FROM changed""")
 
 
@@ -174,10 +174,11 @@ FROM orders o LEFT JOIN holder_dim_validity d ON o.o_custkey = d.c_custkey
 SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, d.sk AS holder_sk
 FROM orders o LEFT JOIN holder_dim_validity d ON o.o_custkey = d.c_custkey
   AND o.o_orderdate >= d.valid_from AND (o.o_orderdate < d.valid_to OR d.valid_to IS NULL)""",
-    "hot_key_report": """
-SELECT o_custkey, CAST(least(ceil(n / 15), 4) AS INTEGER) AS buckets
-FROM (SELECT o_custkey, count(*) AS n FROM orders WHERE o_custkey IS NOT NULL
-      GROUP BY o_custkey) g WHERE n > 15""",
+    "hot_key_report": f"""
+SELECT o_custkey, CAST(ceil(n / least_n) AS INTEGER) AS buckets
+FROM (SELECT o_custkey, CAST(count(*) AS DOUBLE) AS n FROM orders GROUP BY o_custkey) g,
+     (SELECT count(*) * CAST({sc.BUSY_CUSTOMER} AS DOUBLE) AS least_n FROM orders) t
+WHERE n > least_n""",
     "scd2_new_any": _new_versions(False),
     "scd2_new_active": _new_versions(True),
     "scd2_expire": _expire(False),
@@ -191,18 +192,18 @@ SELECT * FROM holder_dim_prior WHERE sk IN (
     "scd2_first_load": ORACLE_CTES + f"""
 SELECT c_custkey, c_name, c_nationkey, c_mktsegment, {_NOW} AS valid_from,
        CAST(NULL AS TIMESTAMP) AS valid_to, TRUE AS is_current FROM holder_source""",
-    # The dimension holds exactly the source state, so only the comparison rule
-    # decides: '=' never matches a NULL tier, IS NOT DISTINCT FROM does.
+    # Where the dimension holds the source's state only the comparison rule decides:
+    # '=' never matches a NULL tier, IS NOT DISTINCT FROM does.
     "scd2_null_parity": ORACLE_CTES + f"""
 SELECT c_custkey, c_name, tier, {_NOW} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to,
        TRUE AS is_current
 FROM tier_source s WHERE NOT EXISTS (
-  SELECT 1 FROM tier_source d WHERE d.c_custkey = s.c_custkey AND d.tier = s.tier)""",
+  SELECT 1 FROM tier_dim d WHERE d.c_custkey = s.c_custkey AND d.tier = s.tier)""",
     "scd2_null_safe": ORACLE_CTES + f"""
 SELECT c_custkey, c_name, tier, {_NOW} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to,
        TRUE AS is_current
 FROM tier_source s WHERE NOT EXISTS (
-  SELECT 1 FROM tier_source d WHERE d.c_custkey = s.c_custkey
+  SELECT 1 FROM tier_dim d WHERE d.c_custkey = s.c_custkey
     AND d.tier IS NOT DISTINCT FROM s.tier)""",
     "dim_type1_upsert": ORACLE_CTES + """
 SELECT a.c_custkey, a.c_name, a.c_nationkey, a.c_mktsegment, d.sk IS NULL AS is_new,
@@ -239,23 +240,73 @@ SELECT count(*) AS rows,
        count(*) FILTER (WHERE account_sk IS NULL) AS null_account_sk,
        count(*) FILTER (WHERE date_sk IS NULL) AS null_date_sk
 FROM fact""",
+    "dq_dim_key_unique": f"""
+SELECT n AS total_rows, n AS distinct_keys, CAST(0 AS BIGINT) AS duplicate_rows, TRUE AS passed
+FROM (SELECT count(*) AS n FROM ({_merge(False)}) m) t""",
+    "dq_orphans": ORACLE_CTES + f"""
+SELECT count(*) AS rows,
+       count(*) FILTER (WHERE k.c_custkey IS NULL) AS orphans_1,
+       count(*) FILTER (WHERE k.c_custkey IS NOT NULL AND n.n_nationkey IS NULL) AS orphans_2,
+       count(*) FILTER (WHERE n.n_nationkey IS NOT NULL AND r.r_regionkey IS NULL) AS orphans_3
+FROM orders o LEFT JOIN known k ON o.o_custkey = k.c_custkey
+LEFT JOIN (SELECT * FROM nation WHERE n_name <> '{sc.LOST_NATION}') n ON k.c_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
+    "surrogate_key_properties": """
+SELECT count(*) AS keys, count(DISTINCT c_custkey) AS distinct_keys, TRUE AS not_negative,
+       TRUE AS below_modulus FROM customer""",
+    "csv_roundtrip_exact": """
+SELECT o_orderkey, CASE o_orderpriority[1]
+         WHEN '1' THEN 'a;b "quoted" ' || o_orderpriority
+         WHEN '2' THEN '  two' || chr(10) || 'lines' || chr(13) || chr(10) || o_orderpriority || '  '
+         WHEN '3' THEN ''
+         WHEN '4' THEN '"' || o_orderpriority || chr(92) || '"' END AS note,
+       o_orderdate + INTERVAL 123456 MICROSECOND AS at
+FROM orders""",
     "star_flatten": _star("INNER"),
     "star_flatten_left": _star("LEFT"),
     "sample_rows": _star("INNER") + "\nORDER BY movement_id, holder_name LIMIT 5",
     "csv_roundtrip": _star("INNER"),
 }
+_BIRTH = "(DATE '1950-03-09' + CAST(r_regionkey * 2500 AS INTEGER))"
+_DATE_SK = "CAST(strftime(CAST(o_orderdate AS DATE), '%Y%m%d') AS INTEGER) AS date_sk"
 ORACLE["card_pipeline"] = """
-SELECT {0}, {1}, CAST(NULL AS BIGINT) AS age, CAST(o_totalprice AS DECIMAL(10,2)) AS amount,
+SELECT {0}, {1}, {5} AS age, CAST(o_totalprice AS DECIMAL(10,2)) AS amount,
        o_orderkey AS movement_id, o_orderdate AS moved_at,
        CAST(c_custkey AS VARCHAR) AS card_number, {2} AS printed_name,
-       CAST(NULL AS DATE) AS card_issued_on, {3} AS account_type,
-       CAST(NULL AS DATE) AS account_opened_on
-FROM (SELECT o.*, c.*, n.*, string_split({4}, ' ') AS parts
+       DATE '1991-01-15' + CAST(c_nationkey * 30 AS INTEGER) AS card_issued_on, {3} AS account_type,
+       DATE '1985-03-01' + CAST(n_nationkey * 40 AS INTEGER) AS account_opened_on, {6}
+FROM (SELECT o.*, c.*, n.*, r.r_regionkey, string_split({4}, ' ') AS parts
       FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
       JOIN nation n ON c.c_nationkey = n.n_nationkey
       JOIN region r ON n.n_regionkey = r.r_regionkey) t""".format(
     *_split("r_name", "parts", "first_name", "last_name"), _norm("c_name"), _norm("n_name"),
-    _norm("r_name"))
+    _norm("r_name"), _age(_BIRTH, sc.AS_OF_DATE), _DATE_SK)
+ORACLE["card_pipeline_incremental"] = f"""
+SELECT o_orderkey AS movement_id, {_DATE_SK}, CAST(o_totalprice AS DECIMAL(10,2)) AS amount,
+       CASE WHEN late THEN TIMESTAMP '{sc.SECOND_LOAD}' ELSE TIMESTAMP '{sc.PIPELINE_NOW}' END AS loaded_at,
+       r_regionkey AS holder_id,
+       CASE WHEN late AND changed THEN 'WIDOWED' WHEN r_regionkey < 2 THEN 'SINGLE'
+            WHEN r_regionkey < 4 THEN 'MARRIED' ELSE '' END AS marital_status,
+       {_age(_BIRTH, sc.AS_OF_DATE)} AS age, late OR NOT changed AS is_current,
+       CASE WHEN late AND changed THEN TIMESTAMP '{sc.SECOND_LOAD}'
+            ELSE TIMESTAMP '{sc.PIPELINE_NOW}' END AS valid_from
+FROM (SELECT o.*, r.r_regionkey, o.o_orderdate >= TIMESTAMP '{sc.SECOND_LOAD}' AS late,
+             r.r_regionkey >= 3 AS changed
+      FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+      JOIN nation n ON c.c_nationkey = n.n_nationkey
+      JOIN region r ON n.n_regionkey = r.r_regionkey) t"""
+# The known customers' state first, then the whole source: a two-step merge.
+ORACLE["stream_two_batches"] = ORACLE_CTES + f""",
+changed AS (
+  SELECT * FROM holder_source s WHERE NOT EXISTS (
+    SELECT 1 FROM known k WHERE k.c_custkey = s.c_custkey
+      AND k.c_mktsegment = s.c_mktsegment AND k.c_nationkey = s.c_nationkey))
+SELECT c_custkey, c_name, c_nationkey, c_mktsegment, TIMESTAMP '{sc.FIRST_VERSION_FROM}' AS valid_from,
+       CASE WHEN c_custkey IN (SELECT c_custkey FROM changed) THEN {_NOW} END AS valid_to,
+       c_custkey NOT IN (SELECT c_custkey FROM changed) AS is_current
+FROM known
+UNION ALL
+SELECT c_custkey, c_name, c_nationkey, c_mktsegment, {_NOW}, CAST(NULL AS TIMESTAMP), TRUE FROM changed"""
 # Hot-key split variants return exactly what the unsplit queries return.
 ORACLE["validity_lookup_salted"] = ORACLE["validity_lookup_closed"]
 ORACLE["dim_lookup_salted"] = ORACLE["dim_lookup_left"]

@@ -6,6 +6,10 @@ snapshots, so a lost executor or a killed driver restarts a stage, never
 half-applies it: the holder dimension is written as a new snapshot (no in-place
 UPDATE), and the fact is staged, gated, and only then published.
 
+With ``fact_mode="incremental"`` the raw and trusted movements and the fact only
+grow: movements whose id is not there yet are appended to each layer, and no
+load rewrites what is there.
+
 Input contract (raw source tables, see FIXTURES.md):
   holder(holder_id, full_name, birth_date, marital_status, education)
   account(account_id, holder_id, account_type, branch, status, opened_on)
@@ -17,7 +21,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,15 +29,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import (CalendarLookup, ChainStep, KeyLookup, Scd2Spec, SkewSpec,
-                               StarJoin, ValidityLookup, build_fact, calendar, changed_rows,
-                               empty_dimension, flatten, gate, incremental, null_key_report,
-                               key_uniqueness_report, merge, row_count_report,
-                               trusted_account, trusted_card, trusted_holder,
-                               trusted_movement, type1_upsert)
-from tessera.sources import TableStore, copy_tables, export_csv, run_concurrently
+                               StarJoin, ValidityLookup, build_fact, calendar, calendar_for,
+                               changed_rows, empty_dimension, flatten, gate, incremental,
+                               key_uniqueness_report, merge, orphan_report,
+                               row_count_report, trusted_account, trusted_card,
+                               trusted_holder, trusted_movement, type1_upsert)
+from tessera.sources import (TableStore, copy_tables, export_csv, run_concurrently,
+                             write_jdbc)
 
 SOURCE_TABLES = ("holder", "account", "card", "movement")
 STAGES = ("raw", "trusted", "dimensions", "fact", "export")
+OPTIONAL_STAGES = ("publish",)
 
 # The flat file's column order.
 FLAT_COLUMNS = ["first_name", "last_name", "age", "amount", "movement_id", "moved_at",
@@ -48,14 +54,16 @@ class PipelineConfig:
     export_path: str | None = None
     as_of: dt.date | None = None              # date ages are computed at (default: today)
     now: dt.datetime | None = None            # load time of versions and facts (default: now)
+    # The calendar holds these days and, by default, all days between the first and the
+    # last movement; each load adds the days that are missing.
     calendar_start: dt.date = dt.date(2020, 1, 1)
-    calendar_end: dt.date = dt.date(2026, 12, 31)
+    calendar_end: dt.date = dt.date(2029, 12, 31)
+    calendar_from_movements: bool = True
     holder_match: str = "any"                 # SCD2 comparison: any version / current only
     null_safe: bool = False
     validity_upper: str = "closed"            # "half_open" avoids double matches on boundaries
     key_modulus: int | None = None            # 10**10 for the short key form
     fact_mode: str = "full"                   # or "incremental": append unseen movement ids
-    compact_after_appends: int = 30           # rewrite the fact once this many appends pile up
     flatten_how: str = "inner"
     single_file: bool = False
     holder_tracked: tuple[str, ...] = field(
@@ -65,6 +73,13 @@ class PipelineConfig:
     skew: SkewSpec | None = field(default_factory=SkewSpec)
     # Folder partitioning of the published fact (date filters prune folders).
     fact_partition_by: tuple[str, ...] = ("date_sk",)
+    # The publish stage writes dimensions and fact to this database (url, properties).
+    publish_url: str | None = None
+    publish_properties: dict = field(default_factory=dict)
+
+    def __post_init__(self):
+        if self.fact_mode not in ("full", "incremental"):
+            raise ValueError("fact_mode must be 'full' or 'incremental'")
 
 
 def _as_of(cfg: PipelineConfig) -> Column | None:
@@ -72,7 +87,7 @@ def _as_of(cfg: PipelineConfig) -> Column | None:
 
 
 def _now(cfg: PipelineConfig) -> Column:
-    if cfg.now is None:
+    if cfg.now is None:  # a stage called on its own; run() settles one time for all
         return F.current_timestamp()
     return F.lit(cfg.now.isoformat(sep=" ")).cast("timestamp")
 
@@ -82,20 +97,46 @@ def holder_spec(cfg: PipelineConfig) -> Scd2Spec:
                     null_safe=cfg.null_safe, key_modulus=cfg.key_modulus)
 
 
+def _append_new(rows: DataFrame, store: TableStore, name: str, key: str) -> int:
+    """Append the rows whose key the table does not hold yet (all of them on a first load)."""
+    if not store.exists(name):
+        return store.write(rows, name)
+    return store.write(incremental(store.read(name), rows, key), name, mode="append")
+
+
 def stage_raw(spark: SparkSession, cfg: PipelineConfig) -> dict:
     raw = TableStore(spark, cfg.warehouse_root, prefix="raw_")
-    return copy_tables(cfg.read_source, raw, SOURCE_TABLES)
+    if cfg.fact_mode == "full":
+        return copy_tables(cfg.read_source, raw, SOURCE_TABLES)
+    out = copy_tables(cfg.read_source, raw, [t for t in SOURCE_TABLES if t != "movement"])
+    out["movement"] = _append_new(cfg.read_source("movement"), raw, "movement", "movement_id")
+    return out
 
 
 def stage_trusted(spark: SparkSession, cfg: PipelineConfig) -> dict:
+    """Clean every table; the layer must hold as many rows as the raw one, and one per key."""
     raw = TableStore(spark, cfg.warehouse_root, prefix="raw_")
     tr = TableStore(spark, cfg.warehouse_root, prefix="trusted_")
+    out = _write_trusted(raw, tr, cfg)
+    gate(**{f"{t}_rows": row_count_report(raw.read(t), tr.read(t)) for t in SOURCE_TABLES},
+         **{f"{t}_unique": key_uniqueness_report(tr.read(t), f"{t}_id")
+            for t in SOURCE_TABLES if t != "movement"})
+    return out
+
+
+def _write_trusted(raw: TableStore, tr: TableStore, cfg: PipelineConfig) -> dict:
+    def movement() -> int:
+        rows = trusted_movement(raw.read("movement"))
+        if cfg.fact_mode == "incremental":
+            return _append_new(rows, tr, "movement", "movement_id")
+        return tr.write(rows, "movement")
+
     return run_concurrently({
         "holder": lambda: tr.write(trusted_holder(raw.read("holder"), as_of=_as_of(cfg)),
                                    "holder"),
         "account": lambda: tr.write(trusted_account(raw.read("account")), "account"),
         "card": lambda: tr.write(trusted_card(raw.read("card")), "card"),
-        "movement": lambda: tr.write(trusted_movement(raw.read("movement")), "movement"),
+        "movement": movement,
     })
 
 
@@ -106,8 +147,33 @@ def _type1(spark, wh: TableStore, name: str, trusted: DataFrame, key: str,
     else:
         schema = T.StructType([T.StructField("sk", T.LongType(), False)] + trusted.schema.fields)
         dim = spark.createDataFrame([], schema)
-    return wh.write(type1_upsert(trusted, dim, key, now=_now(cfg), modulus=cfg.key_modulus),
-                    name)
+    return _publish_dim(wh, type1_upsert(trusted, dim, key, now=_now(cfg),
+                                         modulus=cfg.key_modulus), name)
+
+
+def _publish_dim(wh: TableStore, dim: DataFrame, name: str) -> int:
+    """Stage a dimension and commit it if its surrogate keys are unique: a collision (which a
+    small ``key_modulus`` makes likely) would multiply facts."""
+    staged = wh.stage(dim, name)
+    gate(**{f"{name}_sk_unique": key_uniqueness_report(wh.read_staged(staged), "sk")})
+    wh.commit(staged)
+    return staged.version
+
+
+def _extend_calendar(spark: SparkSession, wh: TableStore, tr: TableStore,
+                     cfg: PipelineConfig) -> int:
+    """Append the days that the calendar lacks."""
+    days = calendar(spark, cfg.calendar_start, cfg.calendar_end)
+    if cfg.calendar_from_movements:
+        days = days.unionByName(calendar_for(tr.read("movement"), "moved_at")).dropDuplicates(
+            ["date"])
+    if not wh.exists("calendar"):
+        return wh.write(days, "calendar")
+    missing = days.join(wh.read("calendar").select("date"), "date", "left_anti").select(
+        *days.columns)
+    if missing.isEmpty():
+        return wh.current_version("calendar")
+    return wh.write(missing, "calendar", mode="append")
 
 
 def stage_dimensions(spark: SparkSession, cfg: PipelineConfig) -> dict:
@@ -128,8 +194,8 @@ def stage_dimensions(spark: SparkSession, cfg: PipelineConfig) -> dict:
         if changed.isEmpty() and wh.exists("holder"):
             out = {"holder": wh.current_version("holder")}
         else:
-            out = {"holder": wh.write(merge(src, dim, spec, _now(cfg), changed=changed),
-                                      "holder")}
+            out = {"holder": _publish_dim(
+                wh, merge(src, dim, spec, _now(cfg), changed=changed), "holder")}
     finally:
         changed.unpersist()
     card = tr.read("card").select("card_id", "card_number", "printed_name", "brand",
@@ -138,17 +204,15 @@ def stage_dimensions(spark: SparkSession, cfg: PipelineConfig) -> dict:
                                      "opened_on")
     jobs = {"card": lambda: _type1(spark, wh, "card", card, "card_id", cfg),
             "account": lambda: _type1(spark, wh, "account", acct, "account_id", cfg)}
-    if not wh.exists("calendar"):
-        jobs["calendar"] = lambda: wh.write(
-            calendar(spark, cfg.calendar_start, cfg.calendar_end), "calendar")
+    jobs["calendar"] = lambda: _extend_calendar(spark, wh, tr, cfg)
     out.update(run_concurrently(jobs))
     return out
 
 
-def fact_frame(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+def fact_frame(spark: SparkSession, cfg: PipelineConfig, movements: DataFrame) -> DataFrame:
     tr = TableStore(spark, cfg.warehouse_root, prefix="trusted_")
     wh = TableStore(spark, cfg.warehouse_root, prefix="dim_")
-    mv = tr.read("movement").select("movement_id", "card_id", "amount", "moved_at")
+    mv = movements.select("movement_id", "card_id", "amount", "moved_at")
     chain = [
         ChainStep(tr.read("card"), "card_id", "card_id", ("account_id",)),
         ChainStep(tr.read("account"), "account_id", "account_id", ("holder_id",)),
@@ -166,6 +230,19 @@ def fact_frame(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     return build_fact(mv, chain, lookups, cols, loaded_at=_now(cfg), skew=cfg.skew)
 
 
+FACT_KEYS = ("holder_sk", "card_sk", "account_sk", "date_sk")
+
+
+def fact_report(written: DataFrame) -> DataFrame:
+    """One row over the staged fact: rows, NULLs per key, movements whose day is in no calendar."""
+    undated = F.col("date_sk").isNull() & F.col("moved_at").isNotNull()
+    return written.agg(F.count(F.lit(1)).alias("rows"),
+                       *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{c}")
+                         for c in FACT_KEYS],
+                       F.count(F.when(undated, 1)).alias("undated")
+                       ).withColumn("passed", F.col("undated") == 0)
+
+
 def stage_fact(spark: SparkSession, cfg: PipelineConfig) -> dict:
     """Build, stage, gate, publish. Nothing is published when a check fails.
 
@@ -175,14 +252,11 @@ def stage_fact(spark: SparkSession, cfg: PipelineConfig) -> dict:
     """
     tr = TableStore(spark, cfg.warehouse_root, prefix="trusted_")
     ft = TableStore(spark, cfg.warehouse_root, prefix="fact_")
-    built = fact_frame(spark, cfg)
-    mode = "overwrite"
-    source = tr.read("movement")
+    mode, source = "overwrite", tr.read("movement")
     if cfg.fact_mode == "incremental" and ft.exists("movement"):
-        existing = ft.read("movement")
-        built = incremental(existing, built, "movement_id")
-        source = source.join(existing.select("movement_id"), "movement_id", "left_anti")
+        source = incremental(ft.read("movement"), source, "movement_id")
         mode = "append"
+    built = fact_frame(spark, cfg, source)
     part = list(cfg.fact_partition_by) or None
     if part:
         # Rebalance on the partition columns: AQE splits a busy day over several
@@ -191,17 +265,21 @@ def stage_fact(spark: SparkSession, cfg: PipelineConfig) -> dict:
         built = built.hint("rebalance", *part)
     staged = ft.stage(built, "movement", partition_by=part)
     written = ft.read_staged(staged)
-    report = gate(row_count=row_count_report(source, written),
-                  unique_movement=key_uniqueness_report(written, "movement_id"))
+    orphans = orphan_report(source, [(tr.read("card"), "card_id", "card_id"),
+                                     (tr.read("account"), "account_id", "account_id"),
+                                     (tr.read("holder"), "holder_id", "holder_id")])
+    hops = ("card", "account", "holder")
+    orphans = orphans.select(
+        *[F.col(f"orphans_{i + 1}").alias(f"without_{h}") for i, h in enumerate(hops)]
+    ).withColumn("passed", sum((F.col(f"without_{h}") for h in hops), F.lit(0)) == 0)
+    report = gate(orphans=orphans, row_count=row_count_report(source, written),
+                  unique_movement=key_uniqueness_report(written, "movement_id"),
+                  calendar=fact_report(written))
     ft.commit(staged, mode)
     # Informational: rows with a NULL key are kept in the fact but an inner
     # star flatten drops them (e.g. a movement before its holder's first version).
-    nulls = null_key_report(written, ["holder_sk", "card_sk", "account_sk", "date_sk"]).first()
-    out = {"version": staged.version, "mode": mode, "checks": report,
-           "null_keys": nulls.asDict()}
-    if mode == "append" and ft.appends_since_overwrite("movement") >= cfg.compact_after_appends:
-        out["compacted_to"] = ft.compact("movement", partition_by=part)
-    return out
+    nulls = {k: v for r in report for k, v in r.items() if k == "rows" or k.startswith("null_")}
+    return {"version": staged.version, "mode": mode, "checks": report, "null_keys": nulls}
 
 
 def flat_frame(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
@@ -228,11 +306,37 @@ def stage_export(spark: SparkSession, cfg: PipelineConfig) -> dict:
     return {"path": cfg.export_path}
 
 
+def stage_publish(spark: SparkSession, cfg: PipelineConfig) -> dict:
+    """Write the dimensions (replaced) and the fact to a database.
+
+    The fact is replaced as well unless the load is incremental: then the rows of
+    the last append are added, so the stage is to run once after each load.
+    """
+    if not cfg.publish_url:
+        raise ValueError("publish_url is required for the publish stage")
+    wh = TableStore(spark, cfg.warehouse_root, prefix="dim_")
+    ft = TableStore(spark, cfg.warehouse_root, prefix="fact_")
+    for name in ("holder", "card", "account", "calendar"):
+        write_jdbc(wh.read(name), cfg.publish_url, f"dim_{name}", cfg.publish_properties)
+    append = cfg.fact_mode == "incremental" and ft.appends_since_overwrite("movement") > 0
+    rows = ft.read_last("movement") if append else ft.read("movement")
+    write_jdbc(rows, cfg.publish_url, "fact_movement", cfg.publish_properties,
+               mode="append" if append else "overwrite")
+    return {"fact": "append" if append else "overwrite"}
+
+
 _RUNNERS = {"raw": stage_raw, "trusted": stage_trusted, "dimensions": stage_dimensions,
-            "fact": stage_fact, "export": stage_export}
+            "fact": stage_fact, "export": stage_export, "publish": stage_publish}
 
 
 def run(spark: SparkSession, cfg: PipelineConfig, stages=STAGES) -> dict:
-    """Run the given stages in order; a failed quality gate raises and stops the run."""
+    """Run the given stages in order; a failed quality gate raises and stops the run.
+
+    The load time is settled once for all stages of the run.
+    """
+    if unknown := [s for s in stages if s not in _RUNNERS]:
+        raise ValueError(f"unknown stages {unknown}; there are {list(_RUNNERS)}")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return {s: _RUNNERS[s](spark, cfg) for s in stages if s in _RUNNERS}
+    if cfg.now is None:
+        cfg = replace(cfg, now=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+    return {s: _RUNNERS[s](spark, cfg) for s in stages}

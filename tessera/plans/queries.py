@@ -20,7 +20,7 @@ from tessera.operators import (CalendarLookup, ChainStep, KeyLookup, SkewSpec, S
                                clean, dim_lookup, duplicate_keys, expired_keys,
                                first_load, flatten, incremental, key_uniqueness_report,
                                lookup_chain, merge, new_versions, null_key_report,
-                               hot_keys, row_count_report, trusted_holder, type1_upsert,
+                               hot_keys, orphan_report, row_count_report, trusted_holder, type1_upsert,
                                validity_lookup)
 from tessera.plans import scenarios as sc
 from tessera.plans.pipeline import PipelineConfig, flat_frame, run
@@ -151,14 +151,11 @@ def _validity(upper, skew=None):
     return q
 
 
-# Hot-key splitting tuned so that, on these tables (about ten orders per
-# customer), the busiest customers are split: results are identical to the
-# unsplit queries, which is what their shared oracle checks.
-SPLIT_BUSY_CUSTOMERS = SkewSpec(threshold=15, max_buckets=4)
-
-
-# Regions hold a fifth of all orders each: every holder key is hot at this threshold.
-SPLIT_BUSY_HOLDERS = SkewSpec(threshold=1000, max_buckets=16)
+# Hot-key splitting at shares that the busiest customers (and every region, with a
+# fifth of all orders each) exceed: results are identical to the unsplit queries, which
+# is what their shared oracle checks.
+SPLIT_BUSY_CUSTOMERS = SkewSpec(share=sc.BUSY_CUSTOMER, salt_on=("o_orderkey",))
+SPLIT_BUSY_HOLDERS = SkewSpec(share=0.05, salt_on=("movement_id",))
 
 
 def hot_key_report(spark, d):
@@ -198,10 +195,16 @@ def expired_rows_semi(spark, d):
     return dim.join(exp, "sk", "left_semi")
 
 
+def kept_keys(dim, load_time):
+    """``sk`` as ``kept_sk`` for versions older than the load, NULL for those it made."""
+    return dim.withColumn("kept_sk", F.when(F.col("valid_from") < ts(load_time),
+                                            F.col("sk"))).drop("sk")
+
+
 def _merge(match):
     def q(spark, d):
-        return merge(sc.holder_source(spark, d), sc.holder_dim_prior(spark, d),
-                     _spec(match), ts(sc.LOAD_NOW)).drop("sk")
+        return kept_keys(merge(sc.holder_source(spark, d), sc.holder_dim_prior(spark, d),
+                               _spec(match), ts(sc.LOAD_NOW)), sc.LOAD_NOW)
     return q
 
 
@@ -223,6 +226,16 @@ def surrogate_key_q(spark, d):
         "c_custkey", surrogate_key("c_custkey", ts(sc.LOAD_NOW)).alias("sk"))
 
 
+def surrogate_key_properties(spark, d):
+    """What holds for any surrogate key, in both forms."""
+    k = load(spark, d, "customer").select(
+        surrogate_key("c_custkey", ts(sc.LOAD_NOW)).alias("sk"),
+        surrogate_key("c_custkey", ts(sc.LOAD_NOW), modulus=10**10).alias("short"))
+    return k.agg(F.count(F.lit(1)).alias("keys"), F.countDistinct("sk").alias("distinct_keys"),
+                 (F.min("sk") >= 0).alias("not_negative"),
+                 ((F.min("short") >= 0) & (F.max("short") < 10**10)).alias("below_modulus"))
+
+
 def dim_type1_upsert(spark, d):
     out = type1_upsert(sc.active_source(spark, d), sc.card_dim(spark, d), "c_custkey",
                        now=ts(sc.LOAD_NOW), new_flag="is_new")
@@ -282,6 +295,20 @@ def dq_null_keys(spark, d):
     return null_key_report(fact(spark, d), ["holder_sk", "card_sk", "account_sk", "date_sk"])
 
 
+def dq_dim_key_unique(spark, d):
+    """The gate on a merged dimension's surrogate keys."""
+    return key_uniqueness_report(merge(sc.holder_source(spark, d), sc.holder_dim_prior(spark, d),
+                                       _spec("any"), ts(sc.LOAD_NOW)), "sk")
+
+
+def dq_orphans(spark, d):
+    return orphan_report(load(spark, d, "orders"), [
+        (sc.known_customers(spark, d), "o_custkey", "c_custkey"),
+        (load(spark, d, "nation").where(F.col("n_name") != sc.LOST_NATION), "c_nationkey",
+         "n_nationkey"),
+        (load(spark, d, "region"), "n_regionkey", "r_regionkey")])
+
+
 def _star(how, skew=None):
     def q(spark, d):
         joins = [
@@ -290,7 +317,12 @@ def _star(how, skew=None):
                      {"c_name": "card_name", "c_mktsegment": "card_segment"}),
             StarJoin(sc.account_dim(spark, d), "account_sk", "sk", {"n_name": "account_name"}),
         ]
-        return flatten(fact(spark, d), joins,
+        f = fact(spark, d)
+        if skew is not None:  # counting keys reads the fact once more: from the stored table
+            store = TableStore(spark, scratch_dir(spark, "fact"), prefix="fact_")
+            store.write(f, "movement")
+            f = store.read("movement")
+        return flatten(f, joins,
                        {"movement_id": "movement_id", "amount": "amount", "moved_at": "moved_at"},
                        how=how, skew=skew)
     return q
@@ -338,24 +370,53 @@ def csv_roundtrip(spark, d):
     return read_csv(spark, path, FLAT_SCHEMA)
 
 
-def card_source(spark, d):
-    """The test tables in the card pipeline's raw input contract."""
-    null_date = F.lit(None).cast("date")
-    null_text = F.lit(None).cast("string")
+AWKWARD = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("note", T.StringType()),
+                        T.StructField("at", T.TimestampNTZType())])
+
+
+def csv_roundtrip_exact(spark, d):
+    """Every order with a text that holds separators, quotes, line breaks and blanks, or is
+    empty or NULL, and a time with microseconds; written and read back exactly."""
+    p = F.col("o_orderpriority")
+    note = (F.when(p.startswith("1"), F.concat(F.lit("a;b \"quoted\" "), p))
+            .when(p.startswith("2"), F.concat(F.lit("  two\nlines\r\n"), p, F.lit("  ")))
+            .when(p.startswith("3"), F.lit(""))
+            .when(p.startswith("4"), F.concat(F.lit('"'), p, F.lit('\\"'))))
+    at = F.col("o_orderdate") + F.expr("INTERVAL '0.123456' SECOND")
+    path = scratch_dir(spark, "awkward")
+    export_csv(load(spark, d, "orders").select("o_orderkey", note.alias("note"), at.alias("at")),
+               path, exact=True)
+    return read_csv(spark, path, AWKWARD, exact=True)
+
+
+def card_source(spark, d, later=False):
+    """The test tables in the card pipeline's raw input contract.
+
+    ``later`` gives the state of a later load: some holders' marital status has changed.
+    """
+    day = lambda start, n: F.date_add(F.lit(start).cast("date"), n.cast("int"))
+    region, nation = F.col("r_regionkey"), F.col("n_nationkey")
+    status = F.when(region < 2, F.lit(" single")).when(region < 4, F.lit("married "))
+    if later:
+        status = F.when(region >= 3, F.lit("widowed")).otherwise(status)
     frames = {
         "holder": load(spark, d, "region").select(
-            F.col("r_regionkey").alias("holder_id"), F.col("r_name").alias("full_name"),
-            null_date.alias("birth_date"), null_text.alias("marital_status"),
-            null_text.alias("education")),
+            region.alias("holder_id"), F.col("r_name").alias("full_name"),
+            day("1950-03-09", region * 2500).alias("birth_date"),
+            status.alias("marital_status"),
+            F.when(region != 2, F.lit("higher ")).alias("education")),
         "account": load(spark, d, "nation").select(
-            F.col("n_nationkey").alias("account_id"), F.col("n_regionkey").alias("holder_id"),
-            F.col("n_name").alias("account_type"), null_text.alias("branch"),
-            null_text.alias("status"), null_date.alias("opened_on")),
+            nation.alias("account_id"), F.col("n_regionkey").alias("holder_id"),
+            F.col("n_name").alias("account_type"),
+            F.lpad(nation.cast("string"), 4, "0").alias("branch"),
+            F.when(nation < 20, F.lit("open")).otherwise(F.lit("closed")).alias("status"),
+            day("1985-03-01", nation * 40).alias("opened_on")),
         "card": load(spark, d, "customer").select(
             F.col("c_custkey").alias("card_id"), F.col("c_nationkey").alias("account_id"),
             F.col("c_custkey").cast("string").alias("card_number"),
             F.col("c_name").alias("printed_name"), F.col("c_mktsegment").alias("brand"),
-            null_text.alias("card_type"), null_date.alias("issued_on")),
+            F.lower("c_mktsegment").alias("card_type"),
+            day("1991-01-15", F.col("c_nationkey") * 30).alias("issued_on")),
         "movement": load(spark, d, "orders").select(
             F.col("o_orderkey").alias("movement_id"), F.col("o_custkey").alias("card_id"),
             F.col("o_orderpriority").alias("description"),
@@ -365,16 +426,55 @@ def card_source(spark, d):
     return frames.__getitem__
 
 
+def _dated(spark, cfg, rows):
+    """``rows`` with the published fact's date key."""
+    keys = TableStore(spark, cfg.warehouse_root, prefix="fact_").read("movement")
+    return rows.join(keys.select("movement_id", "date_sk"), "movement_id")
+
+
 def card_pipeline(spark, d):
-    """The whole card preset (raw, trusted, dimensions, fact with its gate, CSV
-    export) over the test tables; returns the flat rows from the published tables.
-    Holder versions open at PIPELINE_NOW, before every order."""
+    """The whole card preset (raw, trusted, dimensions, fact with its gates, CSV
+    export) over the test tables; returns the flat rows from the published tables
+    with their date key. Holder versions open at PIPELINE_NOW, before every order."""
     root = scratch_dir(spark, "card-wh")
     cfg = PipelineConfig(read_source=card_source(spark, d), warehouse_root=root,
                          export_path=f"{root}/flat", as_of=dt.date.fromisoformat(sc.AS_OF_DATE),
                          now=dt.datetime.fromisoformat(sc.PIPELINE_NOW))
     run(spark, cfg)
-    return flat_frame(spark, cfg)
+    return _dated(spark, cfg, flat_frame(spark, cfg))
+
+
+def card_pipeline_incremental(spark, d):
+    """Three incremental loads of the card preset: the orders before SECOND_LOAD, then all
+    orders with some holders changed, then nothing new. Returns the published fact with the
+    holder version each row points to."""
+    first, later = card_source(spark, d), card_source(spark, d, later=True)
+    early = {"movement": first("movement").where(F.col("moved_at") < ts(sc.SECOND_LOAD))}
+    cfg = PipelineConfig(
+        read_source=lambda t: early.get(t, first(t)), warehouse_root=scratch_dir(spark, "inc-wh"),
+        as_of=dt.date.fromisoformat(sc.AS_OF_DATE), fact_mode="incremental",
+        validity_upper="half_open", calendar_start=dt.date(1999, 1, 1),
+        calendar_end=dt.date(1999, 12, 31), now=dt.datetime.fromisoformat(sc.PIPELINE_NOW))
+    stages = ("raw", "trusted", "dimensions", "fact")
+    run(spark, cfg, stages)
+    for now in (sc.SECOND_LOAD, sc.THIRD_LOAD):
+        run(spark, replace(cfg, read_source=later, now=dt.datetime.fromisoformat(now)), stages)
+    fact_rows = TableStore(spark, cfg.warehouse_root, prefix="fact_").read("movement")
+    holder = TableStore(spark, cfg.warehouse_root, prefix="dim_").read("holder").select(
+        F.col("sk").alias("holder_sk"), "holder_id", "marital_status", "age", "is_current",
+        F.col("valid_from").cast("timestamp_ntz").alias("valid_from"))
+    return fact_rows.join(holder, "holder_sk").select(
+        "movement_id", "date_sk", "amount", F.col("loaded_at").cast("timestamp_ntz").alias("loaded_at"),
+        "holder_id", "marital_status", "age", "is_current", "valid_from")
+
+
+def _stream(spark, landing, schema, store, now, **options):
+    q = start_dimension_stream(spark, landing, schema, store, "holder", sc.HOLDER_SPEC,
+                               checkpoint=scratch_dir(spark, "stream-ckpt"),
+                               now=lambda: ts(now), **options)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")
 
 
 def stream_first_load(spark, d):
@@ -385,12 +485,25 @@ def stream_first_load(spark, d):
     src = sc.holder_source(spark, d)
     src.write.parquet(landing)
     store = TableStore(spark, scratch_dir(spark, "stream-wh"))
-    q = start_dimension_stream(spark, landing, src.schema, store, "holder", sc.HOLDER_SPEC,
-                               checkpoint=scratch_dir(spark, "stream-ckpt"),
-                               now=lambda: ts(sc.LOAD_NOW))
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(f"stream failed: {q.exception()}")
+    _stream(spark, landing, src.schema, store, sc.LOAD_NOW)
+    store.refresh()
+    return store.read("holder").drop("sk")
+
+
+def stream_two_batches(spark, d):
+    """Two streams into one dimension, the second with a checkpoint of its own: the known
+    customers first, then the whole source, where every customer comes with a stale row and
+    the latest one. Equals a two-step merge."""
+    store = TableStore(spark, scratch_dir(spark, "stream-wh"))
+    known = sc.known_customers(spark, d).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    src = sc.holder_source(spark, d)
+    stale = src.withColumn("c_mktsegment", F.lit("STALE")).withColumn("seq", F.lit(1))
+    for rows, now, options in ((known, sc.FIRST_VERSION_FROM, {}),
+                               (stale.unionByName(src.withColumn("seq", F.lit(2))), sc.LOAD_NOW,
+                                {"latest_by": "seq"})):
+        landing = scratch_dir(spark, "landing")
+        rows.write.parquet(landing)
+        _stream(spark, landing, rows.schema, store, now, **options)
     store.refresh()
     return store.read("holder").drop("sk")
 
@@ -425,6 +538,7 @@ QUERIES: dict[str, Query] = {
     "scd2_null_parity": _tier_new(False),
     "scd2_null_safe": _tier_new(True),
     "surrogate_key": surrogate_key_q,
+    "surrogate_key_properties": surrogate_key_properties,
     "dim_type1_upsert": dim_type1_upsert,
     "fact_build": fact,
     "fact_build_salted": fact_salted,
@@ -434,12 +548,17 @@ QUERIES: dict[str, Query] = {
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_fact_pk_unique": dq_fact_pk_unique,
     "dq_null_keys": dq_null_keys,
+    "dq_dim_key_unique": dq_dim_key_unique,
+    "dq_orphans": dq_orphans,
     "star_flatten": star_flatten,
     "star_flatten_left": _star("left"),
     "star_flatten_salted": _star("inner", SPLIT_BUSY_HOLDERS),
     "star_flatten_sql": star_flatten_sql,
     "sample_rows": sample_rows,
     "csv_roundtrip": csv_roundtrip,
+    "csv_roundtrip_exact": csv_roundtrip_exact,
     "card_pipeline": card_pipeline,
+    "card_pipeline_incremental": card_pipeline_incremental,
     "stream_first_load": stream_first_load,
+    "stream_two_batches": stream_two_batches,
 }

@@ -23,11 +23,15 @@ SPLIT_AT = "1998-01-01 00:00:00"       # boundary shared by two versions
 LOAD_NOW = "2002-01-01 00:00:00"       # the merge / fact load time
 AS_OF_DATE = "2002-01-01"              # reference date for ages
 PIPELINE_NOW = "1990-01-01 00:00:00"   # load time of the card-pipeline query
+SECOND_LOAD = "1998-01-01 00:00:00"    # later loads of the incremental card-pipeline query
+THIRD_LOAD = "2001-01-01 00:00:00"
 ACTIVE_FROM = "2001-01-01 00:00:00"    # customers still active in the type-1 source
 INCREMENTAL_CUT = "2000-01-01 00:00:00"  # facts before this are already loaded
 RICH_BALANCE = 9000.0                  # customers at or above had a former 'OLD' segment
 DELINQUENT = "DELINQUENT"              # segment of customers with a negative balance
 FORMER_SEGMENT = "OLD"
+LOST_NATION = "NATION_7"               # a nation missing from the chain of the orphan report
+MOVED_SEGMENT = "BUILDING"             # customers whose balance tier changed since the last load
 NEW_REGION_SUFFIX = " (RENAMED)"
 
 
@@ -36,19 +40,9 @@ def ts(s: str) -> Column:
     return F.lit(s).cast("timestamp_ntz")
 
 
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a test table; its schema is inferred once per path, then passed in
-    (skips re-reading the parquet footer on every query build)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """Read a test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 HOLDER_SPEC = Scd2Spec(key="c_custkey", tracked=("c_mktsegment", "c_nationkey"),
@@ -90,6 +84,7 @@ def holder_dim_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v1.unionByName(v2)
 
 
+BUSY_CUSTOMER = 0.001                  # share of all orders above which a customer is split
 TIER_WIDTH = 2500.0                    # balance band width of the nullable tier attribute
 TIER_SPEC = Scd2Spec(key="c_custkey", tracked=("tier",), sk="sk",
                      validity_type=T.TimestampNTZType())
@@ -104,9 +99,15 @@ def tier_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tier_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One current version per customer holding exactly the source state."""
-    return tier_source(spark, sf_dir).select(
-        (F.col("c_custkey") * 2).alias("sk"), "c_custkey", "c_name", "tier",
+    """One current version per customer: the source state, except that customers of
+    MOVED_SEGMENT were a tier higher (in tier 0 where they have none now)."""
+    moved = load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("__k"), (F.col("c_mktsegment") == MOVED_SEGMENT).alias("__moved"))
+    former = F.when(F.col("__moved"), F.coalesce(F.col("tier") + 1, F.lit(0))).otherwise(
+        F.col("tier"))
+    src = tier_source(spark, sf_dir)
+    return src.join(moved, src["c_custkey"] == moved["__k"]).select(
+        (F.col("c_custkey") * 2).alias("sk"), "c_custkey", "c_name", former.alias("tier"),
         ts(FIRST_VERSION_FROM).alias("valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("valid_to"), F.lit(True).alias("is_current"))
 
@@ -195,6 +196,10 @@ tier_source AS (
   SELECT c_custkey, c_name,
          CASE WHEN c_acctbal >= 0 THEN CAST(floor(c_acctbal / {TIER_WIDTH}) AS INTEGER) END AS tier
   FROM customer),
+tier_dim AS (
+  SELECT t.c_custkey, CASE WHEN c.c_mktsegment = '{MOVED_SEGMENT}' THEN coalesce(t.tier + 1, 0)
+                           ELSE t.tier END AS tier
+  FROM tier_source t JOIN customer c ON c.c_custkey = t.c_custkey),
 account_dim AS (
   SELECT CAST(n_nationkey + 1000 AS BIGINT) AS sk, n_nationkey, n_name, n_regionkey FROM nation),
 region_holder_dim AS (
