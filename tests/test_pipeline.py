@@ -1,4 +1,4 @@
-"""End-to-end card pipeline on our own seed rows (same shapes as the original pipeline's inputs)."""
+"""End-to-end card pipeline on invented rows."""
 
 import datetime as dt
 import glob
@@ -9,25 +9,27 @@ import pytest
 
 from tessera.operators import QualityError
 from tessera.plans.pipeline import PipelineConfig, run
+from tessera.sources import TableStore, read_jdbc
 
 D, TS = dt.date, dt.datetime
-AS_OF = D(2025, 8, 20)
-
-HOLDER = [("H1", "  ana   silva ", D(1985, 8, 10), " casado", "superior "),
-          ("H2", "joão oliveira", D(1993, 2, 1), "solteiro", "MÉDIO"),
-          ("H3", "Carlos", D(2000, 8, 21), None, "superior")]
-ACCOUNT = [("A1", "H1", " corrente", "0001", "ativa", D(2019, 2, 20)),
-           ("A2", "H2", "poupança", "0002", "ativa", D(2020, 1, 21)),
-           ("A3", "H3", "corrente ", "0001", "ativa", D(2018, 7, 15))]
-CARD = [("C1", "A1", "000101", " nome 101", "visa", "credito", D(2023, 1, 15)),
-        ("C2", "A1", "000102", "nome 102", "visa", "debito", D(2023, 1, 15)),
-        ("C3", "A2", "000103", "nome 103", "master", "credito", D(2022, 5, 20)),
-        ("C4", "A3", "000104", "nome 104", "elo", "credito", D(2021, 8, 5))]
-MOVEMENT = [("M1", "C1", " compra ", Decimal("55.75"), TS(2025, 8, 14, 10, 30)),
-            ("M2", "C2", None, Decimal("120"), TS(2025, 8, 14, 11, 45)),
-            ("M3", "C3", "saque", Decimal("25.5"), TS(2025, 8, 15, 0, 0)),
-            ("M4", "C4", "pix", Decimal("10.99"), TS(2025, 8, 16, 9, 30)),
-            ("M5", "C1", "early", Decimal("1.00"), TS(2025, 8, 13, 23, 59))]  # before first load
+AS_OF = D(2031, 4, 6)
+FIRST = TS(2031, 2, 3)
+
+HOLDER = [("P-7", " maren  toivola ", D(1971, 4, 7), "widowed ", " doctorate"),
+          ("P-8", "idris okafor bello", D(2004, 2, 29), "single", "ensino técnico"),
+          ("P-9", "Yun", D(2012, 12, 31), None, "primary")]
+ACCOUNT = [("ac-31", "P-7", " savings", "0420", "open", D(2011, 6, 17)),
+           ("ac-32", "P-8", "joint", "0007", "open", D(2027, 9, 30)),
+           ("ac-33", "P-9", "youth ", "0420", "frozen", D(2026, 1, 1))]
+CARD = [("k1", "ac-31", "730011", " m toivola", "lumen", "prepaid", D(2030, 3, 9)),
+        ("k2", "ac-31", "730012", "m toivola", "lumen", "charge", D(2029, 12, 24)),
+        ("k3", "ac-32", "730013", "i o bello", "orbit", "prepaid", D(2028, 2, 29)),
+        ("k4", "ac-33", "730014", "yun", "orbit", "gift", D(2031, 1, 2))]
+MOVEMENT = [("t1", "k1", " ferry ", Decimal("8.05"), TS(2031, 2, 11, 6, 5, 4)),
+            ("t2", "k2", None, Decimal("4100"), TS(2031, 2, 12, 23, 59, 59)),
+            ("t3", "k3", "seed;s", Decimal("17.3"), TS(2031, 3, 1)),
+            ("t4", "k4", "kite", Decimal("0.01"), TS(2031, 3, 31, 13)),
+            ("t5", "k1", "before", Decimal("66.60"), TS(2031, 2, 2, 22, 22))]  # before first load
 SCHEMAS = {
     "holder": "holder_id string, full_name string, birth_date date, marital_status string, "
               "education string",
@@ -49,10 +51,8 @@ def source(spark, tables):
 
 
 def csv_lines(path):
-    files = glob.glob(f"{path}/*.csv")
-    lines = []
-    header = None
-    for f in files:
+    lines, header = [], None
+    for f in glob.glob(f"{path}/*.csv"):
         rows = open(f, encoding="utf-8").read().splitlines()
         header, body = rows[0], rows[1:]
         lines += body
@@ -62,7 +62,7 @@ def csv_lines(path):
 def cfg_for(spark, tmp_path, tables, now, **kw):
     return PipelineConfig(read_source=source(spark, tables),
                           warehouse_root=str(tmp_path / "wh"),
-                          export_path=str(tmp_path / f"flat-{now:%Y%m%d}"),
+                          export_path=str(tmp_path / f"flat-{now:%Y%m%d}" if now else "flat"),
                           as_of=AS_OF, now=now, single_file=True, **kw)
 
 
@@ -72,84 +72,165 @@ def tables():
             "movement": list(MOVEMENT)}
 
 
-def test_pipeline_runs(spark, tmp_path, tables):
-    """One warehouse through four loads: golden first load, an incremental append,
-    a holder change (new version + validity lookup), and a load the gate rejects."""
-    from tessera.sources import TableStore
+def layer(spark, cfg, prefix):
+    return TableStore(spark, cfg.warehouse_root, prefix=prefix)
+
 
+def test_pipeline_runs(spark, tmp_path, tables):
+    """One warehouse through several loads: golden first load, a holder change (new
+    version and validity lookup), and a load the gates reject."""
     # 1. first load: golden flat file
-    cfg = cfg_for(spark, tmp_path, tables, TS(2025, 8, 14))
+    cfg = cfg_for(spark, tmp_path, tables, FIRST)
     out = run(spark, cfg)
-    assert {c["check"] for c in out["fact"]["checks"]} == {"row_count", "unique_movement"}
-    # M5 predates its holder's first version; every date is in the calendar
-    assert out["fact"]["null_keys"]["null_holder_sk"] == 1
-    assert out["fact"]["null_keys"]["null_date_sk"] == 0
+    assert {c["check"] for c in out["fact"]["checks"]} == {"orphans", "row_count", "unique_movement",
+                                                           "calendar"}
+    # t5 predates its holder's first version; every date is in the calendar, past its default end
+    assert out["fact"]["null_keys"] == {"rows": 5, "null_holder_sk": 1, "null_card_sk": 0,
+                                        "null_account_sk": 0, "null_date_sk": 0}
     header, lines = csv_lines(cfg.export_path)
     assert header == ("first_name;last_name;age;amount;movement_id;moved_at;card_number;"
                       "printed_name;card_issued_on;account_type;account_opened_on")
     # The CSV writer trims leading blanks of unquoted fields (Spark default), so the
-    # inner run of spaces in "ANA   SILVA" leaves "SILVA" in the file.
+    # inner run of blanks in "MAREN  TOIVOLA" leaves "TOIVOLA" in the file.
+    maren, bello, yun = (age(h[2]) for h in HOLDER)
     assert lines == sorted([
-        f"ANA;SILVA;{age(D(1985, 8, 10))};55.75;M1;2025-08-14T10:30:00.000Z;000101;NOME 101;"
-        "2023-01-15;CORRENTE;2019-02-20",
-        f"ANA;SILVA;{age(D(1985, 8, 10))};120.00;M2;2025-08-14T11:45:00.000Z;000102;NOME 102;"
-        "2023-01-15;CORRENTE;2019-02-20",
-        f"JOÃO;OLIVEIRA;{age(D(1993, 2, 1))};25.50;M3;2025-08-15T00:00:00.000Z;000103;NOME 103;"
-        "2022-05-20;POUPANÇA;2020-01-21",
-        f"CARLOS;;{age(D(2000, 8, 21))};10.99;M4;2025-08-16T09:30:00.000Z;000104;NOME 104;"
-        "2021-08-05;CORRENTE;2018-07-15",
-    ])  # M5 happened before the holder's first version: NULL key, dropped by the inner star
-    facts = TableStore(spark, cfg.warehouse_root, prefix="fact_")
-
-    # 2. incremental: only the unseen movement is appended
-    tables["movement"].append(("M6", "C3", "compra", Decimal("7.00"), TS(2025, 9, 2, 8, 0)))
-    inc = cfg_for(spark, tmp_path, tables, TS(2025, 8, 14), fact_mode="incremental",
-                  compact_after_appends=1)
-    res = run(spark, inc, stages=["raw", "trusted", "fact"])["fact"]
-    assert res["mode"] == "append" and res["compacted_to"] == res["version"] + 1
-    assert sorted(r.movement_id for r in facts.read("movement").collect()) == [
-        "M1", "M2", "M3", "M4", "M5", "M6"]
-
-    # 3. H2 changes marital status: old version closed at the load time, new one opened
-    tables["holder"][1] = ("H2", "joão oliveira", D(1993, 2, 1), "casado", "MÉDIO")
-    cfg2 = cfg_for(spark, tmp_path, tables, TS(2025, 9, 1))
+        f"MAREN;TOIVOLA;{maren};8.05;t1;2031-02-11T06:05:04.000Z;730011;M TOIVOLA;2030-03-09;"
+        "SAVINGS;2011-06-17",
+        f"MAREN;TOIVOLA;{maren};4100.00;t2;2031-02-12T23:59:59.000Z;730012;M TOIVOLA;2029-12-24;"
+        "SAVINGS;2011-06-17",
+        f"IDRIS;OKAFOR BELLO;{bello};17.30;t3;2031-03-01T00:00:00.000Z;730013;I O BELLO;2028-02-29;"
+        "JOINT;2027-09-30",
+        f"YUN;;{yun};0.01;t4;2031-03-31T13:00:00.000Z;730014;YUN;2031-01-02;YOUTH;2026-01-01",
+    ])  # t5 happened before the holder's first version: NULL key, dropped by the inner star
+    facts = layer(spark, cfg, "fact_")
+
+    # 2. P-8 changes: old version closed at the load time, new one opened
+    tables["holder"][1] = ("P-8", "idris okafor bello", D(2004, 2, 29), "married", "ensino técnico")
+    tables["movement"].append(("t6", "k3", "loom", Decimal("7.77"), TS(2031, 3, 20, 8, 0)))
+    second = TS(2031, 3, 15)
+    cfg2 = cfg_for(spark, tmp_path, tables, second)
     run(spark, cfg2)
-    dim = TableStore(spark, cfg2.warehouse_root, prefix="dim_").read("holder")
-    h2 = sorted((r.marital_status, r.valid_from, r.valid_to, r.is_current)
-                for r in dim.where("holder_id = 'H2'").collect())
-    assert h2 == [("CASADO", TS(2025, 9, 1), None, True),
-                  ("SOLTEIRO", TS(2025, 8, 14), TS(2025, 9, 1), False)]
-    assert dim.where("holder_id = 'H1'").count() == 1
-    # H3's NULL marital status became '' in the trusted layer, so it matches: no new version
-    assert dim.where("holder_id = 'H3'").count() == 1
+    dim = layer(spark, cfg2, "dim_").read("holder")
+    assert sorted((r.marital_status, r.valid_from, r.valid_to, r.is_current)
+                  for r in dim.where("holder_id = 'P-8'").collect()) == [
+        ("MARRIED", second, None, True), ("SINGLE", FIRST, second, False)]
+    # P-9's NULL status became '' in the trusted layer, so it matches: no new version
+    assert dim.where("holder_id IN ('P-7', 'P-9')").count() == 2
     facts.refresh()
     sks = {r.movement_id: r.holder_sk for r in facts.read("movement").collect()}
-    cur = {r.sk for r in dim.where("holder_id = 'H2'").collect() if r.is_current}
-    assert sks["M6"] in cur and sks["M3"] not in cur and sks["M3"] is not None
+    current = {r.sk for r in dim.where("holder_id = 'P-8' AND is_current").collect()}
+    assert sks["t6"] in current and sks["t3"] not in current and sks["t3"] is not None
     assert len(csv_lines(cfg2.export_path)[1]) == 5
     published = facts.current_version("movement")
 
-    # 4. a duplicate id and an orphan card: the gate raises, nothing is published
-    tables["movement"].append(("M1", "C1", "dup", Decimal("1.00"), TS(2025, 8, 17)))
-    tables["movement"].append(("M7", "C_ORPHAN", "x", Decimal("1.00"), TS(2025, 8, 17)))
+    # 3. a duplicate id and an orphan card: the gates raise, nothing is published
+    tables["movement"] += [("t1", "k1", "again", Decimal("1.00"), TS(2031, 3, 21)),
+                           ("t7", "k-none", "lost", Decimal("1.00"), TS(2031, 3, 21))]
     with pytest.raises(QualityError) as e:
-        run(spark, cfg_for(spark, tmp_path, tables, TS(2025, 9, 3)))
-    assert {f["check"] for f in e.value.failures} == {"row_count", "unique_movement"}
+        run(spark, cfg_for(spark, tmp_path, tables, TS(2031, 3, 22)))
+    failed = {f["check"]: f for f in e.value.failures}
+    assert set(failed) == {"orphans", "row_count", "unique_movement"}
+    assert failed["orphans"]["without_card"] == 1 and failed["orphans"]["without_holder"] == 0
     facts.refresh()
     assert facts.current_version("movement") == published
 
-    # 5. the corrected source loads: the rejected staged folder does not get in the way
+    # 4. the corrected source loads: the rejected staged folder does not get in the way
     del tables["movement"][-2:]
-    run(spark, cfg_for(spark, tmp_path, tables, TS(2025, 9, 4)), stages=["raw", "trusted", "fact"])
+    run(spark, cfg_for(spark, tmp_path, tables, TS(2031, 3, 23)), stages=["raw", "trusted", "fact"])
     facts.refresh()
     assert facts.current_version("movement") == published + 1
 
 
+def test_incremental_loads(spark, tmp_path, tables):
+    """First load, one with new movements, one with nothing new, and reruns of single stages."""
+    late = tables["movement"][3:]
+    tables["movement"] = tables["movement"][:3]
+    stages = ("raw", "trusted", "dimensions", "fact")
+    cfg = cfg_for(spark, tmp_path, tables, FIRST, fact_mode="incremental")
+    assert run(spark, cfg, stages)["fact"]["mode"] == "overwrite"
+    tables["movement"] += late
+    run(spark, cfg_for(spark, tmp_path, tables, FIRST, fact_mode="incremental"), stages)
+    third = run(spark, cfg_for(spark, tmp_path, tables, FIRST, fact_mode="incremental"), stages)
+    assert third["fact"]["mode"] == "append" and third["fact"]["null_keys"]["rows"] == 0
+    for s in stages:
+        run(spark, cfg_for(spark, tmp_path, tables, FIRST, fact_mode="incremental"), [s])
+    facts = layer(spark, cfg, "fact_").read("movement")
+    assert sorted(r.movement_id for r in facts.collect()) == ["t1", "t2", "t3", "t4", "t5"]
+    assert dict(facts.dtypes)["date_sk"] == "int"
+    # every layer of the movements only grew: what the first load wrote is still in place
+    for prefix in ("raw_", "trusted_", "fact_"):
+        store = layer(spark, cfg, prefix)
+        assert "v00000001" in store.live_paths("movement")[0]
+        assert store.read("movement").count() == 5
+
+
+def test_empty_first_load(spark, tmp_path, tables):
+    for t in tables:
+        tables[t] = []
+    cfg = cfg_for(spark, tmp_path, tables, FIRST)
+    assert run(spark, cfg)["fact"]["null_keys"]["rows"] == 0
+    assert layer(spark, cfg, "fact_").read("movement").count() == 0
+    assert layer(spark, cfg, "dim_").read("calendar").count() > 0
+
+
+def test_calendar_follows_range_and_movements(spark, tmp_path, tables):
+    stages = ("raw", "trusted", "dimensions", "fact")
+    year = {"calendar_start": D(2030, 1, 1), "calendar_end": D(2030, 12, 31)}
+    fixed = cfg_for(spark, tmp_path, tables, FIRST, calendar_from_movements=False, **year)
+    with pytest.raises(QualityError) as e:  # movements of 2031 are in no calendar
+        run(spark, fixed, stages)
+    assert [(f["check"], f["undated"]) for f in e.value.failures] == [("calendar", 5)]
+    wider = cfg_for(spark, tmp_path, tables, FIRST, calendar_from_movements=False,
+                    calendar_start=D(2030, 12, 1), calendar_end=D(2031, 12, 31))
+    assert run(spark, wider, stages)["fact"]["null_keys"]["null_date_sk"] == 0
+    cal = layer(spark, wider, "dim_").read("calendar")
+    assert cal.count() == cal.select("date_sk").distinct().count() == 730
+    tables["movement"].append(("t8", "k1", "far", Decimal("1"), TS(2040, 1, 1)))
+    out = run(spark, cfg_for(spark, tmp_path, tables, FIRST, **year), stages)
+    assert out["fact"]["null_keys"]["null_date_sk"] == 0
+
+
+def test_key_collision_is_rejected(spark, tmp_path, tables):
+    tables["card"] += [(f"x{k}", "ac-31", "1", "n", "b", "t", D(2030, 1, 1)) for k in range(40)]
+    with pytest.raises(QualityError) as e:
+        run(spark, cfg_for(spark, tmp_path, tables, FIRST, key_modulus=11))
+    assert e.value.failures[0]["check"].endswith("_sk_unique")
+
+
+def test_run_refuses_unknown_stages_and_settles_one_time(spark, tmp_path, tables):
+    cfg = cfg_for(spark, tmp_path, tables, None)
+    with pytest.raises(ValueError):
+        run(spark, cfg, stages=["facts"])
+    with pytest.raises(ValueError):
+        cfg_for(spark, tmp_path, tables, FIRST, fact_mode="sometimes")
+    run(spark, cfg, stages=("raw", "trusted", "dimensions", "fact"))
+    stamps = {r.loaded_at for r in layer(spark, cfg, "fact_").read("movement").collect()}
+    starts = {r.valid_from for r in layer(spark, cfg, "dim_").read("holder").collect()}
+    assert len(stamps) == 1 and stamps == starts
+
+
+def test_publish_to_a_database(spark, tmp_path, tables):
+    import tempfile
+
+    url = f"jdbc:derby:memory:p{next(tempfile._get_candidate_names())};create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    kw = {"fact_mode": "incremental", "publish_url": url, "publish_properties": props}
+    stages = ("raw", "trusted", "dimensions", "fact", "publish")
+    late = tables["movement"].pop()
+    out = run(spark, cfg_for(spark, tmp_path, tables, FIRST, **kw), stages)
+    assert out["publish"] == {"fact": "overwrite"}
+    tables["movement"].append(late)
+    assert run(spark, cfg_for(spark, tmp_path, tables, FIRST, **kw), stages)["publish"] == {"fact": "append"}
+    count = {t: read_jdbc(spark, url, t, props, one_task=True).count()
+             for t in ("fact_movement", "dim_holder", "dim_card", "dim_account")}
+    assert count == {"fact_movement": 5, "dim_holder": 3, "dim_card": 4, "dim_account": 3}
+
+
 def test_first_load_after_movements_exports_nothing(spark, tmp_path, tables):
     """Holder versions start at the load time, so a first load after every movement
     leaves all holder keys NULL: the inner star join exports no row (parity); the
     left form keeps the movements with empty holder fields."""
-    cfg = cfg_for(spark, tmp_path, tables, TS(2025, 8, 20))
+    cfg = cfg_for(spark, tmp_path, tables, TS(2031, 4, 5))
     out = run(spark, cfg)
     assert out["fact"]["null_keys"]["null_holder_sk"] == len(MOVEMENT)
     assert csv_lines(cfg.export_path)[1] == []
@@ -166,7 +247,12 @@ def test_cli_parquet_source(spark, tmp_path, tables):
     for name, rows in tables.items():
         spark.createDataFrame(rows, SCHEMAS[name]).write.parquet(str(src / name))
     out = cli.main(["--source", f"parquet:{src}", "--warehouse", str(tmp_path / "wh"),
-                    "--export", str(tmp_path / "flat"), "--as-of", "2025-08-20",
-                    "--now", "2025-08-14T00:00:00", "--single-file"])
-    assert out["fact"]["checks"][0]["passed"]
+                    "--export", str(tmp_path / "flat"), "--as-of", "2031-04-06",
+                    "--now", "2031-02-03T00:00:00", "--single-file", "--calendar-start", "2031-01-01",
+                    "--calendar-end", "2031-12-31", "--calendar-fixed", "--skew-share", "0.2",
+                    "--fact-partition-by", "date_sk", "--holder-tracked", "education",
+                    "--key-modulus", "10000000000"])
+    assert all(c["passed"] for c in out["fact"]["checks"])
     assert len(csv_lines(str(tmp_path / "flat"))[1]) == 4
+    cal = TableStore(spark, str(tmp_path / "wh"), prefix="dim_").read("calendar")
+    assert cal.count() == 365

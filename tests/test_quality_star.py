@@ -2,7 +2,7 @@ import pytest
 
 from tessera.operators import (QualityError, StarJoin, duplicate_keys, flatten, gate,
                                incremental, key_uniqueness_report, null_key_report,
-                               row_count_report)
+                               orphan_report, row_count_report)
 
 
 def test_count_gate_blind_when_orphan_and_fanout_cancel(spark):
@@ -48,10 +48,12 @@ def test_incremental_only_unseen(spark):
     assert [tuple(r) for r in incremental(old, new, "m").collect()] == [(2, "b")]
 
 
-def test_incremental_pruned_by_partition_value(spark):
-    old = spark.createDataFrame([(1, 10), (2, 11)], "m int, d int")
-    new = spark.createDataFrame([(1, 10), (3, 12), (2, 12)], "m int, d int")
-    # exact: 2 is already loaded (on day 11)
-    assert sorted(r.m for r in incremental(old, new, "m").collect()) == [3]
-    # pruned to the batch's days: 2 re-sent under another day is not seen
-    assert sorted(r.m for r in incremental(old, new, "m", prune_on="d").collect()) == [2, 3]
+def test_orphans_per_hop(spark):
+    base = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, "x"), (5, None), (6, "c")], "m int, k string")
+    card = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), ("c", 9)], "card string, acc int")
+    acc = spark.createDataFrame([(1, "h"), (2, "gone")], "acc_id int, holder string")
+    holder = spark.createDataFrame([("h",)], "hid string")
+    hops = [(card, "k", "card"), (acc, "acc", "acc_id"), (holder, "holder", "hid")]
+    assert orphan_report(base, hops).first().asDict() == {
+        "rows": 6, "orphans_1": 2, "orphans_2": 1, "orphans_3": 1}
+    assert orphan_report(base.limit(0), hops).first().rows == 0
