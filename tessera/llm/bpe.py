@@ -32,7 +32,7 @@ from tessera.llm.common import python_batches
 
 #: A vocabulary file above this size is refused, as every worker holds it.
 MAX_VOCABULARY_BYTES = 64 << 20
-#: Pieces whose ids a worker remembers.
+#: Pieces whose ids a worker remembers, twice this number at most.
 REMEMBERED = 200_000
 FREE = 1 << 62
 
@@ -62,42 +62,40 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     end = list(range(1, n + 1))  # where the symbol that starts here ends
     before = list(range(-1, n - 1))  # where the symbol before starts
     rank = ranks.get
-
-    def pair(i: int) -> int:
-        j = end[i]
-        if j >= n:
-            return FREE
-        r = rank(piece[i:end[j]])
-        return FREE if r is None else r << shift | i
-
     for i in range(n - 1):
-        tree[half + i] = pair(i)
+        if (r := rank(piece[i:i + 2])) is not None:
+            tree[half + i] = r << shift | i
     for k in range(half - 1, 0, -1):
         a, b = tree[2 * k], tree[2 * k + 1]
         tree[k] = a if a < b else b
-
-    def update(i: int, value: int) -> None:
-        k = half + i
-        tree[k] = value
-        k >>= 1
-        while k:
-            a, b = tree[2 * k], tree[2 * k + 1]
-            least = a if a < b else b
-            if tree[k] == least:
-                return
-            tree[k] = least
-            k >>= 1
-
     while tree[1] != FREE:
         i = tree[1] & here
         j = end[i]
-        end[i] = end[j]
-        if end[j] < n:
-            before[end[j]] = i
-        update(j, FREE)
-        update(i, pair(i))
-        if before[i] >= 0:
-            update(before[i], pair(before[i]))
+        stop = end[i] = end[j]
+        r = None
+        if stop < n:
+            before[stop] = i
+            r = rank(piece[i:end[stop]])
+        tree[half + i] = FREE if r is None else r << shift | i
+        tree[half + j] = FREE
+        p = before[i]
+        if p >= 0:
+            r = rank(piece[p:stop])
+            tree[half + p] = FREE if r is None else r << shift | p
+        else:
+            p = i
+        # the ancestors of the three leaves, level by level; close leaves soon share theirs
+        x, y, z = (half + p) >> 1, (half + i) >> 1, (half + j) >> 1
+        while x:
+            a, b = tree[2 * x], tree[2 * x + 1]
+            tree[x] = a if a < b else b
+            if y != x:
+                a, b = tree[2 * y], tree[2 * y + 1]
+                tree[y] = a if a < b else b
+            if z != y:
+                a, b = tree[2 * z], tree[2 * z + 1]
+                tree[z] = a if a < b else b
+            x, y, z = x >> 1, y >> 1, z >> 1
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i:end[i]]])
@@ -106,16 +104,23 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Pieces(dict):
-    """Packed ids by piece; forgets all when full."""
+    """Packed ids by piece, in two generations of at most ``room`` pieces.
+
+    When the young one is full it becomes the old one, and the old one goes;
+    a piece met again moves to the young one, so frequent pieces stay.
+    """
 
     def __init__(self, ranks: dict[bytes, int], room: int = REMEMBERED):
-        self.ranks, self.room = ranks, room
+        self.ranks, self.room, self.old = ranks, room, {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = merge(piece.encode(), self.ranks)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
+        packed = self.old.get(piece)
+        if packed is None:
+            ids = merge(piece.encode(), self.ranks)
+            packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= 64:
             if len(self) >= self.room:
+                self.old = dict(self)
                 self.clear()
             self[piece] = packed
         return packed

@@ -114,8 +114,9 @@ def test_bpe_table_stays_bounded():
     pieces = bpe.Pieces(bpe.parse_vocabulary(queries.vocabulary()[0]), room=10)
     for k in range(100):
         pieces[f"piece{k}"]
+        assert pieces["often"] == pieces["often"]
     pieces["x" * 100]
-    assert len(pieces) <= 10
+    assert len(pieces) <= 10 and len(pieces.old) <= 10 and "often" in pieces
 
 
 # -- line dedup ----------------------------------------------------------------------------------
