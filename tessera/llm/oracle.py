@@ -1,5 +1,7 @@
 """DuckDB SQL for the operators that SQL can express."""
 
+from tessera.llm.licenses import RULES, SENTENCES, pattern
+
 #: Words of a text, as ``common.words`` has them.
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
@@ -45,4 +47,44 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE dropped)::BIG
 FROM marked GROUP BY doc_id
 """
 
-ORACLE = {"op1_mix_sources": OP1, "op3_line_dedup": OP3}
+
+def _values(pairs: list[tuple[str, str]]) -> str:
+    return ", ".join("('" + a + "', '" + b + "')" for a, b in pairs)
+
+
+OP4 = rf"""
+WITH known(id, sentence) AS (VALUES {_values(SENTENCES)}),
+rules(ids, license) AS (VALUES {_values(RULES)}),
+texts AS (SELECT doc_id, {_LOWER.format("coalesce(text, '')")} AS t, row_number() OVER () AS r FROM documents),
+cut AS (SELECT r, string_split(regexp_replace(t, '([.!?])[\x20\x09-\x0D]+', '\1' || chr(10), 'g'), chr(10)) AS l
+        FROM texts),
+sentences AS (SELECT r, unnest(l) AS s, generate_subscripts(l, 1) AS pos FROM cut),
+normal AS (SELECT r, pos, trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')) AS s FROM sentences),
+coded AS (SELECT r, string_agg(coalesce(id, ' '), '' ORDER BY pos) AS ids
+          FROM normal LEFT JOIN known ON s = sentence WHERE s <> '' GROUP BY r),
+matched AS (SELECT r, ids, regexp_extract_all(ids, '{pattern()}') AS m FROM coded),
+named AS (SELECT r, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses
+          FROM (SELECT r, unnest(m) AS ids FROM matched) JOIN rules USING (ids) GROUP BY r)
+SELECT doc_id, length(replace(coalesce(ids, ''), ' ', ''))::BIGINT AS n_sentences,
+       coalesce(len(m), 0)::BIGINT AS n_matches, coalesce(licenses, '') AS licenses
+FROM texts LEFT JOIN matched USING (r) LEFT JOIN named USING (r)
+"""
+
+OP6 = """
+WITH RECURSIVE vecs AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM vecs a JOIN vecs b
+  ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(v, w) AS (SELECT a, b FROM links UNION SELECT r.v, l.b FROM reach r JOIN links l ON r.w = l.a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+least_of AS (SELECT v, min(w) AS w FROM reach GROUP BY v)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(w, vec_id)) AS component_id,
+       vec_id <= coalesce(w, vec_id) AS kept
+FROM embeddings LEFT JOIN counts ON vec_id = a LEFT JOIN least_of ON vec_id = v
+"""
+
+ORACLE = {"op1_mix_sources": OP1, "op3_line_dedup": OP3, "op4_license_scan": OP4,
+          "op6_embedding_dedup": OP6}
