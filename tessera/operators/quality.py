@@ -92,15 +92,19 @@ def orphan_report(base: DataFrame, hops: list[tuple[DataFrame, str, str]]) -> Da
 def gate(**reports: DataFrame) -> list[dict]:
     """Evaluate reports (each a one-row frame with ``passed``); raise if any failed.
 
-    Returns the report rows as dicts when all pass.
+    Returns the report rows as dicts when all pass. All reports run as one job,
+    side by side.
     """
-    rows, failures = [], []
-    for name, rep in reports.items():
-        r = rep.first()
-        d = {"check": name, **(r.asDict() if r is not None else {"passed": False})}
-        rows.append(d)
-        if not d.get("passed"):
-            failures.append(d)
+    if not reports:
+        return []
+    named = [rep.limit(1).withColumn("__check", F.lit(name)) for name, rep in reports.items()]
+    together = named[0]
+    for rep in named[1:]:
+        together = together.unionByName(rep, allowMissingColumns=True)
+    found = {r["__check"]: r.asDict() for r in together.collect()}
+    rows = [{"check": name, **({c: found[name][c] for c in rep.columns} if name in found
+                               else {"passed": False})} for name, rep in reports.items()]
+    failures = [d for d in rows if not d.get("passed")]
     if failures:
         raise QualityError(failures)
     return rows
