@@ -18,8 +18,9 @@ one interval of either order, so a pair of intervals with two members is a
 string found twice, exactly and without forming pairs.
 
 Equal contexts are one entry with a count, so a passage with any number of
-copies is sorted once. Only spans leave a shard; they are joined to the texts by
-a hash of id and text.
+copies is sorted once. Only spans leave a shard. Contexts carry the number of
+their batch and of the document in it; each batch sends the hashes of its
+documents' ids and texts once, and spans are joined to the texts by these.
 
 Defined results: a null text has no bytes; a text shorter than ``length`` keeps
 all of them; repeated rows are copies of each other, so both lose what they
@@ -33,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +44,9 @@ from tessera.llm.common import materialize, python_batches, shuffle_partitions
 
 #: Bytes of the piece that is hashed to choose anchors.
 K = 16
-AT_ONCE = 1 << 20
-UNIT_DOCS, UNIT_MB = 4000, 12
+AT_ONCE = 1 << 18
+UNIT_DOCS, UNIT_MB = 4000, 8
+LEVEL = 6  # of compression
 #: Text bytes whose contexts a shard holds.
 SHARD_BYTES = 12 << 20
 PLACE_BITS = np.uint64(28)
@@ -222,7 +225,7 @@ def runs(flags: np.ndarray) -> list[tuple[int, int]]:
 
 def _pack(*arrays: np.ndarray, blob: bytes) -> bytes:
     head = np.array([len(arrays), *[len(a) for a in arrays]], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(
+    return zstandard.ZstdCompressor(level=LEVEL).compress(
         head + b"".join(a.astype(np.int64).tobytes() for a in arrays) + blob)
 
 
@@ -251,7 +254,11 @@ def repeated_spans(rows: DataFrame, length: int, batches: int) -> DataFrame:
             shard = ((piece >> np.uint64(20)) % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             cut = np.flatnonzero(np.diff(shard[order], prepend=-1, append=shards))
-            names, packed = [], []
+            # equal batches have equal numbers, and equal documents under them
+            unit = xxhash.xxh64_intdigest(r1.tobytes() + r2.tobytes()) >> 1
+            own = np.unique(doc)
+            names = [shards + unit % shards]
+            packed = [_pack(np.array([unit]), own, r1[own], r2[own], blob=b"")]
             for a, b in zip(cut[:-1], cut[1:], strict=True):
                 mine = order[a:b]
                 number: dict[tuple[bytes, int], int] = {}
@@ -259,33 +266,50 @@ def repeated_spans(rows: DataFrame, length: int, batches: int) -> DataFrame:
                     mine.tolist(), before[mine].tolist(), strict=True)), np.int64, len(mine))
                 names.append(int(shard[mine[0]]))
                 packed.append(_pack(
-                    r1[doc[mine]], r2[doc[mine]], begin[mine], of,
+                    np.array([unit]), doc[mine], begin[mine], of,
                     np.array([n for _, n in number]), np.array([len(c) for c, _ in number]),
                     blob=b"".join(c for c, _ in number)))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(packed, pa.binary())],
                                              names=["shard", "packed"])
 
-    def search(table: pa.Table) -> pa.Table:
+    def keys(table: pa.Table) -> pa.Table:
+        parts = [_unpack(value.as_py())[0] for value in table["packed"]]
+        unit = np.concatenate([np.repeat(u, len(doc)) for u, doc, _, _ in parts])
+        doc, r1, r2 = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3))
+        none = pa.nulls(len(doc), pa.int64())
+        return pa.table([unit, doc, r1, r2, none, none], names=columns)
+
+    def search(key: tuple, table: pa.Table) -> pa.Table:
+        if key[0].as_py() >= shards:
+            return keys(table)
         number: dict[tuple[bytes, int], int] = {}
         rows_of = []
         for value in table["packed"]:
-            (r1, r2, begin, of, before, sizes), blob = _unpack(value.as_py())
+            (unit, doc, begin, of, before, sizes), blob = _unpack(value.as_py())
             ends = np.cumsum(sizes)
             own = np.array([number.setdefault((blob[a:b], n), len(number)) for a, b, n in zip(
                 (ends - sizes).tolist(), ends.tolist(), before.tolist(), strict=True)])
-            rows_of.append((r1, r2, begin, own[of]))
-        r1, r2, begin, of = (np.concatenate(x) for x in zip(*rows_of, strict=True))
+            rows_of.append((np.repeat(unit, len(doc)), doc, begin, own[of]))
+        unit, doc, begin, of = (np.concatenate(x) for x in zip(*rows_of, strict=True))
         contexts = list(number)
         found = shard_found(contexts, np.bincount(of, minlength=len(contexts)), length, batches)
         spans = {k: runs(found[k]) for k in np.flatnonzero(found.any(axis=1)).tolist()}
         hit = [(k, contexts[c][1] - b, contexts[c][1] - a + length)
                for k, c in enumerate(of.tolist()) if c in spans for a, b in spans[c]]
         k, start, end = (np.array(x, np.int64) for x in (zip(*hit, strict=True) if hit else ((), (), ())))
-        return pa.table({"r1": r1[k], "r2": r2[k], "start": begin[k] + start, "end": begin[k] + end})
+        none = pa.nulls(len(k), pa.int64())
+        return pa.table([unit[k], doc[k], none, none, begin[k] + start, begin[k] + end],
+                        names=columns)
 
-    spans = rows.mapInArrow(deal, "shard long, packed binary").groupBy("shard").applyInArrow(
-        search, "r1 long, r2 long, start long, end long")
-    return spans.groupBy("r1", "r2").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    columns = ["unit", "doc", "r1", "r2", "start", "end"]
+    found = rows.mapInArrow(deal, "shard long, packed binary").groupBy("shard").applyInArrow(
+        search, ", ".join(f"{c} long" for c in columns))
+    spans = found.groupBy("unit", "doc").agg(
+        F.max("r1").alias("r1"), F.max("r2").alias("r2"),
+        F.collect_set(F.when(F.col("start").isNotNull(), F.struct("start", "end"))).alias("spans")
+    ).where(F.size("spans") > 0)
+    # repeated rows have the same spans
+    return spans.groupBy("r1", "r2").agg(F.any_value("spans").alias("spans"))
 
 
 def without(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int]]]:
@@ -316,8 +340,9 @@ def dedup(docs: DataFrame, length: int = 200, batches: int = 4, doc_id: str = "d
     spans = materialize(repeated_spans(docs.select(*key, body), length, batches), "repeats")
     joined = docs.select(*carry, *[k.alias(f"__{n}") for k, n in zip(key, ("r1", "r2"), strict=True)],
                          body.alias("__body")).join(
-        spans, (F.col("__r1") == F.col("r1")) & (F.col("__r2") == F.col("r2")), "left").select(
-        *carry, "__body", "spans")
+        spans.toDF("__s1", "__s2", "__found"),
+        (F.col("__r1") == F.col("__s1")) & (F.col("__r2") == F.col("__s2")), "left").select(
+        *carry, "__body", "__found")
     python_batches(docs.sparkSession)
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([*docs.select(*carry).schema.fields, T.StructField("__bytes", T.LongType()),
