@@ -148,8 +148,9 @@ def decode_ids(packed: bytes | None, tokens: dict[int, bytes]) -> bytes:
 
 def encode(df: DataFrame, vocabulary: bytes, pattern: str, text: str = "text",
            ids: str = "ids", carry: list[str] | None = None) -> DataFrame:
-    """``df`` (or its columns ``carry``) with the packed ids of ``text`` as binary ``ids``."""
-    carry = df.columns if carry is None else carry
+    """``df`` (or its columns ``carry``) with the packed ids of ``text`` as binary ``ids``, which
+    takes the place of a column of that name."""
+    carry = [c for c in (df.columns if carry is None else carry) if c != ids]
     spark = df.sparkSession
     python_batches(spark)
     sent = spark.sparkContext.broadcast(vocabulary)
@@ -168,8 +169,10 @@ def encode(df: DataFrame, vocabulary: bytes, pattern: str, text: str = "text",
 
 
 def decode(df: DataFrame, vocabulary: bytes, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``df`` with the bytes that the packed ids stand for as binary ``out``."""
+    """``df`` with the bytes that the packed ids stand for as binary ``out``, which takes the
+    place of a column of that name."""
     spark = df.sparkSession
+    df = df.drop(out) if out in df.columns else df
     python_batches(spark)
     sent = spark.sparkContext.broadcast(vocabulary)
     at = df.columns.index(ids)

@@ -4,7 +4,8 @@ import hashlib
 import re
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, __size string"
+SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, __size string, "
+          "ids string, spans string, root long, size long, `a b` string")
 LONG_LINE = "This exact footer line is repeated in a great many documents"
 
 
@@ -23,7 +24,7 @@ def rows():
     out += [(40, "the same text over and over again, a copy of itself", "en", "hot", 1, "x")] * 3
     out += [(41, "the same text over and over again, a copy of itself", "en", "b", 1, "x")]
     out += [(42, " ".join(f"w{k % 97}" for k in range(6000)), "de", "hot", 1, "x")]
-    return out
+    return [(*r, "i", None, 1, r[4], "z") for r in out]
 
 
 def lower(text):

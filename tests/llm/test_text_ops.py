@@ -92,7 +92,7 @@ def test_bpe_equals_tiktoken_and_round_trips(spark, tiktoken_encoding):
     data, pattern = queries.vocabulary()
     for docs in sets(spark):
         out = bpe.decode(bpe.encode(docs, data, pattern), data)
-        assert out.columns == [*docs.columns, "ids", "decoded"]
+        assert out.columns == [*[c for c in docs.columns if c != "ids"], "ids", "decoded"]
         got = out.collect()
         assert len(got) == docs.count()
         for r in got:
