@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import ascii_lower, let, materialize, strip
 
 KEY = ["__h1", "__h2"]
+#: A key in more than ``1 / HEAVY`` of all line occurrences is joined by broadcast.
+HEAVY = 1000
 
 
 def line_keys(text: Column, min_chars: int) -> Column:
@@ -89,10 +91,9 @@ class LineRuns:
                                       F.max("__keeper").alias("__keeper"))
 
     def frequent(self, min_docs: int) -> DataFrame | None:
-        """``(__h1, __h2, __keeper)`` of the keys found in ``min_docs`` documents or more."""
+        """``(__h1, __h2, __n, __keeper)`` of the keys found in ``min_docs`` documents or more."""
         runs = self.all()
-        return None if runs is None else self._summed(runs).where(
-            F.col("__n") >= min_docs).drop("__n")
+        return None if runs is None else self._summed(runs).where(F.col("__n") >= min_docs)
 
 
 def _batch_bounds(ids: DataFrame, doc_id: str, batches: int) -> list:
@@ -127,7 +128,14 @@ def dropped_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batch
         per_doc = part.groupBy(*KEY, "__id").agg(F.lit(1).alias("__one"))
         runs.add(per_doc.groupBy(*KEY).agg(F.count(F.lit(1)).alias("__n"),
                                            F.max("__id").alias("__last")))
-    hit = occurrences.join(runs.frequent(min_docs), KEY).where(
+    # fewer than HEAVY keys can have such a share of the occurrences, so their list can be
+    # broadcast, and no line, however common, meets in one task
+    frequent = materialize(runs.frequent(min_docs), "line-frequent")
+    is_heavy = F.col("__n") * HEAVY > F.lit(occurrences.count())
+    heavy = F.broadcast(frequent.where(is_heavy).drop("__n"))
+    others = occurrences.join(heavy.select(*KEY), KEY, "left_anti").join(
+        frequent.where(~is_heavy).drop("__n"), KEY)
+    hit = occurrences.join(heavy, KEY).unionByName(others).where(
         ~F.col("__id").eqNullSafe(F.col("__keeper.id")))
     return hit.groupBy("__id", "__row").agg(F.collect_set("__at").alias("__drop"))
 
