@@ -162,10 +162,18 @@ class Predictor:
 def sample_windows(docs: DataFrame, lang: str, text: str, doc_id: str,
                    max_documents: int = MAX_DOCUMENTS,
                    max_windows: int = MAX_WINDOWS) -> list[tuple[str, bytes]]:
-    """At most ``max_documents * max_windows`` labelled windows, chosen by hashes of the id."""
-    some = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
-        F.col(lang).alias("lang"), F.encode(text, "UTF-8").alias("data"),
-        F.xxhash64(F.lit(3), F.col(doc_id).cast("string"), text).alias("h"))
+    """At most ``max_documents * max_windows`` labelled windows, chosen by hashes of the id.
+
+    Rows are first thinned by the hash to about the number wanted (a little more),
+    so what the tasks return does not grow with their number.
+    """
+    labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    n = labelled.count()
+    h = F.xxhash64(F.lit(3), F.col(doc_id).cast("string"), text)
+    share = min(1.0, 1.2 * max_documents / max(n, 1))
+    some = labelled.where((F.pmod(h, F.lit(1 << 30)) < F.lit(share * (1 << 30)))
+                          & F.col(text).rlike(r"\p{L}")).select(
+        F.col(lang).alias("lang"), F.encode(text, "UTF-8").alias("data"), h.alias("h"))
     places = F.ceil(F.octet_length("data") / WINDOW)
     picks = F.array_distinct(F.array(*[F.pmod(F.xxhash64("h", F.lit(k)), places)
                                        for k in range(max_windows)]))
