@@ -14,8 +14,8 @@ the answers. A word with more than ``1 / HOT`` of all tokens (fewer than ``HOT``
 words can exist) has its pairs dealt over many shards, so no shard grows with one
 word.
 
-The trie of a shard lies in a memory-mapped file that ends with the task:
-first words (64-bit hashes) and their exact counts as sums; a monotone pointer
+The trie of a shard lies in anonymous memory maps, which end with the task (a
+mapped file would need a folder, and those of executors are not shared): first words (64-bit hashes) and their exact counts as sums; a monotone pointer
 from each first word to its successors; successors as places in the shard's
 word list, relative to their context (the context's number times the list's
 length is added, so the whole level is monotone), found by successor search
@@ -30,7 +30,7 @@ table gives no row.
 
 from __future__ import annotations
 
-import tempfile
+import mmap
 from collections.abc import Iterator
 
 import numpy as np
@@ -129,12 +129,11 @@ class Questions:
 
 
 class Trie:
-    """One shard's n-grams in a memory-mapped file."""
+    """One shard's n-grams in memory-mapped levels."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, context: np.ndarray,
                  child: np.ndarray, pair_counts: np.ndarray):
         """``words``, ``counts``: training counts, repeats are added; so for the pairs."""
-        self.file = tempfile.TemporaryFile()
         roots, at = np.unique(np.concatenate([words, context]), return_inverse=True)
         count = np.bincount(at[:len(words)], counts, len(roots)).astype(np.uint64)
         self.total, self.distinct = int(count.sum()), int((count > 0).sum())
@@ -153,16 +152,14 @@ class Trie:
         self.children = EliasFano(level, self.mapped)
         self.codes = self.mapped(code(seen))
 
-    def mapped(self, a: np.ndarray) -> np.ndarray:
-        """``a`` as a read-only map of the file."""
+    @staticmethod
+    def mapped(a: np.ndarray) -> np.ndarray:
+        """``a`` in a memory map of its own."""
         if not len(a):
             return a
-        at = self.file.seek(0, 2)
-        self.file.write(b"\0" * (-at % 64))
-        at = self.file.tell()
-        self.file.write(np.ascontiguousarray(a).tobytes())
-        self.file.flush()
-        return np.memmap(self.file, a.dtype, "r", at, a.shape)
+        level = mmap.mmap(-1, a.nbytes)
+        level.write(np.ascontiguousarray(a).tobytes())
+        return np.frombuffer(level, a.dtype)
 
     def word_counts(self, words: np.ndarray) -> np.ndarray:
         at = self.roots.find(words)
