@@ -52,7 +52,7 @@ SPREAD = 64
 #: Logarithmic step of the stored probabilities: 255 codes reach from 1 to 2 ** 40 occurrences.
 STEP = 40 * np.log(2) / 254
 SHARD_BYTES = 16 << 20
-UNIT_DOCS, UNIT_MB = 4000, 12
+UNIT_DOCS, UNIT_MB = 4000, 8
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -274,6 +274,7 @@ def score(docs: DataFrame, train: Column, text: str = "text", mu: float = MU,
                          "total": pa.array([*[None] * n, trie.total], pa.int64()),
                          "distinct": pa.array([*[None] * n, trie.distinct], pa.int64())})
 
+    python_batches(spark, UNIT_DOCS, 2)  # about one unit at a time
     payloads = units.select("unit", "payload").mapInArrow(
         ask, "shard long, unit long, asked binary")
     answers = materialize(payloads.groupBy("shard").applyInArrow(
