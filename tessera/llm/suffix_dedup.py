@@ -48,7 +48,7 @@ AT_ONCE = 1 << 18
 UNIT_DOCS, UNIT_MB = 4000, 8
 LEVEL = 6  # of compression
 #: Text bytes whose contexts a shard holds.
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 8 << 20
 PLACE_BITS = np.uint64(28)
 
 
