@@ -5,7 +5,7 @@ on its own. A segment tree over the piece's byte positions holds, for every
 live position, the rank of the pair it forms with its next live neighbour; the
 root is the leftmost pair of least rank. A merge updates three leaves (the
 merged position, the swallowed one, the neighbour before), so a piece of n
-bytes takes O(n log n) steps however long it is. Pieces repeat, so each worker
+bytes takes O(n log n) steps however long it is. Pieces repeat, so each task
 keeps the ids of pieces seen lately in a bounded table.
 
 The vocabulary file is read once by the driver and sent as bytes (its size is
@@ -32,8 +32,8 @@ from tessera.llm.common import python_batches
 
 #: A vocabulary file above this size is refused, as every worker holds it.
 MAX_VOCABULARY_BYTES = 64 << 20
-#: Pieces whose ids a worker remembers, twice this number at most.
-REMEMBERED = 200_000
+#: Pieces whose ids a task remembers, twice this number at most.
+REMEMBERED = 150_000
 FREE = 1 << 62
 
 
@@ -127,8 +127,8 @@ class Pieces(dict):
 
 
 @lru_cache(maxsize=2)
-def _pieces(vocabulary: bytes) -> Pieces:
-    return Pieces(parse_vocabulary(vocabulary))
+def _ranks(vocabulary: bytes) -> dict[bytes, int]:
+    return parse_vocabulary(vocabulary)
 
 
 @lru_cache(maxsize=2)
@@ -158,7 +158,8 @@ def encode(df: DataFrame, vocabulary: bytes, pattern: str, text: str = "text",
     schema = T.StructType([*df.select(*carry).schema.fields, T.StructField(ids, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, find = _pieces(sent.value), regex.compile(pattern).findall
+        # of this task only: an idle worker keeps none
+        pieces, find = Pieces(_ranks(sent.value)), regex.compile(pattern).findall
         for batch in batches:
             packed = [encode_text(x.as_py(), find, pieces) for x in batch.column(len(carry))]
             yield pa.RecordBatch.from_arrays(
