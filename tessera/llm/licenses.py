@@ -1,12 +1,15 @@
 """License scans by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences (at line ends and after ``.``, ``!`` or ``?`` before
+A text is cut into fragments (at line ends and after ``.``, ``!`` or ``?`` before
 white space), each is normalised to lower-case letters and digits with single
-blanks, and known licence sentences become identifiers of one character. The
-identifiers, in the order of the text, form a string in which ordered rules
-(sequences of identifiers) are matched from the left, the longest rule first,
-so a full notice is reported once and not as its parts. Any other sentence
-stands as a blank, which no rule crosses.
+blanks, and known licence sentences become identifiers of one character. A
+known sentence is a fragment or a run of lines without a sentence end between
+them, so it is found hard-wrapped at any width and behind comment marks; it may
+follow a list number (``1.``, ``(a)``), and two that share one sentence
+("...; you may not use this file ...") both count. The identifiers, in the order
+of the text, form a string in which ordered rules (sequences of identifiers) are
+matched from the left, the longest rule first, so a full notice is reported once
+and not as its parts. Any other fragment stands as a blank, which no rule crosses.
 
 Defined results: a null or empty text has no sentence and no licence; a licence
 found several times counts each time and is listed once; an empty table gives
@@ -76,19 +79,41 @@ RULES = [
 ]
 
 
-def sentences(text: Column) -> Column:
-    """The normalised sentences of a text."""
-    t = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    cut = F.regexp_replace(t, r"([.!?])[\x20\x09-\x0D]+", "$1\n")
-    return F.filter(F.transform(F.split(cut, "\n"), lambda s: F.trim(
-        F.regexp_replace(s, "[^a-z0-9]+", " "))), lambda s: s != "")
+#: A list number, cut from its sentence.
+NUMBER = "(?:[0-9]{1,2}|[a-z])"
+
+
+def fragments(text: Column) -> Column:
+    """The text normalised: ``S`` stands for a sentence end, a line feed for any other line end."""
+    t = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)  # no capitals: they can be marks
+    t = F.regexp_replace(t, r"(?<![^\n])([^a-z0-9\n]*" + NUMBER + r")\)[\x20\x09-\x0D]+", "$1S")
+    t = F.regexp_replace(t, r"([.!?])[\x20\x09-\x0D]+", "$1S")
+    t = F.regexp_replace(t, r"[^a-z0-9\nS]+", " ")
+    t = F.regexp_replace(t, r"[ \n]*\n[ \n]*", "\n")
+    return F.trim(F.regexp_replace(t, r"[ \n]?S[ \nS]*", "S"))
+
+
+def sentence_pattern(known: list[tuple[str, str]]) -> str:
+    """A known sentence over any number of lines, the longest first, or else one fragment."""
+    texts = "|".join(s.replace(" ", r"[ \n]") for s in sorted(
+        {s for _, s in known}, key=lambda s: (-len(s), s)))
+    one = f"(?:{NUMBER}S)?(?:{texts})"
+    end = r"(?![^\nS])"
+    return f" ?{one}(?:{end}|(?= {one}{end}))" + r"|[^\nS]+"
+
+
+def sentences(text: Column, known: list[tuple[str, str]] = SENTENCES) -> Column:
+    """The normalised sentences of a text: known ones whole, others by line."""
+    return F.transform(
+        F.regexp_extract_all(fragments(text), F.lit(sentence_pattern(known)), F.lit(0)),
+        lambda s: F.trim(F.regexp_replace(F.translate(s, "\n", " "), "^.*S", "")))
 
 
 def identifiers(text: Column, known: list[tuple[str, str]] = SENTENCES) -> Column:
     """The text's sentences as a string of identifiers, a blank for an unknown one."""
     table = F.create_map(*[F.lit(x) for i, s in known for x in (s, i)])
     texts = [s for _, s in known]
-    return F.array_join(F.transform(sentences(text), lambda s: F.when(
+    return F.array_join(F.transform(sentences(text, known), lambda s: F.when(
         s.isin(texts), F.element_at(table, s)).otherwise(F.lit(" "))), "")
 
 

@@ -42,6 +42,59 @@ def test_license_rules(spark):
         assert licenses.scan(docs).count() == docs.count()
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+associated documentation files (the "Software"), to deal in the Software without restriction, including without
+limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
+and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+following disclaimer in the documentation and/or other materials provided with the distribution."""
+BSD3 = BSD + """
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
+compliance with the License. You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0"""
+
+
+@pytest.mark.parametrize("width", [30, 72, 80, 1000])
+@pytest.mark.parametrize("mark,end", [("", "\n"), ("# ", "\n"), (" * ", "\r\n"), ("// ", "\n"), (";; ", "\n")])
+def test_license_wrapped(spark, width, mark, end):
+    import textwrap
+
+    def wrapped(text):
+        parts = ["Copyright (c) 2020 A. Name", *text.split("\n\n"), "THE SOFTWARE IS PROVIDED AS IS"]
+        lines = [x for p in parts for x in [*textwrap.wrap(p.replace("\n", " "), width), ""]]
+        return end.join((mark + x).rstrip() for x in lines) + end + "int main() { return 0; }"
+    texts = [MIT, BSD, BSD3, APACHE, BSD3.replace("1. ", "(1) ").replace("2. ", "(2) ").replace("3. ", "(3) "),
+             BSD3.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* "),
+             "This work is licensed under the GNU General Public License version 3. More."]
+    out = licenses.scan(spark.createDataFrame(
+        [(k, wrapped(t)) for k, t in enumerate(texts)], "doc_id long, text string")).collect()
+    assert [(r["__matches"], r["__licenses"]) for r in sorted(out, key=lambda r: r["doc_id"])] == [
+        (["bc"], ["MIT"]), (["pqr"], ["BSD-2-Clause"]), (["pqrs"], ["BSD-3-Clause"]), (["defg"], ["Apache-2.0"]),
+        (["pqrs"], ["BSD-3-Clause"]), (["pqrs"], ["BSD-3-Clause"]), (["h"], ["GPL-3.0"])]
+
+
+def test_license_lines_are_not_joined_over_a_sentence_end(spark):
+    docs = spark.createDataFrame([
+        (1, "All rights. Reserved"), (2, "Released under the MIT License\nsome code\nAll rights reserved"),
+        (3, "I am not released under\nthe MIT License"), (4, "\n" * 200000 + "All rights\n\nreserved S")],
+        "doc_id long, text string")
+    got = {r["doc_id"]: r["__matches"] for r in licenses.scan(docs).collect()}
+    assert got == {1: [], 2: ["a", "t"], 3: [], 4: []}
+
+
 def test_license_longest_rule_wins():
     import re
     p = re.compile(licenses.pattern())
