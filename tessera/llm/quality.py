@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,9 +102,14 @@ class Rule:
 
 
 def default_rules() -> list[Rule]:
+    """Rules on the counts of ``features``.
+
+    Few function words may only mean a language that the list does not hold, so that rule
+    votes bad only on a text that another rule finds bad; else it abstains.
+    """
     c = F.col
     n, chars = c("__q.w.n_words"), c("__q.word_chars")
-    return [
+    rules = [
         Rule("symbols", 100 * c("__q.n_symbols") <= n, 10 * c("__q.n_symbols") > n),
         Rule("repeats", (c("__q.w.n_repeat_words") == 0) & (n >= 16),
              4 * c("__q.w.n_repeat_words") > n),
@@ -111,9 +118,10 @@ def default_rules() -> list[Rule]:
              (2 * c("__q.l.n_dup_lines") > c("__q.l.n_lines")) & (c("__q.l.n_lines") > 3)),
         Rule("word_length", (chars >= 2.5 * n) & (chars <= 9 * n), (chars < 2 * n) | (chars > 13 * n)),
         Rule("capitals", 100 * c("__q.n_capitals") <= 15 * chars, 10 * c("__q.n_capitals") > 4 * chars),
-        Rule("function_words", 100 * c("__q.w.n_function") >= 4 * n,
-             (200 * c("__q.w.n_function") < n) & (n >= 30)),
     ]
+    other = reduce(or_, [r.bad for r in rules])
+    return [*rules, Rule("function_words", 100 * c("__q.w.n_function") >= 4 * n,
+                         (200 * c("__q.w.n_function") < n) & (n >= 30) & other)]
 
 
 @dataclass(frozen=True)

@@ -263,3 +263,19 @@ def test_label_model():
     assert abs(model.prior - 0.7) < 0.05 and all(abs(g - 0.85) < 0.06 for g in model.on_good)
     assert all(abs(b - 0.15) < 0.06 for b in model.on_bad)
     assert quality.fit([], 5).prior == pytest.approx(0.8)
+
+
+@pytest.mark.parametrize("share", [0.005, 0.02])
+def test_quality_keeps_clean_texts_in_other_languages(spark, share):
+    rng = random.Random(3)
+    other = ["утром мы пошли вдоль реки чтобы посмотреть как строят новый мост через старый город".split(),
+             "dün sabah çocuklar okula giderken yolda küçük bir kedi buldular ve eve götürdüler".split()]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = [" ".join(rng.choice(other[k % 2]) + ("" if j % 9 else f"{k}х{j}") for j in range(60 + 40 * (k % 9)))
+             for k in range(max(2, int(share * docs.count())))]
+    texts += ["Слово The " + " ".join(f"{w}{j}" for j in range(25) for w in other[0])]
+    mine = spark.createDataFrame([(-1 - k, t) for k, t in enumerate(texts)], docs.schema)
+    kept = {r["doc_id"] for r in quality.keep(docs.union(mine)).collect()}
+    assert all(-1 - k in kept for k in range(len(texts)))
+    junk = docs.join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 0"), "doc_id")
+    assert len(kept & {r["doc_id"] for r in junk.collect()}) <= 0.05 * junk.count()
