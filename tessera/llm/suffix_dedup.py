@@ -18,7 +18,9 @@ one interval of either order, so a pair of intervals with two members is a
 string found twice, exactly and without forming pairs.
 
 Equal contexts are one entry with a count, so a passage with any number of
-copies is sorted once. Only spans leave a shard. Contexts carry the number of
+copies is sorted once, and neighbouring anchors of one context (a run of one
+byte, a short period) are one record. Only a document's merged spans leave a
+shard. Contexts carry the number of
 their batch and of the document in it; each batch sends the hashes of its
 documents' ids and texts once, and spans are joined to the texts by these.
 
@@ -86,37 +88,52 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int)
 
 
 def document_contexts(texts: list[bytes], length: int):
-    """For every anchor: document, its first string's place, bytes before the anchor, context, hash."""
-    doc, begin, before, context, piece = [], [], [], [], []
-    group: list[int] = []
+    """Runs of anchors of one context, the distinct contexts and their hashes.
+
+    A run has its document, the place of its first anchor's first string, the distance
+    to the last anchor, how many anchors it holds, and the number of its context. A
+    context is its bytes and how many of them lie before the anchor. Texts are taken
+    in parts of ``AT_ONCE`` string starts; in low-entropy text, where every byte can be
+    an anchor, neighbours have the same context and become one run.
+    """
+    number: dict[tuple[bytes, int], int] = {}
+    found, hashes = [], []
+    group: list[tuple[int, int, bytes]] = []  # document, place of the part in it, the part
     size = 0
 
     def flush():
         nonlocal group, size
         if not group:
             return
-        data = b"".join(texts[k] for k in group)
-        ends = np.cumsum([len(texts[k]) for k in group])
-        starts = ends - [len(texts[k]) for k in group]
+        data = b"".join(t for _, _, t in group)
+        ends = np.cumsum([len(t) for _, _, t in group])
+        starts = ends - [len(t) for _, _, t in group]
         at, first, last, h = anchors(np.frombuffer(data, np.uint8), starts, ends, length)
-        of = np.searchsorted(starts, first, side="right") - 1
-        doc.append(np.array(group)[of])
-        begin.append(first - starts[of])
-        before.append(at - first)
-        context.extend(data[a:b] for a, b in zip(first.tolist(), (last + length).tolist(), strict=True))
-        piece.append(h)
+        part = np.searchsorted(starts, first, side="right") - 1
+        doc = np.array([k for k, _, _ in group])[part]
+        begin = first - starts[part] + np.array([p for _, p, _ in group])[part]
+        place = begin + at - first
+        known = len(number)
+        of = np.fromiter((number.setdefault((data[a:b], n), len(number)) for a, b, n in zip(
+            first.tolist(), (last + length).tolist(), (at - first).tolist(), strict=True)), np.int64, len(at))
+        new, where = np.unique(of, return_index=True)
+        hashes.append(h[where[new >= known]])
+        apart = np.diff(place)
+        head = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(of) != 0)
+                                              | (apart > length)]))[:len(at)]
+        tail = np.append(head[1:], len(at)) - 1
+        found.append((doc[head], begin[head], place[tail] - place[head], tail - head + 1, of[head]))
         group, size = [], 0
 
     for k, t in enumerate(texts):
-        if len(t) >= length:
-            group.append(k)
-            size += len(t)
+        for p in range(0, len(t) - length + 1, AT_ONCE):
+            group.append((k, p, t[p:p + AT_ONCE + length - 1]))
+            size += len(group[-1][2])
             if size >= AT_ONCE:
                 flush()
     flush()
-    none = [np.empty(0, np.int64)]
-    return (np.concatenate(doc or none), np.concatenate(begin or none), np.concatenate(before or none),
-            context, np.concatenate(piece or [np.empty(0, np.uint64)]))
+    runs_of = [np.concatenate(x) for x in zip(*found, strict=True)] or [np.empty(0, np.int64)] * 5
+    return *runs_of, list(number), np.concatenate([np.empty(0, np.uint64), *hashes])
 
 
 class SuffixLevels:
@@ -223,6 +240,20 @@ def runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return [(int(a), int(b) - 1) for a, b in zip(edges[::2], edges[1::2], strict=True)]
 
 
+def merged_spans(unit: np.ndarray, doc: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """The spans of each document, those that touch as one."""
+    if not len(doc):
+        return unit, doc, start, end
+    order = np.lexsort((start, doc, unit))
+    unit, doc, start, end = (x[order] for x in (unit, doc, start, end))
+    other = np.concatenate([[True], (np.diff(unit) != 0) | (np.diff(doc) != 0)])
+    shift = np.cumsum(other) * (int(end.max()) + 1)
+    upto = np.maximum.accumulate(end + shift)
+    head = np.flatnonzero(other | np.concatenate([[True], (start + shift)[1:] > upto[:-1]]))
+    tail = np.append(head[1:], len(doc)) - 1
+    return unit[head], doc[head], start[head], (upto - shift)[tail]
+
+
 def _pack(*arrays: np.ndarray, blob: bytes) -> bytes:
     head = np.array([len(arrays), *[len(a) for a in arrays]], np.int64).tobytes()
     return zstandard.ZstdCompressor(level=LEVEL).compress(
@@ -250,8 +281,8 @@ def repeated_spans(rows: DataFrame, length: int, batches: int) -> DataFrame:
         for batch in parts:
             r1, r2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             texts = [x or b"" for x in batch.column(2).to_pylist()]
-            doc, begin, before, context, piece = document_contexts(texts, length)
-            shard = ((piece >> np.uint64(20)) % np.uint64(shards)).astype(np.int64)
+            doc, begin, reach, times, of, contexts, piece = document_contexts(texts, length)
+            shard = ((piece >> np.uint64(20)) % np.uint64(shards)).astype(np.int64)[of]
             order = np.argsort(shard, kind="stable")
             cut = np.flatnonzero(np.diff(shard[order], prepend=-1, append=shards))
             # equal batches have equal numbers, and equal documents under them
@@ -261,14 +292,13 @@ def repeated_spans(rows: DataFrame, length: int, batches: int) -> DataFrame:
             packed = [_pack(np.array([unit]), own, r1[own], r2[own], blob=b"")]
             for a, b in zip(cut[:-1], cut[1:], strict=True):
                 mine = order[a:b]
-                number: dict[tuple[bytes, int], int] = {}
-                of = np.fromiter((number.setdefault((context[k], n), len(number)) for k, n in zip(
-                    mine.tolist(), before[mine].tolist(), strict=True)), np.int64, len(mine))
+                here, own_of = np.unique(of[mine], return_inverse=True)
+                held = [contexts[k] for k in here.tolist()]
                 names.append(int(shard[mine[0]]))
                 packed.append(_pack(
-                    np.array([unit]), doc[mine], begin[mine], of,
-                    np.array([n for _, n in number]), np.array([len(c) for c, _ in number]),
-                    blob=b"".join(c for c, _ in number)))
+                    np.array([unit]), doc[mine], begin[mine], reach[mine], times[mine], own_of,
+                    np.array([n for _, n in held]), np.array([len(c) for c, _ in held]),
+                    blob=b"".join(c for c, _ in held)))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(packed, pa.binary())],
                                              names=["shard", "packed"])
 
@@ -285,21 +315,27 @@ def repeated_spans(rows: DataFrame, length: int, batches: int) -> DataFrame:
         number: dict[tuple[bytes, int], int] = {}
         rows_of = []
         for value in table["packed"]:
-            (unit, doc, begin, of, before, sizes), blob = _unpack(value.as_py())
+            (unit, doc, begin, reach, many, of, before, sizes), blob = _unpack(value.as_py())
             ends = np.cumsum(sizes)
             own = np.array([number.setdefault((blob[a:b], n), len(number)) for a, b, n in zip(
                 (ends - sizes).tolist(), ends.tolist(), before.tolist(), strict=True)])
-            rows_of.append((np.repeat(unit, len(doc)), doc, begin, own[of]))
-        unit, doc, begin, of = (np.concatenate(x) for x in zip(*rows_of, strict=True))
+            rows_of.append((np.repeat(unit, len(doc)), doc, begin, reach, many, own[of]))
+        unit, doc, begin, reach, many, of = (np.concatenate(x) for x in zip(*rows_of, strict=True))
         contexts = list(number)
-        found = shard_found(contexts, np.bincount(of, minlength=len(contexts)), length, batches)
-        spans = {k: runs(found[k]) for k in np.flatnonzero(found.any(axis=1)).tolist()}
-        hit = [(k, contexts[c][1] - b, contexts[c][1] - a + length)
-               for k, c in enumerate(of.tolist()) if c in spans for a, b in spans[c]]
-        k, start, end = (np.array(x, np.int64) for x in (zip(*hit, strict=True) if hit else ((), (), ())))
-        none = pa.nulls(len(k), pa.int64())
-        return pa.table([unit[k], doc[k], none, none, begin[k] + start, begin[k] + end],
-                        names=columns)
+        times = np.zeros(len(contexts), np.int64)
+        np.add.at(times, of, many)
+        found = shard_found(contexts, times, length, batches)
+        spans = [(k, contexts[k][1] - b, contexts[k][1] - a + length)
+                 for k in np.flatnonzero(found.any(axis=1)).tolist() for a, b in runs(found[k])]
+        context, start, end = np.array(spans, np.int64).reshape(-1, 3).T
+        # every run with every span of its context; a run's anchors are at most a string apart
+        low, high = np.searchsorted(context, of), np.searchsorted(context, of, side="right")
+        row = np.repeat(np.arange(len(of)), high - low)
+        span = np.arange(len(row)) + np.repeat(low - np.cumsum(high - low) + high - low, high - low)
+        unit, doc, start, end = merged_spans(
+            unit[row], doc[row], begin[row] + start[span], begin[row] + reach[row] + end[span])
+        none = pa.nulls(len(doc), pa.int64())
+        return pa.table([unit, doc, none, none, start, end], names=columns)
 
     columns = ["unit", "doc", "r1", "r2", "start", "end"]
     found = rows.mapInArrow(deal, "shard long, packed binary").groupBy("shard").applyInArrow(

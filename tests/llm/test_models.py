@@ -260,6 +260,29 @@ def test_suffix_dedup_many_overlaps(spark):
         assert bytes(r["__kept"]) == kept
 
 
+def test_suffix_dedup_long_low_entropy_texts(spark):
+    rng = random.Random(6)
+    noise = rng.randbytes(60000).hex()
+    texts = ["-" * 700000 + "end", "-" * 300 + noise + noise[100:900], "ab" * 150000, "abc" * 90000 + "-" * 150,
+             noise[:262144 // 4], "=" * 199, " " * 200, noise.upper() * 3]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = suffix_dedup.dedup(docs).orderBy("doc_id").collect()
+    for r, (kept, spans) in zip(got, repeats_plain([t.encode() for t in texts], 200), strict=True):
+        assert bytes(r["__kept"]) == kept and [(x["start"], x["end"]) for x in r["__spans"]] == spans
+
+
+@pytest.mark.parametrize("text", [b"-", b"ab", b"0123456"])
+def test_suffix_contexts_of_low_entropy_text_are_small(text):
+    import tracemalloc
+
+    texts = [text * ((4 << 20) // len(text))]
+    tracemalloc.start()
+    out = suffix_dedup.document_contexts(texts, 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20 and len(out[0]) < 200
+
+
 def test_suffix_levels_merge_geometrically():
     family = suffix_dedup.SuffixLevels(40)
     rng = random.Random(2)
