@@ -19,8 +19,9 @@ mapped file would need a folder, and those of executors are not shared): first w
 from each first word to its successors; successors as places in the shard's
 word list, relative to their context (the context's number times the list's
 length is added, so the whole level is monotone), found by successor search
-between the context's pointers; and one byte a successor, its smoothed
-probability on a logarithmic scale, rounded down.
+between the context's pointers; and one byte a successor, the pair's count on a
+logarithmic scale, rounded down. No probability is stored: smoothing is applied
+when a text is scored. Anonymous maps are plain process memory, not a file.
 
 Defined results: a null text is one end token; with nothing to learn from every
 token has probability one; a null id counts as empty text for the fold; rows
