@@ -42,10 +42,8 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     placed = materialize(docs.withColumn("__place", F.monotonically_increasing_id()), "placed")
     found = materialize(simhash.near_duplicates(placed, carry=["doc_id", "__place"]), "near")
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__place")))
-    group = F.coalesce("__component", F.lit(-1))
-    alone = F.when(F.col("__component").isNull(), F.col("__fp"))
-    keep = found.groupBy(group.alias("__g"), alone.alias("__a")).agg(
-        first.alias("__first")).select(F.col("__first.__place").alias("__kept_place"))
+    keep = found.groupBy("__root").agg(first.alias("__first")).select(
+        F.col("__first.__place").alias("__kept_place"))
     return placed.join(keep, F.col("__place") == F.col("__kept_place")).select(*docs.columns)
 
 

@@ -184,8 +184,9 @@ def links(reps: DataFrame, max_bits: int = 3, tile: int = 4096) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, doc_id: str = "doc_id",
                     text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its columns ``carry``) with ``__fp`` and ``__component``, the smallest doc_id
-    reachable over links of at most ``max_bits`` differing bits."""
+    """``docs`` (or its columns ``carry``) with ``__fp``, ``__component``, the smallest doc_id
+    reachable over links of at most ``max_bits`` differing bits (null if none has one), and
+    ``__root``, a fingerprint that tells groups apart whatever their ids."""
     carry = docs.columns if carry is None else carry
     own = materialize(fingerprints(
         docs.select(*carry, docs[doc_id].alias("__id"), docs[text].alias("__body")), shingle,
@@ -196,9 +197,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, doc_id
         reps.join(roots, F.col("__fp") == F.col("node"), "left")
         .select("__fp", "__first", F.coalesce("root", "__fp").alias("__root")), "simhash-roots")
     firsts = grouped.groupBy("__root").agg(F.min("__first").alias("__component"))
-    member = grouped.join(firsts, "__root").select(F.col("__fp").alias("__member"), "__component")
+    member = grouped.join(firsts, "__root").select(F.col("__fp").alias("__member"), "__component", "__root")
     return own.join(member, F.col("__fp") == F.col("__member")).select(
-        *carry, "__fp", "__component")
+        *carry, "__fp", "__component", "__root")
 
 
 def hex16(fp: Column) -> Column:

@@ -56,6 +56,16 @@ def test_simhash_stage_keeps_the_smallest_of_each_group(spark):
         assert sorted(str(r["doc_id"]) for r in out) == sorted(str(min(g, default=None)) for g in groups.values())
 
 
+def test_simhash_stage_keeps_one_of_near_copies_without_ids(spark):
+    base = [f"word{k}" for k in range(400)]
+    texts = [" ".join([*base, f"tail{k}"]) for k in range(12)]
+    fps = {fingerprint_plain(t) for t in texts}
+    root = components_plain(fps, [(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 3])
+    assert len(set(root.values())) < len(fps)  # some are near but not equal
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    assert STAGES["SimHash near-dedup"](spark, docs, SF).count() == len(set(root.values()))
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
