@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import (bpe, embed_dedup, langid, licenses, line_dedup, lm, mixing, quality,
-                         simhash, suffix_dedup)
+                         simhash, suffix_dedup, token_files)
 from tessera.llm.common import read_table
+from tessera.session import scratch_dir
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +100,18 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("__base").alias("base_score"), F.col("__score").alias("score"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_dir(spark, "token-files")
+    tokenizer = token_files.load_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    token_files.write_tokens(read_table(spark, sf_dir, "documents"), path, tokenizer, end_id=1)
+    read = token_files.read_tokens(spark, path, ["doc_id", "ids"])
+    out = read.withColumn("n_tokens", F.size("ids").cast("long"))
+    return token_files.ids_crc32(out).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_byte_bpe, op3_line_dedup, op4_license_scan, op5_simhash,
     op6_embedding_dedup, op7_quality_rules, op8_language_id,
-    op9_suffix_dedup, op10_lm_score)}
+    op9_suffix_dedup, op10_lm_score, op12_token_files)}
