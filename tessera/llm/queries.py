@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (bpe, embed_dedup, langid, licenses, line_dedup, lm, mixing, quality,
-                         simhash, suffix_dedup, token_files)
-from tessera.llm.common import read_table
+from tessera.llm import (bpe, embed_dedup, langid, licenses, line_dedup, lm, mixing,
+                         periodic_runs, quality, simhash, suffix_dedup, token_files)
+from tessera.llm.common import let, read_table, words
 from tessera.session import scratch_dir
 
 
@@ -111,7 +111,43 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.ids_crc32(out).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` where one document in ten, by its id's CRC-32 h (h % 10 = 0), repeats a stretch of
+    its words: with g = h / 10 and n words, word i >= a is word a + (i - a) % p, where a = g % n
+    and p = 1 + (n - a) / (3 + g % 8), all in whole numbers. A null id changes nothing."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(w):
+        a = g % F.size(w)
+        p = 1 + F.floor((F.size(w) - a) / (3 + g % 8))
+        return let(F.struct(w.alias("w"), a.alias("a"), p.alias("p")), lambda v: F.array_join(
+            F.transform(v["w"], lambda x, i: F.when(i < v["a"], x).otherwise(
+                F.get(v["w"], (v["a"] + (i - v["a"]) % v["p"]).cast("int")))), " "))
+
+    new = F.when(F.coalesce(h % 10 == 0, F.lit(False)) & F.col("text").rlike(r"[^\x20\x09-\x0D]"),
+                 let(words(F.col("text")), repeated)).otherwise(F.col("text"))
+    return docs.withColumn("text", new)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = planted_repeats(read_table(spark, sf_dir, "documents"))
+    found = periodic_runs.find_runs(docs, runs="r", collapsed="k", carry=["doc_id"])
+    kind = "struct<start: bigint, length: bigint, period: bigint>"
+    best = F.aggregate("r", F.lit(None).cast(kind), lambda b, r: F.when(
+        b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    lines = F.transform("r", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.select("doc_id", F.size("r").cast("long").alias("n_runs"), best.alias("b"),
+                        F.sha2(text, 256).alias("runs_sha256"),
+                        F.sha2("k", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", F.col("b.start").alias("start"), F.col("b.length").alias("length"),
+        F.col("b.period").alias("period"),
+        F.floor(1000 * F.col("b.length") / F.col("b.period")).alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_byte_bpe, op3_line_dedup, op4_license_scan, op5_simhash,
     op6_embedding_dedup, op7_quality_rules, op8_language_id,
-    op9_suffix_dedup, op10_lm_score, op12_token_files)}
+    op9_suffix_dedup, op10_lm_score, op12_token_files, op13_periodic_runs)}

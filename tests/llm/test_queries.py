@@ -27,6 +27,9 @@ COLUMNS = {
                          "kept_sha256": "string"},
     "op10_lm_score": {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint",
                       "train_tokens": "bigint", "base_score": "double", "score": "double"},
+    "op13_periodic_runs": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint",
+                           "period": "bigint", "exponent_milli": "bigint", "runs_sha256": "string",
+                           "collapsed_sha256": "string"},
     "op12_token_files": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
 }
 
