@@ -86,5 +86,29 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(w, vec_
 FROM embeddings LEFT JOIN counts ON vec_id = a LEFT JOIN least_of ON vec_id = v
 """
 
+OP11 = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+grams AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM words, range(1, 5) AS t(m)),
+counts AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f
+           FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE m > 1),
+cuts AS (SELECT lang, phrase, k, array_to_string(w[1:k], ' ') AS p, array_to_string(w[k + 1:m], ' ') AS q, a
+         FROM cand, range(1, 4) AS t(k) WHERE k < m),
+ranked AS (SELECT c.lang, phrase, a, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f + y.f) AS score, k
+           FROM cuts c JOIN (SELECT lang, phrase AS p, f FROM counts) x USING (lang, p)
+                JOIN (SELECT lang, phrase AS q, f FROM counts) y USING (lang, q)),
+lowest AS (SELECT * FROM ranked QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_of AS (SELECT DISTINCT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, a AS longer
+             FROM cand, range(2, 4) AS t(s), range(1, 4) AS u(i) WHERE s < m AND i + s - 1 <= m),
+gone AS (SELECT DISTINCT c.lang, c.phrase FROM cand c JOIN inner_of o ON c.lang = o.lang AND c.phrase = o.phrase
+         WHERE 100::HUGEINT * longer >= 80::HUGEINT * c.a),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+           FROM lowest ANTI JOIN gone USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM placed JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE = {"op1_mix_sources": OP1, "op3_line_dedup": OP3, "op4_license_scan": OP4,
-          "op6_embedding_dedup": OP6}
+          "op6_embedding_dedup": OP6, "op11_phrases": OP11}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import (bpe, embed_dedup, langid, licenses, line_dedup, lm, mixing,
-                         periodic_runs, quality, simhash, suffix_dedup, token_files)
+                         periodic_runs, phrases, quality, simhash, suffix_dedup, token_files)
 from tessera.llm.common import let, read_table, words
 from tessera.session import scratch_dir
 
@@ -100,6 +100,10 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("__base").alias("base_score"), F.col("__score").alias("score"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -150,4 +154,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_byte_bpe, op3_line_dedup, op4_license_scan, op5_simhash,
     op6_embedding_dedup, op7_quality_rules, op8_language_id,
-    op9_suffix_dedup, op10_lm_score, op12_token_files, op13_periodic_runs)}
+    op9_suffix_dedup, op10_lm_score, op11_phrases, op12_token_files,
+    op13_periodic_runs)}
