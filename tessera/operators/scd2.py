@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.keys import surrogate_key
+from tessera.operators.sequence import consecutive_keys, largest
 
 
 @dataclass(frozen=True)
@@ -37,6 +38,8 @@ class Scd2Spec:
     match: str = "any"
     null_safe: bool = False
     key_modulus: int | None = None
+    # hash of id and load time, or numbers after the largest in use (then key_modulus is their limit)
+    consecutive: bool = False
     validity_type: T.DataType = field(default_factory=T.TimestampType)
 
     def __post_init__(self):
@@ -76,18 +79,26 @@ def changed_rows(src: DataFrame, dim: DataFrame, spec: Scd2Spec) -> DataFrame:
 
 
 def new_versions(src: DataFrame, dim: DataFrame, spec: Scd2Spec,
-                 now: Column | None = None, changed: DataFrame | None = None) -> DataFrame:
+                 now: Column | None = None, changed: DataFrame | None = None,
+                 last_key: int | None = None) -> DataFrame:
     """Dimension-shaped rows to insert: new surrogate key, valid from ``now``, open, current.
 
-    ``changed`` may pass in a precomputed ``changed_rows(src, dim, spec)``.
+    ``changed`` may pass in a precomputed ``changed_rows(src, dim, spec)``, ``last_key`` the
+    largest key in use where ``dim`` is only a part of the dimension.
     """
     vt = (dim.schema[spec.valid_from].dataType if spec.valid_from in dim.columns
           else spec.validity_type)
     ts = _now(now, vt)
     ch = changed_rows(src, dim, spec) if changed is None else changed
     cols = [c for c in src.columns if c != spec.sk]
+    if spec.consecutive:
+        after = largest(dim, spec.sk) if last_key is None else last_key
+        ch = consecutive_keys(ch.select(*cols), [spec.key], spec.sk, after, spec.key_modulus)
+        sk = F.col(spec.sk)
+    else:
+        sk = surrogate_key(F.col(spec.key), ts, modulus=spec.key_modulus).alias(spec.sk)
     return ch.select(
-        surrogate_key(F.col(spec.key), ts, modulus=spec.key_modulus).alias(spec.sk),
+        sk,
         *cols,
         ts.alias(spec.valid_from),
         F.lit(None).cast(vt).alias(spec.valid_to),
@@ -115,7 +126,8 @@ def _same(versions: Column, spec: Scd2Spec) -> Column:
 
 
 def merge(src: DataFrame, dim: DataFrame, spec: Scd2Spec,
-          now: Column | None = None, changed: DataFrame | None = None) -> DataFrame:
+          now: Column | None = None, changed: DataFrame | None = None,
+          last_key: int | None = None) -> DataFrame:
     """Next snapshot: old versions (changed current ones closed at ``now``) + new versions.
 
     Ids missing from the source are left open; duplicate source ids are not
@@ -146,7 +158,7 @@ def merge(src: DataFrame, dim: DataFrame, spec: Scd2Spec,
                  else F.when(closing, F.lit(False)).otherwise(F.col(c)).alias(c)
                  if c == spec.current else F.col(c))
                 for c in dim.columns]))
-    inserts = new_versions(src, dim, spec, ts, changed=changed).select(*dim.columns)
+    inserts = new_versions(src, dim, spec, ts, changed=changed, last_key=last_key).select(*dim.columns)
     return kept.unionByName(inserts)
 
 

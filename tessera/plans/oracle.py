@@ -6,6 +6,7 @@ row count here and by range/uniqueness unit tests.
 
 from __future__ import annotations
 
+from tessera.plans import load_queries
 from tessera.plans import scenarios as sc
 from tessera.plans.scenarios import ORACLE_CTES
 
@@ -315,3 +316,5 @@ ORACLE["star_flatten_sql"] = ORACLE["star_flatten"]
 ORACLE["star_flatten_salted"] = ORACLE["star_flatten"]
 # One streamed pass over the landed source equals the batch first load.
 ORACLE["stream_first_load"] = ORACLE["scd2_first_load"]
+
+ORACLE.update(load_queries.ORACLE)

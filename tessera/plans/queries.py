@@ -22,6 +22,7 @@ from tessera.operators import (CalendarLookup, ChainStep, KeyLookup, SkewSpec, S
                                lookup_chain, merge, new_versions, null_key_report,
                                hot_keys, orphan_report, row_count_report, trusted_holder, type1_upsert,
                                validity_lookup)
+from tessera.plans import load_queries
 from tessera.plans import scenarios as sc
 from tessera.plans.pipeline import PipelineConfig, flat_frame, run
 from tessera.plans.scenarios import load, ts
@@ -561,4 +562,5 @@ QUERIES: dict[str, Query] = {
     "card_pipeline_incremental": card_pipeline_incremental,
     "stream_first_load": stream_first_load,
     "stream_two_batches": stream_two_batches,
+    **load_queries.QUERIES,
 }

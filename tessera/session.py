@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC so timestamps compare the same everywhere,
 # AQE so join strategy, partition counts and skewed partitions are re-planned
@@ -80,3 +80,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the session's shared checkpoint dir."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tessera/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a scratch folder and read back: evaluated once, its lineage cut."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import stored
+
 # The flat-file layout (separator, header, timestamp text form).
 CSV_SEP = ";"
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
@@ -58,3 +61,36 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str,
             .option("nullValue", NULL_SENTINEL).option("emptyValue", "")
             .option("sep", sep).option("multiLine", "true")
             .options(**_options(exact)).csv(path))
+
+
+REJECTED = "rejected_line"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType | str,
+                     sep: str = CSV_SEP, header: bool = True,
+                     exact: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejects): a line with too few or too many fields, or a value its column's type
+    cannot hold, goes to ``rejects`` with its text (``rejected_line``) and its file. The lines are
+    parsed once, into a scratch table that both frames read.
+
+    With ``header`` every file's header must name the schema's columns in order, or the
+    read fails. Lines end at line breaks here: fields that hold some
+    (``read_csv`` reads those) would be rejected.
+    """
+    kind = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    read = (spark.read.schema(T.StructType([*kind.fields, T.StructField(REJECTED, T.StringType())]))
+            .option("header", str(header).lower()).option("enforceSchema", "false")
+            .option("columnPruning", "false").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", REJECTED).option("nullValue", NULL_SENTINEL)
+            .option("emptyValue", "").option("sep", sep).options(**_options(exact)).csv(path)
+            .select("*", F.col("_metadata.file_name").alias("file")))
+    read = stored(read, "parsed")
+    good = read.where(F.col(REJECTED).isNull()).select(*kind.fieldNames())
+    return good, read.where(F.col(REJECTED).isNotNull()).select(REJECTED, "file")
+
+
+def rejects_report(good: DataFrame, rejects: DataFrame, most: float) -> DataFrame:
+    """One row for ``gate``: ``rows``, ``rejected`` and whether their share is ``most`` at most."""
+    both = good.select(F.lit(0).alias("r")).unionByName(rejects.select(F.lit(1).alias("r")))
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("r"), F.lit(0)).alias("rejected")
+                    ).withColumn("passed", F.col("rejected") <= F.lit(most) * F.col("rows"))

@@ -9,6 +9,7 @@ given, or are fetched with one pushed-down ``min/max`` query.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str],
@@ -63,3 +64,54 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
     if num_partitions:
         df = df.coalesce(num_partitions)
     df.write.jdbc(url, table, mode=mode, properties=props)
+
+
+def run_in_transaction(spark: SparkSession, url: str, properties: dict[str, str],
+                       statements: list[str]) -> None:
+    """Run SQL statements over one connection of the driver: all of them take effect, or none."""
+    jvm = spark.sparkContext._jvm
+    if properties.get("driver"):
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(properties["driver"])
+    settings = jvm.java.util.Properties()
+    for k, v in properties.items():
+        if k != "driver":
+            settings.setProperty(k, v)
+    connection = jvm.java.sql.DriverManager.getConnection(url, settings)
+    try:
+        connection.setAutoCommit(False)
+        statement = connection.createStatement()
+        for sql in statements:
+            statement.executeUpdate(sql)
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
+BATCH = "load_batch"
+
+
+def publish(df: DataFrame, url: str, table: str, properties: dict[str, str], batch: int,
+            mode: str = "overwrite", quote: str = '"', num_partitions: int | None = None) -> None:
+    """Make ``df`` the table's rows (``overwrite``) or the rows of load ``batch`` (``append``),
+    however often it is run.
+
+    Tasks write to a staging table ``<table>_stage`` that each attempt replaces; then one
+    transaction deletes what the load replaces (all rows, or those of ``batch``) and
+    inserts the staged ones with their batch number. A run that dies before that
+    transaction leaves the table as it was, and one that is repeated after it
+    replaces its own rows, so readers never see a half-written or doubled load.
+    """
+    if mode not in ("overwrite", "append"):
+        raise ValueError("mode must be 'overwrite' or 'append'")
+    rows = df.withColumn(BATCH, F.lit(int(batch)).cast("long"))
+    stage = f"{table}_stage"
+    write_jdbc(rows, url, stage, properties, mode="overwrite", num_partitions=num_partitions)
+    rows.limit(0).coalesce(1).write.jdbc(url, table, mode="append", properties=properties)  # if missing
+    columns = ", ".join(f"{quote}{c}{quote}" for c in rows.columns)
+    where = "" if mode == "overwrite" else f" WHERE {quote}{BATCH}{quote} = {int(batch)}"
+    run_in_transaction(df.sparkSession, url, properties, [
+        f"DELETE FROM {table}{where}",
+        f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {stage}"])

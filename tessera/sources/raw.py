@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tessera.sources.store import TableStore
 
@@ -44,3 +44,14 @@ def register_views(read: Callable[[str], DataFrame], views: dict[str, str]) -> d
         df.createOrReplaceTempView(view)
         out[view] = df
     return out
+
+
+def run_sql(spark: SparkSession, text: str, frames: dict[str, DataFrame],
+            values: dict[str, object] | None = None) -> DataFrame:
+    """Spark SQL over the frames of this call only.
+
+    ``text`` refers to frames as ``{name}`` and to values as ``:name``. No view of a fixed
+    name is registered, so runs side by side in one session do not see each other's
+    tables, and values travel as typed parameters, never as text.
+    """
+    return spark.sql(text, args=values, **frames)

@@ -25,7 +25,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,17 @@ class Staged:
     version: int
     path: str
     schema: str  # as JSON
+    folders: tuple[tuple[str, str], ...]  # what a commit makes live
+
+
+#: Folder of the rows whose part is NULL.
+NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+
+
+def part_of(path: str) -> str | None:
+    """The part a folder holds (``.../month=199801`` -> ``199801``), None for a whole table."""
+    last = path.rstrip("/").rsplit("/", 1)[1]
+    return last.split("=", 1)[1] if "=" in last else None
 
 
 @dataclass(frozen=True)
@@ -47,6 +58,8 @@ class State:
     epochs: dict[str, int]
 
 
+_PART = "part"
+_PARTITION = "partition"  # marks a folder's own partition columns in its schema
 _MARKER = ("version long, folders array<struct<path: string, schema: string>>, "
            "epochs map<string, long>")
 
@@ -120,13 +133,17 @@ class TableStore:
         """Folders that make up the table: the last overwrite and the appends after it."""
         return [p for p, _ in self._live(name)]
 
+    def parts(self, name: str) -> set[str]:
+        """The parts that have a live folder."""
+        return {p for p in map(part_of, self.live_paths(name)) if p is not None}
+
     def last_epoch(self, name: str, stream: str) -> int | None:
         """The last batch of ``stream`` that a commit of this table applied."""
         s = self._state(name)
         return None if s is None else s.epochs.get(stream)
 
     def appends_since_overwrite(self, name: str) -> int:
-        return len(self.live_paths(name)) - 1
+        return len({p.rsplit("/v", 1)[1].split("/")[0] for p in self.live_paths(name)}) - 1
 
     def compact(self, name: str, partition_by: list[str] | None = None) -> int:
         """Rewrite the live folders (last overwrite + appends) as one overwrite version.
@@ -138,56 +155,93 @@ class TableStore:
         df = self.read(name).hint("rebalance", *(partition_by or []))
         return self.write(df, name, partition_by=partition_by)
 
-    def _folder(self, path: str, schema: str) -> DataFrame:
-        fields = T.StructType.fromJson(json.loads(schema))
-        return self.spark.read.schema(fields).parquet(path).select(*fields.names)
-
-    def read(self, name: str) -> DataFrame:
-        """The table: each live folder is read on its own (each may carry its own
-        partition folders) and the appends are unioned by column name."""
-        frames = [self._folder(p, s) for p, s in self._live(name)]
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
+    def _frame(self, folders) -> DataFrame:
+        """Folders of one schema are one scan of many paths; those with partition folders of
+        their own are read one by one. The rest is a union by column name."""
+        groups: dict[tuple[str, str], list[str]] = {}
+        for path, schema in folders:
+            partitioned = any(f["metadata"].get(_PARTITION) for f in json.loads(schema)["fields"])
+            groups.setdefault((schema, path if partitioned else ""), []).append(path)
+        out = None
+        for (schema, _), paths in groups.items():
+            fields = T.StructType([T.StructField(f.name, f.dataType, f.nullable)
+                                   for f in T.StructType.fromJson(json.loads(schema)).fields])
+            frame = self.spark.read.schema(fields).parquet(*paths).select(*fields.names)
+            out = frame if out is None else out.unionByName(frame)
         return out
 
-    def read_last(self, name: str) -> DataFrame:
-        """What the last commit wrote: the newest folder only."""
-        return self._folder(*self._live(name)[-1])
+    def read(self, name: str, parts: set[str] | None = None) -> DataFrame:
+        """The table, or the given parts of it (no other folder is listed or read)."""
+        live = self._live(name)
+        if parts is not None:
+            kept = [f for f in live if part_of(f[0]) in parts]
+            if not kept:
+                return self._frame(live[:1]).where(F.lit(False))
+            live = kept
+        return self._frame(live)
 
-    def stage(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> Staged:
-        """Write ``df`` as the next version without committing it (write-audit-publish)."""
+    def read_last(self, name: str) -> DataFrame:
+        """What the last commit wrote."""
+        state = self._state(name)
+        mine = f"/v{state.version:08d}-"
+        return self._frame([f for f in self._live(name) if mine in f[0]])
+
+    def stage(self, df: DataFrame, name: str, partition_by: list[str] | None = None,
+              parts: Column | None = None) -> Staged:
+        """Write ``df`` as the next version without committing it (write-audit-publish).
+
+        ``parts``, a whole number computed from a row, cuts the table into parts: each
+        value's rows become a live folder of their own, which a later commit can
+        replace alone (``mode="replace"``).
+        """
         v = (self.current_version(name) or 0) + 1
         path = f"{self._base(name)}/v{v:08d}-{uuid.uuid4().hex[:12]}"
         w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        return Staged(name, v, path, df.schema.json())
+        if parts is not None:
+            df.withColumn(_PART, parts.cast("long")).write.partitionBy(_PART).parquet(path)
+            schema = df.schema.json()
+            values = self.spark.read.schema(f"{_PART} long").parquet(path).distinct().collect()
+            folders = sorted(f"{path}/{_PART}={NULL_PART if r[0] is None else r[0]}" for r in values)
+            if not folders:  # no rows: an empty part that holds the schema
+                folders = [f"{path}/{_PART}={NULL_PART}"]
+                df.limit(0).coalesce(1).write.parquet(folders[0])
+            return Staged(name, v, path, schema, tuple((f, schema) for f in folders))
+        fields = [T.StructField(f.name, f.dataType, f.nullable,
+                                {_PARTITION: True} if f.name in (partition_by or []) else {})
+                  for f in df.schema.fields]
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+        schema = T.StructType(fields).json()
+        return Staged(name, v, path, schema, ((path, schema),))
 
     def read_staged(self, staged: Staged) -> DataFrame:
-        return self._folder(staged.path, staged.schema)
+        return self._frame(staged.folders)
 
     def commit(self, staged: Staged, mode: str = "overwrite",
-               epoch: tuple[str, int] | None = None) -> None:
-        """Publish a staged version: ``overwrite`` replaces the table, ``append`` adds to it.
-        ``epoch`` records (stream, batch) as applied."""
-        if mode not in ("overwrite", "append"):
-            raise ValueError("mode must be 'overwrite' or 'append'")
+               epoch: tuple[str, int] | None = None, replaced: set[str] | None = None) -> None:
+        """Publish a staged version: ``overwrite`` replaces the table, ``append`` adds to it,
+        ``replace`` takes the place of the parts ``replaced`` (all parts that the version
+        itself holds, if None) and leaves the folders of the others as they are.
+        ``epoch`` records (stream, batch), or (stream, high-water mark), as applied."""
+        if mode not in ("overwrite", "append", "replace"):
+            raise ValueError("mode must be 'overwrite', 'append' or 'replace'")
         before = self._state(staged.name)
-        live = before.folders if before and mode == "append" else ()
+        live = before.folders if before and mode != "overwrite" else ()
+        if mode == "replace":
+            gone = {part_of(f) for f, _ in staged.folders} if replaced is None else replaced
+            live = tuple(f for f in live if part_of(f[0]) not in gone)
         epochs = dict(before.epochs if before else {})
         if epoch:
             epochs[epoch[0]] = epoch[1]
-        state = State(staged.version, (*live, (staged.path, staged.schema)), epochs)
+        state = State(staged.version, (*live, *staged.folders), epochs)
         row = (state.version, [{"path": p, "schema": s} for p, s in state.folders], epochs)
         (self.spark.createDataFrame([row], _MARKER).coalesce(1).write.mode("errorifexists")
          .json(f"{self._base(staged.name)}/_commits/c{staged.version:08d}"))
         self._states[staged.name] = state
 
     def write(self, df: DataFrame, name: str, partition_by: list[str] | None = None,
-              mode: str = "overwrite", epoch: tuple[str, int] | None = None) -> int:
+              mode: str = "overwrite", epoch: tuple[str, int] | None = None,
+              parts: Column | None = None) -> int:
         """Write ``df`` as the next version and commit it. Returns the version."""
-        staged = self.stage(df, name, partition_by)
+        staged = self.stage(df, name, partition_by, parts)
         self.commit(staged, mode, epoch)
         return staged.version
