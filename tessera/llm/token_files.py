@@ -7,8 +7,8 @@ column, ``part`` (the range), ``offset`` (ids before it in its range),
 take two bytes at most), the sorted numbers delta encoding; row groups and
 pages have set sizes and the writer adds a page index, so a reader that wants
 lengths never touches the ids, and one that wants a range of documents reads
-only its pages. ``read_tokens`` turns offsets into places in the whole corpus by
-a running sum over the ranges, of which there are as many as partitions.
+only its pages. A small table beside them holds the ids before each range, of
+which there are as many as partitions; ``read_tokens`` adds it to the offsets.
 
 Ranges are cut by the order column, then by the text's hash and the row's place,
 so a value that many rows share does not land in one task.
@@ -31,6 +31,7 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -47,6 +48,7 @@ MAX_TOKENIZER_BYTES = 64 << 20
 REMEMBERED = 200_000
 #: Longer words are not remembered.
 LONGEST = 64
+SIGNS = (b".", b",", b";", b":", b"!", b"?")
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 512
@@ -91,37 +93,56 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_buffer(tokenizer)
         self.by_word = splits_at_white_space(tokenizer)
+        self.marks = [t["content"].lower().encode() for t in json.loads(tokenizer)["added_tokens"]]
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.room = room
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
+    def _words(self, text: bytes) -> list[bytes]:
+        """Words at ASCII white space, A-Z lower-cased as the tokenizer does (an added token is
+        looked for before that, so a text that may hold one in other letters stays as it is)."""
+        low = text.lower()
+        return (text if any(m in low for m in self.marks) else low).split()
+
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return self._encode(texts)
-        split = [t.split() for t in texts]  # of bytes: at ASCII white space only
+        split = [self._words(t) for t in texts]
+        words = set().union(*split)
+        # a sign after a letter or digit is a piece of its own
+        signed = {w for w in words if w[-1:] in SIGNS and w[-2:-1].isalnum()}
+        needed = (words - signed).union((w[:-1] for w in signed), (w[-1:] for w in signed))
         young, old = self.young, self.old
-        missing, long = [], {}
-        for w in {w for words in split for w in words}:
+        missing = [w for w in needed if w not in young and w not in old]
+        ids = dict(zip(missing, self._encode(missing)))
+        for w in needed:
             if w in young:
-                continue
-            if w in old:
-                young[w] = old[w]
+                ids[w] = young[w]
             else:
-                missing.append(w)
-        for w, ids in zip(missing, self._encode(missing)):
-            (young if len(w) <= LONGEST else long)[w] = ids
-        here = {**young, **long} if long else young
-        get = here.__getitem__
-        out = [b"".join(map(get, words)) for words in split]
+                found = ids.get(w)
+                if found is None:
+                    found = ids[w] = old[w]
+                if len(w) <= LONGEST:
+                    young[w] = found
+        for w in signed:
+            ids[w] = ids[w[:-1]] + ids[w[-1:]]
+        get = ids.__getitem__
+        out = [b"".join(map(get, ws)) for ws in split]
         if len(young) >= self.room:
             self.old, self.young = young, {}
         return out
 
 
+@lru_cache(maxsize=1)
+def _encoder(tokenizer: bytes) -> Encoder:
+    """One for each worker process, so that its tasks share what they remember."""
+    return Encoder(tokenizer)
+
+
 def _rows(binary: pa.Array) -> list[bytes]:
     return [x or b"" for x in binary.cast(pa.binary()).to_pylist()]
 
@@ -140,7 +161,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: bytes, end_id: int, orde
     if clash := own & set(carry):
         raise ValueError(f"columns {sorted(clash)} have names that the files use themselves")
     spark = docs.sparkSession
-    python_batches(spark)
+    python_batches(spark, mb=4)
     sent = spark.sparkContext.broadcast(tokenizer)
     t = F.coalesce(docs[text], F.lit(""))
     placed = docs.select(docs[order].alias("k"), t.alias("t"), F.xxhash64(t).alias("h"),
@@ -159,7 +180,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: bytes, end_id: int, orde
         from pyspark import TaskContext
 
         part, before = TaskContext.get().partitionId(), 0
-        encode, end = Encoder(sent.value), np.array([end_id], "<u4").tobytes()
+        encode, end = _encoder(sent.value), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             packed = [ids + end for ids in encode(_rows(batch.column(2)))]
             sizes = np.fromiter((len(p) >> 2 for p in packed), np.int64, len(packed))
@@ -183,10 +204,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: bytes, end_id: int, orde
                  "parquet.enable.dictionary#offset": "false",
                  "parquet.enable.dictionary#n_tokens": "false", "compression": "zstd"}.items():
         w = w.option(k, str(v))
-    w.parquet(path)
+    w.parquet(f"{path}/ids")
+    _part_starts(spark.read.parquet(f"{path}/ids")).write.parquet(f"{path}/starts")
 
 
-def part_starts(files: DataFrame) -> DataFrame:
+def _part_starts(files: DataFrame) -> DataFrame:
     """(part, base): ids in all ranges before. One row a range reaches the running sum."""
     sums = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -202,9 +224,9 @@ def read_tokens(spark: SparkSession, path: str, columns: list[str] | None = None
     None), ``where`` is a condition on stored columns that prunes files, row groups
     and pages.
     """
-    files = spark.read.parquet(path)
+    files = spark.read.parquet(f"{path}/ids")
     names = [c for c in files.columns if c not in ("part", "offset")]
-    bases = part_starts(files).withColumnRenamed("part", "__part")
+    bases = spark.read.parquet(f"{path}/starts").withColumnRenamed("part", "__part")
     kept = files if where is None else files.where(where)
     start = (F.col("base") + F.col("offset")).alias("start")
     return kept.join(bases, F.col("part") == F.col("__part")).select(
