@@ -45,7 +45,7 @@ from tessera.llm.common import python_batches, shuffle_partitions
 #: A tokenizer file above this size is refused, as every worker holds it.
 MAX_TOKENIZER_BYTES = 64 << 20
 #: Words whose ids a task remembers, twice this number at most.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: Longer words are not remembered.
 LONGEST = 64
 SIGNS = (b".", b",", b";", b":", b"!", b"?")
@@ -97,11 +97,33 @@ class Encoder:
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.room = room
+        if self.by_word:
+            vocabulary = self.tokenizer.get_vocab()
+            self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece
+            self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+            self.signs = dict(zip(SIGNS, self._encode(list(SIGNS))))
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
+    def _encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of words. Those of letters only are one piece each, so many are encoded as one
+        text and cut where a piece ends."""
+        plain, rest = [], []
+        for w in words:
+            (plain if w.decode().lower().isalpha() else rest).append(w)
+        out = dict(zip(rest, self._encode(rest)))
+        lines = [b" ".join(plain[k:k + 100]).decode() for k in range(0, len(plain), 100)]
+        flat = np.array([i for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+                         for i in e.ids], "<u4")
+        ends = (np.flatnonzero(self.last[flat]) + 1) * 4
+        if len(ends) != len(plain):  # a letter that the pieces are cut at
+            return out | dict(zip(plain, self._encode(plain)))
+        packed, at = flat.tobytes(), [0, *ends.tolist()]
+        out.update((w, packed[a:b]) for w, a, b in zip(plain, at, at[1:]))
+        return out
+
     def _words(self, text: bytes) -> list[bytes]:
         """Words at ASCII white space, A-Z lower-cased as the tokenizer does (an added token is
         looked for before that, so a text that may hold one in other letters stays as it is)."""
@@ -112,26 +134,24 @@ class Encoder:
         if not self.by_word:
             return self._encode(texts)
         split = [self._words(t) for t in texts]
-        words = set().union(*split)
-        # a sign after a letter or digit is a piece of its own
-        signed = {w for w in words if w[-1:] in SIGNS and w[-2:-1].isalnum()}
-        needed = (words - signed).union((w[:-1] for w in signed), (w[-1:] for w in signed))
-        young, old = self.young, self.old
-        missing = [w for w in needed if w not in young and w not in old]
-        ids = dict(zip(missing, self._encode(missing)))
-        for w in needed:
-            if w in young:
-                ids[w] = young[w]
+        young, old, fresh = self.young, self.old, []
+        for w in set().union(*split).difference(young):
+            ids = old.get(w)
+            if ids is None:
+                fresh.append(w)
             else:
-                found = ids.get(w)
-                if found is None:
-                    found = ids[w] = old[w]
-                if len(w) <= LONGEST:
-                    young[w] = found
-        for w in signed:
-            ids[w] = ids[w[:-1]] + ids[w[-1:]]
-        get = ids.__getitem__
+                young[w] = ids
+        # a sign after a letter or digit is a piece of its own
+        stems = {w: w[:-1] for w in fresh if w[-1:] in SIGNS and w[-2:-1].isalnum()}
+        young.update(self._encode_words(list({stems.get(w, w) for w in fresh}.difference(young))))
+        for w, stem in stems.items():
+            young[w] = young[stem] + self.signs[w[-1:]]
+        get = young.__getitem__
         out = [b"".join(map(get, ws)) for ws in split]
+        for w in fresh:
+            if len(w) > LONGEST:
+                young.pop(w, None)
+                young.pop(w[:-1], None)
         if len(young) >= self.room:
             self.old, self.young = young, {}
         return out
