@@ -36,6 +36,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,7 +46,7 @@ from tessera.llm.common import python_batches, shuffle_partitions
 #: A tokenizer file above this size is refused, as every worker holds it.
 MAX_TOKENIZER_BYTES = 64 << 20
 #: Words whose ids a task remembers, twice this number at most.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: Longer words are not remembered.
 LONGEST = 64
 SIGNS = (b".", b",", b";", b":", b"!", b"?")
@@ -85,7 +86,7 @@ def splits_at_white_space(tokenizer: bytes) -> bool:
 
 
 class Encoder:
-    """Packed ids (little-endian unsigned 32-bit) of whole texts, given as UTF-8 bytes."""
+    """Ids of whole texts: (all ids one after another, how many each text has)."""
 
     def __init__(self, tokenizer: bytes, room: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -93,7 +94,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_buffer(tokenizer)
         self.by_word = splits_at_white_space(tokenizer)
-        self.marks = [t["content"].lower().encode() for t in json.loads(tokenizer)["added_tokens"]]
+        self.marks = [t["content"].lower() for t in json.loads(tokenizer)["added_tokens"]]
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.room = room
@@ -124,30 +125,48 @@ class Encoder:
         out.update((w, packed[a:b]) for w, a, b in zip(plain, at, at[1:]))
         return out
 
-    def _words(self, text: bytes) -> list[bytes]:
-        """Words at ASCII white space, A-Z lower-cased as the tokenizer does (an added token is
-        looked for before that, so a text that may hold one in other letters stays as it is)."""
-        low = text.lower()
-        return (text if any(m in low for m in self.marks) else low).split()
-
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not self.by_word:
-            return self._encode(texts)
-        split = [self._words(t) for t in texts]
+            packed = self._encode([x or b"" for x in texts.cast(pa.binary()).to_pylist()])
+            return (np.frombuffer(b"".join(packed), "<u4"),
+                    np.fromiter((len(x) >> 2 for x in packed), np.int64, len(packed)))
+        # A-Z lower-cased as the tokenizer does; an added token is looked for before that, so a
+        # text that may hold one in other letters stays as it is
+        low = pc.ascii_lower(texts)
+        for mark in self.marks:
+            low = pc.if_else(pc.match_substring(low, mark), texts, low)
+        split = pc.ascii_split_whitespace(low)
+        words = split.flatten().dictionary_encode()
+        known = self._look_up(words.dictionary.cast(pa.binary()).to_pylist())
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) >> 2
+        starts = np.cumsum(sizes) - sizes
+        pool = np.frombuffer(b"".join(known), "<u4")
+        at = words.indices.to_numpy()
+        n = sizes[at]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = pool[np.repeat(starts[at] - ends + n, n) + np.arange(total)]
+        ends = np.concatenate([[0], ends])
+        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+        return ids, np.diff(ends[bounds])
+
+    def _look_up(self, words: list[bytes]) -> list[bytes]:
+        """The packed ids of distinct words."""
         young, old, fresh = self.young, self.old, []
-        for w in set().union(*split).difference(young):
-            ids = old.get(w)
-            if ids is None:
-                fresh.append(w)
-            else:
-                young[w] = ids
+        young[b""] = b""  # before and after white space at a text's ends
+        for w in words:
+            if w not in young:
+                ids = old.get(w)
+                if ids is None:
+                    fresh.append(w)
+                else:
+                    young[w] = ids
         # a sign after a letter or digit is a piece of its own
         stems = {w: w[:-1] for w in fresh if w[-1:] in SIGNS and w[-2:-1].isalnum()}
         young.update(self._encode_words(list({stems.get(w, w) for w in fresh}.difference(young))))
         for w, stem in stems.items():
             young[w] = young[stem] + self.signs[w[-1:]]
-        get = young.__getitem__
-        out = [b"".join(map(get, ws)) for ws in split]
+        out = [young[w] for w in words]
         for w in fresh:
             if len(w) > LONGEST:
                 young.pop(w, None)
@@ -163,10 +182,6 @@ def _encoder(tokenizer: bytes) -> Encoder:
     return Encoder(tokenizer)
 
 
-def _rows(binary: pa.Array) -> list[bytes]:
-    return [x or b"" for x in binary.cast(pa.binary()).to_pylist()]
-
-
 def write_tokens(docs: DataFrame, path: str, tokenizer: bytes, end_id: int, order: str = "doc_id",
                  text: str = "text", carry: list[str] | None = None, parts: int | None = None,
                  row_group_bytes: int = ROW_GROUP_BYTES, page_bytes: int = PAGE_BYTES,
@@ -181,7 +196,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: bytes, end_id: int, orde
     if clash := own & set(carry):
         raise ValueError(f"columns {sorted(clash)} have names that the files use themselves")
     spark = docs.sparkSession
-    python_batches(spark, mb=4)
+    python_batches(spark, rows=10_000, mb=16)
     sent = spark.sparkContext.broadcast(tokenizer)
     t = F.coalesce(docs[text], F.lit(""))
     placed = docs.select(docs[order].alias("k"), t.alias("t"), F.xxhash64(t).alias("h"),
@@ -200,16 +215,19 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: bytes, end_id: int, orde
         from pyspark import TaskContext
 
         part, before = TaskContext.get().partitionId(), 0
-        encode, end = _encoder(sent.value), np.array([end_id], "<u4").tobytes()
+        encode = _encoder(sent.value)
         for batch in batches:
-            packed = [ids + end for ids in encode(_rows(batch.column(2)))]
-            sizes = np.fromiter((len(p) >> 2 for p in packed), np.int64, len(packed))
+            ids, sizes = encode(batch.column(2))
+            sizes = sizes + 1
             ends = np.cumsum(sizes)
-            flat = pa.array(np.frombuffer(b"".join(packed), "<i4"))
+            flat = np.full(int(ends[-1]) if len(ends) else 0, end_id, np.int32)
+            inner = np.ones(len(flat), bool)
+            inner[ends - 1] = False
+            flat[inner] = ids
             lists = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], ends]).astype(np.int32)), flat)
+                pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.full(len(packed), part, np.int32)),
+                [batch.column(0), batch.column(1), pa.array(np.full(len(sizes), part, np.int32)),
                  pa.array(before + ends - sizes), pa.array(sizes.astype(np.int32)), lists],
                 names=schema.names)
             before += int(ends[-1]) if len(ends) else 0

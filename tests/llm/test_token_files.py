@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -53,9 +54,9 @@ def test_words_give_the_ids_of_whole_texts(library, tokenizer):
     assert encode.by_word
     for at in range(0, len(texts), 300):
         part = texts[at:at + 300]
-        got = encode([t.encode() for t in part])
-        for text, packed in zip(part, got):
-            assert np.frombuffer(packed, "<u4").tolist() == ids_of(library, text)[:-1], repr(text)
+        ids, sizes = encode(pa.array(part))
+        for text, got in zip(part, np.split(ids, np.cumsum(sizes)[:-1])):
+            assert got.tolist() == ids_of(library, text)[:-1], repr(text)
     assert len(encode.young) <= 500 + 300 * 50
 
 
@@ -64,8 +65,8 @@ def test_tokenizers_that_keep_white_space_get_whole_texts(library):
     encode = token_files.Encoder(data)
     assert not encode.by_word
     text = "two  words and\n a line"
-    got = np.frombuffer(encode([text.encode()])[0], "<u4").tolist()
-    assert got == Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text).ids
+    ids, sizes = encode(pa.array([text, ""]))
+    assert sizes.tolist() == [len(ids), 0] and ids.tolist() == Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text).ids
 
 
 def test_query_on_the_test_table(spark, library):
