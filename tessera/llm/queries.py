@@ -29,8 +29,8 @@ def vocabulary() -> tuple[bytes, str]:
 
 def digests(docs: DataFrame) -> DataFrame:
     data, pattern = vocabulary()
-    ids = bpe.encode(docs, data, pattern, carry=["doc_id"])
-    return bpe.decode(ids, data).select(
+    ids = bpe.encode(docs, data, pattern, carry=["doc_id"], decoded="decoded")
+    return ids.select(
         "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

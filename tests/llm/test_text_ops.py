@@ -279,3 +279,29 @@ def test_quality_keeps_clean_texts_in_other_languages(spark, share):
     assert all(-1 - k in kept for k in range(len(texts)))
     junk = docs.join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 0"), "doc_id")
     assert len(kept & {r["doc_id"] for r in junk.collect()}) <= 0.05 * junk.count()
+
+
+def test_bpe_side_by_side_equals_one_by_one():
+    """Trees merged as rows of one array give what one tree at a time gives."""
+    ranks = bpe.parse_vocabulary(queries.vocabulary()[0])
+    rng = random.Random(11)
+    pieces = [bytes(rng.choices(alphabet, k=rng.randint(1, 80))) for _ in range(800)
+              for alphabet in (b"ab", b"the anerinonti", b" aeszAB\xc3\xa9.,1\x00", bytes(range(256)))]
+    got = bpe.merge_many(pieces, bpe.Vocabulary(ranks))
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [bpe.merge(p, ranks) for p in pieces]
+    # a vocabulary that lacks single bytes has no ids for them, but those it has are found
+    few = {b"a": 0, b"b": 1, b"ab": 2, b"aba": 3}
+    assert bpe.merge_many([b"abab", b"aba", b"a"], bpe.Vocabulary(few)) == [
+        np.array(x, "<u4").tobytes() for x in ([2, 2], [3], [0])]
+
+
+def test_bpe_decodes_in_the_same_pass(spark):
+    data, pattern = queries.vocabulary()
+    for docs in sets(spark):
+        one = bpe.encode(docs, data, pattern, decoded="decoded")
+        two = bpe.decode(bpe.encode(docs, data, pattern), data)
+        assert one.columns == two.columns
+        assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+    bad = spark.createDataFrame([(bytearray(b"\xff\xff\xff\x7f"),)], "ids binary")
+    with pytest.raises(Exception, match="not in the vocabulary"):
+        bpe.decode(bad, data).collect()
