@@ -6,8 +6,8 @@ from tessera.operators.scd2 import (Scd2Spec, changed_rows, empty_dimension,
                                     expired_keys, first_load, merge, new_versions)
 from tessera.operators.dims import calendar, calendar_for, type1_upsert
 from tessera.operators.quality import (QualityError, duplicate_keys, gate,
-                                       key_uniqueness_report, null_key_report,
-                                       orphan_report, row_count_report)
+                                       evaluate, key_uniqueness_report, null_key_report,
+                                       orphan_report, require, row_count_report)
 from tessera.operators.star import (CalendarLookup, KeyLookup, StarJoin, ValidityLookup,
                                     build_fact, flatten, incremental)
 from tessera.operators.skew import (SkewSpec, collect_hot, hot_from_counts, hot_keys,

@@ -29,10 +29,15 @@ EPOCH = dt.datetime(1970, 1, 1)
 
 @dataclass(frozen=True)
 class Watermark:
-    """``stamp``: the source's load stamp (date or timestamp), carried into the target."""
+    """``stamp``: the source's load stamp (date or timestamp), carried into the target.
+
+    ``by_month``: the target's parts are the months of the stamp, so that a load lists
+    only those of its window; otherwise its files are pruned by their statistics.
+    """
     stamp: str
     overlap: dt.timedelta
     name: str = "watermark"
+    by_month: bool = True
 
     def mark(self, store: TableStore, table: str) -> dt.datetime | None:
         micros = store.last_epoch(table, self.name)
@@ -71,16 +76,21 @@ def rows_since_mark(source: DataFrame, store: TableStore, table: str, key: str,
     if all_keys or mark is None:
         held = store.read(table)
     else:
-        held = wm.window(store.read(table, wm.parts_since(store, table, mark)), mark)
+        parts = wm.parts_since(store, table, mark) if wm.by_month else None
+        held = wm.window(store.read(table, parts), mark)
     return rows.join(held.select(key), key, "left_anti").select(*source.columns)
 
 
-def staged_mark(store: TableStore, staged: Staged, table: str, wm: Watermark) -> int | None:
-    """The mark after ``staged``, in microseconds: it never falls, and stays where nothing is stamped."""
-    top = F.max(F.col(wm.stamp).cast("timestamp"))
-    found = store.read_staged(staged).agg(F.unix_micros(top)).first()[0]
-    before = store.last_epoch(table, wm.name)
-    return max((m for m in (found, before) if m is not None), default=None)
+def measures(wm: Watermark) -> dict[str, Column]:
+    """What a staged write counts for its commit: rows, and the largest stamp in microseconds."""
+    return {"rows": F.count(F.lit(1)), "mark": F.unix_micros(F.max(F.col(wm.stamp).cast("timestamp")))}
+
+
+def next_mark(store: TableStore, staged: Staged, wm: Watermark) -> tuple[str, int] | None:
+    """The mark after ``staged``: it never falls, and stays where nothing is stamped."""
+    before = store.last_epoch(staged.name, wm.name)
+    top = max((m for m in (staged.measured["mark"], before) if m is not None), default=None)
+    return None if top is None else (wm.name, top)
 
 
 def load_since_mark(source: DataFrame, store: TableStore, table: str, key: str, wm: Watermark,
@@ -91,9 +101,8 @@ def load_since_mark(source: DataFrame, store: TableStore, table: str, key: str,
     A load that dies before its commit leaves the old mark, so the next one reads the same window.
     """
     rows = transform(rows_since_mark(source, store, table, key, wm, all_keys))
-    staged = store.stage(rows, table, parts=wm.part())
-    if store.exists(table) and store.read_staged(staged).isEmpty():
+    staged = store.stage(rows, table, parts=wm.part() if wm.by_month else None, measure=measures(wm))
+    if store.exists(table) and not staged.measured["rows"]:
         return None
-    mark = staged_mark(store, staged, table, wm)
-    store.commit(staged, "append", None if mark is None else (wm.name, mark))
+    store.commit(staged, "append", next_mark(store, staged, wm))
     return staged.version

@@ -26,12 +26,13 @@ def key_part(key: str, parts: int) -> Column:
 
 def merge_parts(store: TableStore, table: str, src: DataFrame, spec: Scd2Spec, parts: int,
                 now: Column | None = None, epoch: tuple[str, int] | None = None,
-                apply: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> set[str]:
+                apply: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+                check_keys: bool = True) -> set[str]:
     """Merge ``src`` into ``store[table]``; the parts rewritten (none if nothing changed).
 
     A table that does not exist, or whose folders are not the parts 0 .. ``parts`` - 1,
     is written as a whole. The new version is committed only if its surrogate keys
-    are unique in the whole dimension. ``apply(changed, old)`` makes the new rows of the
+    are unique in the whole dimension (unless ``check_keys`` is off). ``apply(changed, old)`` makes the new rows of the
     touched parts from the changed source rows and the parts' old rows (default: ``merge``).
     """
     part = key_part(spec.key, parts)
@@ -47,10 +48,11 @@ def merge_parts(store: TableStore, table: str, src: DataFrame, spec: Scd2Spec, p
     last = largest(dim, spec.sk) if spec.consecutive else None
     make = apply or (lambda rows, held: merge(rows, held, spec, now, changed=rows, last_key=last))
     staged = store.stage(make(changed, old), table, parts=part)
-    kept = store.read(table, store.parts(table) - touched) if laid_out else None
-    keys = store.read_staged(staged).select(spec.sk)
-    whole = keys if kept is None else keys.unionByName(kept.select(spec.sk))
-    gate(**{f"{table}_sk_unique": key_uniqueness_report(whole, spec.sk)})
+    if check_keys:
+        whole = store.read_staged(staged).select(spec.sk)
+        if laid_out:
+            whole = whole.unionByName(store.read(table, store.parts(table) - touched).select(spec.sk))
+        gate(**{f"{table}_sk_unique": key_uniqueness_report(whole, spec.sk)})
     store.commit(staged, "replace" if laid_out else "overwrite", epoch,
                  replaced=touched if laid_out else None)
     return touched if laid_out else known

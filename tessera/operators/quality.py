@@ -89,12 +89,8 @@ def orphan_report(base: DataFrame, hops: list[tuple[DataFrame, str, str]]) -> Da
     return out.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("rows"), *sums)
 
 
-def gate(**reports: DataFrame) -> list[dict]:
-    """Evaluate reports (each a one-row frame with ``passed``); raise if any failed.
-
-    Returns the report rows as dicts when all pass. All reports run as one job,
-    side by side.
-    """
+def evaluate(**reports: DataFrame) -> list[dict]:
+    """The rows of one-row reports as dicts named by ``check``; all reports run as one job, side by side."""
     if not reports:
         return []
     named = [rep.limit(1).withColumn("__check", F.lit(name)) for name, rep in reports.items()]
@@ -102,9 +98,20 @@ def gate(**reports: DataFrame) -> list[dict]:
     for rep in named[1:]:
         together = together.unionByName(rep, allowMissingColumns=True)
     found = {r["__check"]: r.asDict() for r in together.collect()}
-    rows = [{"check": name, **({c: found[name][c] for c in rep.columns} if name in found
+    return [{"check": name, **({c: found[name][c] for c in rep.columns} if name in found
                                else {"passed": False})} for name, rep in reports.items()]
-    failures = [d for d in rows if not d.get("passed")]
-    if failures:
+
+
+def require(rows: list[dict]) -> list[dict]:
+    """``rows`` if all ``passed``; raises with those that did not."""
+    if failures := [d for d in rows if not d.get("passed")]:
         raise QualityError(failures)
     return rows
+
+
+def gate(**reports: DataFrame) -> list[dict]:
+    """Evaluate reports (each a one-row frame with ``passed``); raise if any failed.
+
+    Returns the report rows as dicts when all pass.
+    """
+    return require(evaluate(**reports))

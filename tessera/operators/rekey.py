@@ -2,9 +2,10 @@
 
 A version may arrive late, with a start in the past, or a holder after its
 movements. Only facts whose holder and time lie in a changed span can point
-elsewhere then, facts without a version among them. ``rekey`` finds the parts
-of the stored fact that hold such a row, looks those up again and replaces them
-in one commit; the other folders stay as they are.
+elsewhere then, facts without a version among them. ``touched_parts`` finds the
+parts of the stored fact that hold such a row from the change of the dimension,
+``stale_parts`` from the fact and the dimension as they are. ``rekey`` looks those
+up again and replaces them in one commit; the other folders stay as they are.
 """
 
 from __future__ import annotations
@@ -14,11 +15,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.lookup import validity_condition
 from tessera.operators.skew import SkewSpec, salted_join
-from tessera.session import stored
 from tessera.sources.store import NULL_PART, TableStore
 
 
+#: The commit marker's entry for the last version that replaced rows of earlier ones.
+REWRITTEN = "rewritten"
+
+
 def changed_spans(before: DataFrame, after: DataFrame, key: str, sk: str = "sk",
                   valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
     """(id, since, until) of the time in which an id's versions differ; ``until`` is NULL for no end.
@@ -49,20 +54,42 @@ def touched_parts(fact: DataFrame, spans: DataFrame, key: str, ts: str, part: Co
     return {NULL_PART if r[0] is None else str(r[0]) for r in met.select("__part").distinct().collect()}
 
 
-def rekey(store: TableStore, table: str, spans: DataFrame, key: str, ts: str, part: Column,
-          lookup: Callable[[DataFrame], DataFrame], skew: SkewSpec | None = None,
-          check: Callable[[DataFrame], None] = lambda staged: None) -> set[str]:
-    """Look up again the parts of ``table`` that ``spans`` touches; the parts replaced.
+def stale_parts(fact: DataFrame, versions: DataFrame, key: str, sk: str, ts: str, part: Column,
+                dim_key: str, dim_sk: str = "sk", valid_from: str = "valid_from",
+                valid_to: str = "valid_to", upper: str = "closed",
+                skew: SkewSpec | None = None) -> set[str]:
+    """The parts of ``fact`` with a row whose version ``sk`` is not valid at its time any more, or
+    that has none though one is valid now. Needs no earlier state of the versions."""
+    rows = fact.select(F.col(key).alias("__fk"), F.col(sk).alias("__fsk"), F.col(ts).alias("__ts"),
+                       part.cast("long").alias("__part"))
+    v = versions.select(F.col(dim_key).alias("__k"), F.col(dim_sk).alias("__v"),
+                        F.col(valid_from).alias("__f"), F.col(valid_to).alias("__t"))
+    valid = validity_condition(F.col("__ts"), F.col("__f"), F.col("__t"), upper)
+    keyed, without = rows.where(F.col("__fsk").isNotNull()), rows.where(F.col("__fsk").isNull())
+    if skew is not None:
+        met = salted_join(keyed, v, "__fsk", "__v", skew, "left")
+        found = salted_join(without, v, "__fk", "__k", skew, "inner", valid)
+    else:
+        met = keyed.join(v, F.col("__fsk") == F.col("__v"), "left")
+        found = without.join(v, (F.col("__fk") == F.col("__k")) & valid)
+    stale = met.where(~F.coalesce(valid, F.lit(False))).select("__part")
+    parts = stale.unionByName(found.select("__part")).distinct().collect()
+    return {NULL_PART if r[0] is None else str(r[0]) for r in parts}
+
+
+def rekey(store: TableStore, table: str, touched: set[str], part: Column,
+          lookup: Callable[[DataFrame], DataFrame],
+          check: Callable[[DataFrame], None] = lambda staged: None) -> None:
+    """Look up again the parts ``touched`` of ``table`` and replace them in one commit.
 
     ``lookup`` gives the stored rows their keys anew (all columns, one row a fact);
     ``check`` sees the staged rows and may raise, which leaves the table as it was.
     """
-    spans = stored(spans, "spans")
-    touched = touched_parts(store.read(table), spans, key, ts, part, skew)
     if not touched:
-        return touched
+        return
+    if lost := touched - store.parts(table):
+        raise ValueError(f"{table} is not stored in parts, or has none for {sorted(lost)[:5]}")
     rows = store.read(table, touched)
     staged = store.stage(lookup(rows).select(*rows.columns), table, parts=part)
     check(store.read_staged(staged))
-    store.commit(staged, "replace", replaced=touched)
-    return touched
+    store.commit(staged, "replace", epoch=(REWRITTEN, staged.version), replaced=touched)

@@ -16,7 +16,7 @@ from tessera.operators.asof import overlap_report, validity_lookup_sorted
 from tessera.operators.changes import apply_changes
 from tessera.operators.load import Watermark, load_since_mark
 from tessera.operators.parts import key_part, merge_parts
-from tessera.operators.rekey import changed_spans, rekey
+from tessera.operators.rekey import changed_spans, rekey, touched_parts
 from tessera.operators.scd2 import Scd2Spec
 from tessera.operators.sequence import consecutive_keys
 from tessera.plans import scenarios as sc
@@ -183,7 +183,9 @@ def fact_rekeyed(spark, d):
         "o_orderdate", "yyyyMM").cast("int")
     o = load(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     store.write(look(before)(o), "orders", parts=part)
-    rekey(store, "orders", changed_spans(before, after, "c_custkey"), "o_custkey", "o_orderdate", part, look(after))
+    spans = changed_spans(before, after, "c_custkey")
+    touched = touched_parts(store.read("orders"), spans, "o_custkey", "o_orderdate", part, BUSY)
+    rekey(store, "orders", touched, part, look(after))
     return store.read("orders")
 
 

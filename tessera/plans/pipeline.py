@@ -8,7 +8,10 @@ UPDATE), and the fact is staged, gated, and only then published.
 
 With ``fact_mode="incremental"`` the raw and trusted movements and the fact only
 grow: movements whose id is not there yet are appended to each layer, and no
-load rewrites what is there.
+load rewrites what is there. Where the source stamps its movements
+(``movement_stamp``) each layer reads the one before it from its own high-water
+mark on, less an overlap. The optional stage ``rekey`` looks up again the facts
+that holder versions which changed since point elsewhere.
 
 Input contract (raw source tables, see FIXTURES.md):
   holder(holder_id, full_name, birth_date, marital_status, education)
@@ -23,23 +26,26 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import (CalendarLookup, ChainStep, KeyLookup, Scd2Spec, SkewSpec,
                                StarJoin, ValidityLookup, build_fact, calendar, calendar_for,
-                               changed_rows, empty_dimension, flatten, gate, incremental,
-                               key_uniqueness_report, merge, orphan_report,
+                               validity_lookup,
+                               evaluate, flatten, gate, incremental,
+                               key_uniqueness_report, orphan_report, require,
                                row_count_report, trusted_account, trusted_card,
                                trusted_holder, trusted_movement, type1_upsert)
-from tessera.sources import (TableStore, copy_tables, export_csv, run_concurrently,
-                             write_jdbc)
+from tessera.operators.load import Watermark, load_since_mark, measures, next_mark, rows_since_mark
+from tessera.operators.parts import merge_parts
+from tessera.operators.rekey import REWRITTEN, rekey, stale_parts
+from tessera.sources import TableStore, copy_tables, export_csv, publish, read_jdbc, run_concurrently
+from tessera.sources.jdbc import BATCH
 
 SOURCE_TABLES = ("holder", "account", "card", "movement")
 STAGES = ("raw", "trusted", "dimensions", "fact", "export")
-OPTIONAL_STAGES = ("publish",)
+OPTIONAL_STAGES = ("rekey", "publish")
 
 # The flat file's column order.
 FLAT_COLUMNS = ["first_name", "last_name", "age", "amount", "movement_id", "moved_at",
@@ -63,6 +69,10 @@ class PipelineConfig:
     null_safe: bool = False
     validity_upper: str = "closed"            # "half_open" avoids double matches on boundaries
     key_modulus: int | None = None            # 10**10 for the short key form
+    # Number new dimension rows after the largest key in use (key_modulus is then their limit).
+    consecutive_keys: bool = False
+    # Hash parts of the holder dimension: a load rewrites those that hold a changed holder.
+    holder_parts: int = 16
     fact_mode: str = "full"                   # or "incremental": append unseen movement ids
     flatten_how: str = "inner"
     single_file: bool = False
@@ -71,8 +81,12 @@ class PipelineConfig:
     # Split cards / holders carrying more rows than this across tasks
     # (None: rely on AQE's skew-join handling only).
     skew: SkewSpec | None = field(default_factory=SkewSpec)
-    # Folder partitioning of the published fact (date filters prune folders).
-    fact_partition_by: tuple[str, ...] = ("date_sk",)
+    # Folders of the published fact: by default its months, each a part that can be rewritten
+    # alone, rows sorted by day within. Columns given here partition it by their values instead.
+    fact_partition_by: tuple[str, ...] = ()
+    # The source's load stamp of a movement, if it has one, and how late rows may become visible.
+    movement_stamp: str | None = None
+    movement_overlap: dt.timedelta = dt.timedelta(days=3)
     # The publish stage writes dimensions and fact to this database (url, properties).
     publish_url: str | None = None
     publish_properties: dict = field(default_factory=dict)
@@ -80,6 +94,8 @@ class PipelineConfig:
     def __post_init__(self):
         if self.fact_mode not in ("full", "incremental"):
             raise ValueError("fact_mode must be 'full' or 'incremental'")
+        if self.movement_stamp and self.fact_mode != "incremental":
+            raise ValueError("movement_stamp is for fact_mode 'incremental'")
 
 
 def _as_of(cfg: PipelineConfig) -> Column | None:
@@ -94,11 +110,21 @@ def _now(cfg: PipelineConfig) -> Column:
 
 def holder_spec(cfg: PipelineConfig) -> Scd2Spec:
     return Scd2Spec(key="holder_id", tracked=cfg.holder_tracked, match=cfg.holder_match,
-                    null_safe=cfg.null_safe, key_modulus=cfg.key_modulus)
+                    null_safe=cfg.null_safe, key_modulus=cfg.key_modulus,
+                    consecutive=cfg.consecutive_keys)
 
 
-def _append_new(rows: DataFrame, store: TableStore, name: str, key: str) -> int:
+def watermark(cfg: PipelineConfig, by_month: bool = True) -> Watermark | None:
+    return Watermark(cfg.movement_stamp, cfg.movement_overlap,
+                     by_month=by_month) if cfg.movement_stamp else None
+
+
+def _append_new(rows: DataFrame, store: TableStore, name: str, key: str,
+                wm: Watermark | None = None) -> int:
     """Append the rows whose key the table does not hold yet (all of them on a first load)."""
+    if wm is not None:
+        version = load_since_mark(rows, store, name, key, wm)
+        return store.current_version(name) if version is None else version
     if not store.exists(name):
         return store.write(rows, name)
     return store.write(incremental(store.read(name), rows, key), name, mode="append")
@@ -109,7 +135,8 @@ def stage_raw(spark: SparkSession, cfg: PipelineConfig) -> dict:
     if cfg.fact_mode == "full":
         return copy_tables(cfg.read_source, raw, SOURCE_TABLES)
     out = copy_tables(cfg.read_source, raw, [t for t in SOURCE_TABLES if t != "movement"])
-    out["movement"] = _append_new(cfg.read_source("movement"), raw, "movement", "movement_id")
+    out["movement"] = _append_new(cfg.read_source("movement"), raw, "movement", "movement_id",
+                                  watermark(cfg))
     return out
 
 
@@ -126,9 +153,11 @@ def stage_trusted(spark: SparkSession, cfg: PipelineConfig) -> dict:
 
 def _write_trusted(raw: TableStore, tr: TableStore, cfg: PipelineConfig) -> dict:
     def movement() -> int:
-        rows = trusted_movement(raw.read("movement"))
+        stamp = [cfg.movement_stamp] if cfg.movement_stamp else []
+        rows = trusted_movement(raw.read("movement"), keep=(
+            "movement_id", "card_id", "amount", "moved_at", *stamp))
         if cfg.fact_mode == "incremental":
-            return _append_new(rows, tr, "movement", "movement_id")
+            return _append_new(rows, tr, "movement", "movement_id", watermark(cfg))
         return tr.write(rows, "movement")
 
     return run_concurrently({
@@ -148,7 +177,8 @@ def _type1(spark, wh: TableStore, name: str, trusted: DataFrame, key: str,
         schema = T.StructType([T.StructField("sk", T.LongType(), False)] + trusted.schema.fields)
         dim = spark.createDataFrame([], schema)
     return _publish_dim(wh, type1_upsert(trusted, dim, key, now=_now(cfg),
-                                         modulus=cfg.key_modulus), name)
+                                         modulus=cfg.key_modulus,
+                                         consecutive=cfg.consecutive_keys), name)
 
 
 def _publish_dim(wh: TableStore, dim: DataFrame, name: str) -> int:
@@ -180,24 +210,8 @@ def stage_dimensions(spark: SparkSession, cfg: PipelineConfig) -> dict:
     """Holder (type 2), card and account (type 1), calendar."""
     tr = TableStore(spark, cfg.warehouse_root, prefix="trusted_")
     wh = TableStore(spark, cfg.warehouse_root, prefix="dim_")
-    spec = holder_spec(cfg)
-    src = tr.read("holder")
-    if wh.exists("holder"):
-        dim = wh.read("holder")
-    else:
-        dim = empty_dimension(spark, src.schema, spec)
-    # Emptiness check first (a limit-1 job): an unchanged dimension is not
-    # rewritten. The delta is persisted (spilling to disk) so the merge reuses
-    # it; a lost executor only recomputes its partitions from lineage.
-    changed = changed_rows(src, dim, spec).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if changed.isEmpty() and wh.exists("holder"):
-            out = {"holder": wh.current_version("holder")}
-        else:
-            out = {"holder": _publish_dim(
-                wh, merge(src, dim, spec, _now(cfg), changed=changed), "holder")}
-    finally:
-        changed.unpersist()
+    merge_parts(wh, "holder", tr.read("holder"), holder_spec(cfg), cfg.holder_parts, _now(cfg))
+    out = {"holder": wh.current_version("holder")}
     card = tr.read("card").select("card_id", "card_number", "printed_name", "brand",
                                   "card_type", "issued_on")
     acct = tr.read("account").select("account_id", "account_type", "branch", "status",
@@ -212,7 +226,8 @@ def stage_dimensions(spark: SparkSession, cfg: PipelineConfig) -> dict:
 def fact_frame(spark: SparkSession, cfg: PipelineConfig, movements: DataFrame) -> DataFrame:
     tr = TableStore(spark, cfg.warehouse_root, prefix="trusted_")
     wh = TableStore(spark, cfg.warehouse_root, prefix="dim_")
-    mv = movements.select("movement_id", "card_id", "amount", "moved_at")
+    stamp = [cfg.movement_stamp] if cfg.movement_stamp else []
+    mv = movements.select("movement_id", "card_id", "amount", "moved_at", *stamp)
     chain = [
         ChainStep(tr.read("card"), "card_id", "card_id", ("account_id",)),
         ChainStep(tr.read("account"), "account_id", "account_id", ("holder_id",)),
@@ -225,63 +240,95 @@ def fact_frame(spark: SparkSession, cfg: PipelineConfig, movements: DataFrame) -
                        "holder_sk", upper=cfg.validity_upper),
         CalendarLookup(wh.read("calendar"), "moved_at", "date_sk"),
     ]
-    cols = ["movement_id", "holder_sk", "card_sk", "account_sk", "date_sk",
-            F.col("amount").cast("decimal(10,2)").alias("amount"), "moved_at"]
+    cols = ["movement_id", "holder_id", "holder_sk", "card_sk", "account_sk", "date_sk",
+            F.col("amount").cast("decimal(10,2)").alias("amount"), "moved_at", *stamp]
     return build_fact(mv, chain, lookups, cols, loaded_at=_now(cfg), skew=cfg.skew)
 
 
 FACT_KEYS = ("holder_sk", "card_sk", "account_sk", "date_sk")
 
 
-def fact_report(written: DataFrame) -> DataFrame:
-    """One row over the staged fact: rows, NULLs per key, movements whose day is in no calendar."""
+def fact_measures(wm: Watermark | None) -> dict[str, Column]:
+    """What is counted while the fact is written: rows, NULLs per key, movements whose day is in
+    no calendar, and the largest stamp."""
     undated = F.col("date_sk").isNull() & F.col("moved_at").isNotNull()
-    return written.agg(F.count(F.lit(1)).alias("rows"),
-                       *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{c}")
-                         for c in FACT_KEYS],
-                       F.count(F.when(undated, 1)).alias("undated")
-                       ).withColumn("passed", F.col("undated") == 0)
+    out = {"rows": F.count(F.lit(1)),
+           **{f"null_{c}": F.count(F.when(F.col(c).isNull(), 1)) for c in FACT_KEYS},
+           "undated": F.count(F.when(undated, 1))}
+    return out if wm is None else {**measures(wm), **out}
+
+
+def fact_month() -> Column:
+    return F.date_format("moved_at", "yyyyMM").cast("int")
+
+
+def _stage_fact_rows(ft: TableStore, rows: DataFrame, cfg: PipelineConfig, measure: dict):
+    if cfg.fact_partition_by:
+        return ft.stage(rows, "movement", list(cfg.fact_partition_by), cluster=[], measure=measure)
+    return ft.stage(rows, "movement", parts=fact_month(), cluster=["date_sk"], measure=measure)
 
 
 def stage_fact(spark: SparkSession, cfg: PipelineConfig) -> dict:
     """Build, stage, gate, publish. Nothing is published when a check fails.
 
-    The fact is written once to an uncommitted version and the gate reads those
-    files, so the join plan is evaluated once (not once per check) and the checks
-    see exactly what will be published.
+    The fact is written once to an uncommitted version; its rows, NULL keys and
+    undated rows are counted by the tasks that write it, so of the gate only the
+    uniqueness of its key reads the staged files, and the orphan count the source.
     """
     tr = TableStore(spark, cfg.warehouse_root, prefix="trusted_")
     ft = TableStore(spark, cfg.warehouse_root, prefix="fact_")
+    wm = watermark(cfg, by_month=False)
     mode, source = "overwrite", tr.read("movement")
     if cfg.fact_mode == "incremental" and ft.exists("movement"):
-        source = incremental(ft.read("movement"), source, "movement_id")
+        source = (incremental(ft.read("movement"), source, "movement_id") if wm is None
+                  else rows_since_mark(source, ft, "movement", "movement_id", wm))
         mode = "append"
-    built = fact_frame(spark, cfg, source)
-    part = list(cfg.fact_partition_by) or None
-    if part:
-        # Rebalance on the partition columns: AQE splits a busy day over several
-        # writer tasks and merges quiet ones, so neither one task per day nor one
-        # file per day per task.
-        built = built.hint("rebalance", *part)
-    staged = ft.stage(built, "movement", partition_by=part)
-    written = ft.read_staged(staged)
-    orphans = orphan_report(source, [(tr.read("card"), "card_id", "card_id"),
-                                     (tr.read("account"), "account_id", "account_id"),
-                                     (tr.read("holder"), "holder_id", "holder_id")])
+    staged = _stage_fact_rows(ft, fact_frame(spark, cfg, source), cfg, fact_measures(wm))
+    measured = staged.measured
     hops = ("card", "account", "holder")
+    orphans = orphan_report(source, [(tr.read(h), f"{h}_id", f"{h}_id") for h in hops])
     orphans = orphans.select(
-        *[F.col(f"orphans_{i + 1}").alias(f"without_{h}") for i, h in enumerate(hops)]
+        F.col("rows"), *[F.col(f"orphans_{i + 1}").alias(f"without_{h}") for i, h in enumerate(hops)]
     ).withColumn("passed", sum((F.col(f"without_{h}") for h in hops), F.lit(0)) == 0)
-    report = gate(orphans=orphans, row_count=row_count_report(source, written),
-                  unique_movement=key_uniqueness_report(written, "movement_id"),
-                  calendar=fact_report(written))
-    ft.commit(staged, mode)
+    orphan, unique = evaluate(orphans=orphans, unique_movement=key_uniqueness_report(
+        ft.read_staged(staged), "movement_id"))
+    report = require([
+        orphan,
+        {"check": "row_count", "source_count": orphan["rows"], "target_count": measured["rows"],
+         "passed": orphan["rows"] == measured["rows"]},
+        unique,
+        {"check": "calendar", **{k: v for k, v in measured.items() if k != "mark"},
+         "passed": measured["undated"] == 0}])
+    ft.commit(staged, mode, next_mark(ft, staged, wm) if wm else None)
     # Informational: rows with a NULL key are kept in the fact but an inner
     # star flatten drops them (e.g. a movement before its holder's first version).
-    nulls = {k: v for r in report for k, v in r.items() if k == "rows" or k.startswith("null_")}
+    nulls = {k: v for k, v in measured.items() if k == "rows" or k.startswith("null_")}
     return {"version": staged.version, "mode": mode, "checks": report, "null_keys": nulls}
 
 
+def stage_rekey(spark: SparkSession, cfg: PipelineConfig) -> dict:
+    """Look up again the facts whose holder version is not the one valid at their time any more
+    (it came late, or was closed since), facts without one among them; only the months that
+    hold such a fact are rewritten."""
+    wh = TableStore(spark, cfg.warehouse_root, prefix="dim_")
+    ft = TableStore(spark, cfg.warehouse_root, prefix="fact_")
+    if cfg.fact_partition_by:
+        raise ValueError("rekey needs the fact in its months (no fact_partition_by)")
+    known = wh.read("holder").select("holder_id", "sk", "valid_from", "valid_to")
+    touched = stale_parts(ft.read("movement"), known, "holder_id", "holder_sk", "moved_at", fact_month(),
+                          "holder_id", upper=cfg.validity_upper, skew=cfg.skew)
+
+    def look(rows: DataFrame) -> DataFrame:
+        return validity_lookup(rows.drop("holder_sk"), known, "holder_id", "holder_id", "moved_at", "sk",
+                               "holder_sk", upper=cfg.validity_upper, skew=cfg.skew)
+
+    def check(staged: DataFrame) -> None:
+        gate(unique_movement=key_uniqueness_report(staged, "movement_id"))
+
+    rekey(ft, "movement", touched, fact_month(), look, check)
+    return {"parts": sorted(touched)}
+
+
 def flat_frame(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     wh = TableStore(spark, cfg.warehouse_root, prefix="dim_")
     ft = TableStore(spark, cfg.warehouse_root, prefix="fact_")
@@ -306,27 +353,48 @@ def stage_export(spark: SparkSession, cfg: PipelineConfig) -> dict:
     return {"path": cfg.export_path}
 
 
+def _published(spark: SparkSession, cfg: PipelineConfig, table: str) -> int | None:
+    """The last batch that the database's table holds; None if there is no such table."""
+    query = f'(SELECT MAX("{BATCH}") AS b FROM {table}) t'
+    try:
+        return read_jdbc(spark, cfg.publish_url, query, cfg.publish_properties, one_task=True).first()[0]
+    except Exception as e:  # noqa: BLE001 - databases word a missing table differently
+        if table.lower() in str(e).lower() and "exist" in str(e).lower():
+            return None
+        raise
+
+
 def stage_publish(spark: SparkSession, cfg: PipelineConfig) -> dict:
-    """Write the dimensions (replaced) and the fact to a database.
+    """Write the dimensions (replaced) and the fact to a database; it can be run again at any time.
 
-    The fact is replaced as well unless the load is incremental: then the rows of
-    the last append are added, so the stage is to run once after each load.
+    Every row of the fact carries the version that loaded it. Versions newer than
+    the newest one published are added, each in a transaction of its own, which
+    also covers loads whose publishing failed; the fact is replaced as a whole
+    when there is none published yet or rows published before were rewritten.
     """
     if not cfg.publish_url:
         raise ValueError("publish_url is required for the publish stage")
     wh = TableStore(spark, cfg.warehouse_root, prefix="dim_")
     ft = TableStore(spark, cfg.warehouse_root, prefix="fact_")
+    target = (cfg.publish_url,)
     for name in ("holder", "card", "account", "calendar"):
-        write_jdbc(wh.read(name), cfg.publish_url, f"dim_{name}", cfg.publish_properties)
-    append = cfg.fact_mode == "incremental" and ft.appends_since_overwrite("movement") > 0
-    rows = ft.read_last("movement") if append else ft.read("movement")
-    write_jdbc(rows, cfg.publish_url, "fact_movement", cfg.publish_properties,
-               mode="append" if append else "overwrite")
-    return {"fact": "append" if append else "overwrite"}
+        publish(wh.read(name), *target, f"dim_{name}", cfg.publish_properties, wh.current_version(name))
+    versions = ft.versions("movement")
+    done = _published(spark, cfg, "fact_movement")
+    rewritten = max(versions[0], ft.last_epoch("movement", REWRITTEN) or 0)
+    if done is None or rewritten > done:
+        publish(ft.read("movement"), *target, "fact_movement", cfg.publish_properties, versions[-1])
+        return {"fact": "overwrite"}
+    for v in versions:
+        if v > done:
+            publish(ft.read_version("movement", v), *target, "fact_movement", cfg.publish_properties, v,
+                    mode="append")
+    return {"fact": "append"}
 
 
 _RUNNERS = {"raw": stage_raw, "trusted": stage_trusted, "dimensions": stage_dimensions,
-            "fact": stage_fact, "export": stage_export, "publish": stage_publish}
+            "fact": stage_fact, "rekey": stage_rekey,
+            "export": stage_export, "publish": stage_publish}
 
 
 def run(spark: SparkSession, cfg: PipelineConfig, stages=STAGES) -> dict:

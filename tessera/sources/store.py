@@ -21,11 +21,12 @@ a cluster; old folders and markers are the operator's to expire.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +39,7 @@ class Staged:
     path: str
     schema: str  # as JSON
     folders: tuple[tuple[str, str], ...]  # what a commit makes live
+    measured: dict = field(default_factory=dict)  # what the write counted
 
 
 #: Folder of the rows whose part is NULL.
@@ -69,6 +71,11 @@ def _missing_path(e: AnalysisException) -> bool:
     return (cls() if cls else "") == "PATH_NOT_FOUND" or "Path does not exist" in str(e)
 
 
+def _version(path: str) -> int:
+    """The version that wrote a folder (``.../v00000012-<id>/part=7`` -> 12)."""
+    return int(re.search(r"/v(\d{8,})-[0-9a-f]+(/|$)", path).group(1))
+
+
 @dataclass
 class TableStore:
     """Snapshot store under ``root``; ``prefix`` names the layer (``raw_``, ``dim_``...).
@@ -143,17 +150,23 @@ class TableStore:
         return None if s is None else s.epochs.get(stream)
 
     def appends_since_overwrite(self, name: str) -> int:
-        return len({p.rsplit("/v", 1)[1].split("/")[0] for p in self.live_paths(name)}) - 1
+        return len(self.versions(name)) - 1
 
-    def compact(self, name: str, partition_by: list[str] | None = None) -> int:
+    def compact(self, name: str, partition_by: list[str] | None = None,
+                parts: Column | None = None, cluster: list[str] | None = None) -> int:
         """Rewrite the live folders (last overwrite + appends) as one overwrite version.
 
         A maintenance job of its own (no load calls it): it reads and writes the
-        whole table. Rows are rebalanced first, so many small files become few.
-        Readers keep using the old folders until the new commit lands.
+        whole table. Rows are rebalanced first, so many small files become few; a
+        table that is kept in parts needs them named again. Readers keep using the
+        old folders until the new commit lands.
         """
-        df = self.read(name).hint("rebalance", *(partition_by or []))
-        return self.write(df, name, partition_by=partition_by)
+        df = self.read(name)
+        if parts is None:
+            df = df.hint("rebalance", *(partition_by or []))
+        staged = self.stage(df, name, partition_by, parts, cluster if parts is None else cluster or [])
+        self.commit(staged)
+        return staged.version
 
     def _frame(self, folders) -> DataFrame:
         """Folders of one schema are one scan of many paths; those with partition folders of
@@ -180,38 +193,56 @@ class TableStore:
             live = kept
         return self._frame(live)
 
+    def versions(self, name: str) -> list[int]:
+        """The versions whose rows make up the table."""
+        return sorted({_version(p) for p in self.live_paths(name)})
+
+    def read_version(self, name: str, version: int) -> DataFrame:
+        """The live rows that one version wrote."""
+        return self._frame([f for f in self._live(name) if _version(f[0]) == version])
+
     def read_last(self, name: str) -> DataFrame:
         """What the last commit wrote."""
-        state = self._state(name)
-        mine = f"/v{state.version:08d}-"
-        return self._frame([f for f in self._live(name) if mine in f[0]])
+        return self.read_version(name, self._state(name).version)
 
     def stage(self, df: DataFrame, name: str, partition_by: list[str] | None = None,
-              parts: Column | None = None) -> Staged:
+              parts: Column | None = None, cluster: list[str] | None = None,
+              measure: dict[str, Column] | None = None) -> Staged:
         """Write ``df`` as the next version without committing it (write-audit-publish).
 
         ``parts``, a whole number computed from a row, cuts the table into parts: each
         value's rows become a live folder of their own, which a later commit can
-        replace alone (``mode="replace"``).
+        replace alone (``mode="replace"``). ``cluster`` brings a part's rows together
+        (large parts over several tasks, small ones into few) and sorts them by these
+        columns, so that row groups prune on them. ``measure`` are aggregates counted
+        while the rows are written, by the tasks that write them: a task that fails and
+        runs again counts once.
         """
         v = (self.current_version(name) or 0) + 1
         path = f"{self._base(name)}/v{v:08d}-{uuid.uuid4().hex[:12]}"
-        w = df.write.mode("errorifexists")
+        schema = df.schema.json()
+        fields = T.StructType([T.StructField(f.name, f.dataType, f.nullable,
+                                             {_PARTITION: True} if f.name in (partition_by or []) else {})
+                               for f in df.schema.fields])
+        split = list(partition_by or [])
         if parts is not None:
-            df.withColumn(_PART, parts.cast("long")).write.partitionBy(_PART).parquet(path)
-            schema = df.schema.json()
-            values = self.spark.read.schema(f"{_PART} long").parquet(path).distinct().collect()
-            folders = sorted(f"{path}/{_PART}={NULL_PART if r[0] is None else r[0]}" for r in values)
-            if not folders:  # no rows: an empty part that holds the schema
-                folders = [f"{path}/{_PART}={NULL_PART}"]
-                df.limit(0).coalesce(1).write.parquet(folders[0])
-            return Staged(name, v, path, schema, tuple((f, schema) for f in folders))
-        fields = [T.StructField(f.name, f.dataType, f.nullable,
-                                {_PARTITION: True} if f.name in (partition_by or []) else {})
-                  for f in df.schema.fields]
-        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-        schema = T.StructType(fields).json()
-        return Staged(name, v, path, schema, ((path, schema),))
+            df, split = df.withColumn(_PART, parts.cast("long")), [_PART]
+        if split and cluster is not None:
+            df = df.hint("rebalance", *split).sortWithinPartitions(*split, *cluster)
+        watch = Observation() if measure else None
+        if watch:
+            df = df.observe(watch, *[c.alias(n) for n, c in measure.items()])
+        w = df.write.mode("errorifexists")
+        (w.partitionBy(*split) if split else w).parquet(path)
+        measured = watch.get if watch else {}
+        if parts is None:
+            return Staged(name, v, path, fields.json(), ((path, fields.json()),), measured)
+        values = self.spark.read.schema(f"{_PART} long").parquet(path).distinct().collect()
+        folders = sorted(f"{path}/{_PART}={NULL_PART if r[0] is None else r[0]}" for r in values)
+        if not folders:  # no rows: an empty part that holds the schema
+            folders = [f"{path}/{_PART}={NULL_PART}"]
+            df.drop(_PART).limit(0).coalesce(1).write.parquet(folders[0])
+        return Staged(name, v, path, schema, tuple((f, schema) for f in folders), measured)
 
     def read_staged(self, staged: Staged) -> DataFrame:
         return self._frame(staged.folders)

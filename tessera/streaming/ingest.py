@@ -2,16 +2,15 @@
 
 New files landing in ``source_path`` are read as micro-batches; each batch is
 cleaned by ``transform``, reduced to the latest row per id, and merged into the
-dimension with the same SCD2 ``merge`` the batch pipeline uses, then written as
-the next snapshot. The commit marker records the stream and its batch number,
+dimension with the same SCD2 merge the batch pipeline uses, then committed. The commit marker records the stream and its batch number,
 so a batch replayed after a failure (Spark gives foreachBatch at-least-once
 delivery) is recognised and skipped. The stream is known by the query's id,
 which lives in its checkpoint: another stream, or one with a new checkpoint,
 counts its batches on its own and loses none.
 
-Every batch with a change rewrites the whole dimension as a snapshot, a batch
-without one writes nothing. That fits scheduled loads (``available_now``) and
-rare triggers, not a trigger every few seconds on a large dimension.
+A batch rewrites the hash parts of the dimension that hold a changed id (``operators.parts``),
+a batch without a change writes nothing. That fits scheduled loads (``available_now``)
+and rare triggers, not a trigger every few seconds on a large dimension.
 """
 
 from __future__ import annotations
@@ -24,8 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tessera.operators.parts import merge_parts
 from tessera.operators.quality import gate, key_uniqueness_report
-from tessera.operators.scd2 import Scd2Spec, changed_rows, empty_dimension, merge
+from tessera.operators.scd2 import Scd2Spec
 from tessera.sources.store import TableStore
 
 
@@ -43,12 +43,13 @@ def scd2_batch_writer(store: TableStore, name: str, spec: Scd2Spec,
                       transform: Callable[[DataFrame], DataFrame] = lambda df: df,
                       now: Callable[[], Column] | None = None,
                       stream: str | Callable[[], str] = "stream",
-                      latest_by: str | None = None):
+                      latest_by: str | None = None, parts: int = 16):
     """The ``foreachBatch`` function: merge one micro-batch into ``store[name]``.
 
     ``stream`` names the source of batch numbers. ``latest_by`` orders the rows of
     one id within a batch (the column is dropped before the merge); without it
-    a batch that repeats an id is rejected, as both rows would become current.
+    a batch that repeats an id is rejected, as both rows would become current. The
+    dimension is kept in ``parts`` hash parts of its key.
     """
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
@@ -56,18 +57,13 @@ def scd2_batch_writer(store: TableStore, name: str, spec: Scd2Spec,
         done = store.last_epoch(name, own)
         if done is not None and epoch_id <= done:
             return  # already applied before a restart
-        spark = batch.sparkSession
         src = transform(batch)
         if latest_by:
             src = latest_rows(src, spec.key, latest_by).drop(latest_by)
         else:
             gate(one_row_per_id=key_uniqueness_report(src, spec.key))
-        first = not store.exists(name)
-        dim = empty_dimension(spark, src.schema, spec) if first else store.read(name)
-        if not first and changed_rows(src, dim, spec).isEmpty():
-            return
-        ts = now() if now else F.current_timestamp()
-        store.write(merge(src, dim, spec, ts), name, epoch=(own, epoch_id))
+        merge_parts(store, name, src, spec, parts, now() if now else F.current_timestamp(),
+                    epoch=(own, epoch_id), check_keys=False)
 
     return apply
 

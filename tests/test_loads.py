@@ -17,7 +17,7 @@ from tessera.operators.lookup import validity_lookup
 from tessera.operators.ordered import along
 from tessera.operators.parts import key_part, merge_parts
 from tessera.operators.quality import QualityError, key_uniqueness_report
-from tessera.operators.rekey import changed_spans, rekey
+from tessera.operators.rekey import changed_spans, rekey, stale_parts, touched_parts
 from tessera.operators.scd2 import Scd2Spec, merge
 from tessera.operators.sequence import KeySpaceError, consecutive_keys
 from tessera.operators.skew import SkewSpec
@@ -320,20 +320,28 @@ def test_late_versions_change_only_their_folders(spark, tmp_path):
     later = dim.unionByName(spark.createDataFrame(
         [(11, 1, day(10), day(40)), (12, 0, day(130), day(140))], dim.schema))
     spans = changed_spans(dim, later, "id", "sk", "f", "t")
-    assert rekey(store, "fact", spans, "holder", "at", part, look(later)) == {"202401", "202402", "202405"}
+    touched = {"202401", "202402", "202405"}
+    args = (store.read("fact"), "holder", "holder_sk", "at", part, "id", "sk", "f", "t", "half_open")
+    for skew in (None, SkewSpec(0.1)):
+        assert touched_parts(store.read("fact"), spans, "holder", "at", part, skew) == touched
+        assert stale_parts(args[0], later, *args[1:], skew=skew) == touched
+    rekey(store, "fact", touched, part, look(later))
     fresh = TableStore(spark, str(tmp_path))
     rows = lambda df: sorted(map(str, df.select("n", "holder", "at", "holder_sk").collect()))
     assert rows(fresh.read("fact")) == rows(look(later)(moves))
     kept = [p for p in before if p.rsplit("=", 1)[1] not in ("202401", "202402", "202405")]
     assert len(kept) == 5 and set(kept) <= set(fresh.live_paths("fact"))
     same = changed_spans(later, later, "id", "sk", "f", "t")
-    assert rekey(fresh, "fact", same, "holder", "at", part, look(later)) == set()
+    assert touched_parts(fresh.read("fact"), same, "holder", "at", part) == set()
+    assert stale_parts(fresh.read("fact"), later, *args[1:]) == set()
+    # back again: holder 0 has no version any more, holder 1 none before its first
+    assert stale_parts(fresh.read("fact"), dim, *args[1:]) == touched
 
     def refuse(staged):
         raise QualityError([{"check": "no"}])
 
     with pytest.raises(QualityError):
-        rekey(fresh, "fact", spans, "holder", "at", part, look(dim), check=refuse)
+        rekey(fresh, "fact", touched, part, look(dim), check=refuse)
     assert rows(TableStore(spark, str(tmp_path)).read("fact")) == rows(look(later)(moves))
 
 

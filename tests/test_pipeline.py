@@ -256,3 +256,150 @@ def test_cli_parquet_source(spark, tmp_path, tables):
     assert len(csv_lines(str(tmp_path / "flat"))[1]) == 4
     cal = TableStore(spark, str(tmp_path / "wh"), prefix="dim_").read("calendar")
     assert cal.count() == 365
+
+
+def test_loads_by_stamp(spark, tmp_path, tables):
+    """A stamped source: each layer reads from its own mark on, late rows within the overlap come in."""
+    def stamped(rows):
+        schema = SCHEMAS["movement"] + ", sent_at timestamp"
+        frames = {**{t: spark.createDataFrame(tables[t], SCHEMAS[t]) for t in ("holder", "account", "card")},
+                  "movement": spark.createDataFrame(rows, schema)}
+        return frames.__getitem__
+
+    stages = ("raw", "trusted", "dimensions", "fact")
+    kw = {"fact_mode": "incremental", "movement_stamp": "sent_at", "movement_overlap": dt.timedelta(days=2)}
+    one = [(*m, TS(2031, 3, k + 1)) for k, m in enumerate(MOVEMENT[:3])]
+    cfg = cfg_for(spark, tmp_path, tables, FIRST, **kw)
+    cfg.read_source = stamped(one)
+    assert run(spark, cfg, stages)["fact"]["null_keys"]["rows"] == 3
+    two = one + [(*MOVEMENT[3], TS(2031, 3, 2)), (*MOVEMENT[4], TS(2031, 2, 1)), one[2]]  # late, too late, again
+    cfg.read_source = stamped(two)
+    assert run(spark, cfg, stages)["fact"]["null_keys"]["rows"] == 1
+    fact = layer(spark, cfg, "fact_").read("movement")
+    assert sorted(r.movement_id for r in fact.collect()) == ["t1", "t2", "t3", "t4"]
+    assert run(spark, cfg, stages)["fact"]["null_keys"]["rows"] == 0
+    assert layer(spark, cfg, "raw_").last_epoch("movement", "watermark") == layer(
+        spark, cfg, "fact_").last_epoch("movement", "watermark")
+    with pytest.raises(ValueError):
+        cfg_for(spark, tmp_path, tables, FIRST, movement_stamp="sent_at")
+
+
+def test_late_holder_versions_are_looked_up_again(spark, tmp_path, tables):
+    """t5 happened before its holder's first version; a version that arrives with an earlier start repairs it."""
+    from pyspark.sql import functions as F
+
+    cfg = cfg_for(spark, tmp_path, tables, FIRST)
+    stages = ("raw", "trusted", "dimensions", "fact")
+    assert run(spark, cfg, stages)["fact"]["null_keys"]["null_holder_sk"] == 1
+    facts, dims = layer(spark, cfg, "fact_"), layer(spark, cfg, "dim_")
+    paths = facts.live_paths("movement")
+    assert {p.rsplit("=", 1)[1] for p in paths} == {"203102", "203103"}
+    assert run(spark, cfg, ["rekey"])["rekey"] == {"parts": []}
+    holder = dims.read("holder")
+    early = holder.where("holder_id = 'P-7'").select(
+        (F.col("sk") + 1).alias("sk"), *[c for c in holder.columns if c not in (
+            "sk", "valid_from", "valid_to", "is_current")],
+        F.lit("2031-01-01").cast("timestamp").alias("valid_from"),
+        F.lit("2031-02-03").cast("timestamp").alias("valid_to"), F.lit(False).alias("is_current"))
+    dims.write(early, "holder", mode="append")
+    assert run(spark, cfg, ["rekey"])["rekey"] == {"parts": ["203102"]}
+    facts.refresh()
+    sk = {r.movement_id: r.holder_sk for r in facts.read("movement").collect()}
+    assert len(sk) == 5 and sk["t5"] == early.first()["sk"] and sk["t1"] == sk["t5"] - 1
+    assert [p for p in paths if "203103" in p] == [p for p in facts.live_paths("movement") if "203103" in p]
+    assert run(spark, cfg, ["rekey"])["rekey"] == {"parts": []}
+
+
+def test_consecutive_keys_in_all_dimensions(spark, tmp_path, tables):
+    kw = {"consecutive_keys": True, "key_modulus": 50}
+    stages = ("raw", "trusted", "dimensions", "fact")
+    cfg = cfg_for(spark, tmp_path, tables, FIRST, **kw)
+    run(spark, cfg, stages)
+    tables["card"] += [(f"x{k}", "ac-31", "1", "n", "b", "t", D(2030, 1, 1)) for k in range(40)]
+    tables["holder"][1] = ("P-8", "idris okafor bello", D(2004, 2, 29), "married", "ensino técnico")
+    run(spark, cfg_for(spark, tmp_path, tables, TS(2031, 3, 2), **kw), stages)
+    dims = layer(spark, cfg, "dim_")
+    assert sorted(r.sk for r in dims.read("card").collect()) == list(range(1, 45))
+    assert sorted(r.sk for r in dims.read("holder").collect()) == [1, 2, 3, 4]
+    cards = {r.card_id: r.sk for r in dims.read("card").collect()}
+    assert [cards[k] for k in ("k1", "k2", "k3", "k4")] == [1, 2, 3, 4]
+    tables["card"] += [(f"y{k}", "ac-31", "1", "n", "b", "t", D(2030, 1, 1)) for k in range(10)]
+    with pytest.raises(Exception, match="limit 50"):
+        run(spark, cfg_for(spark, tmp_path, tables, TS(2031, 3, 2), **kw), stages)
+
+
+def test_publishing_after_a_failure_adds_what_is_missing(spark, tmp_path, tables, monkeypatch):
+    """Loads whose publishing failed, or ran twice, or was followed by a rewrite of earlier facts."""
+    import tempfile
+
+    from tessera.plans import pipeline
+
+    url = f"jdbc:derby:memory:q{next(tempfile._get_candidate_names())};create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    kw = {"fact_mode": "incremental", "publish_url": url, "publish_properties": props}
+    stages = ("raw", "trusted", "dimensions", "fact")
+    ids = lambda: sorted(r["movement_id"] for r in read_jdbc(
+        spark, url, "fact_movement", props, one_task=True).collect())
+    later = tables["movement"][2:]
+    tables["movement"] = tables["movement"][:2]
+    cfg = cfg_for(spark, tmp_path, tables, FIRST, **kw)
+    run(spark, cfg, (*stages, "publish"))
+    assert ids() == ["t1", "t2"]
+    for m in later[:2]:  # two loads, of which none is published
+        tables["movement"].append(m)
+        run(spark, cfg_for(spark, tmp_path, tables, FIRST, **kw), stages)
+    real, calls = pipeline.publish, []
+
+    def die_on_facts(df, url_, table, *a, **k):
+        if table == "fact_movement":
+            calls.append(table)
+            if len(calls) == 2:
+                raise RuntimeError("lost")
+        return real(df, url_, table, *a, **k)
+
+    monkeypatch.setattr(pipeline, "publish", die_on_facts)
+    with pytest.raises(RuntimeError):
+        run(spark, cfg, ["publish"])
+    assert ids() == ["t1", "t2", "t3"]
+    monkeypatch.setattr(pipeline, "publish", real)
+    for _ in range(2):
+        run(spark, cfg, ["publish"])
+        assert ids() == ["t1", "t2", "t3", "t4"]
+    facts = layer(spark, cfg, "fact_")
+    facts.compact("movement", parts=pipeline.fact_month(), cluster=["date_sk"])
+    assert facts.parts("movement") == {"203102", "203103"}
+    run(spark, cfg, ["publish"])
+    assert ids() == ["t1", "t2", "t3", "t4"]
+
+
+def test_measures_count_a_retried_task_once(tmp_path):
+    """Every writing task fails once; what the write measured is what it wrote."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = f'''
+import os
+from pyspark.sql import functions as F, types as T
+from tessera.session import build_session
+from tessera.sources import TableStore
+spark = build_session("local[2,4]", shuffle_partitions=2)
+def flaky(batches):
+    from pyspark import TaskContext
+    for b in batches:
+        yield b
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("lost")
+df = spark.range(0, 1000, 1, 4).mapInPandas(flaky, "id long")
+store = TableStore(spark, "{tmp_path}/wh")
+staged = store.stage(df, "t", measure={{"rows": F.count(F.lit(1)), "total": F.sum("id")}})
+assert staged.measured == {{"rows": 1000, "total": 499500}}, staged.measured
+assert store.read_staged(staged).count() == 1000
+many = store.stage(df.withColumn("m", F.col("id") % 3), "u", parts=F.col("m"), cluster=["id"],
+                   measure={{"rows": F.count(F.lit(1))}})
+assert many.measured == {{"rows": 1000}} and len(many.folders) == 3
+print("counted once")
+'''
+    out = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[1], timeout=300,
+                         capture_output=True, text=True)
+    assert "counted once" in out.stdout, out.stderr[-2000:]
