@@ -49,6 +49,13 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--calendar-fixed", action="store_true",
                    help="do not extend the calendar to the movements' days")
     p.add_argument("--key-modulus", type=int)
+    p.add_argument("--consecutive-keys", action="store_true",
+                   help="number new dimension rows instead of hashing their ids")
+    p.add_argument("--holder-parts", type=int, help="hash parts of the holder dimension")
+    p.add_argument("--movement-stamp", help="the source's load stamp of a movement")
+    p.add_argument("--movement-overlap-days", type=float,
+                   help="how many days late a movement may become visible")
+    p.add_argument("--compact-after", type=int, help="appended loads after which stage compact rewrites a table")
     p.add_argument("--holder-tracked", nargs="*", help="columns that make a new holder version")
     p.add_argument("--fact-partition-by", nargs="*")
     p.add_argument("--skew-share", type=float,
@@ -81,8 +88,12 @@ def main(argv=None) -> dict:
                          validity_upper=args.validity_upper, fact_mode=args.fact_mode,
                          flatten_how=args.flatten_how, single_file=args.single_file,
                          key_modulus=args.key_modulus, publish_url=args.publish,
-                         calendar_from_movements=not args.calendar_fixed)
-    given = {"calendar_start": args.calendar_start, "calendar_end": args.calendar_end}
+                         calendar_from_movements=not args.calendar_fixed,
+                         consecutive_keys=args.consecutive_keys, movement_stamp=args.movement_stamp)
+    given = {"holder_parts": args.holder_parts, "compact_after": args.compact_after,
+             "movement_overlap": None if args.movement_overlap_days is None
+             else dt.timedelta(days=args.movement_overlap_days),
+             "calendar_start": args.calendar_start, "calendar_end": args.calendar_end}
     if args.holder_tracked is not None:
         given["holder_tracked"] = tuple(args.holder_tracked)
     if args.fact_partition_by is not None:

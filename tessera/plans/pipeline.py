@@ -45,7 +45,7 @@ from tessera.sources.jdbc import BATCH
 
 SOURCE_TABLES = ("holder", "account", "card", "movement")
 STAGES = ("raw", "trusted", "dimensions", "fact", "export")
-OPTIONAL_STAGES = ("rekey", "publish")
+OPTIONAL_STAGES = ("rekey", "compact", "publish")
 
 # The flat file's column order.
 FLAT_COLUMNS = ["first_name", "last_name", "age", "amount", "movement_id", "moved_at",
@@ -87,6 +87,8 @@ class PipelineConfig:
     # The source's load stamp of a movement, if it has one, and how late rows may become visible.
     movement_stamp: str | None = None
     movement_overlap: dt.timedelta = dt.timedelta(days=3)
+    # The compact stage rewrites a movement table once so many loads were appended to it.
+    compact_after: int = 50
     # The publish stage writes dimensions and fact to this database (url, properties).
     publish_url: str | None = None
     publish_properties: dict = field(default_factory=dict)
@@ -329,6 +331,21 @@ def stage_rekey(spark: SparkSession, cfg: PipelineConfig) -> dict:
     return {"parts": sorted(touched)}
 
 
+def stage_compact(spark: SparkSession, cfg: PipelineConfig) -> dict:
+    """Rewrite the movement tables that ``compact_after`` or more loads were appended to, so that a
+    table's scan never lists many times that number of folders a part."""
+    wm, out = watermark(cfg), {}
+    month = fact_month() if not cfg.fact_partition_by else None
+    for prefix, by, parts in (("raw_", None, wm.part() if wm else None),
+                              ("trusted_", None, wm.part() if wm else None),
+                              ("fact_", list(cfg.fact_partition_by) or None, month)):
+        store = TableStore(spark, cfg.warehouse_root, prefix=prefix)
+        if store.exists("movement") and store.appends_since_overwrite("movement") >= cfg.compact_after:
+            cluster = ["date_sk"] if prefix == "fact_" else None
+            out[prefix + "movement"] = store.compact("movement", by, parts, cluster)
+    return out
+
+
 def flat_frame(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     wh = TableStore(spark, cfg.warehouse_root, prefix="dim_")
     ft = TableStore(spark, cfg.warehouse_root, prefix="fact_")
@@ -393,7 +410,7 @@ def stage_publish(spark: SparkSession, cfg: PipelineConfig) -> dict:
 
 
 _RUNNERS = {"raw": stage_raw, "trusted": stage_trusted, "dimensions": stage_dimensions,
-            "fact": stage_fact, "rekey": stage_rekey,
+            "fact": stage_fact, "rekey": stage_rekey, "compact": stage_compact,
             "export": stage_export, "publish": stage_publish}
 
 

@@ -464,7 +464,7 @@ def card_pipeline_incremental(spark, d):
     holder = TableStore(spark, cfg.warehouse_root, prefix="dim_").read("holder").select(
         F.col("sk").alias("holder_sk"), "holder_id", "marital_status", "age", "is_current",
         F.col("valid_from").cast("timestamp_ntz").alias("valid_from"))
-    return fact_rows.join(holder, "holder_sk").select(
+    return fact_rows.drop("holder_id").join(holder, "holder_sk").select(
         "movement_id", "date_sk", "amount", F.col("loaded_at").cast("timestamp_ntz").alias("loaded_at"),
         "holder_id", "marital_status", "age", "is_current", "valid_from")
 

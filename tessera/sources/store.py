@@ -103,6 +103,10 @@ class TableStore:
         return self._states[name]
 
     def _read_state(self, name: str) -> State | None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self._base(name)}/_commits")
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        if not path.getFileSystem(conf).exists(path):
+            return None
         try:
             row = (self.spark.read.schema(_MARKER).option("recursiveFileLookup", "true")
                    .json(f"{self._base(name)}/_commits")

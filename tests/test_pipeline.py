@@ -372,6 +372,26 @@ def test_publishing_after_a_failure_adds_what_is_missing(spark, tmp_path, tables
     assert ids() == ["t1", "t2", "t3", "t4"]
 
 
+def test_compaction_after_some_loads(spark, tmp_path, tables):
+    rows = tables["movement"]
+    tables["movement"] = []
+    kw = {"fact_mode": "incremental", "compact_after": 2}
+    stages = ("raw", "trusted", "dimensions", "fact")
+    for n, m in enumerate(rows[:3]):
+        tables["movement"].append(m)
+        cfg = cfg_for(spark, tmp_path, tables, FIRST, **kw)
+        run(spark, cfg, stages)
+        done = run(spark, cfg, ["compact"])["compact"]
+        assert set(done) == (set() if n < 2 else {"raw_movement", "trusted_movement", "fact_movement"})
+    for prefix in ("raw_", "trusted_", "fact_"):
+        store = layer(spark, cfg, prefix)
+        assert len(store.versions("movement")) == 1 and store.read("movement").count() == 3
+    tables["movement"] = rows
+    assert run(spark, cfg_for(spark, tmp_path, tables, FIRST, **kw), stages)["fact"]["null_keys"]["rows"] == 2
+    facts = layer(spark, cfg, "fact_")
+    assert facts.read("movement").count() == 5 and facts.parts("movement") == {"203102", "203103"}
+
+
 def test_measures_count_a_retried_task_once(tmp_path):
     """Every writing task fails once; what the write measured is what it wrote."""
     import subprocess
