@@ -47,6 +47,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BOX = "__box"
+
+
+def boxed(df: DataFrame, carry: list[str], **needed: Column) -> DataFrame:
+    """The columns ``carry`` of ``df`` as one struct beside what an operator needs, so that the
+    operator's own names cannot meet the caller's."""
+    held = [df[f"`{c}`"] for c in carry] or [F.lit(0).alias("none")]
+    return df.select(F.struct(*held).alias(BOX), *[c.alias(n) for n, c in needed.items()])
+
+
+def unboxed(df: DataFrame, carry: list[str], **found: Column) -> DataFrame:
+    """The carried columns as they were, and the operator's results; a result takes the place of a
+    column of its name."""
+    return df.select(*[F.col(BOX).getField(c).alias(c) for c in carry if c not in found],
+                     *[c.alias(n) for n, c in found.items()])
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the session's shared scratch folder and read it back.
 

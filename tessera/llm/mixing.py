@@ -4,7 +4,7 @@ Word counts are aggregated per source, a target is set for every source, and
 each document is emitted ``floor(rate)`` times plus one more copy with
 probability ``rate - floor(rate)``, where ``rate`` is its source's target over
 its source's size. The extra copy is a Bernoulli draw seeded by a hash of the
-document's id, so a rerun or a retried task takes the same copies.
+document's id and text, so a rerun or a retried task takes the same copies.
 
 Targets: sources in code point order (null last) weigh 1, 2, 3, 1, 2, 3, ...
 and share the corpus size by weight. A target stops at ``cap`` times its
@@ -14,7 +14,8 @@ distributed, whatever the number of sources.
 
 Defined results: a null or blank text has size 0; a null source is a source of
 its own; a source without any word has target 0 and its documents are emitted
-once; rows that repeat a doc_id draw alike; an empty table gives no row.
+once; rows without an id, or with one that others have too, draw by their text, and
+rows of equal id and text draw alike; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, n_words
+from tessera.llm.common import BOX, boxed, materialize, n_words, unboxed
 
 SIZE, SOURCE_SIZE, TARGET, COPIES = "__mix_size", "__mix_source_size", "__mix_target", "__mix_copies"
 
@@ -72,9 +73,10 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap:
                       F.least("__cap", F.lit(float(level)) * F.col("__w")).alias(TARGET))
 
 
-def draw(doc_id: Column, seed: str) -> Column:
-    """A uniform number in [0, 1) from a hash of the id."""
-    key = F.concat(F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("")))
+def draw(doc_id: Column, text: Column, seed: str) -> Column:
+    """A uniform number in [0, 1) from a hash of the id and the text."""
+    key = F.concat(F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"),
+                   F.coalesce(F.md5(text), F.lit("")))
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
@@ -89,22 +91,24 @@ def assign_copies(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: fl
     tasks; Spark broadcasts the table instead where its size allows.
     """
     carry = docs.columns if carry is None else carry
-    size = n_words(F.col(text)).alias(SIZE)
-    targets = source_targets(docs.select(source, size), weights, cap, source)
-    right = targets.withColumnRenamed(source, "__mix_source").withColumn(
-        "__mix_rsalt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    left = docs.select(*carry, *[c for c in (source,) if c not in carry], size,
-                       F.pmod(F.xxhash64(doc_id), F.lit(salts)).cast("int").alias("__mix_salt"),
-                       draw(F.col(doc_id), seed).alias("__mix_draw"))
+    left = boxed(docs, carry, src=docs[source], size=n_words(docs[text]),
+                 salt=F.pmod(F.xxhash64(docs[doc_id], docs[text]), F.lit(salts)).cast("int"),
+                 draw=draw(docs[doc_id], docs[text], seed))
+    targets = source_targets(left.select("src", F.col("size").alias(SIZE)), weights, cap, "src")
+    right = targets.withColumnRenamed("src", "of").withColumn(
+        "rsalt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     rate = F.when(F.col(SOURCE_SIZE) > 0, F.col(TARGET) / F.col(SOURCE_SIZE)).otherwise(1.0)
-    out = left.join(right, F.col(source).eqNullSafe(F.col("__mix_source"))
-                    & (F.col("__mix_salt") == F.col("__mix_rsalt")))
-    copies = F.floor(rate) + (F.col("__mix_draw") < rate - F.floor(rate)).cast("long")
-    return out.select(*carry, SIZE, SOURCE_SIZE, TARGET, copies.cast("long").alias(COPIES))
-
-
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed corpus: every row of ``docs`` as often as its source's rate asks for."""
+    out = left.join(right, F.col("src").eqNullSafe(F.col("of")) & (F.col("salt") == F.col("rsalt")))
+    copies = F.floor(rate) + (F.col("draw") < rate - F.floor(rate)).cast("long")
+    return unboxed(out, carry, **{SIZE: F.col("size"), SOURCE_SIZE: F.col(SOURCE_SIZE),
+                                  TARGET: F.col(TARGET), COPIES: copies.cast("long")})
+
+
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+        **options) -> DataFrame:
+    """The mixed corpus: every row of ``docs`` as often as its source's rate asks for, with all of
+    its columns as they were."""
+    own = boxed(docs, docs.columns, doc_id=docs[doc_id], text=docs[text], source=docs[source])
+    counted = assign_copies(own, carry=[BOX], **options)
     copies = F.array_repeat(F.lit(1), F.col(COPIES).cast("int"))
-    return assign_copies(docs, **options).withColumn("__mix_copy", F.explode(copies)).select(
-        *docs.columns)
+    return unboxed(counted.select(BOX, F.explode(copies)), docs.columns)

@@ -6,7 +6,8 @@ from tessera.llm.licenses import RULES, SENTENCES, pattern
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 OP1 = rf"""
-WITH sized AS (SELECT doc_id, source, {_WORDS}::BIGINT AS size FROM documents),
+WITH sized AS (SELECT doc_id, source, {_WORDS}::BIGINT AS size,
+                      coalesce(doc_id::VARCHAR, '') || ':' || coalesce(md5(text), '') AS own FROM documents),
 per AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 ranked AS (SELECT source, source_size, 3.0 * source_size AS cap,
                   1.0 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 AS w FROM per),
@@ -22,7 +23,7 @@ targets AS (SELECT source, source_size, least(cap::DOUBLE, level * w)::DOUBLE AS
             FROM ranked, level),
 rated AS (SELECT doc_id, size, source_size, target,
                  CASE WHEN source_size > 0 THEN target / source_size ELSE 1.0 END AS rate,
-                 ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+                 ('0x' || substr(md5('mix:' || own), 1, 8))::BIGINT
                      / 4294967296.0 AS draw
           FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
 SELECT doc_id, size, source_size, target,

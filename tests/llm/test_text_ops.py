@@ -56,6 +56,21 @@ def test_mix_targets_and_copies(spark):
         assert sorted(map(str, mixing.assign_copies(docs).collect())) == sorted(map(str, got))
 
 
+def test_mix_of_rows_without_ids_or_with_one_id(spark):
+    """Sources of null and of repeated ids come near their targets, and reruns agree."""
+    rows = [(None, f"text {k} of a source without any ids at all", "a") for k in range(2000)]
+    rows += [(7, f"text {k} of a source where all ids are the same", "b") for k in range(2000)]
+    rows += [(k, "each of these has an id of its own, one text", "c") for k in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.assign_copies(docs)
+    taken = {r["source"]: r for r in out.groupBy("source").agg(
+        F.sum(F.col(mixing.SIZE) * F.col(mixing.COPIES)).alias("taken"), F.first(mixing.TARGET).alias("target"),
+    ).collect()}
+    for r in taken.values():
+        assert r["taken"] == pytest.approx(r["target"], rel=0.06)
+    assert sorted(map(str, out.collect())) == sorted(map(str, mixing.assign_copies(docs.repartition(3)).collect()))
+
+
 def test_mix_emits_copies(spark):
     docs = spark.createDataFrame(rows(), SCHEMA)
     want = collections.Counter()
