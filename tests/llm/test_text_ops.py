@@ -2,6 +2,7 @@
 
 import base64
 import collections
+import math
 import random
 
 import numpy as np
@@ -280,6 +281,103 @@ def test_label_model():
     assert quality.fit([], 5).prior == pytest.approx(0.8)
 
 
+def invented(chances, size=50_000, good=0.8, silent=0.2):
+    """A histogram of votes of rules with the given chances to vote good on good and on bad documents."""
+    rng, tally = random.Random(7), collections.Counter()
+    for _ in range(size):
+        kind = rng.random() < good
+        tally[tuple(None if rng.random() < silent else int(rng.random() < (g if kind else b)) for g, b in chances)] += 1
+    return sorted(tally.items(), key=str)
+
+
+@pytest.mark.parametrize("chances", [
+    [(0.8, 0.4)] * 6, [(0.99, 0.3)] * 5 + [(0.6, 0.3)], [(0.99, 0.3)] * 5 + [(0.3, 0.9)]])
+def test_label_model_estimates_with_the_query_parameters(chances):
+    """Rules that are often wrong, a noisy one and a reversed one, as the query would fit them."""
+    model = quality.fit(invented(chances), len(chances))
+    assert abs(model.prior - 0.8) < 0.05
+    for (g, b), x, y in zip(chances, model.on_good, model.on_bad, strict=True):
+        assert abs(g - x) < 0.05 and abs(b - y) < 0.05
+
+
+def test_label_model_leaves_clean_documents_whole():
+    """Where hardly any rule is tripped and nothing hangs together, no document is bad."""
+    rng, tally = random.Random(2), collections.Counter()
+    for _ in range(5000):
+        tally[tuple(int(rng.random() < 0.995) for _ in range(7))] += 1
+    model = quality.fit(sorted(tally.items()), 7)
+    assert sum(n for v, n in tally.items() if model.log_odds(v) >= 0) >= 0.95 * 5000
+
+
+def votes_plain(text):
+    n, chars, symbols, dup_lines, repeats = quality_plain(text)
+    text = text or ""
+    w = words(text)
+    lines = len([x for x in text.split("\n") if words(x)])
+    function = sum(x in set(quality.FUNCTION_WORDS) for x in w)
+    stutter = sum(a == b for a, b in zip(w, w[1:]))
+    capitals = sum(c in quality.CAPITALS for c in text)
+    pairs = [(100 * symbols <= n, 10 * symbols > n), (repeats == 0 and n >= 16, 4 * repeats > n),
+             (10 * stutter <= n and n >= 16, 4 * stutter > n),
+             (dup_lines == 0 and lines > 1, 2 * dup_lines > lines and lines > 3),
+             (2.5 * n <= chars <= 9 * n, chars < 2 * n or chars > 13 * n),
+             (100 * capitals <= 15 * chars, 10 * capitals > 4 * chars)]
+    other = any(bad for _, bad in pairs)
+    pairs.append((100 * function >= 4 * n, 200 * function < n and n >= 30 and other))
+    return tuple(0 if bad else 1 if good else None for good, bad in pairs)
+
+
+def estimate_plain(tally, m, good=0.99, bad=0.7, strength=10):
+    """The label model's estimation once more, row by row: (log likelihood, prior, on good, on bad)."""
+    out = []
+    for g, b, prior in quality.starts(m):
+        for _ in range(500):
+            total, tops, sums = 0.0, [[[strength * good, strength], [strength * bad, strength]] for _ in range(m)], 0.0
+            for votes, n in tally.items():
+                x, y = math.log(prior), math.log(1 - prior)
+                for j, v in enumerate(votes):
+                    if v is not None:
+                        x += math.log(g[j] if v else 1 - g[j])
+                        y += math.log(b[j] if v else 1 - b[j])
+                p = 1 / (1 + math.exp(min(700, y - x)))
+                total += n * (max(x, y) + math.log1p(math.exp(-abs(x - y))))
+                sums += n * p
+                for j, v in enumerate(votes):
+                    if v is not None:
+                        for side, part in ((0, p), (1, 1 - p)):
+                            tops[j][side][0] += n * part * v
+                            tops[j][side][1] += n * part
+            old = [*g, *b, prior]
+            g, b = [t[0][0] / t[0][1] for t in tops], [t[1][0] / t[1][1] for t in tops]
+            prior = (sums + 0.8) / (sum(tally.values()) + 1)
+            if max(abs(x - y) for x, y in zip(old, [*g, *b, prior])) < 1e-9:
+                break
+        total += strength * sum(good * math.log(x) + (1 - good) * math.log(1 - x) + bad * math.log(y)
+                                + (1 - bad) * math.log(1 - y) for x, y in zip(g, b))
+        out.append((total, prior, g, b))
+    return max(out, key=lambda r: r[0])
+
+
+def test_quality_verdict_of_every_document(spark):
+    """Votes, estimation and posterior of the registered query against plain Python."""
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    votes = {k: votes_plain(t) for k, t in docs.items()}
+    _, prior, g, b = estimate_plain(collections.Counter(votes.values()), 7)
+    assert 2 * sum(x > y for x, y in zip(g, b)) >= 7
+    kept = 0
+    for r in queries.op7_quality_rules(spark, SF).collect():
+        odds = math.log(prior / (1 - prior))
+        for v, x, y in zip(votes[r["doc_id"]], g, b):
+            if v is not None:
+                odds += math.log(x / y) if v else math.log((1 - x) / (1 - y))
+        assert r["posterior"] == pytest.approx(1 / (1 + math.exp(-odds)), abs=1e-4)
+        n, *_, rep = quality_plain(docs[r["doc_id"]])
+        assert r["base_failed"] == (n < 20 or 100 * rep > 30 * n)
+        assert r["kept"] == (not r["base_failed"] and odds >= 0)
+        kept += r["kept"]
+    assert 0 < kept < len(docs)
+
+
 @pytest.mark.parametrize("share", [0.005, 0.02])
 def test_quality_keeps_clean_texts_in_other_languages(spark, share):
     rng = random.Random(3)
