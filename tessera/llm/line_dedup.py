@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ascii_lower, let, materialize, strip
+from tessera.llm.common import ascii_lower, boxed, let, materialize, strip, unboxed
 
 KEY = ["__h1", "__h2"]
 #: A key in more than ``1 / HEAVY`` of all line occurrences is joined by broadcast.
@@ -110,11 +110,11 @@ def dropped_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batch
     ``__row``, a hash of the text, tells rows with one id and different texts apart.
     """
     occurrences = materialize(
-        docs.select(F.col(doc_id).alias("__id"), F.xxhash64(text).alias("__row"),
-                    F.posexplode(line_keys(F.col(text), min_chars)).alias("__at", "__key"))
+        docs.select(docs[doc_id].alias("__id"), F.xxhash64(docs[text]).alias("__row"),
+                    F.posexplode(line_keys(docs[text], min_chars)).alias("__at", "__key"))
         .where(F.col("__key").isNotNull()).select("__id", "__row", "__at", "__key.*"),
         "line-keys")
-    bounds = _batch_bounds(docs, doc_id, batches)
+    bounds = _batch_bounds(docs.select(doc_id), doc_id, batches)
     runs = LineRuns(fanout)
     edges = [None, *bounds, None]
     for low, high in reversed(list(zip(edges[:-1], edges[1:], strict=True))):
@@ -147,16 +147,14 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     text without the dropped lines."""
     carry = docs.columns if carry is None else carry
     drop = dropped_lines(docs, min_chars, min_docs, batches, fanout, doc_id, text)
-    left = docs.select(*carry, F.col(doc_id).alias("__own"),
-                       F.xxhash64(text).alias("__own_row"),
-                       F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    out = left.join(drop, F.col("__own").eqNullSafe(F.col("__id"))
-                    & (F.col("__own_row") == F.col("__row")), "left")
-    kept = let(F.split("__text", "\n"), lambda x: F.array_join(F.transform(
+    left = boxed(docs, carry, own=docs[doc_id], own_row=F.xxhash64(docs[text]),
+                 body=F.coalesce(docs[text], F.lit("")))
+    out = left.join(drop, F.col("own").eqNullSafe(F.col("__id"))
+                    & (F.col("own_row") == F.col("__row")), "left")
+    kept = let(F.split("body", "\n"), lambda x: F.array_join(F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("__drop")),
         lambda i: F.get(x, i)), "\n"))
-    n = F.length("__text") - F.length(F.replace("__text", F.lit("\n"), F.lit(""))) + 1
-    return out.select(*carry, n.cast("long").alias("__lines"),
-                      F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("__dropped"),
-                      F.when(F.col("__drop").isNull(), F.col("__text")).otherwise(kept)
-                      .alias("__kept"))
+    n = F.length("body") - F.length(F.replace("body", F.lit("\n"), F.lit(""))) + 1
+    return unboxed(out, carry, __lines=n.cast("long"),
+                   __dropped=F.coalesce(F.size("__drop"), F.lit(0)).cast("long"),
+                   __kept=F.when(F.col("__drop").isNull(), F.col("body")).otherwise(kept))
