@@ -200,6 +200,36 @@ def test_folded_tables_equal_the_network():
     assert np.allclose(langid.Predictor(net)(x), langid.softmax(features @ net.out + net.out_bias), atol=1e-5)
 
 
+def whole_text_plain(net, data):
+    """Probabilities of a whole text, window by window, filter by filter, as the network is defined."""
+    total = np.zeros(len(net.langs))
+    for at in range(0, len(data), langid.WINDOW):
+        part = data[at:at + langid.WINDOW]
+        e = net.embed[np.frombuffer(part.ljust(langid.WINDOW + max(langid.WIDTHS), b"\0"), np.uint8)].astype(float)
+        seen = [np.array([sum(e[p + k] @ f[k] for k in range(len(f))) for p in range(langid.WINDOW)]).max(axis=0)
+                for f in net.filters]
+        z = np.maximum(np.concatenate(seen) + net.bias, 0) @ net.out + net.out_bias
+        p = np.exp(z - z.max())
+        total += len(part) * p / p.sum()
+    return total / total.sum()
+
+
+def test_language_of_whole_texts(spark):
+    """The prediction of every document once more: windows weighted by their bytes."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60).union(spark.createDataFrame(
+        [(900, "é" * 200 + " the of and", None, "s", 1), (901, "123 456", None, "s", 1), (902, None, None, "s", 1)],
+        "doc_id long, text string, lang string, source string, n_chars long"))
+    net = langid.train(langid.sample_windows(docs, "lang", "text", "doc_id"), epochs=1)
+    rows = langid.predict(docs, net).collect()
+    assert len(rows) == 63
+    for r in rows:
+        if r["doc_id"] in (901, 902):
+            assert (r["__lang"], r["__score"]) == ("und", 0)
+            continue
+        p = whole_text_plain(net, r["text"].encode())
+        assert r["__lang"] == net.langs[p.argmax()] and r["__score"] == pytest.approx(p.max(), abs=1e-4)
+
+
 def test_gradients():
     net = langid.train([("a", b"abcabd"), ("b", b"xyzw")] * 4, epochs=1, seed=3)
     for k, p in enumerate(net.parameters()):
