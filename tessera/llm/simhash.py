@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import materialize, python_batches
+from tessera.llm.common import BOX, boxed, materialize, python_batches, unboxed
 from tessera.llm.components import components, merge_labels
 
 SEED = 42
@@ -189,8 +189,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, doc_id
     ``__root``, a fingerprint that tells groups apart whatever their ids."""
     carry = docs.columns if carry is None else carry
     own = materialize(fingerprints(
-        docs.select(*carry, docs[doc_id].alias("__id"), docs[text].alias("__body")), shingle,
-        "__body", [*carry, "__id"]), "simhash")
+        boxed(docs, carry, __id=docs[doc_id], __body=docs[text]), shingle, "__body", [BOX, "__id"]), "simhash")
     reps = own.groupBy("__fp").agg(F.min("__id").alias("__first"))
     roots = components(links(reps, max_bits), "a", "b")
     grouped = materialize(
@@ -198,8 +197,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, doc_id
         .select("__fp", "__first", F.coalesce("root", "__fp").alias("__root")), "simhash-roots")
     firsts = grouped.groupBy("__root").agg(F.min("__first").alias("__component"))
     member = grouped.join(firsts, "__root").select(F.col("__fp").alias("__member"), "__component", "__root")
-    return own.join(member, F.col("__fp") == F.col("__member")).select(
-        *carry, "__fp", "__component", "__root")
+    return unboxed(own.join(member, F.col("__fp") == F.col("__member")), carry, __fp=F.col("__fp"),
+                   __component=F.col("__component"), __root=F.col("__root"))
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, doc_id: str = "doc_id",
+             text: str = "text") -> DataFrame:
+    """Of each group of near copies the row of the smallest doc_id (one of them where it is
+    repeated), with all columns as they were.
+
+    The group's row is chosen by a partial aggregate over ids, so large groups
+    cost one row a task; repeated rows are told apart by their place.
+    """
+    placed = materialize(boxed(docs, docs.columns, doc_id=docs[doc_id], text=docs[text],
+                               place=F.monotonically_increasing_id()), "placed")
+    found = materialize(near_duplicates(placed, shingle, max_bits, carry=["doc_id", "place"]), "near")
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("place")))
+    keep = found.groupBy("__root").agg(first.alias("first")).select(F.col("first.place").alias("kept"))
+    return unboxed(placed.join(keep, F.col("place") == F.col("kept")), docs.columns)
 
 
 def hex16(fp: Column) -> Column:
