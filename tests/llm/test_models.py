@@ -86,6 +86,67 @@ def test_license_wrapped(spark, width, mark, end):
         (["pqrs"], ["BSD-3-Clause"]), (["pqrs"], ["BSD-3-Clause"]), (["h"], ["GPL-3.0"])]
 
 
+WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
+THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT,
+TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+GNU = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} Public
+License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later
+version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {} Public License for more details."""
+NOTICES = [
+    (MIT + "\n\n" + WARRANTY, ["MIT"], 1), (MIT.split(", subject to")[0] + ".\n\n" + WARRANTY, ["MIT-0"], 1),
+    (GNU.format("General", 3, "General"), ["GPL-3.0"], 1), (GNU.format("General", 2, "General"), ["GPL-2.0"], 1),
+    (GNU.format("Affero General", 3, "Affero General"), ["AGPL-3.0"], 1),
+    ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+     "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+     "your option) any later version.", ["LGPL-2.1"], 1),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+     "granted, provided that the above copyright notice and this permission notice appear in all copies.", ["ISC"], 1),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+     "granted.", ["0BSD"], 1),
+    (APACHE.replace("http:", "https:") + "\n\nUnless required by applicable law or agreed to in writing, software "
+     "distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, "
+     "either express or implied. See the License for the specific language governing permissions and limitations under "
+     "the License.", ["Apache-2.0"], 1),
+    ("This is free and unencumbered software released into the public domain.", ["Unlicense"], 1),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+     "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.", ["MPL-2.0"], 2),
+    ("SPDX-License-Identifier: MPL-2.0\n\nSPDX-License-Identifier: GPL-2.0-or-later", ["GPL-2.0", "MPL-2.0"], 2),
+    ("Distributed under the Boost Software License, Version 1.0.", ["BSL-1.0"], 1),
+    ("Released under the ISC License.", ["ISC"], 1), ("This software is about licences of software.", [], 0),
+]
+
+
+@pytest.mark.parametrize("width,mark", [(40, " * "), (79, "# "), (1000, "")])
+def test_license_notices(spark, width, mark):
+    import textwrap
+
+    def wrapped(text):
+        lines = [x for p in text.split("\n\n") for x in [*textwrap.wrap(p.replace("\n", " "), width), ""]]
+        return "\n".join((mark + x).rstrip() for x in lines)
+    out = licenses.scan(spark.createDataFrame(
+        [(k, wrapped(t)) for k, (t, _, _) in enumerate(NOTICES)], "doc_id long, text string")).collect()
+    got = [(r["__licenses"], len(r["__matches"])) for r in sorted(out, key=lambda r: r["doc_id"])]
+    assert got == [(names, n) for _, names, n in NOTICES]
+
+
+def test_license_tables():
+    """Every known sentence is normal, has one identifier and a marker word; rules use known identifiers."""
+    import re
+
+    texts = [s for _, s in licenses.SENTENCES]
+    assert len(texts) == len(set(texts)) > 100 and all(re.fullmatch("[a-z0-9]+( [a-z0-9]+)*", s) for s in texts)
+    marks = licenses.markers(licenses.SENTENCES)
+    assert all(any(m in s.split() for m in marks) for s in texts) and len(marks) < 12
+    known = {i for i, _ in licenses.SENTENCES}
+    assert all(len(i) == 1 for i in known) and all(set(r) <= known for r, _ in licenses.RULES)
+    assert len(dict(licenses.RULES)) == len(licenses.RULES)
+
+
 def test_license_lines_are_not_joined_over_a_sentence_end(spark):
     docs = spark.createDataFrame([
         (1, "All rights. Reserved"), (2, "Released under the MIT License\nsome code\nAll rights reserved"),
