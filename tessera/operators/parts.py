@@ -8,8 +8,6 @@ names their new folders together with the old folders of all other parts.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,23 +18,28 @@ from tessera.session import stored
 from tessera.sources.store import TableStore
 
 
+#: A part's number also says how many parts there are, so that a table of another number is
+#: recognised (and written anew) instead of looked up in the wrong part.
+LAYOUT = 1_000_000
+
+
 def key_part(key: str, parts: int) -> Column:
-    return F.pmod(F.hash(F.col(key)), F.lit(parts))
+    """The part of a key: its hash modulo ``parts``, behind the number of parts."""
+    if not 0 < parts < LAYOUT:
+        raise ValueError(f"parts must lie between 1 and {LAYOUT - 1}")
+    return F.lit(parts * LAYOUT).cast("long") + F.pmod(F.hash(F.col(key)), F.lit(parts))
 
 
 def merge_parts(store: TableStore, table: str, src: DataFrame, spec: Scd2Spec, parts: int,
                 now: Column | None = None, epoch: tuple[str, int] | None = None,
-                apply: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
                 check_keys: bool = True) -> set[str]:
     """Merge ``src`` into ``store[table]``; the parts rewritten (none if nothing changed).
 
-    A table that does not exist, or whose folders are not the parts 0 .. ``parts`` - 1,
-    is written as a whole. The new version is committed only if its surrogate keys
-    are unique in the whole dimension (unless ``check_keys`` is off). ``apply(changed, old)`` makes the new rows of the
-    touched parts from the changed source rows and the parts' old rows (default: ``merge``).
+    A table that does not exist, or is not stored in this number of parts, is written as a whole. The new version is committed only if its surrogate keys
+    are unique in the whole dimension (unless ``check_keys`` is off).
     """
     part = key_part(spec.key, parts)
-    known = {str(p) for p in range(parts)}
+    known = {str(parts * LAYOUT + p) for p in range(parts)}
     exists = store.exists(table)
     dim = store.read(table) if exists else empty_dimension(src.sparkSession, src.schema, spec)
     changed = stored(changed_rows(src, dim, spec), "changed")
@@ -46,8 +49,7 @@ def merge_parts(store: TableStore, table: str, src: DataFrame, spec: Scd2Spec, p
         return set()
     old = store.read(table, touched) if laid_out else dim
     last = largest(dim, spec.sk) if spec.consecutive else None
-    make = apply or (lambda rows, held: merge(rows, held, spec, now, changed=rows, last_key=last))
-    staged = store.stage(make(changed, old), table, parts=part)
+    staged = store.stage(merge(changed, old, spec, now, changed=changed, last_key=last), table, parts=part)
     if check_keys:
         whole = store.read_staged(staged).select(spec.sk)
         if laid_out:

@@ -15,7 +15,7 @@ from tessera.operators.changes import apply_changes
 from tessera.operators.load import Watermark, load_since_mark, rows_since_mark
 from tessera.operators.lookup import validity_lookup
 from tessera.operators.ordered import along
-from tessera.operators.parts import key_part, merge_parts
+from tessera.operators.parts import LAYOUT, key_part, merge_parts
 from tessera.operators.quality import QualityError, key_uniqueness_report
 from tessera.operators.rekey import changed_spans, rekey, stale_parts, touched_parts
 from tessera.operators.scd2 import Scd2Spec, merge
@@ -162,7 +162,13 @@ def test_a_table_of_another_layout_is_rewritten(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     store.write(merge(holders(spark), store_empty(spark), SPEC, F.lit("2024-01-01").cast("timestamp")), "d")
     merge_parts(store, "d", holders(spark, [5]), SPEC, 8, F.lit("2024-02-01").cast("timestamp"))
-    assert store.parts("d") == {str(k) for k in range(8)} and store.read("d").count() == 301
+    assert store.parts("d") == {str(8 * LAYOUT + k) for k in range(8)} and store.read("d").count() == 301
+    # another number of parts: no id is looked up in a part it does not lie in
+    for n, parts in ((10, 32), (20, 4), (30, 4)):
+        merge_parts(store, "d", holders(spark, range(5, n)), SPEC, parts, F.lit(f"2024-03-{n}").cast("timestamp"))
+        rows = store.read("d").where("is_current").groupBy("id").count()
+        assert rows.count() == 300 and rows.where("count > 1").isEmpty()
+        assert {int(p) // LAYOUT for p in store.parts("d")} == {parts}
 
 
 def store_empty(spark):
