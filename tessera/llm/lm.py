@@ -11,8 +11,8 @@ questions are dealt to shards by the hash of the first word. A shard sums the
 counts of all units, builds its part of the trie, and answers the questions
 from the trie, one number each in the order asked; a unit scores its texts from
 the answers. A word with more than ``1 / HOT`` of all tokens (fewer than ``HOT`` such
-words can exist) has its pairs dealt over many shards, so no shard grows with one
-word.
+words can exist) has its pairs dealt over shards in proportion to its share, so no
+shard grows with one word. Words are 64-bit hashes throughout.
 
 The trie of a shard lies in anonymous memory maps, which end with the task (a
 mapped file would need a folder, and those of executors are not shared): first words (64-bit hashes) and their exact counts as sums; a monotone pointer
@@ -49,7 +49,8 @@ from tessera.llm.elias_fano import EliasFano
 END = b"\n"
 MU = 32.0
 HOT = 2000
-SPREAD = 64
+#: A frequent word's pairs go to about this many shards for each ``1 / HOT`` of all tokens it has.
+SPREAD = 8
 #: Logarithmic step of the stored probabilities: 255 codes reach from 1 to 2 ** 40 occurrences.
 STEP = 40 * np.log(2) / 254
 SHARD_BYTES = 16 << 20
@@ -93,7 +94,7 @@ class Questions:
     """What a unit asks, in an order that depends on the unit and the shards only."""
 
     def __init__(self, hashes: np.ndarray, tokens: np.ndarray, lengths: np.ndarray,
-                 train: np.ndarray, hot: np.ndarray, shards: int):
+                 train: np.ndarray, hot: tuple[np.ndarray, np.ndarray], shards: int):
         n = len(hashes)
         self.learn = np.repeat(train, lengths)
         last = np.zeros(len(tokens), bool)
@@ -106,11 +107,13 @@ class Questions:
                                         return_inverse=True)
         self.pair_count = np.bincount(self.pair_of[self.learn[at]], minlength=len(codes))
         self.v, w = codes // max(n, 1), codes % max(n, 1)
-        self.child = (hashes[w] >> np.uint64(32)).astype(np.uint32)
+        self.child = hashes[w]
         self.hashes = hashes
         self.word_shard = (hashes % np.uint64(shards)).astype(np.int64)
-        spread = np.where(np.isin(hashes, hot)[self.v], (self.child % SPREAD).astype(np.uint64), 0)
-        mixed = (hashes[self.v] + spread.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        over = np.ones(n, np.uint64)  # shards a word's pairs are dealt over, by their second word
+        over[np.isin(hashes, hot[0])] = hot[1][np.searchsorted(hot[0], hashes[np.isin(hashes, hot[0])])]
+        spread = (self.child >> np.uint64(20)) % over[self.v]
+        mixed = hashes[self.v] + spread * np.uint64(0x9E3779B97F4A7C15)
         self.pair_shard = (mixed % np.uint64(shards)).astype(np.int64)
 
     def by_shard(self, shards: int):
@@ -226,8 +229,9 @@ def _units(docs: DataFrame, train: Column, text: str, carry: list[str]) -> DataF
         "unit", F.monotonically_increasing_id()), "lm-units")
 
 
-def _hot(units: DataFrame) -> np.ndarray:
-    """Words with over ``1 / HOT`` of all tokens: fewer than ``HOT``, whatever the corpus.
+def _hot(units: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Words with over ``1 / HOT`` of all tokens, fewer than ``HOT`` whatever the corpus, and over
+    how many shards each one's pairs are dealt: in proportion to its share.
 
     Such a word has over half that share in a unit that counts, so the units' own
     lists of frequent words hold nearly all of it; the rest only decides dealing.
@@ -235,7 +239,9 @@ def _hot(units: DataFrame) -> np.ndarray:
     total = units.agg(F.sum("tokens")).first()[0] or 0
     word = units.select(F.explode("frequent").alias("f")).groupBy("f.h").agg(
         F.sum("f.n").alias("n")).where(F.col("n") * HOT > total)
-    return np.array(sorted(r["h"] for r in word.collect()), np.int64).view(np.uint64)
+    found = {r["h"] % (1 << 64): -(-SPREAD * HOT * r["n"] // total) for r in word.collect()}
+    hashes = np.array(sorted(found), np.uint64)
+    return hashes, np.array([found[int(h)] for h in hashes], np.uint64)
 
 
 def score(docs: DataFrame, train: Column, text: str = "text", mu: float = MU,
