@@ -84,7 +84,7 @@ def fact_incremental_bucketed(spark, d):
 
 def dq_held_keys(spark, d):
     """The uniqueness gate of a load against what is stored: all orders, so the stored ones are held."""
-    return held_keys_report(load(spark, d, "orders"), _bucketed_orders(spark, d), "o_orderkey")
+    return held_keys_report(load(spark, d, "orders"), _bucketed_orders(spark, d), "o_orderkey", BUCKETS)
 
 
 # -- parts of a dimension -------------------------------------------------------------------------------

@@ -53,14 +53,15 @@ def lacking(batch: DataFrame, stored: list[DataFrame], key: str) -> DataFrame:
     return batch
 
 
-def held_keys_report(staged: DataFrame, stored: list[DataFrame], key: str) -> DataFrame:
+def held_keys_report(staged: DataFrame, stored: list[DataFrame], key: str, buckets: int) -> DataFrame:
     """One row for ``gate``: ``rows`` of ``staged``, ``held`` of them whose key a stored frame has
     too, ``duplicate_rows`` among themselves, ``passed`` if both are none.
 
     With stored folders that passed it one by one, this is the uniqueness of the whole
-    table's key, without a shuffle of what is stored.
+    table's key, without a shuffle of what is stored: the staged rows are dealt into the
+    stored folders' ``buckets`` and counted there.
     """
-    counts = staged.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    counts = staged.select(key).repartition(buckets, key).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     for i, held in enumerate(stored):
         keys = held.select(F.col(key).alias(f"__k{i}"))
         counts = counts.join(keys.hint("shuffle_merge"), F.col(key) == F.col(f"__k{i}"), "left")

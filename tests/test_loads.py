@@ -114,10 +114,17 @@ def test_bucketed_keys_need_no_shuffle(spark):
     new = lacking(batch, stored, "id")
     assert plan(new).count("Exchange") == 1
     assert sorted(r["id"] for r in new.collect()) == list(range(800, 1000))
-    report = held_keys_report(new, stored, "id")
+    report = held_keys_report(new, stored, "id", 8)
     assert plan(report).count("Exchange hashpartitioning") == 1
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:  # more partitions than buckets: still no stored row moves
+        for df in (lacking(batch, stored, "id"), held_keys_report(batch, stored, "id", 8)):
+            df.collect()
+            assert plan(df).split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert tuple(report.first()) == (200, 0, 0, True)
-    assert tuple(held_keys_report(batch.unionByName(new), stored, "id").first()) == (800, 400, 200, False)
+    assert tuple(held_keys_report(batch.unionByName(new), stored, "id", 8).first()) == (800, 400, 200, False)
     # a union of equally bucketed folders must not be taken as bucketed
     twice = key_uniqueness_report(stored[0].unionByName(stored[0]), "id").first()
     assert not twice["passed"] and twice["duplicate_rows"] == 500
