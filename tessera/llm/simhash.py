@@ -209,9 +209,9 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3, doc_id: str =
     The group's row is chosen by a partial aggregate over ids, so large groups
     cost one row a task; repeated rows are told apart by their place.
     """
-    placed = materialize(boxed(docs, docs.columns, doc_id=docs[doc_id], text=docs[text],
-                               place=F.monotonically_increasing_id()), "placed")
-    found = materialize(near_duplicates(placed, shingle, max_bits, carry=["doc_id", "place"]), "near")
+    placed = materialize(boxed(docs, docs.columns, place=F.monotonically_increasing_id()), "placed")
+    own = placed.select("place", *[F.col(BOX).getField(c).alias(n) for n, c in (("doc_id", doc_id), ("text", text))])
+    found = materialize(near_duplicates(own, shingle, max_bits, carry=["doc_id", "place"]), "near")
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("place")))
     keep = found.groupBy("__root").agg(first.alias("first")).select(F.col("first.place").alias("kept"))
     return unboxed(placed.join(keep, F.col("place") == F.col("kept")), docs.columns)

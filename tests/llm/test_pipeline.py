@@ -3,6 +3,7 @@
 import collections
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.helpers import SCHEMA, rows, sha
@@ -82,3 +83,24 @@ def test_clean_documents_stay(spark, name):
             "quality", "toxic").dropDuplicates(["text"])
     n = docs.count()
     assert STAGES[name](spark, docs, SF).count() >= 0.95 * n
+
+
+HELPERS = ["__place", "__own", "__own_row", "__id", "__row", "__text", "__body", "__q", "__q_posterior", "__box",
+           "__mix_size", "__mix_source_size", "__mix_target", "__mix_copies", "__mix_copy", "__mix_salt", "__mix_draw",
+           "__lines", "__dropped", "__kept", "__drop", "__at", "__key", "__n", "__keeper", "__fp", "__component",
+           "__root", "__first", "__member", "place", "kept", "body", "own", "own_row", "src", "of", "salt", "rsalt",
+           "draw", "size", "node", "root", "first", "none", "count", "w", "x y"]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES[:-1]])
+def test_columns_named_like_a_helper_come_out_unchanged(spark, name):
+    """Every row that comes out has the values it went in with, in columns of every helper's name."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    marks = [F.concat(F.lit(c), F.lit(":"), F.col("doc_id").cast("string")).alias(c) for c in HELPERS]
+    wide = docs.select("*", *marks)
+    out = STAGES[name](spark, wide, SF)
+    assert out.dtypes == wide.dtypes
+    got = out.collect()
+    plain = STAGES[name](spark, docs, SF).collect()
+    assert sorted(str(tuple(r[c] for c in docs.columns)) for r in got) == sorted(map(str, map(tuple, plain)))
+    assert got and all(r[c] == f"{c}:{r['doc_id']}" for r in got for c in HELPERS)
