@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import line_dedup, mixing, quality, simhash
-from tessera.llm.common import materialize, read_table
+from tessera.llm.common import BOX, boxed, materialize, read_table
 from tessera.llm.queries import digests
 
 
@@ -26,25 +26,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept lines become the text; a text without dropped lines (null as well) is unchanged."""
-    out = line_dedup.dedup_lines(docs)
-    text = F.when(F.col("__dropped") > 0, F.col("__kept")).otherwise(F.col("text"))
-    length = F.when(F.col("__dropped") > 0, F.length("__kept")).otherwise(F.col("n_chars"))
-    new = {"text": text, "n_chars": length}
-    return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    out = line_dedup.dedup_lines(boxed(docs, docs.columns, doc_id=docs["doc_id"], text=docs["text"]), carry=[BOX])
+    old = {c: F.col(BOX).getField(c) for c in docs.columns}
+    new = {"text": F.col("__kept"), "n_chars": F.length("__kept")}
+    return out.select(*[(F.when(F.col("__dropped") > 0, new[c]).otherwise(old[c]) if c in new else old[c]).alias(c)
+                        for c in docs.columns])
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group the row of the smallest doc_id stays (one of them where it is repeated).
-
-    The group's row is chosen by a partial aggregate over ids, so large groups
-    cost one row a task; repeated rows are told apart by their place.
-    """
-    placed = materialize(docs.withColumn("__place", F.monotonically_increasing_id()), "placed")
-    found = materialize(simhash.near_duplicates(placed, carry=["doc_id", "__place"]), "near")
-    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__place")))
-    keep = found.groupBy("__root").agg(first.alias("__first")).select(
-        F.col("__first.__place").alias("__kept_place"))
-    return placed.join(keep, F.col("__place") == F.col("__kept_place")).select(*docs.columns)
+    """Of each group of near copies the row of the smallest doc_id stays."""
+    return simhash.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
