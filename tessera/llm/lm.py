@@ -284,7 +284,8 @@ def score(docs: DataFrame, train: Column, text: str = "text", mu: float = MU,
     python_batches(spark, UNIT_DOCS, 2)  # about one unit at a time
     payloads = units.select("unit", "payload").mapInArrow(
         ask, "shard long, unit long, asked binary")
-    answers = materialize(payloads.groupBy("shard").applyInArrow(
+    # as many partitions as shards: a task's share does not grow with the corpus
+    answers = materialize(payloads.repartition(shards, "shard").groupBy("shard").applyInArrow(
         answer, "shard long, unit long, answer binary, total long, distinct long"), "lm-answers")
     total, distinct = (x or 0 for x in answers.agg(F.sum("total"), F.sum("distinct")).first())
     row = T.StructType([T.StructField(c, T.LongType()) for c in ("__n_tokens", "__n_known")]
