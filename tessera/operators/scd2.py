@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.keys import surrogate_key
 from tessera.operators.sequence import consecutive_keys, largest
+from tessera.session import keep_shuffles_over_unions
 
 
 @dataclass(frozen=True)
@@ -136,9 +137,12 @@ def merge(src: DataFrame, dim: DataFrame, spec: Scd2Spec,
     the ids found changed meet their versions again without another shuffle.
     ``changed`` may pass in a precomputed ``changed_rows(src, dim, spec)``; its
     ids are then joined to the snapshot, which a small delta does by broadcast.
+    A snapshot that is a union is shuffled like any other: the session's planning
+    rule that would take the union as partitioned already is turned off.
     """
     if extra := sorted(set(src.columns) - set(dim.columns) - {spec.sk}):
         raise ValueError(f"columns not in the dimension: {extra}; select them away or add them")
+    keep_shuffles_over_unions(dim.sparkSession)
     vt = dim.schema[spec.valid_from].dataType
     ts = _now(now, vt)
     flag = "__scd2_changed"

@@ -21,6 +21,8 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.session import keep_shuffles_over_unions
+
 
 def _table(path: str) -> str:
     return f"bucketed_{hashlib.md5(path.encode()).hexdigest()[:16]}"
@@ -37,7 +39,7 @@ def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
 
 def read_bucketed(spark: SparkSession, path: str, schema: str, key: str, buckets: int) -> DataFrame:
     """The folder, planned as hash partitioned by ``key``. ``schema`` is a DDL list of columns."""
-    spark.conf.set("spark.sql.unionOutputPartitioning", "false")  # see above
+    keep_shuffles_over_unions(spark)  # see above
     table = _table(path)
     if not spark.catalog.tableExists(table):
         spark.sql(f"CREATE TABLE {table} ({schema}) USING parquet CLUSTERED BY (`{key}`) "
