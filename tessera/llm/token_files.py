@@ -32,6 +32,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -45,8 +46,12 @@ from tessera.llm.common import python_batches, shuffle_partitions
 
 #: A tokenizer file above this size is refused, as every worker holds it.
 MAX_TOKENIZER_BYTES = 64 << 20
-#: Words whose ids a task remembers, twice this number at most.
-REMEMBERED = 600_000
+#: MB of text that a worker encodes at once; its arrays take some ten times that.
+BATCH_MB = 4
+#: Words whose ids a worker remembers: twice this number and a batch's words at most.
+REMEMBERED = 300_000
+#: Texts or lines of 100 words that the library encodes at once: it holds some 100 bytes a token meanwhile.
+GROUP = 200
 #: Longer words are not remembered.
 LONGEST = 64
 SIGNS = (b".", b",", b";", b":", b"!", b"?")
@@ -104,20 +109,25 @@ class Encoder:
             self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
             self.signs = dict(zip(SIGNS, self._encode(list(SIGNS))))
 
+    def _ids(self, texts: list[bytes]) -> Iterator[list[int]]:
+        for k in range(0, len(texts), GROUP):
+            some = [t.decode() for t in texts[k:k + GROUP]]
+            for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False):
+                yield e.ids
+
     def _encode(self, texts: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
+        return [np.asarray(ids, "<u4").tobytes() for ids in self._ids(texts)]
 
     def _encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
         """The ids of words. Those of letters only are one piece each, so many are encoded as one
         text and cut where a piece ends."""
         plain, rest = [], []
         for w in words:
-            (plain if w.decode().lower().isalpha() else rest).append(w)
+            letters = w.isalpha() if w.isascii() else w.decode().lower().isalpha()
+            (plain if letters else rest).append(w)
         out = dict(zip(rest, self._encode(rest)))
-        lines = [b" ".join(plain[k:k + 100]).decode() for k in range(0, len(plain), 100)]
-        flat = np.array([i for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
-                         for i in e.ids], "<u4")
+        lines = [b" ".join(plain[k:k + 100]) for k in range(0, len(plain), 100)]
+        flat = np.fromiter(chain.from_iterable(self._ids(lines)), "<u4")
         ends = (np.flatnonzero(self.last[flat]) + 1) * 4
         if len(ends) != len(plain):  # a letter that the pieces are cut at
             return out | dict(zip(plain, self._encode(plain)))
@@ -137,7 +147,9 @@ class Encoder:
             low = pc.if_else(pc.match_substring(low, mark), texts, low)
         split = pc.ascii_split_whitespace(low)
         words = split.flatten().dictionary_encode()
-        known = self._look_up(words.dictionary.cast(pa.binary()).to_pylist())
+        # by way of NumPy, as to_pylist takes several times as long
+        distinct = words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        known = self._look_up(distinct)
         sizes = np.fromiter(map(len, known), np.int64, len(known)) >> 2
         starts = np.cumsum(sizes) - sizes
         pool = np.frombuffer(b"".join(known), "<u4")
@@ -154,19 +166,22 @@ class Encoder:
         """The packed ids of distinct words."""
         young, old, fresh = self.young, self.old, []
         young[b""] = b""  # before and after white space at a text's ends
-        for w in words:
-            if w not in young:
-                ids = old.get(w)
-                if ids is None:
-                    fresh.append(w)
-                else:
-                    young[w] = ids
+        out = list(map(young.get, words))
+        missing = [k for k, ids in enumerate(out) if ids is None]
+        for k in missing:
+            w = words[k]
+            ids = old.get(w)
+            if ids is None:
+                fresh.append(w)
+            else:
+                young[w] = ids
         # a sign after a letter or digit is a piece of its own
         stems = {w: w[:-1] for w in fresh if w[-1:] in SIGNS and w[-2:-1].isalnum()}
         young.update(self._encode_words(list({stems.get(w, w) for w in fresh}.difference(young))))
         for w, stem in stems.items():
             young[w] = young[stem] + self.signs[w[-1:]]
-        out = [young[w] for w in words]
+        for k in missing:
+            out[k] = young[words[k]]
         for w in fresh:
             if len(w) > LONGEST:
                 young.pop(w, None)
@@ -196,7 +211,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: bytes, end_id: int, orde
     if clash := own & set(carry):
         raise ValueError(f"columns {sorted(clash)} have names that the files use themselves")
     spark = docs.sparkSession
-    python_batches(spark, rows=10_000, mb=16)
+    python_batches(spark, rows=10_000, mb=BATCH_MB)
     sent = spark.sparkContext.broadcast(tokenizer)
     t = F.coalesce(docs[text], F.lit(""))
     placed = docs.select(docs[order].alias("k"), t.alias("t"), F.xxhash64(t).alias("h"),

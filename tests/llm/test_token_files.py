@@ -1,7 +1,10 @@
 """Token files against the tokenizers library, and what their pages allow."""
 
 import glob
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -69,6 +72,31 @@ def test_tokenizers_that_keep_white_space_get_whole_texts(library):
     assert sizes.tolist() == [len(ids), 0] and ids.tolist() == Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text).ids
 
 
+#: A worker's peak MB over 32 MB of texts in batches of so many bytes, beyond an encoder's own.
+PEAK = """
+import resource, sys
+import pyarrow as pa
+from tessera.llm import token_files
+
+letters = str.maketrans("0123456789", "abcdefghij")
+encode = token_files.Encoder(token_files.load_tokenizer(sys.argv[1]))
+peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss >> 10
+rows, before = int(sys.argv[2]) // 4000, peak()
+for k in range(0, 8000, rows):
+    encode(pa.array([" ".join([str(n).translate(letters) for n in range(10**6 + i * 100, 10**6 + i * 100 + 100)] * 5)
+                     for i in range(k, min(k + rows, 8000))]))
+print(peak() - before)
+"""
+
+
+def test_a_worker_stays_small(spark, tokenizer, tmp_path):
+    token_files.write_tokens(spark.createDataFrame(rows(), SCHEMA), f"{tmp_path}/t", tokenizer, 1)
+    batch = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    got = subprocess.run([sys.executable, "-c", PEAK, PATH, batch], capture_output=True, text=True, check=True,
+                         env={**os.environ, "PYTHONPATH": os.pathsep.join(sys.path)})
+    assert int(got.stdout) < 240
+
+
 def test_query_on_the_test_table(spark, library):
     docs = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
     got = queries.op12_token_files(spark, SF).collect()
