@@ -24,7 +24,10 @@ counted, others sometimes, and then completely, so results do not depend on the
 bits. The sets grow full on very large vocabularies; passes then count more.
 Counts are joined by (language, part), single words spread over salts, since
 a frequent word is part of very many phrases; the best rows are picked by salt
-first and then by language. Products are computed as decimals.
+first and then by language. Tables of phrases and their parts meet in sort-merge
+joins by request: the planner sizes them by their Parquet files and does not see
+that rows are exploded, so it would broadcast through the driver what is many
+times its threshold. Products are computed as decimals.
 
 Defined results: a null text has no words, a null language is ``und``; languages
 without any phrase have no row; equal rows count as often as they are there;
@@ -244,7 +247,7 @@ def scored(phrases: DataFrame, counts: DataFrame) -> DataFrame:
         "lang", "phrase", "n", "c.*")
     one = ~F.col("part").contains(" ")
     salt = F.when(one, F.pmod(F.xxhash64("phrase"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
-    met = parts.withColumn("salt", salt).join(counts, ["lang", "part", "salt"])
+    met = parts.withColumn("salt", salt).join(counts.hint("shuffle_merge"), ["lang", "part", "salt"])
     by_phrase = met.groupBy("lang", "phrase").agg(
         F.max("n").alias("n"), F.count(F.lit(1)).alias("found"),
         *[F.max(F.when((F.col("k") == k) & (F.col("side") == s), F.col("f"))).alias(f"f{k}{s}")
@@ -271,7 +274,7 @@ def undisplaced(found: DataFrame, longer: DataFrame, share: int) -> DataFrame:
                               F.array_join(F.slice(w, F.lit(2), F.size(w) - 1), " ")))
     most = longer.select("lang", inner.alias("phrase"), "n").groupBy("lang", "phrase").agg(
         F.max("n").alias("most"))
-    joined = found.join(most, ["lang", "phrase"], "left")
+    joined = found.join(most.hint("shuffle_merge"), ["lang", "phrase"], "left")
     held = (F.lit(100).cast("decimal(3,0)") * F.col("most").cast("decimal(20,0)")
             >= F.lit(share).cast("decimal(3,0)") * F.col("n").cast("decimal(20,0)"))
     return joined.where(~F.coalesce(held, F.lit(False))).drop("most")

@@ -100,3 +100,29 @@ def test_products_beyond_64_bits(spark):
     df = spark.createDataFrame([(big, 2 * big), (3, 7)], "a long, w long")
     got = [r[0] for r in df.select(phrases._ratio(df["a"], df["w"])).collect()]
     assert got == [2_000_000 * big // (2 * big), 2_000_000 * 3 // 7]
+
+
+@pytest.mark.parametrize("aqe", ["true", "false"])
+def test_phrases_are_not_broadcast(spark, aqe):
+    """The planner takes both sides for small; exploded and unpacked they overflow the driver."""
+    def stored(*rows):
+        return phrases.materialize(spark.createDataFrame(rows, "lang string, phrase string, n long"), "counts")
+
+    words = stored(*[("en", w, 9) for w in "abc"])
+    pairs, threes = stored(("en", "a b", 6), ("en", "b c", 5)), stored(("en", "a b c", 5))
+    conf = {"spark.sql.adaptive.enabled": aqe, "spark.sql.autoBroadcastJoinThreshold": "10m"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        scored = phrases.scored(pairs, phrases._parts(words, salted=True))
+        left = phrases.undisplaced(pairs, threes, 90)
+        got = [sorted(map(tuple, df.collect())) for df in (scored, left)]
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (scored, left)]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == [[("en", "a b", 6, 2_000_000 * 6 // 18, 9, 9, 2_000_000 * 6 // 15),
+                    ("en", "b c", 5, 2_000_000 * 5 // 18, 9, 9, 2_000_000 * 5 // 14)],
+                   [("en", "a b", 6)]]
+    assert all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)
